@@ -81,3 +81,57 @@ ORACLE["client_features"] = with_views(BANK, _bank_parts() + f"""
     LEFT JOIN temp_conti_tipologia tct ON cl.id_cliente = tct.id_cliente
     LEFT JOIN temp_transazioni_totali ttt ON cl.id_cliente = ttt.id_cliente
     LEFT JOIN temp_transazioni_tipologia tttt ON cl.id_cliente = tttt.id_cliente""")
+
+
+# ---------------------------------------------------------------- accidents
+INC = ["incidents"]
+CLEAN = ["incidents_clean"]
+_INC_COLS = ["date", "type", "registration", "operator", "fatalities", "location", "country", "cat", "year"]
+
+ORACLE["null_profile"] = with_views(INC, "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE \"{c}\" IS NULL) AS nulls FROM incidents"
+    for c in _INC_COLS) + ")")
+ORACLE["column_profile"] = with_views(INC, "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", 'string' AS type, count(\"{c}\") AS non_null FROM incidents"
+    for c in _INC_COLS) + ")")
+ORACLE["incidents_clean"] = with_views(CLEAN, "SELECT * FROM incidents_clean")
+ORACLE["incidents_per_year"] = with_views(CLEAN, """
+    SELECT CAST(year AS INTEGER) AS year, count(date) AS count
+    FROM incidents_clean WHERE year IS NOT NULL GROUP BY year""")
+ORACLE["incidents_by_country_top11"] = with_views(CLEAN, """
+    SELECT country, count(*) AS count FROM incidents_clean WHERE country IS NOT NULL
+    GROUP BY country ORDER BY count DESC, country LIMIT 11""")
+ORACLE["incidents_by_weekday"] = with_views(CLEAN, """
+    SELECT day_of_week, count(*) AS count FROM incidents_clean WHERE day_of_week IS NOT NULL
+    GROUP BY day_of_week""")
+ORACLE["operators_fewest_incidents"] = with_views(CLEAN, """
+    SELECT operator, count(*) AS count FROM incidents_clean WHERE operator IS NOT NULL
+    GROUP BY operator ORDER BY count ASC, operator LIMIT 10""")
+ORACLE["fatalities_by_operator_top10"] = with_views(CLEAN, """
+    SELECT operator, coalesce(sum(fatalities), 0.0) AS fatalities FROM incidents_clean
+    WHERE operator IS NOT NULL GROUP BY operator ORDER BY fatalities DESC, operator LIMIT 10""")
+ORACLE["fatalities_by_type"] = with_views(CLEAN, """
+    SELECT type, coalesce(sum(fatalities), 0.0) AS fatalities FROM incidents_clean
+    WHERE type IS NOT NULL GROUP BY type""")
+ORACLE["fatalities_by_category_top10"] = with_views(CLEAN, """
+    SELECT cat, coalesce(sum(fatalities), 0.0) AS fatalities FROM incidents_clean
+    WHERE cat IS NOT NULL GROUP BY cat ORDER BY fatalities DESC, cat LIMIT 10""")
+ORACLE["incidents_after_by_year"] = with_views(CLEAN, """
+    SELECT CAST(year(date) AS INTEGER) AS year, count(date) AS count_of_incident
+    FROM incidents_clean WHERE date > DATE '2001-09-11' GROUP BY 1""")
+ORACLE["incidents_before_by_year"] = with_views(CLEAN, """
+    SELECT * FROM (SELECT CAST(year(date) AS INTEGER) AS year, count(date) AS count_of_incident
+                   FROM incidents_clean WHERE date < DATE '2001-09-11' GROUP BY 1)
+    WHERE year > 1946""")
+_ERA = """
+    SELECT era, count(*) AS years, sum(n) AS incidents, round(avg(n), 6) AS mean_incidents
+    FROM (SELECT CASE WHEN date < DATE '2001-09-11' THEN 'before' ELSE 'after' END AS era,
+                 year(date) AS y, count(date) AS n
+          FROM incidents_clean
+          WHERE date <> DATE '2001-09-11' AND date IS NOT NULL AND year(date) NOT IN (2001, 2023) {extra}
+          GROUP BY 1, 2)
+    GROUP BY era"""
+ORACLE["mean_incidents_by_era"] = with_views(CLEAN, _ERA.format(extra=""))
+ORACLE["mean_incidents_by_era_country"] = with_views(CLEAN, _ERA.format(extra="""
+          AND country IN (SELECT n_name FROM nation JOIN region ON n_regionkey = r_regionkey
+                          WHERE r_name = 'AMERICA')"""))

@@ -50,13 +50,13 @@ VIEWS: dict[str, str] = {
              JOIN supplier ON l_suppkey = s_suppkey
              JOIN nation ON s_nationkey = n_nationkey""",
     "incidents_clean": """
-        SELECT date_raw, type, registration, operator, fatalities_raw, location, country, cat, year,
-               CASE WHEN d IS NULL THEN NULL ELSE dayname(d) END AS day_of_week,
-               d AS date,
+        SELECT d AS date, type, registration, operator,
                CASE WHEN regexp_matches(fatalities_raw, '^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$')
-                    THEN TRY_CAST(trim(fatalities_raw) AS DOUBLE) END AS fatalities
+                    THEN TRY_CAST(trim(fatalities_raw) AS DOUBLE) END AS fatalities,
+               location, country, cat, year,
+               CASE WHEN d IS NULL THEN NULL ELSE dayname(d) END AS day_of_week
         FROM (
-          SELECT date AS date_raw, type, registration, operator, fatalities AS fatalities_raw,
+          SELECT type, registration, operator, fatalities AS fatalities_raw,
                  location, country, cat, year,
                  CAST(try_strptime(date, '%d-%b-%Y') AS DATE) AS d
           FROM incidents

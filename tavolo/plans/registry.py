@@ -61,3 +61,94 @@ def _client_transactions_by_type(spark, d):
 def _client_features(spark, d):
     from tavolo.operators.clients import client_features
     return client_features(**fx.bank(Tables(spark, d)))
+
+
+# ---------------------------------------------------------------- Q2-Q6 accidents
+
+def _clean_incidents(spark, d):
+    from tavolo.operators.incidents import clean_incidents
+    return clean_incidents(fx.incidents_raw(Tables(spark, d)))
+
+
+@query("null_profile")
+def _null_profile(spark, d):
+    from tavolo.sources.tables import null_profile
+    return null_profile(fx.incidents_raw(Tables(spark, d)))
+
+
+@query("column_profile")
+def _column_profile(spark, d):
+    from tavolo.sources.tables import column_profile
+    return column_profile(fx.incidents_raw(Tables(spark, d)))
+
+
+@query("incidents_clean")
+def _incidents_clean(spark, d):
+    return _clean_incidents(spark, d)
+
+
+@query("incidents_per_year")
+def _incidents_per_year(spark, d):
+    from tavolo.operators.incidents import incidents_per_year
+    return incidents_per_year(_clean_incidents(spark, d))
+
+
+@query("incidents_by_country_top11")
+def _incidents_by_country(spark, d):
+    from tavolo.operators.incidents import top_countries
+    return top_countries(_clean_incidents(spark, d))
+
+
+@query("incidents_by_weekday")
+def _incidents_by_weekday(spark, d):
+    from tavolo.operators.incidents import incidents_by_weekday
+    return incidents_by_weekday(_clean_incidents(spark, d))
+
+
+@query("operators_fewest_incidents")
+def _operators_fewest(spark, d):
+    from tavolo.operators.incidents import fewest_incidents
+    return fewest_incidents(_clean_incidents(spark, d), "operator", 10)
+
+
+@query("fatalities_by_operator_top10")
+def _fatalities_operator(spark, d):
+    from tavolo.operators.incidents import fatalities_by
+    return fatalities_by(_clean_incidents(spark, d), "operator", 10)
+
+
+@query("fatalities_by_type")
+def _fatalities_type(spark, d):
+    from tavolo.operators.incidents import fatalities_by
+    return fatalities_by(_clean_incidents(spark, d), "type", None)
+
+
+@query("fatalities_by_category_top10")
+def _fatalities_category(spark, d):
+    from tavolo.operators.incidents import fatalities_by
+    return fatalities_by(_clean_incidents(spark, d), "cat", 10)
+
+
+@query("incidents_after_by_year")
+def _after_by_year(spark, d):
+    from tavolo.operators.incidents import yearly_counts_in_era
+    return yearly_counts_in_era(_clean_incidents(spark, d), "after")
+
+
+@query("incidents_before_by_year")
+def _before_by_year(spark, d):
+    from tavolo.operators.incidents import yearly_counts_in_era
+    return yearly_counts_in_era(_clean_incidents(spark, d), "before", min_year=1946)
+
+
+@query("mean_incidents_by_era")
+def _mean_by_era(spark, d):
+    from tavolo.operators.incidents import mean_incidents_by_era
+    return mean_incidents_by_era(_clean_incidents(spark, d))
+
+
+@query("mean_incidents_by_era_country")
+def _mean_by_era_country(spark, d):
+    from tavolo.operators.incidents import mean_incidents_by_era
+    t = Tables(spark, d)
+    return mean_incidents_by_era(_clean_incidents(spark, d), countries=fx.america_countries(t))
