@@ -135,3 +135,39 @@ ORACLE["mean_incidents_by_era"] = with_views(CLEAN, _ERA.format(extra=""))
 ORACLE["mean_incidents_by_era_country"] = with_views(CLEAN, _ERA.format(extra="""
           AND country IN (SELECT n_name FROM nation JOIN region ON n_regionkey = r_regionkey
                           WHERE r_name = 'AMERICA')"""))
+
+
+# ---------------------------------------------------------------- emails
+ORACLE["email_clean"] = with_views(["email_clean"], "SELECT doc_id, label, clean_text FROM email_clean")
+ORACLE["email_mean_vector"] = with_views(["email_words", "word_vectors"], """,
+    dim AS (SELECT max(len(vector)) AS d FROM word_vectors),
+    spine AS (SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(clean_text, '__WS__'), lambda x: x <> ''))
+                                  AS BIGINT) AS n_words FROM email_clean),
+    cnt AS (SELECT doc_id, word, count(*) AS cnt FROM email_words GROUP BY doc_id, word),
+    known AS (SELECT c.doc_id, c.cnt, w.vector FROM cnt c JOIN word_vectors w ON c.word = w.word),
+    nk AS (SELECT doc_id, sum(cnt) AS n_known FROM known GROUP BY doc_id),
+    elem AS (SELECT doc_id, i, sum(cnt * CAST(v AS DOUBLE)) AS s
+             FROM (SELECT doc_id, cnt, unnest(vector) AS v, generate_subscripts(vector, 1) AS i FROM known)
+             GROUP BY doc_id, i),
+    vec AS (SELECT e.doc_id, list(round(e.s / nk.n_known, 6) + 0.0 ORDER BY e.i) AS vector
+            FROM elem e JOIN nk ON e.doc_id = nk.doc_id GROUP BY e.doc_id)
+    SELECT s.doc_id, s.n_words, CAST(s.n_words - coalesce(nk.n_known, 0) AS BIGINT) AS n_unknown,
+           coalesce(v.vector, list_transform(range((SELECT d FROM dim)), lambda x: 0.0)) AS vector
+    FROM spine s LEFT JOIN nk ON s.doc_id = nk.doc_id LEFT JOIN vec v ON s.doc_id = v.doc_id""")
+ORACLE["email_vocabulary"] = with_views(["email_words"], """
+    SELECT word, term_count, doc_freq,
+           row_number() OVER (ORDER BY term_count DESC, word) AS rank
+    FROM (SELECT word, sum(tf) AS term_count, count(*) AS doc_freq
+          FROM (SELECT doc_id, word, count(*) AS tf FROM email_words
+                WHERE label = 'spam' AND length(word) >= 2 GROUP BY doc_id, word)
+          GROUP BY word HAVING count(*) >= 5
+          ORDER BY term_count DESC, word LIMIT 1000)""")
+ORACLE["ham_organizations"] = with_views(["email_clean", "organizations"], """,
+    ham_lists AS (SELECT doc_id, list_filter(regexp_split_to_array(clean_text, '__WS__'), lambda x: x <> '') AS ws
+                  FROM email_clean WHERE label = 'ham'),
+    grams AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] AS gram
+              FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM ham_lists)),
+    hits AS (SELECT doc_id, list(gram ORDER BY i) AS orgs
+             FROM grams JOIN organizations ON gram = name GROUP BY doc_id)
+    SELECT h.doc_id, coalesce(hits.orgs, CAST([] AS VARCHAR[])) AS organizations
+    FROM ham_lists h LEFT JOIN hits ON h.doc_id = hits.doc_id""")

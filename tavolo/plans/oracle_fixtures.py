@@ -83,7 +83,7 @@ VIEWS: dict[str, str] = {
                  unnest(range(1, len(toks) + 1)) AS pos
           FROM (SELECT doc_id,
                        list_filter(regexp_split_to_array(
-                         regexp_replace(lower(text), '__PUNCT__', ' ', 'g'), '__WS__'), x -> x <> '') AS toks
+                         regexp_replace(lower(text), '__PUNCT__', ' ', 'g'), '__WS__'), lambda x: x <> '') AS toks
                 FROM emails))""",
     "email_clean": """
         SELECT e.doc_id, e.label, coalesce(c.clean_text, '') AS clean_text
@@ -98,7 +98,7 @@ VIEWS: dict[str, str] = {
         SELECT doc_id, label, pos, word FROM (
           SELECT doc_id, label, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos
           FROM (SELECT doc_id, label,
-                       list_filter(regexp_split_to_array(clean_text, '__WS__'), x -> x <> '') AS ws
+                       list_filter(regexp_split_to_array(clean_text, '__WS__'), lambda x: x <> '') AS ws
                 FROM email_clean))""",
     "word_vectors": """
         SELECT r.word, e.embedding AS vector
@@ -110,7 +110,7 @@ VIEWS: dict[str, str] = {
           SELECT doc_id, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS pos
           FROM (SELECT doc_id,
                        list_filter(regexp_split_to_array(
-                         regexp_replace(lower(text), '__PUNCT__', ' ', 'g'), '__WS__'), x -> x <> '') AS toks
+                         regexp_replace(lower(text), '__PUNCT__', ' ', 'g'), '__WS__'), lambda x: x <> '') AS toks
                 FROM documents WHERE lang = 'en'))""",
     "en_clean": """
         SELECT doc_id,
@@ -124,7 +124,7 @@ VIEWS: dict[str, str] = {
           SELECT gram, count(*) AS n FROM (
             SELECT ws[i] || ' ' || ws[i + 1] AS gram
             FROM (SELECT ws, unnest(range(1, len(ws))) AS i
-                  FROM (SELECT list_filter(regexp_split_to_array(clean_text, '__WS__'), x -> x <> '') AS ws
+                  FROM (SELECT list_filter(regexp_split_to_array(clean_text, '__WS__'), lambda x: x <> '') AS ws
                         FROM en_clean)))
           GROUP BY gram HAVING count(*) >= 10
           ORDER BY n DESC, gram LIMIT 30)""",
@@ -212,4 +212,5 @@ def with_views(names: list[str], body: str) -> str:
     for n in _order(names):
         sql = VIEWS[n].replace("__PUNCT__", PUNCT).replace("__WS__", WS)
         parts.append(f"{n} AS ({sql})")
+    body = body.replace("__PUNCT__", PUNCT).replace("__WS__", WS)
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()

@@ -152,3 +152,34 @@ def _mean_by_era_country(spark, d):
     from tavolo.operators.incidents import mean_incidents_by_era
     t = Tables(spark, d)
     return mean_incidents_by_era(_clean_incidents(spark, d), countries=fx.america_countries(t))
+
+
+# ---------------------------------------------------------------- Q7-Q11 emails
+
+@query("email_clean")
+def _email_clean(spark, d):
+    return fx.clean_emails(Tables(spark, d))
+
+
+@query("email_mean_vector")
+def _email_mean_vector(spark, d):
+    from tavolo.operators.text import mean_vectors
+    t = Tables(spark, d)
+    return mean_vectors(fx.clean_emails(t), fx.word_vectors(t))
+
+
+@query("email_vocabulary")
+def _email_vocabulary(spark, d):
+    from pyspark.sql import functions as F
+    from tavolo.operators.text import vocabulary
+    spam = fx.clean_emails(Tables(spark, d)).filter(F.col("label") == "spam")
+    return vocabulary(spam, min_df=5, max_features=1000)
+
+
+@query("ham_organizations")
+def _ham_organizations(spark, d):
+    from pyspark.sql import functions as F
+    from tavolo.operators.text import organizations_in
+    t = Tables(spark, d)
+    ham = fx.clean_emails(t).filter(F.col("label") == "ham")
+    return organizations_in(ham, fx.organizations(t))
