@@ -57,7 +57,8 @@ def group_quantiles(df: DataFrame, groups: Sequence[str], value: str,
     ranked = global_rank(base, [*(F.col(g).asc_nulls_first() for g in groups), F.col("_v").asc()], "_r")
     bounds = ranked.groupBy(*groups).agg(F.min("_r").alias("_r0"), F.count(F.lit(1)).alias("_n"))
     h = (F.col("_n") - 1) * F.col("p")
-    targets = (bounds.select(*groups, "_r0", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    targets = (bounds.select(*groups, "_r0", "_n",
+                             F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
                .select(*groups, "p", "_r0", h.alias("_h")))
     need = targets.select(
         *groups, "p", "_h", F.floor("_h").cast("bigint").alias("_lo"),

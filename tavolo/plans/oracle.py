@@ -171,3 +171,101 @@ ORACLE["ham_organizations"] = with_views(["email_clean", "organizations"], """,
              FROM grams JOIN organizations ON gram = name GROUP BY doc_id)
     SELECT h.doc_id, coalesce(hits.orgs, CAST([] AS VARCHAR[])) AS organizations
     FROM ham_lists h LEFT JOIN hits ON h.doc_id = hits.doc_id""")
+
+
+# ---------------------------------------------------------------- segments
+FEATS = ["BALANCE", "PURCHASES", "ONEOFF_PURCHASES", "INSTALLMENTS_PURCHASES",
+         "CASH_ADVANCE", "CREDIT_LIMIT", "PAYMENTS", "MINIMUM_PAYMENTS"]
+_STATS = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATS)
+_SCALED = ", ".join(
+    f"(c.{c} - s.m_{c}) / CASE WHEN s.s_{c} = 0 OR s.s_{c} IS NULL THEN 1 ELSE s.s_{c} END AS {c}"
+    for c in FEATS)
+
+ORACLE["card_clean"] = with_views(["card_clean"], "SELECT * FROM card_clean")
+ORACLE["card_standardized"] = with_views(["card_clean"], f""",
+    stats AS (SELECT {_STATS} FROM card_clean),
+    scaled AS (SELECT c.CUST_ID, {_SCALED} FROM card_clean c, stats s)
+    SELECT CUST_ID, {", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in FEATS)} FROM scaled""")
+ORACLE["card_total_sse"] = with_views(["card_clean"], f""",
+    stats AS (SELECT {_STATS} FROM card_clean),
+    scaled AS (SELECT c.CUST_ID, {_SCALED} FROM card_clean c, stats s)
+    SELECT 1 AS k, round({" + ".join(f"var_pop({c}) * count({c})" for c in FEATS)}, 4) AS sse
+    FROM scaled""")
+
+_PROFILE = [("BALANCE", ["mean", "median", "std", "min", "max"]), ("PURCHASES", ["mean", "median", "std"]),
+            ("CREDIT_LIMIT", ["mean", "std"]), ("CASH_ADVANCE", ["mean", "sum"]), ("TENURE", ["mean", "std"])]
+_FN = {"mean": "avg", "median": "quantile_cont({c}, 0.5)", "std": "stddev_samp", "min": "min",
+       "max": "max", "sum": "sum"}
+
+
+def _stat(c: str, s: str) -> str:
+    f = _FN[s]
+    expr = f.format(c=c) if "{c}" in f else f"{f}({c})"
+    return f"round({expr}, 6) AS {c}_{s}"
+
+
+_PROFILE_SQL = (", profile AS (SELECT NATION AS Cluster, "
+                + ", ".join(_stat(c, s) for c, ss in _PROFILE for s in ss)
+                + " FROM card_customers WHERE MINIMUM_PAYMENTS IS NOT NULL AND CREDIT_LIMIT IS NOT NULL"
+                + " GROUP BY NATION)")
+_PROFILE_NAMES = [f"{c}_{s}" for c, ss in _PROFILE for s in ss]
+ORACLE["segment_profile"] = with_views(["card_customers"], _PROFILE_SQL + " SELECT * FROM profile")
+ORACLE["segment_profile_transposed"] = with_views(["card_customers"], _PROFILE_SQL + f""",
+    long AS (UNPIVOT profile ON {", ".join(_PROFILE_NAMES)} INTO NAME stat VALUE value)
+    SELECT * FROM (PIVOT long ON Cluster USING first(value) GROUP BY stat)""")
+ORACLE["segment_box_stats"] = """
+    WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+                      quantile_cont(value, 0.75) AS q3
+               FROM events WHERE value IS NOT NULL GROUP BY event_type),
+    f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+    SELECT f.event_type, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+           round(iqr, 6) AS iqr,
+           round(min(CASE WHEN e.value >= lo THEN e.value END), 6) AS lower_whisker,
+           round(max(CASE WHEN e.value <= hi THEN e.value END), 6) AS upper_whisker,
+           count(*) FILTER (WHERE e.value < lo OR e.value > hi) AS n_outliers,
+           count(*) AS n
+    FROM events e JOIN f ON e.event_type = f.event_type
+    WHERE e.value IS NOT NULL
+    GROUP BY f.event_type, q1, median, q3, iqr"""
+ORACLE["classification_report"] = """
+    WITH s AS (SELECT CAST(label AS VARCHAR) AS t,
+                      CAST((label + CAST(vec_id % 7 = 0 AS INTEGER)) % 10 AS VARCHAR) AS p
+               FROM embeddings),
+    classes AS (SELECT t AS c FROM s UNION SELECT p FROM s),
+    per AS (SELECT c AS label,
+                   count(*) FILTER (WHERE s.t = c AND s.p = c) AS tp,
+                   count(*) FILTER (WHERE s.t = c) AS support,
+                   count(*) FILTER (WHERE s.p = c) AS predicted
+            FROM classes, s GROUP BY c),
+    m AS (SELECT label, support, tp,
+                 CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS precision,
+                 CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall
+          FROM per),
+    m2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+                          ELSE 2 * precision * recall / (precision + recall) END AS f1_score FROM m),
+    allrows AS (
+      SELECT label, precision, recall, f1_score, support FROM m2
+      UNION ALL SELECT 'accuracy', NULL, NULL, sum(tp) / sum(support), sum(support) FROM m2
+      UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), sum(support) FROM m2
+      UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support),
+                       sum(recall * support) / sum(support), sum(f1_score * support) / sum(support),
+                       sum(support) FROM m2
+      UNION ALL SELECT 'balanced accuracy', NULL, avg(recall), NULL, sum(support)
+                FROM m2 WHERE support > 0)
+    SELECT label, round(precision, 6) + 0.0 AS precision, round(recall, 6) + 0.0 AS recall,
+           round(f1_score, 6) + 0.0 AS f1_score, CAST(support AS BIGINT) AS support
+    FROM allrows"""
+ORACLE["vector_distances"] = """
+    WITH elem AS (SELECT label, i, avg(CAST(v AS DOUBLE)) AS m
+                  FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i
+                        FROM embeddings) GROUP BY label, i),
+    means AS (SELECT label, list(m ORDER BY i) AS vec FROM elem GROUP BY label),
+    withzero AS (SELECT * FROM means
+                 UNION ALL SELECT 99, (SELECT list_transform(vec, lambda x: 0.0) FROM means LIMIT 1)),
+    pairs AS (SELECT a.label AS label_i, b.label AS label_j,
+                     list_dot_product(a.vec, b.vec) AS dot,
+                     sqrt(list_dot_product(a.vec, a.vec)) * sqrt(list_dot_product(b.vec, b.vec)) AS nn
+              FROM withzero a JOIN withzero b ON a.label < b.label)
+    SELECT label_i, label_j,
+           round(1.0 - CASE WHEN nn = 0 THEN 0.0 ELSE dot / nn END, 6) + 0.0 AS distance
+    FROM pairs"""

@@ -183,3 +183,92 @@ def _ham_organizations(spark, d):
     t = Tables(spark, d)
     ham = fx.clean_emails(t).filter(F.col("label") == "ham")
     return organizations_in(ham, fx.organizations(t))
+
+
+# ---------------------------------------------------------------- Q12-Q14 segments
+
+def _card_clean(spark, d):
+    from tavolo.operators.segments import card_clean
+    return card_clean(fx.card_customers(Tables(spark, d)))
+
+
+def _card_scaled(spark, d):
+    from tavolo.operators.segments import standardize
+    return standardize(_card_clean(spark, d))
+
+
+@query("card_clean")
+def _q_card_clean(spark, d):
+    return _card_clean(spark, d)
+
+
+@query("card_standardized")
+def _q_card_standardized(spark, d):
+    from tavolo.operators.segments import standardize
+    return standardize(_card_clean(spark, d), places=6)
+
+
+@query("card_total_sse")
+def _q_card_total_sse(spark, d):
+    from pyspark.sql import functions as F
+    from tavolo.operators.segments import total_sse
+    return total_sse(_card_scaled(spark, d)).select("k", F.round("sse", 4).alias("sse"))
+
+
+@query("card_pca_variance")
+def _q_card_pca_variance(spark, d):
+    from tavolo.operators.segments import pca_variance
+    return pca_variance(_card_scaled(spark, d))
+
+
+@query("card_elbow")
+def _q_card_elbow(spark, d):
+    from tavolo.operators.segments import elbow
+    return elbow(_card_scaled(spark, d))
+
+
+@query("card_segments")
+def _q_card_segments(spark, d):
+    from tavolo.operators.segments import segments
+    return segments(_card_scaled(spark, d))
+
+
+def _profile_input(spark, d):
+    from tavolo.operators.segments import drop_incomplete
+    return drop_incomplete(fx.card_customers(Tables(spark, d))).withColumnRenamed("NATION", "Cluster")
+
+
+@query("segment_profile")
+def _q_segment_profile(spark, d):
+    from tavolo.operators.segments import segment_profile
+    return segment_profile(_profile_input(spark, d))
+
+
+@query("segment_profile_transposed")
+def _q_segment_profile_transposed(spark, d):
+    from tavolo.operators.segments import segment_profile, transpose_profile
+    return transpose_profile(segment_profile(_profile_input(spark, d)))
+
+
+@query("segment_box_stats")
+def _q_segment_box_stats(spark, d):
+    from tavolo.operators.segments import box_stats
+    return box_stats(Tables(spark, d).events, "event_type", "value")
+
+
+@query("classification_report")
+def _q_classification_report(spark, d):
+    from pyspark.sql import functions as F
+    from tavolo.operators.evaluate import classification_report
+    e = Tables(spark, d).embeddings
+    scored = e.select("label", ((F.col("label") + (F.col("vec_id") % 7 == 0).cast("int")) % 10)
+                      .alias("prediction"))
+    return classification_report(scored)
+
+
+@query("vector_distances")
+def _q_vector_distances(spark, d):
+    from tavolo.operators.topics import class_mean_vectors, pairwise_distances, with_zero_vector
+    vecs = with_zero_vector(class_mean_vectors(Tables(spark, d).embeddings))
+    return pairwise_distances(vecs, "id", "vector").withColumnRenamed(
+        "id_i", "label_i").withColumnRenamed("id_j", "label_j")
