@@ -269,3 +269,97 @@ ORACLE["vector_distances"] = """
     SELECT label_i, label_j,
            round(1.0 - CASE WHEN nn = 0 THEN 0.0 ELSE dot / nn END, 6) + 0.0 AS distance
     FROM pairs"""
+
+
+# ---------------------------------------------------------------- ledger
+_NUM = "'^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$'"
+
+
+def _dec(c: str) -> str:
+    return f"CASE WHEN regexp_matches({c}, {_NUM}) THEN TRY_CAST(trim({c}) AS DECIMAL(18,2)) END"
+
+
+_LEDGER = f""",
+    ev AS (SELECT seq, lower(trim(op)) AS op, basket_id,
+                  lower(regexp_replace(product, '^__WS__|__WS__$', '', 'g')) AS product,
+                  {_dec("quantity")} AS qty, {_dec("purchase_price")} AS pp, {_dec("selling_price")} AS sp
+           FROM shop_events),
+    evp AS (SELECT *, CASE WHEN op IS NULL OR op NOT IN ('add', 'sale', 'reset') THEN 'unknown op'
+                           WHEN op = 'reset' THEN NULL
+                           WHEN product IS NULL OR product = '' THEN 'missing product'
+                           WHEN qty IS NULL OR qty <= 0 THEN 'invalid quantity' END AS problem
+            FROM ev),
+    resets AS (SELECT DISTINCT seq FROM evp WHERE op = 'reset' AND problem IS NULL),
+    live AS (SELECT e.*, (SELECT count(*) FROM resets r WHERE r.seq <= e.seq) AS epoch
+             FROM evp e WHERE problem IS NULL),
+    moves AS (SELECT *, row_number() OVER (PARTITION BY epoch, product ORDER BY seq) AS rn
+              FROM live WHERE op IN ('add', 'sale')),
+    fold AS (
+      WITH RECURSIVE f(epoch, product, rn, seq, op, basket_id, qty, known, stock, cpp, csp, first_seq,
+                       accepted, reason) AS (
+        SELECT epoch, product, rn, seq, op, basket_id, qty,
+               op = 'add' AND pp IS NOT NULL AND sp IS NOT NULL,
+               CAST(CASE WHEN op = 'add' AND pp IS NOT NULL AND sp IS NOT NULL THEN qty ELSE 0 END AS DECIMAL(38,2)),
+               CASE WHEN op = 'add' AND sp IS NOT NULL THEN pp END,
+               CASE WHEN op = 'add' AND pp IS NOT NULL THEN sp END,
+               CASE WHEN op = 'add' AND pp IS NOT NULL AND sp IS NOT NULL THEN seq END,
+               op = 'add' AND pp IS NOT NULL AND sp IS NOT NULL,
+               CASE WHEN op = 'add' AND (pp IS NULL OR sp IS NULL) THEN 'invalid price'
+                    WHEN op = 'sale' THEN 'unknown product' END
+        FROM moves WHERE rn = 1
+        UNION ALL
+        SELECT m.epoch, m.product, m.rn, m.seq, m.op, m.basket_id, m.qty,
+               f.known OR (m.op = 'add' AND m.pp IS NOT NULL AND m.sp IS NOT NULL),
+               CAST(CASE WHEN m.op = 'add' AND f.known THEN f.stock + m.qty
+                         WHEN m.op = 'add' AND m.pp IS NOT NULL AND m.sp IS NOT NULL THEN m.qty
+                         WHEN m.op = 'sale' AND f.known AND f.stock >= m.qty THEN f.stock - m.qty
+                         ELSE f.stock END AS DECIMAL(38,2)),
+               CASE WHEN f.known THEN f.cpp WHEN m.op = 'add' AND m.sp IS NOT NULL THEN m.pp END,
+               CASE WHEN f.known THEN f.csp WHEN m.op = 'add' AND m.pp IS NOT NULL THEN m.sp END,
+               CASE WHEN f.known THEN f.first_seq
+                    WHEN m.op = 'add' AND m.pp IS NOT NULL AND m.sp IS NOT NULL THEN m.seq END,
+               CASE WHEN m.op = 'add' THEN f.known OR (m.pp IS NOT NULL AND m.sp IS NOT NULL)
+                    ELSE f.known AND f.stock >= m.qty END,
+               CASE WHEN m.op = 'add' AND NOT f.known AND (m.pp IS NULL OR m.sp IS NULL) THEN 'invalid price'
+                    WHEN m.op = 'sale' AND NOT f.known THEN 'unknown product'
+                    WHEN m.op = 'sale' AND f.stock < m.qty THEN 'insufficient stock' END
+        FROM f JOIN moves m ON m.epoch = f.epoch AND m.product = f.product AND m.rn = f.rn + 1)
+      SELECT * FROM f),
+    sale_lines AS (
+      SELECT seq, epoch, basket_id, product, CAST(qty AS DECIMAL(38,2)) AS quantity, accepted, reason,
+             CAST(CASE WHEN accepted THEN csp END AS DECIMAL(38,2)) AS selling_price,
+             CAST(CASE WHEN accepted THEN cpp END AS DECIMAL(38,2)) AS purchase_price
+      FROM fold WHERE op = 'sale'),
+    receipts AS (
+      SELECT epoch, basket_id,
+             CAST(coalesce(sum(CASE WHEN accepted THEN quantity * selling_price END), 0) AS DECIMAL(38,4)) AS gross,
+             CAST(coalesce(sum(CASE WHEN accepted THEN quantity * purchase_price END), 0) AS DECIMAL(38,4)) AS cost,
+             count(*) FILTER (WHERE accepted) AS accepted_lines, count(*) AS lines
+      FROM sale_lines GROUP BY epoch, basket_id),
+    stock AS (
+      SELECT epoch, product, stock AS quantity, CAST(cpp AS DECIMAL(38,2)) AS purchase_price,
+             CAST(csp AS DECIMAL(38,2)) AS selling_price, first_seq
+      FROM (SELECT *, row_number() OVER (PARTITION BY epoch, product ORDER BY seq DESC) AS k FROM fold
+            WHERE first_seq IS NOT NULL) WHERE k = 1)
+"""
+ORACLE["ledger_quarantine"] = with_views(["shop_events"], _LEDGER + """
+    SELECT seq, op, basket_id, product, problem AS reason FROM evp WHERE problem IS NOT NULL""")
+ORACLE["ledger_sales"] = with_views(["shop_events"], _LEDGER + "SELECT * FROM sale_lines")
+ORACLE["ledger_receipts"] = with_views(["shop_events"], _LEDGER + """
+    SELECT *, CAST(gross - cost AS DECIMAL(38,4)) AS net FROM receipts""")
+ORACLE["ledger_profit"] = with_views(["shop_events"], _LEDGER + """,
+    epochs AS (SELECT DISTINCT epoch FROM live)
+    SELECT e.epoch, CAST(coalesce(sum(r.gross), 0) AS DECIMAL(38,4)) AS gross_profit,
+           CAST(coalesce(sum(r.gross - r.cost), 0) AS DECIMAL(38,4)) AS net_profit,
+           e.epoch = (SELECT max(epoch) FROM epochs) AS is_current
+    FROM epochs e LEFT JOIN receipts r ON e.epoch = r.epoch GROUP BY e.epoch""")
+ORACLE["ledger_stock"] = with_views(["shop_events"], _LEDGER + "SELECT * FROM stock")
+ORACLE["catalog_text"] = with_views(["shop_events"], _LEDGER + """,
+    cur AS (SELECT * FROM stock WHERE epoch = (SELECT max(epoch) FROM stock))
+    SELECT CAST(0 AS BIGINT) AS line_no,
+           'Product          Quantity         Purchase Price        Selling Price' AS line
+    UNION ALL
+    SELECT row_number() OVER (ORDER BY first_seq) AS line_no,
+           printf('%-17s %-17s %-20s %s', product, CAST(quantity AS VARCHAR), CAST(purchase_price AS VARCHAR),
+                  CAST(selling_price AS VARCHAR)) AS line
+    FROM cur""")

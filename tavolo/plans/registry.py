@@ -272,3 +272,46 @@ def _q_vector_distances(spark, d):
     vecs = with_zero_vector(class_mean_vectors(Tables(spark, d).embeddings))
     return pairwise_distances(vecs, "id", "vector").withColumnRenamed(
         "id_i", "label_i").withColumnRenamed("id_j", "label_j")
+
+
+# ---------------------------------------------------------------- Q15 ledger
+
+def _decisions(spark, d):
+    from tavolo.operators.ledger import decisions
+    return decisions(fx.shop_events(Tables(spark, d)))
+
+
+@query("ledger_quarantine")
+def _q_ledger_quarantine(spark, d):
+    from tavolo.operators.ledger import quarantine
+    return quarantine(fx.shop_events(Tables(spark, d)))
+
+
+@query("ledger_sales")
+def _q_ledger_sales(spark, d):
+    from tavolo.operators.ledger import sales
+    return sales(_decisions(spark, d))
+
+
+@query("ledger_receipts")
+def _q_ledger_receipts(spark, d):
+    from tavolo.operators.ledger import receipts, sales
+    return receipts(sales(_decisions(spark, d)))
+
+
+@query("ledger_profit")
+def _q_ledger_profit(spark, d):
+    from tavolo.operators.ledger import profits, receipts, sales
+    return profits(receipts(sales(_decisions(spark, d))), fx.shop_events(Tables(spark, d)))
+
+
+@query("ledger_stock")
+def _q_ledger_stock(spark, d):
+    from tavolo.operators.ledger import stock
+    return stock(_decisions(spark, d))
+
+
+@query("catalog_text")
+def _q_catalog_text(spark, d):
+    from tavolo.operators.ledger import catalog_lines, stock
+    return catalog_lines(stock(_decisions(spark, d)))
