@@ -9,6 +9,7 @@ as Spark ML does. The data itself never leaves the executors.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -119,12 +120,15 @@ def elbow(scaled: DataFrame, features: Sequence[str] = FEATURES, ks: Sequence[in
     """(k, sse) for each k; k = 1 by the SQL aggregate, the rest by k-means
     fits on the cached scaled input (I6, D16)."""
     scaled = scaled.select(*features).cache()
-    rows = []
-    for k in ks:
+
+    def sse(k: int) -> tuple[int, float]:
         if k == 1:
-            rows.append((1, float(total_sse(scaled, features).first()["sse"])))
-        else:
-            rows.append((k, float(kmeans_fit(scaled, features, k, seed, max_iter).summary.trainingCost)))
+            return 1, float(total_sse(scaled, features).first()["sse"])
+        return k, float(kmeans_fit(scaled, features, k, seed, max_iter).summary.trainingCost)
+
+    # independent fits, submitted as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        rows = list(pool.map(sse, ks))
     scaled.unpersist()
     return scaled.sparkSession.createDataFrame(rows, "k int, sse double")
 

@@ -315,3 +315,105 @@ def _q_ledger_stock(spark, d):
 def _q_catalog_text(spark, d):
     from tavolo.operators.ledger import catalog_lines, stock
     return catalog_lines(stock(_decisions(spark, d)))
+
+
+# ---------------------------------------------------------------- Q7, Q8, Q10, Q11 models on emails
+
+def _email_vectors(spark, d):
+    from tavolo.operators.text import mean_vectors
+    t = Tables(spark, d)
+    clean = fx.clean_emails(t)
+    vecs = mean_vectors(clean, fx.word_vectors(t))
+    return vecs.join(clean.select("doc_id", "label"), "doc_id")
+
+
+def _spam_model(spark, d):
+    from pyspark.sql import functions as F
+    from tavolo.operators.models import fit_spam_classifier, train_test_split
+    data = train_test_split(_email_vectors(spark, d), "doc_id", 0.2, 42).cache()
+    indexer, model = fit_spam_classifier(data.filter(F.col("split") == "train"))
+    return data, indexer, model
+
+
+@query("spam_classifier_report")
+def _q_spam_report(spark, d):
+    from pyspark.sql import functions as F
+    from tavolo.operators.evaluate import classification_report
+    from tavolo.operators.models import score_spam
+    data, indexer, model = _spam_model(spark, d)
+    scored = score_spam(indexer, model, data.filter(F.col("split") == "test"))
+    return classification_report(scored, "label", "predicted")
+
+
+@query("spam_scores")
+def _q_spam_scores(spark, d):
+    from pyspark.sql import functions as F
+    from tavolo.operators.models import score_spam
+    data, indexer, model = _spam_model(spark, d)
+    return score_spam(indexer, model, data.filter(F.col("split") == "test")).select(
+        "doc_id", "label", "predicted", "verdict")
+
+
+def _topics(spark, d):
+    from pyspark.sql import functions as F
+    from tavolo.operators.topics import fit_topics, topic_words
+    spam = fx.clean_emails(Tables(spark, d)).filter(F.col("label") == "spam")
+    cv_model, lda_model = fit_topics(spam)
+    return topic_words(cv_model, lda_model, 10)
+
+
+@query("spam_topics")
+def _q_spam_topics(spark, d):
+    from pyspark.sql import functions as F
+    return _topics(spark, d).withColumn("weight", F.round("weight", 6))
+
+
+@query("topic_distances")
+def _q_topic_distances(spark, d):
+    from tavolo.operators.topics import topic_distances
+    return topic_distances(_topics(spark, d), fx.word_vectors(Tables(spark, d)))
+
+
+# ---------------------------------------------------------------- Q14 forest on segments
+
+def _labeled_cards(spark, d):
+    from pyspark.sql import functions as F
+    from tavolo.operators.models import train_test_split
+    from tavolo.operators.segments import standardize
+    from tavolo.operators.segments import segments as seg
+    clean = _card_clean(spark, d)
+    labels = seg(standardize(clean)).select("CUST_ID", "Cluster")
+    data = train_test_split(clean.join(labels, "CUST_ID"), "CUST_ID", 0.3, 0).cache()
+    return data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
+
+
+@query("train_test_split")
+def _q_train_test_split(spark, d):
+    from tavolo.operators.models import train_test_split
+    return train_test_split(_card_clean(spark, d), "CUST_ID", 0.3, 0)
+
+
+@query("forest_report")
+def _q_forest_report(spark, d):
+    from tavolo.operators.evaluate import classification_report
+    from tavolo.operators.models import fit_forest, forest_predict
+    from tavolo.operators.segments import FEATURES
+    train, test = _labeled_cards(spark, d)
+    model = fit_forest(train, FEATURES)
+    return classification_report(forest_predict(model, test, FEATURES))
+
+
+@query("forest_importances")
+def _q_forest_importances(spark, d):
+    from tavolo.operators.models import fit_forest, importance_table
+    from tavolo.operators.segments import FEATURES
+    train, _ = _labeled_cards(spark, d)
+    return importance_table(fit_forest(train, FEATURES), FEATURES, spark)
+
+
+@query("selected_features")
+def _q_selected_features(spark, d):
+    from tavolo.operators.models import rfecv
+    from tavolo.operators.segments import FEATURES
+    train, _ = _labeled_cards(spark, d)
+    return rfecv(train, FEATURES)
