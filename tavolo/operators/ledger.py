@@ -90,12 +90,19 @@ def quarantine(events: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- K7 epochs
 
-def with_epoch(events: DataFrame, max_resets: int = MAX_RESETS) -> DataFrame:
-    """``epoch`` = number of resets with seq <= the event's seq."""
+def reset_points(events: DataFrame, max_resets: int = MAX_RESETS) -> list[int]:
+    """Sorted seq of every reset: the epoch split points (checked to be few)."""
     resets = [r[0] for r in events.filter(F.col("op") == "reset").select("seq").distinct()
               .orderBy("seq").limit(max_resets + 1).collect()]
     if len(resets) > max_resets:
         raise ValueError(f"more than {max_resets} resets: the epoch split points are meant to be few")
+    return resets
+
+
+def with_epoch(events: DataFrame, resets: list[int] | None = None) -> DataFrame:
+    """``epoch`` = number of resets with seq <= the event's seq; works on
+    batch and streaming DataFrames alike."""
+    resets = reset_points(events) if resets is None else sorted(set(resets))
     if not resets:
         return events.withColumn("epoch", F.lit(0).cast("bigint"))
     splits = [float("-inf")] + [float(s) for s in resets] + [float("inf")]

@@ -363,3 +363,4 @@ ORACLE["catalog_text"] = with_views(["shop_events"], _LEDGER + """,
            printf('%-17s %-17s %-20s %s', product, CAST(quantity AS VARCHAR), CAST(purchase_price AS VARCHAR),
                   CAST(selling_price AS VARCHAR)) AS line
     FROM cur""")
+ORACLE["ledger_stream"] = ORACLE["ledger_sales"]

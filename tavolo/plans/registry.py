@@ -417,3 +417,41 @@ def _q_selected_features(spark, d):
     from tavolo.operators.segments import FEATURES
     train, _ = _labeled_cards(spark, d)
     return rfecv(train, FEATURES)
+
+
+# ---------------------------------------------------------------- streaming forms (L1, L2)
+
+@query("ledger_stream")
+def _q_ledger_stream(spark, d):
+    """The sale decisions of the streaming ledger, read back from its sink;
+    equal to ``ledger_sales`` on the same events."""
+    from pyspark.sql import functions as F
+    from tavolo.operators.ledger import normalize, reset_points, sales
+    from tavolo.session import scratch_path
+    from tavolo.streaming.ledger_stream import run_ledger_stream, stage_event_files
+    events = fx.shop_events(Tables(spark, d))
+    base = scratch_path(spark, "ledger-stream")
+    stage_event_files(events, f"{base}/in", 3)
+    resets = reset_points(normalize(events).filter(F.col("problem").isNull()))
+    run_ledger_stream(spark, f"{base}/in", f"{base}/out", f"{base}/state", resets)
+    cents = lambda c: (F.col(c).cast("decimal(38,2)") / F.lit(100)).cast("decimal(38,2)")
+    dec = spark.read.parquet(f"{base}/out").select(
+        "seq", "epoch", "op", "basket_id", "product", cents("qty_c").alias("quantity"), "accepted", "reason",
+        cents("pp_c").alias("purchase_price"), cents("sp_c").alias("selling_price"))
+    return sales(dec)
+
+
+@query("spam_scores_stream")
+def _q_spam_scores_stream(spark, d):
+    """Held-out emails scored by the streaming job (files -> foreachBatch)."""
+    from pyspark.sql import functions as F
+    from tavolo.session import scratch_path
+    from tavolo.streaming.scoring_stream import run_scoring_stream
+    t = Tables(spark, d)
+    data, indexer, model = _spam_model(spark, d)
+    test_ids = data.filter(F.col("split") == "test").select("doc_id")
+    base = scratch_path(spark, "scoring-stream")
+    fx.emails(t).join(test_ids, "doc_id").select("doc_id", "text").write.parquet(f"{base}/in")
+    run_scoring_stream(spark, f"{base}/in", f"{base}/out", f"{base}/state", fx.lemmas(spark),
+                       fx.stopwords(spark), fx.word_vectors(t), indexer, model)
+    return spark.read.parquet(f"{base}/out")
