@@ -1,0 +1,20 @@
+"""Parallelism guard for CPU-heavy narrow stages."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows when ``df`` has fewer partitions than the
+    cluster's default parallelism.
+
+    A narrow, CPU-heavy stage (regular expressions over text) runs with the
+    partitioning of its input. A large input already has many splits and is
+    returned unchanged (no shuffle); a small file that is one row group would
+    otherwise be processed by a single task.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

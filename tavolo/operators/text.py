@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from tavolo.functions.text import pre_tokens, remove_digits, split_whitespace
 from tavolo.functions.vectors import round_array, zeros
-from tavolo.operators.joins import broadcast_if_small
+from tavolo.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from tavolo.operators.partitioning import spread
 
 INLINE_LEMMAS = 64          # lemma entries applied as a map literal
 INLINE_STOPWORDS = 100_000  # stopwords held in the remover's hash set
@@ -42,6 +43,7 @@ def clean_text(docs: DataFrame, lemmas: DataFrame, stopwords: DataFrame,
     """``docs`` (with ``doc_id``) minus ``text_col`` plus ``out_col``."""
     lemma_pairs = _small_list(lemmas, ["word", "lemma"], inline_lemmas)
     stop_words = _small_list(stopwords, ["word"], INLINE_STOPWORDS)
+    docs = spread(docs)
     if lemma_pairs is not None and stop_words is not None:
         return _clean_inline(docs, lemma_pairs, [w for (w,) in stop_words], text_col, out_col)
     return _clean_by_join(docs, lemmas, stopwords, text_col, out_col)
@@ -166,9 +168,11 @@ def organizations_in(clean: DataFrame, gazetteer: DataFrame, col: str = "clean_t
     repeats kept; documents without one get an empty list (J3). Columns:
     doc_id, organizations."""
     names = gazetteer.select(F.col("name").alias("gram"),
-                             F.size(split_whitespace(F.col("name"))).alias("n"))
-    lengths = sorted(r[0] for r in names.select("n").distinct().collect() if r[0])
-    gaz = broadcast_if_small(names)
+                             F.size(split_whitespace(F.col("name"))).alias("n")).checkpoint(eager=True)
+    sizes = names.groupBy("n").count().collect()
+    lengths = sorted(r["n"] for r in sizes if r["n"])
+    total = sum(r["count"] for r in sizes)
+    gaz = F.broadcast(names) if total <= DEFAULT_BROADCAST_ROWS else names
     hits = None
     for n in lengths:
         g = token_ngrams(clean, n, col).join(gaz.filter(F.col("n") == n), "gram")
