@@ -83,7 +83,7 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str = "Cluster"
     sqrt features per split, depth capped at Spark's 30 (I11)."""
     rf = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, featureSubsetStrategy="sqrt",
                                 seed=seed, maxBins=max_bins, featuresCol="_x", labelCol="_y",
-                                predictionCol="_p")
+                                predictionCol="_p", cacheNodeIds=True, maxMemoryInMB=1024)
     staged = _assembled(train, features).withColumn("_y", F.col(label).cast("double"))
     return rf.fit(staged)
 
@@ -130,22 +130,30 @@ def rfecv(train: DataFrame, features: Sequence[str], label: str = "Cluster", id_
             cur.remove(min(importances(model, cur), key=lambda t: (t[1], t[0]))[0])
         return out
 
-    # the folds are independent: their fits are submitted as concurrent Spark jobs
-    with ThreadPoolExecutor(max_workers=folds) as pool:
+    def elimination_order() -> list[str]:
+        """Features of all training rows, least important first (the final RFE;
+        stopping it at the chosen count gives the same first steps)."""
+        cur, order = list(features), []
+        while len(cur) > 1:
+            model = fit_forest(data, cur, label, num_trees, max_depth, seed)
+            drop = min(importances(model, cur), key=lambda t: (t[1], t[0]))[0]
+            order.append(drop)
+            cur.remove(drop)
+        return order + cur
+
+    # the fold chains and the final chain are independent: their fits are
+    # submitted as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=folds + 1) as pool:
+        final = pool.submit(elimination_order)
         per_fold = list(pool.map(one_fold, range(folds)))
+        order = final.result()
+    data.unpersist()
     scores = {m: [r[m] for r in per_fold if m in r] for m in range(1, n + 1)}
     mean = {m: sum(v) / len(v) for m, v in scores.items() if v}
     best = max(mean.values())
     n_best = min(m for m, s in mean.items() if s == best)
-    cur = list(features)
-    ranks: dict[str, int] = {}
-    while len(cur) > n_best:
-        model = fit_forest(data, cur, label, num_trees, max_depth, seed)
-        drop = min(importances(model, cur), key=lambda t: (t[1], t[0]))[0]
-        ranks[drop] = len(cur) - n_best + 1
-        cur.remove(drop)
-    data.unpersist()
-    for f_ in cur:
-        ranks[f_] = 1
+    # rank 1 = selected; the last feature eliminated before the cut gets 2, and so on
+    n_drop = n - n_best
+    ranks = {f_: (n_drop - i + 1 if i < n_drop else 1) for i, f_ in enumerate(order)}
     rows = [(f_, ranks[f_], ranks[f_] == 1, float(mean[n_best])) for f_ in features]
     return spark.createDataFrame(rows, "feature string, rank int, selected boolean, cv_score double")
