@@ -163,10 +163,20 @@ def token_ngrams(clean: DataFrame, n: int, col: str = "clean_text") -> DataFrame
     return staged.select("doc_id", F.posexplode(grams).alias("pos", "gram"))
 
 
-def organizations_in(clean: DataFrame, gazetteer: DataFrame, col: str = "clean_text") -> DataFrame:
+def suffix_names(clean: DataFrame, suffixes: DataFrame, col: str = "clean_text") -> DataFrame:
+    """(doc_id, pos, n, gram): a word followed by a company suffix word
+    (``acme inc``), found at its position, as an extra source of names (J3)."""
+    suf = broadcast_if_small(suffixes.select(F.col("word").alias("_last")))
+    grams = token_ngrams(clean, 2, col).withColumn("_last", F.element_at(F.split("gram", " "), -1))
+    return grams.join(suf, "_last", "left_semi").select("doc_id", "pos", F.lit(2).alias("n"), "gram")
+
+
+def organizations_in(clean: DataFrame, gazetteer: DataFrame, col: str = "clean_text",
+                     suffixes: DataFrame | None = None) -> DataFrame:
     """Gazetteer names found in each document, in order of appearance,
-    repeats kept; documents without one get an empty list (J3). Columns:
-    doc_id, organizations."""
+    repeats kept; documents without one get an empty list (J3). With
+    ``suffixes`` (one column ``word``), two-word names ending in a company
+    suffix are found as well. Columns: doc_id, organizations."""
     names = gazetteer.select(F.col("name").alias("gram"),
                              F.size(split_whitespace(F.col("name"))).alias("n")).checkpoint(eager=True)
     sizes = names.groupBy("n").count().collect()
@@ -177,6 +187,9 @@ def organizations_in(clean: DataFrame, gazetteer: DataFrame, col: str = "clean_t
     for n in lengths:
         g = token_ngrams(clean, n, col).join(gaz.filter(F.col("n") == n), "gram")
         hits = g if hits is None else hits.unionByName(g)
+    if suffixes is not None:
+        extra = suffix_names(clean, suffixes, col)
+        hits = extra if hits is None else hits.unionByName(extra)
     spine = clean.select("doc_id")
     if hits is None:
         return spine.withColumn("organizations", F.array().cast("array<string>"))
@@ -185,3 +198,17 @@ def organizations_in(clean: DataFrame, gazetteer: DataFrame, col: str = "clean_t
     return (spine.join(per_doc, "doc_id", "left")
             .select("doc_id", F.coalesce(F.transform("_h", lambda h: h["gram"]),
                                          F.array().cast("array<string>")).alias("organizations")))
+
+
+def organizations_by_model(clean: DataFrame, extract, col: str = "clean_text") -> DataFrame:
+    """Hook for a caller's own entity model: ``extract(texts: pandas.Series)
+    -> list[list[str]]`` runs on Arrow batches inside the executors
+    (``mapInPandas``), e.g. a language model where one is installed. Columns:
+    doc_id, organizations."""
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "organizations": extract(pdf[col])})
+
+    return clean.select("doc_id", col).mapInPandas(run, "doc_id long, organizations array<string>")

@@ -43,7 +43,8 @@ def cliente(t: Tables) -> DataFrame:
 
 def conto(t: Tables) -> DataFrame:
     o = t.orders
-    return o.filter(o.o_orderdate < F.lit(_dt.datetime(1995, 9, 1))).select(
+    cutoff = F.lit(ACCOUNTS_BEFORE.isoformat()).cast("timestamp_ntz")
+    return o.filter(o.o_orderdate < cutoff).select(
         o.o_orderkey.alias("id_conto"),
         o.o_custkey.alias("id_cliente"),
         o.o_orderpriority.alias("id_tipo_conto"),

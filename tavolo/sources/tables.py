@@ -157,3 +157,11 @@ def null_profile(df: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame) -> DataFrame:
     """(column, type, non_null) for every column (A10)."""
     return _profile(df, F.count, "non_null", with_type=True)
+
+
+def default_stopwords(spark: SparkSession, language: str = "english") -> DataFrame:
+    """A stopword table from Spark ML's built-in list (A4); the reference's
+    list differs slightly, so jobs take the table as an argument."""
+    from pyspark.ml.feature import StopWordsRemover
+    words = StopWordsRemover.loadDefaultStopWords(language)
+    return spark.createDataFrame([(w,) for w in words], "word string")

@@ -217,3 +217,14 @@ def test_d14_never_predicted_class(spark):
     rep = {r["label"]: r for r in evaluate.classification_report(df).collect()}
     assert rep["1"]["precision"] == 0.0 and rep["1"]["recall"] == 0.0 and rep["1"]["f1_score"] == 0.0
     assert rep["accuracy"]["f1_score"] == round(2 / 3, 6)
+
+
+def test_j3_gazetteer_suffix_and_hook(spark):
+    docs = spark.createDataFrame([(1, "acme inc bought big data co and big data"), (2, "nothing here")],
+                                 "doc_id long, clean_text string")
+    gaz = spark.createDataFrame([("big data",)], "name string")
+    suf = spark.createDataFrame([("inc",), ("co",)], "word string")
+    out = {r["doc_id"]: r["organizations"] for r in text.organizations_in(docs, gaz, suffixes=suf).collect()}
+    assert out[1] == ["acme inc", "big data", "data co", "big data"] and out[2] == []
+    hook = text.organizations_by_model(docs, lambda s: [[w for w in t.split() if w == "acme"] for t in s])
+    assert {r["doc_id"]: r["organizations"] for r in hook.collect()}[1] == ["acme"]
