@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tavolo.operators.partitioning import spread
 from tavolo.functions.parse import (not_equal_keep_null, parse_date_free, parse_date_strict,
                                     parse_number, weekday_name)
 
@@ -45,7 +46,7 @@ def clean_filter(df: DataFrame) -> DataFrame:
 def clean_incidents(raw: DataFrame) -> DataFrame:
     """Q2: filter, weekday from the strict parse (H4, H6), date from the
     free-format parse (H5, N11), fatalities as a number (H9, N9)."""
-    kept = clean_filter(raw)
+    kept = clean_filter(spread(raw))
     return kept.select(
         parse_date_free(F.col("date")).alias("date"),
         "type", "registration", "operator",
