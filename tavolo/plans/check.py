@@ -63,6 +63,20 @@ def _family(t: str) -> str:
     return t
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+                  "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+                  "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def duck_type_of(spark_type: str) -> str:
+    """The DuckDB spelling of a Spark simple type string (for strict checks)."""
+    if spark_type.startswith("decimal"):
+        return spark_type.upper().replace(" ", "")
+    if spark_type.startswith("array<") and spark_type.endswith(">"):
+        return duck_type_of(spark_type[6:-1]) + "[]"
+    return _SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+
+
 def digest(columns: list[str], rows: list[tuple]) -> tuple[int, str]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     lines = sorted("|".join(str(_norm(r[i])) for i in order) for r in rows)
@@ -91,6 +105,11 @@ def compare(spark, sf_dir: str, name: str, query, sql: str | None, con=None) ->
         out["status"] = f"columns differ: spark={sorted(s_cols)} oracle={sorted(d_cols)}"
         return out
     bad_types = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    strict_s = {f.name: duck_type_of(f.dataType.simpleString()) for f in df.schema.fields}
+    strict_d = {c[0]: str(c[1]).replace(" ", "") for c in rel.description}
+    strict = {c: (strict_s[c], strict_d[c]) for c in s_cols if strict_s[c] != strict_d[c]}
+    if strict:
+        out["strict_types"] = strict
     n1, h1 = digest(s_cols, s_rows)
     n2, h2 = digest(d_cols, d_rows)
     if n1 != n2:

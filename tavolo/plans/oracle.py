@@ -124,7 +124,7 @@ ORACLE["incidents_before_by_year"] = with_views(CLEAN, """
                    FROM incidents_clean WHERE date < DATE '2001-09-11' GROUP BY 1)
     WHERE year > 1946""")
 _ERA = """
-    SELECT era, count(*) AS years, sum(n) AS incidents, round(avg(n), 6) AS mean_incidents
+    SELECT era, count(*) AS years, CAST(sum(n) AS BIGINT) AS incidents, round(avg(n), 6) AS mean_incidents
     FROM (SELECT CASE WHEN date < DATE '2001-09-11' THEN 'before' ELSE 'after' END AS era,
                  year(date) AS y, count(date) AS n
           FROM incidents_clean
@@ -157,7 +157,7 @@ ORACLE["email_mean_vector"] = with_views(["email_words", "word_vectors"], """,
 ORACLE["email_vocabulary"] = with_views(["email_words"], """
     SELECT word, term_count, doc_freq,
            row_number() OVER (ORDER BY term_count DESC, word) AS rank
-    FROM (SELECT word, sum(tf) AS term_count, count(*) AS doc_freq
+    FROM (SELECT word, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_freq
           FROM (SELECT doc_id, word, count(*) AS tf FROM email_words
                 WHERE label = 'spam' AND length(word) >= 2 GROUP BY doc_id, word)
           GROUP BY word HAVING count(*) >= 5
