@@ -1,9 +1,9 @@
 """Spam topics and semantic distances (Q10, Q11; I8-I10, F7, C6, H17-H19).
 
 Bag of words and LDA come from Spark ML (``CountVectorizer``, ``LDA``);
-topic vectors reuse the mean-vector job; the distance matrix is over a
-handful of vectors (topics, classes), checked against a bound, and its pairs
-are generated inside one row by higher-order functions, without a join.
+topic vectors reuse the mean-vector job; the distance table is built from
+blocks of vectors, pairs formed inside block-pair rows (one row when the
+vectors are few, as topics and classes are).
 """
 
 from __future__ import annotations
@@ -16,32 +16,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tavolo.functions.vectors import cosine_distance
+from tavolo.operators.ranking import global_rank
 from tavolo.operators.text import mean_vector_of_words, words
 
-MAX_MATRIX = 1000  # largest number of vectors for an all-pairs distance table
+BLOCK = 512  # vectors packed per row when building the pair table
+
+
+def _pairs(a, b, same_block: bool, id_col: str, places: int):
+    """All (x in a, y in b) pairs with x.i < y.i, computed inside one row."""
+    def inner(x):
+        ys = F.filter(b, lambda y: y["i"] > x["i"]) if same_block else b
+        return F.transform(ys, lambda y: F.struct(
+            x["i"].alias(f"{id_col}_i"), y["i"].alias(f"{id_col}_j"),
+            (F.round(cosine_distance(x["v"], y["v"]), places) + F.lit(0.0)).alias("distance")))
+    return F.flatten(F.transform(a, inner))
 
 
 def pairwise_distances(vectors: DataFrame, id_col: str = "id", vec_col: str = "vector",
-                       places: int = 6, max_vectors: int = MAX_MATRIX) -> DataFrame:
+                       places: int = 6, block: int = BLOCK) -> DataFrame:
     """Cosine distance for every unordered pair i < j.
 
-    The vectors are few by construction (topics, classes); the bound is
-    checked, then all of them go into one row and the pairs are built there.
+    The pair table is the feature itself (n * (n - 1) / 2 rows). Vectors are
+    ranked by id and packed ``block`` to a row; each block row meets its own
+    and every later block by an equi-join on generated partner block numbers,
+    and the pairs of two blocks are built inside that row. Few vectors
+    (topics, classes) make one block and one row; many vectors spread over
+    (n / block)^2 block pairs, with no cross join and no cap.
     """
-    n = vectors.limit(max_vectors + 1).count()
-    if n > max_vectors:
-        raise ValueError(f"{n} vectors: the pair table is meant for at most {max_vectors}")
-    packed = vectors.agg(F.array_sort(F.collect_list(
-        F.struct(F.col(id_col).alias("i"), F.col(vec_col).cast("array<double>").alias("v")))).alias("a"))
-    a = F.col("a")
-    pairs = F.flatten(F.transform(
-        F.sequence(F.lit(0), F.size(a) - 1),
-        lambda i: F.transform(
-            F.filter(F.sequence(F.lit(0), F.size(a) - 1), lambda j: j > i),
-            lambda j: F.struct(
-                a[i]["i"].alias(f"{id_col}_i"), a[j]["i"].alias(f"{id_col}_j"),
-                (F.round(cosine_distance(a[i]["v"], a[j]["v"]), places) + F.lit(0.0)).alias("distance")))))
-    return packed.filter(F.size(a) > 1).select(F.inline(pairs))
+    ranked = global_rank(vectors.select(F.col(id_col).alias("i"), F.col(vec_col).cast("array<double>").alias("v")),
+                         [F.col("i").asc()], "_r")
+    n = ranked.count()
+    if n < 2:
+        return vectors.sparkSession.createDataFrame(
+            [], f"{id_col}_i {vectors.schema[id_col].dataType.simpleString()}, "
+                f"{id_col}_j {vectors.schema[id_col].dataType.simpleString()}, distance double")
+    last = (n - 1) // block
+    blocks = (ranked.withColumn("b", (F.col("_r") / block).cast("long"))
+              .groupBy("b").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("a")))
+    left = blocks.select("b", "a", F.explode(F.sequence(F.col("b"), F.lit(last))).alias("pb"))
+    right = blocks.select(F.col("b").alias("pb"), F.col("a").alias("a2"))
+    joined = left.join(right, "pb")
+    pairs = F.when(F.col("b") == F.col("pb"), _pairs(F.col("a"), F.col("a"), True, id_col, places)) \
+        .otherwise(_pairs(F.col("a"), F.col("a2"), False, id_col, places))
+    return joined.select(F.inline(pairs))
 
 
 def class_mean_vectors(df: DataFrame, label: str = "label", vec_col: str = "embedding") -> DataFrame:

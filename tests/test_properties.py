@@ -81,3 +81,12 @@ def test_rfecv_small(spark):
     out = models.rfecv(labeled, segments.FEATURES, num_trees=5, max_depth=4).collect()
     assert len(out) == 8 and any(r["selected"] for r in out)
     assert "BALANCE" in {r["feature"] for r in out if r["selected"]}
+
+
+def test_pairwise_distances_blocked_equals_single_block(spark):
+    rnd = random.Random(3)
+    vecs = spark.createDataFrame([(i, [rnd.random() - 0.5 for _ in range(4)]) for i in range(37)],
+                                 "id int, vector array<double>")
+    one = sorted(map(tuple, topics.pairwise_distances(vecs).collect()))
+    many = sorted(map(tuple, topics.pairwise_distances(vecs, block=5).collect()))
+    assert len(one) == 37 * 36 // 2 and one == many
