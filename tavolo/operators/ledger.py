@@ -6,9 +6,10 @@ selling_price)`` with ``op`` in ``add | sale | reset``.
 
 * K1: names are ``lower(trim())``ed, numbers parsed exactly; events that
   can never be valid go to a quarantine with a reason.
-* K7: ``epoch`` = number of resets up to the event. The reset list is small
-  (checked), so a ``Bucketizer`` over the reset sequence numbers finds the
-  epoch by binary search inside each row: no join, no global window.
+* K7: ``epoch`` = number of resets up to the event. A short reset list
+  becomes ``Bucketizer`` split points: binary search inside each row, no
+  join, no global window. Past ``max_resets`` the epochs come from three
+  distributed ranks instead (exact, no bound).
 * K2/K3: acceptance depends on earlier *accepted* sales (N35), so the fold is
   sequential per (epoch, product). Events are hash-partitioned on that key
   and sorted by seq inside each partition; a ``mapInPandas`` step walks the
@@ -99,10 +100,33 @@ def reset_points(events: DataFrame, max_resets: int = MAX_RESETS) -> list[int]:
     return resets
 
 
-def with_epoch(events: DataFrame, resets: list[int] | None = None) -> DataFrame:
-    """``epoch`` = number of resets with seq <= the event's seq; works on
-    batch and streaming DataFrames alike."""
-    resets = reset_points(events) if resets is None else sorted(set(resets))
+def _epoch_by_rank(events: DataFrame) -> DataFrame:
+    """Exact epochs for any number of resets, from distributed ranks (seq is
+    unique): an add/sale has (its place among all events) - (its place among
+    the non-reset events) resets before it; the k-th reset (0-based) starts
+    epoch k + 1."""
+    is_reset = F.col("op") == "reset"
+    allr = global_rank(events, [F.col("seq").asc()], "_pa")
+    moves = global_rank(allr.filter(~is_reset), [F.col("seq").asc()], "_pe") \
+        .withColumn("epoch", F.col("_pa") - F.col("_pe")).drop("_pa", "_pe")
+    resets = global_rank(allr.filter(is_reset), [F.col("seq").asc()], "_pr") \
+        .withColumn("epoch", F.col("_pr") + 1).drop("_pa", "_pr")
+    return moves.unionByName(resets)
+
+
+def with_epoch(events: DataFrame, resets: list[int] | None = None,
+               max_resets: int = MAX_RESETS) -> DataFrame:
+    """``epoch`` = number of resets with seq <= the event's seq. A short reset
+    list (the normal case) becomes Bucketizer split points, which works on
+    batch and streaming DataFrames alike; a batch with more resets than
+    ``max_resets`` uses the exact rank-based form."""
+    if resets is None:
+        found = [r[0] for r in events.filter(F.col("op") == "reset").select("seq").distinct()
+                 .orderBy("seq").limit(max_resets + 1).collect()]
+        if len(found) > max_resets:
+            return _epoch_by_rank(events)
+        resets = found
+    resets = sorted(set(resets))
     if not resets:
         return events.withColumn("epoch", F.lit(0).cast("bigint"))
     splits = [float("-inf")] + [float(s) for s in resets] + [float("inf")]

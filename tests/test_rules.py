@@ -228,3 +228,11 @@ def test_j3_gazetteer_suffix_and_hook(spark):
     assert out[1] == ["acme inc", "big data", "data co", "big data"] and out[2] == []
     hook = text.organizations_by_model(docs, lambda s: [[w for w in t.split() if w == "acme"] for t in s])
     assert {r["doc_id"]: r["organizations"] for r in hook.collect()}[1] == ["acme"]
+
+
+def test_k7_epochs_by_rank_equal_bucketizer(spark):
+    ev = spark.createDataFrame([(1, "add"), (2, "reset"), (3, "sale"), (4, "reset"), (5, "reset"),
+                                (6, "add"), (7, "sale")], "seq long, op string")
+    a = sorted(tuple(r) for r in ledger.with_epoch(ev).select("seq", "epoch").collect())
+    b = sorted(tuple(r) for r in ledger.with_epoch(ev, max_resets=1).select("seq", "epoch").collect())
+    assert a == b == [(1, 0), (2, 1), (3, 1), (4, 2), (5, 3), (6, 3), (7, 3)]
