@@ -173,10 +173,15 @@ def segment_profile(df: DataFrame, group: str = "Cluster",
             else:
                 aggs.append(F.round(_STAT[s](F.col(col).cast("double")), places).alias(f"{col}_{s}"))
     out = df.groupBy(group).agg(*aggs)
-    for col in medians:
-        med = group_quantiles(df, [group], col, [0.5]).select(
-            group, F.round("q", places).alias(f"{col}_median"))
-        out = out.join(med, group, "left")
+    if medians:
+        # all median columns in one distributed rank: stack them as (group, column, value)
+        stacked = df.select(group, F.explode(F.array(*[
+            F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val")) for c in medians
+        ])).alias("_s")).select(group, "_s._col", "_s._val")
+        med = group_quantiles(stacked, [group, "_col"], "_val", [0.5])
+        wide = med.groupBy(group).agg(*[
+            F.round(F.max(F.when(F.col("_col") == c, F.col("q"))), places).alias(f"{c}_median") for c in medians])
+        out = out.join(wide, group, "left")
     names = [f"{c}_{s}" for c, stats in profile for s in stats]
     return out.select(group, *names)
 
