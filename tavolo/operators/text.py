@@ -97,11 +97,15 @@ def mean_vectors(clean: DataFrame, word_vectors: DataFrame, id_col: str = "doc_i
     vector. Words are counted per document first, so each distinct (doc, word)
     meets the dictionary once; vectors are summed by ``Summarizer`` without
     exploding their dimensions."""
-    dim = vector_dim(word_vectors)
+    # one small aggregate gives the vector length and the dictionary size
+    stats = word_vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
+    dim, n_words = int(stats["d"] or 0), int(stats["n"])
     counted = (clean.select(id_col, F.explode(words(clean, col)).alias("word"))
                .groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("cnt")))
     # broadcast only while the dictionary stays within about 20M numbers
-    wv = broadcast_if_small(word_vectors.select("word", "vector"), 20_000_000 // max(dim, 1))
+    wv = word_vectors.select("word", "vector")
+    if n_words * max(dim, 1) <= 20_000_000:
+        wv = F.broadcast(wv)
     known = counted.join(wv, "word").select(
         id_col, "cnt",
         array_to_vector(F.transform("vector", lambda x: x.cast("double") * F.col("cnt"))).alias("_v"))
