@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from tavolo.functions.text import pre_tokens, remove_digits, split_whitespace
 from tavolo.functions.vectors import round_array, zeros
 from tavolo.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
-from tavolo.operators.partitioning import spread
 
 INLINE_LEMMAS = 64          # lemma entries applied as a map literal
 INLINE_STOPWORDS = 100_000  # stopwords held in the remover's hash set
@@ -43,7 +42,6 @@ def clean_text(docs: DataFrame, lemmas: DataFrame, stopwords: DataFrame,
     """``docs`` (with ``doc_id``) minus ``text_col`` plus ``out_col``."""
     lemma_pairs = _small_list(lemmas, ["word", "lemma"], inline_lemmas)
     stop_words = _small_list(stopwords, ["word"], INLINE_STOPWORDS)
-    docs = spread(docs)
     if lemma_pairs is not None and stop_words is not None:
         return _clean_inline(docs, lemma_pairs, [w for (w,) in stop_words], text_col, out_col)
     return _clean_by_join(docs, lemmas, stopwords, text_col, out_col)

@@ -20,21 +20,39 @@ DRIVER_TABLES = (
 
 
 class Tables:
-    """Lazy access to the parquet tables of one folder: ``Tables(spark, d).lineitem``."""
+    """Lazy access to the parquet tables of one folder: ``Tables(spark, d).lineitem``.
 
-    def __init__(self, spark: SparkSession, base_dir: str):
+    With ``spread=True`` (default) a table whose scan has fewer splits than
+    the default parallelism (one small file, one row group) is round-robined
+    to that many partitions, so the narrow CPU work after it (parsing, text
+    cleaning) is not one task. A large table has many splits and is read as
+    is. The check looks at the bare scan, so it never executes anything.
+    """
+
+    def __init__(self, spark: SparkSession, base_dir: str, spread: bool = True):
         self.spark = spark
         self.base_dir = base_dir.rstrip("/")
+        self.spread = spread
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.base_dir}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.base_dir}/{name}.parquet")
+            self._cache[name] = spread_scan(df) if self.spread else df
         return self._cache[name]
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Round-robin a bare scan that has fewer splits than the default
+    parallelism; any other scan is returned unchanged (no shuffle)."""
+    target = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= target:
+        return scan
+    return scan.repartition(target)
+
+
 # ---------------------------------------------------------------- CSV sources (A1)
 
 # fixed values: the tokens a pandas CSV reader turns into null by default
