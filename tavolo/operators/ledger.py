@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -159,36 +160,151 @@ def step(state: dict | None, op: str, qty: int, pp: int | None, sp: int | None,
     return state, False, INSUFFICIENT_STOCK, None, None
 
 
+# runs of one key at least this long take the vectorized path
+VECTOR_MIN = 64
+# events per cumulative-sum window of the vectorized path (bounds the cost of a restart)
+VECTOR_WINDOW = 8192
+
+
+def _scalar_run(state, is_add, qty, pp, sp, seq, out, lo, hi):
+    """The plain step loop over positions lo..hi-1 of one key's run."""
+    for i in range(lo, hi):
+        p = None if out["_pp_null"][i] else int(pp[i])
+        q = None if out["_sp_null"][i] else int(sp[i])
+        state, ok, reason, upp, usp = step(state, "add" if is_add[i] else "sale", int(qty[i]), p, q, int(seq[i]))
+        _record(out, i, state, ok, reason, upp, usp)
+    return state
+
+
+def _record(out, i, state, ok, reason, upp, usp):
+    out["accepted"][i] = ok
+    out["reason"][i] = reason
+    if upp is not None:
+        out["pp_c"][i], out["_upp_ok"][i] = upp, True
+        out["sp_c"][i], out["_usp_ok"][i] = usp, True
+    if state is not None:
+        out["stock_c"][i] = state["stock"]
+        out["spp_c"][i], out["ssp_c"][i], out["first_seq"][i] = state["pp"], state["sp"], state["first_seq"]
+        out["_state_ok"][i] = True
+
+
+def fold_run(state, is_add, qty, pp, sp, seq, pp_null, sp_null,
+             vector_min: int = VECTOR_MIN, window: int = VECTOR_WINDOW):
+    """Decisions for one key's events in seq order; exact same results as
+    applying ``step`` event by event.
+
+    Long runs use a vectorized path: while the product is known, stock after
+    each event is ``stock + cumsum(+add / -sale)`` as long as every sale is
+    covered; the first sale that is not covered is refused, and the sum
+    restarts after it (within a bounded window). Short runs, and stretches
+    where refusals come thick and fast, use the scalar loop.
+    """
+    n = len(qty)
+    out = {
+        "accepted": np.zeros(n, dtype=bool), "reason": np.full(n, None, dtype=object),
+        "pp_c": np.zeros(n, dtype=np.int64), "sp_c": np.zeros(n, dtype=np.int64),
+        "_upp_ok": np.zeros(n, dtype=bool), "_usp_ok": np.zeros(n, dtype=bool),
+        "stock_c": np.zeros(n, dtype=np.int64), "spp_c": np.zeros(n, dtype=np.int64),
+        "ssp_c": np.zeros(n, dtype=np.int64), "first_seq": np.zeros(n, dtype=np.int64),
+        "_state_ok": np.zeros(n, dtype=bool), "_pp_null": pp_null, "_sp_null": sp_null,
+    }
+    if n < vector_min:
+        return _scalar_run(state, is_add, qty, pp, sp, seq, out, 0, n), out
+    valid_add = is_add & ~pp_null & ~sp_null
+    i = 0
+    while i < n:
+        if state is None:
+            rest = np.flatnonzero(valid_add[i:])
+            j = i + int(rest[0]) if len(rest) else n
+            out["reason"][i:j] = np.where(is_add[i:j], INVALID_PRICE, UNKNOWN_PRODUCT)
+            if j == n:
+                break
+            state = {"stock": int(qty[j]), "pp": int(pp[j]), "sp": int(sp[j]), "first_seq": int(seq[j])}
+            _record(out, j, state, True, None, state["pp"], state["sp"])
+            i = j + 1
+            continue
+        hi = min(n, i + window)
+        d = np.where(is_add[i:hi], qty[i:hi], -qty[i:hi])
+        after = state["stock"] + np.cumsum(d)
+        before = after - d
+        bad = np.flatnonzero(~is_add[i:hi] & (before < qty[i:hi]))
+        k = int(bad[0]) if len(bad) else hi - i
+        seg = slice(i, i + k)
+        out["accepted"][seg] = True
+        out["stock_c"][seg] = after[:k]
+        out["pp_c"][seg], out["sp_c"][seg] = state["pp"], state["sp"]
+        out["_upp_ok"][seg] = out["_usp_ok"][seg] = True
+        if len(bad) == 0:
+            state["stock"] = int(after[-1])
+            lo = i + k
+        else:
+            state["stock"] = int(before[k])
+            out["reason"][i + k] = INSUFFICIENT_STOCK
+            lo = i + k + 1
+        last = lo
+        out["spp_c"][i:last], out["ssp_c"][i:last] = state["pp"], state["sp"]
+        out["first_seq"][i:last], out["_state_ok"][i:last] = state["first_seq"], True
+        out["stock_c"][i + k:last] = state["stock"]
+        i = last
+        if len(bad) and k < 8:
+            # refusals close together: a scalar stretch is cheaper than restarts
+            hi2 = min(n, i + 64)
+            state = _scalar_run(state, is_add, qty, pp, sp, seq, out, i, hi2)
+            i = hi2
+    return state, out
+
+
+def _nullable(values, ok):
+    return pd.arrays.IntegerArray(values.astype(np.int64), ~ok)
+
+
+def fold_frame(pdf: pd.DataFrame, key=None, state=None):
+    """Decisions for a pandas frame of events sorted by (epoch, product, seq);
+    ``key``/``state`` carry the last key's state in from an earlier frame.
+    Returns (key, state, decision frame)."""
+    epoch = pdf["epoch"].to_numpy()
+    product = pdf["product"].to_numpy(dtype=object)
+    change = np.ones(len(pdf), dtype=bool)
+    change[1:] = (epoch[1:] != epoch[:-1]) | (product[1:] != product[:-1])
+    starts = np.flatnonzero(change).tolist() + [len(pdf)]
+    is_add = (pdf["op"] == "add").to_numpy()
+    qty = pdf["qty_c"].to_numpy(dtype=np.int64)
+    pp_null = pdf["pp_c"].isna().to_numpy()
+    sp_null = pdf["sp_c"].isna().to_numpy()
+    pp = pdf["pp_c"].fillna(0).to_numpy(dtype=np.int64)
+    sp = pdf["sp_c"].fillna(0).to_numpy(dtype=np.int64)
+    seq = pdf["seq"].to_numpy(dtype=np.int64)
+    parts = []
+    for a, b in zip(starts[:-1], starts[1:]):
+        k = (epoch[a], product[a])
+        if k != key:
+            key, state = k, None
+        state, o = fold_run(state, is_add[a:b], qty[a:b], pp[a:b], sp[a:b], seq[a:b],
+                            pp_null[a:b], sp_null[a:b])
+        parts.append(o)
+    cat = {c: np.concatenate([o[c] for o in parts]) for c in parts[0]}
+    frame = pd.DataFrame({
+        "seq": seq, "epoch": epoch, "op": pdf["op"].to_numpy(dtype=object),
+        "basket_id": pd.array(pdf["basket_id"], dtype="Int64"),
+        "product": product, "qty_c": qty, "accepted": cat["accepted"], "reason": cat["reason"],
+        "pp_c": _nullable(cat["pp_c"], cat["_upp_ok"]), "sp_c": _nullable(cat["sp_c"], cat["_usp_ok"]),
+        "stock_c": np.where(cat["_state_ok"], cat["stock_c"], 0),
+        "spp_c": _nullable(cat["spp_c"], cat["_state_ok"]), "ssp_c": _nullable(cat["ssp_c"], cat["_state_ok"]),
+        "first_seq": _nullable(cat["first_seq"], cat["_state_ok"]),
+    })
+    return key, state, frame
+
+
 def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One sorted partition, batch by batch; only the current key's state
+    crosses a batch boundary."""
     key = None
     state = None
     for pdf in batches:
-        out = {c: [] for c in DECISION_SCHEMA.fieldNames()}
-        cols = [pdf[c].tolist() for c in ("seq", "epoch", "op", "basket_id", "product",
-                                          "qty_c", "pp_c", "sp_c")]
-        for seq, epoch, op, basket, product, qty, pp, sp in zip(*cols):
-            k = (epoch, product)
-            if k != key:
-                key, state = k, None
-            pp = None if pp is None or pp != pp else int(pp)
-            sp = None if sp is None or sp != sp else int(sp)
-            state, ok, reason, upp, usp = step(state, op, int(qty), pp, sp, seq)
-            out["seq"].append(seq)
-            out["epoch"].append(epoch)
-            out["op"].append(op)
-            out["basket_id"].append(basket)
-            out["product"].append(product)
-            out["qty_c"].append(int(qty))
-            out["accepted"].append(ok)
-            out["reason"].append(reason)
-            out["pp_c"].append(upp)
-            out["sp_c"].append(usp)
-            out["stock_c"].append(state["stock"] if state else 0)
-            out["spp_c"].append(state["pp"] if state else None)
-            out["ssp_c"].append(state["sp"] if state else None)
-            out["first_seq"].append(state["first_seq"] if state else None)
-        yield pd.DataFrame(out).astype({"pp_c": "Int64", "sp_c": "Int64", "spp_c": "Int64",
-                                        "ssp_c": "Int64", "first_seq": "Int64"})
+        if pdf.empty:
+            continue
+        key, state, frame = fold_frame(pdf, key, state)
+        yield frame
 
 
 def _cents(c: Column) -> Column:

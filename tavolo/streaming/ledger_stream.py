@@ -4,8 +4,8 @@ Events arrive as files (``maxFilesPerTrigger`` bounds a micro-batch). Each
 event gets its epoch from the reset list (small control data, registered
 before the events of a new epoch arrive; a Bucketizer as in the batch job),
 then
-``groupBy(epoch, product).applyInPandasWithState`` applies the same ``step``
-as the batch fold, with (known, stock, prices, first_seq) as state. A
+``groupBy(epoch, product).applyInPandasWithState`` applies the batch job's
+fold (``fold_frame``), with (known, stock, prices, first_seq) as state. A
 group's rows inside one micro-batch are sorted by seq; order across
 micro-batches is the file order, so a product's events must not arrive in a
 later file than a higher seq of the same product. Output: decision rows,
@@ -22,44 +22,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tavolo.operators.ledger import DECISION_SCHEMA, normalize, step, with_epoch
+from tavolo.operators.ledger import DECISION_SCHEMA, fold_frame, normalize, with_epoch
 from tavolo.sources.fixtures import SHOP_EVENT_SCHEMA
 
 STATE_SCHEMA = "known boolean, stock long, pp long, sp long, first_seq long"
 
 
 def _apply(key, pdfs: Iterator[pd.DataFrame], gstate) -> Iterator[pd.DataFrame]:
+    """One (epoch, product) group of one micro-batch: resume its state, fold
+    the rows in seq order with the batch job's fold, store the state."""
     rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
+    state = None
     if gstate.exists:
         known, stock, pp, sp, first_seq = gstate.get
-        state = {"stock": stock, "pp": pp, "sp": sp, "first_seq": first_seq} if known else None
-    else:
-        state = None
-    out = {c: [] for c in DECISION_SCHEMA.fieldNames()}
-    for r in rows.itertuples(index=False):
-        rpp = None if pd.isna(r.pp_c) else int(r.pp_c)
-        rsp = None if pd.isna(r.sp_c) else int(r.sp_c)
-        state, ok, reason, upp, usp = step(state, r.op, int(r.qty_c), rpp, rsp, int(r.seq))
-        out["seq"].append(int(r.seq))
-        out["epoch"].append(int(r.epoch))
-        out["op"].append(r.op)
-        out["basket_id"].append(None if pd.isna(r.basket_id) else int(r.basket_id))
-        out["product"].append(r.product)
-        out["qty_c"].append(int(r.qty_c))
-        out["accepted"].append(ok)
-        out["reason"].append(reason)
-        out["pp_c"].append(upp)
-        out["sp_c"].append(usp)
-        out["stock_c"].append(state["stock"] if state else 0)
-        out["spp_c"].append(state["pp"] if state else None)
-        out["ssp_c"].append(state["sp"] if state else None)
-        out["first_seq"].append(state["first_seq"] if state else None)
+        if known:
+            state = {"stock": int(stock), "pp": int(pp), "sp": int(sp), "first_seq": int(first_seq)}
+    k = (rows["epoch"].iloc[0], rows["product"].iloc[0])
+    _, state, frame = fold_frame(rows, k, state)
     if state is None:
         gstate.update((False, 0, None, None, None))
     else:
         gstate.update((True, state["stock"], state["pp"], state["sp"], state["first_seq"]))
-    yield pd.DataFrame(out).astype({"pp_c": "Int64", "sp_c": "Int64", "spp_c": "Int64",
-                                    "ssp_c": "Int64", "first_seq": "Int64", "basket_id": "Int64"})
+    yield frame
 
 
 def ledger_decisions_stream(events: DataFrame, resets: Sequence[int]) -> DataFrame:
