@@ -39,6 +39,11 @@ HEADLINE = [
     "ledger_stock",
     "card_segments",
     "spam_topics",
+    "incidents_before_by_year",
+    "catalog_text",
+    "ledger_stream",
+    "forest_report",
+    "spam_classifier_report",
 ]
 
 

@@ -90,3 +90,14 @@ def test_pairwise_distances_blocked_equals_single_block(spark):
     one = sorted(map(tuple, topics.pairwise_distances(vecs).collect()))
     many = sorted(map(tuple, topics.pairwise_distances(vecs, block=5).collect()))
     assert len(one) == 37 * 36 // 2 and one == many
+
+
+def test_broadcast_check_falls_back(spark):
+    from tavolo.operators.joins import broadcast_if_small
+    small = spark.range(10)
+    big = spark.range(1000)
+    a = small.join(broadcast_if_small(small, 100), "id")
+    b = big.join(broadcast_if_small(big, 100), "id")
+    assert "broadcast" in a._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in b._jdf.queryExecution().logical().toString().lower()
+    assert a.count() == 10 and b.count() == 1000
