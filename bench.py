@@ -42,7 +42,6 @@ HEADLINE = [
     "incidents_before_by_year",
     "catalog_text",
     "ledger_stream",
-    "forest_report",
     "spam_classifier_report",
 ]
 

@@ -104,12 +104,19 @@ def era(date_col: Column, cutoff: _dt.date = CUTOFF) -> Column:
 def yearly_counts_in_era(clean: DataFrame, which: str, cutoff: _dt.date = CUTOFF,
                          min_year: int | None = None) -> DataFrame:
     """Q6: incidents per calendar year of the date, in one era, newest first
-    (B6, H7, D5, B7, F6); ``min_year`` is the HAVING-like filter on the key."""
-    rows = clean.filter(era(F.col("date"), cutoff) == which)
-    out = (rows.withColumn("year", F.year("date"))
-           .groupBy("year").agg(F.count("date").alias("count_of_incident")))
+    (B6, H7, D5, B7, F6); ``min_year`` is the HAVING-like filter on the key.
+
+    The era and year conditions are counted inside the aggregate, and only
+    the counts are filtered (> 0, the years a row filter would keep). A row
+    filter on them would be pushed below the projection that parses the date
+    and repeat the parse once per predicate.
+    """
+    year = F.year("date")
+    cond = era(F.col("date"), cutoff) == which
     if min_year is not None:
-        out = out.filter(F.col("year") > min_year)
+        cond = cond & (year > min_year)
+    out = (clean.groupBy(year.alias("year")).agg(F.count_if(cond).alias("count_of_incident"))
+           .filter(F.col("count_of_incident") > 0))
     return out.orderBy(F.col("year").desc())
 
 
@@ -118,15 +125,20 @@ def mean_incidents_by_era(clean: DataFrame, cutoff: _dt.date = CUTOFF,
                           countries: DataFrame | None = None) -> DataFrame:
     """Mean yearly incidents before and after the cutoff, leaving out
     partial years; ``countries`` (one column ``country``) restricts rows by a
-    left-semi join, which Catalyst plans as a broadcast when it is small."""
+    left-semi join, which Catalyst plans as a broadcast when it is small.
+    Conditions are counted per year (see ``yearly_counts_in_era``); years
+    without an incident in an era do not count towards its mean."""
     rows = clean
     if countries is not None:
         rows = rows.join(countries, "country", "left_semi")
-    yearly = (rows.withColumn("era", era(F.col("date"), cutoff))
-              .filter(F.col("era").isNotNull())
-              .withColumn("year", F.year("date"))
-              .filter(~F.col("year").isin(list(exclude_years)))
-              .groupBy("era", "year").agg(F.count("date").alias("n")))
+    year = F.year("date")
+    e = era(F.col("date"), cutoff)
+    kept = ~year.isin(list(exclude_years))
+    per_year = rows.groupBy(year.alias("year")).agg(
+        F.count_if((e == "before") & kept).alias("before"),
+        F.count_if((e == "after") & kept).alias("after"))
+    yearly = (per_year.unpivot("year", ["before", "after"], "era", "n")
+              .filter(F.col("n") > 0))
     return yearly.groupBy("era").agg(
         F.count(F.lit(1)).alias("years"),
         F.sum("n").alias("incidents"),
