@@ -144,3 +144,32 @@ def mean_incidents_by_era(clean: DataFrame, cutoff: _dt.date = CUTOFF,
         F.sum("n").alias("incidents"),
         F.round(F.avg("n"), 6).alias("mean_incidents"),
     )
+
+
+def incident_reports(raw: DataFrame, countries: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every accident table of Q3-Q6 and G1/G2 from one cleaning pass.
+
+    The cleaned frame feeds all the rankings, so it is persisted once
+    (memory, spilling to disk) and every report reads it; an executor loss
+    only recomputes the lost blocks from the scan. Call ``unpersist`` on
+    ``reports["clean"]`` when done.
+    """
+    from pyspark import StorageLevel
+
+    clean = clean_incidents(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    out = {
+        "clean": clean,
+        "per_year": incidents_per_year(clean),
+        "by_country_top11": top_countries(clean),
+        "by_weekday": incidents_by_weekday(clean),
+        "operators_fewest": fewest_incidents(clean, "operator", 10),
+        "fatalities_by_operator_top10": fatalities_by(clean, "operator", 10),
+        "fatalities_by_type": fatalities_by(clean, "type", None),
+        "fatalities_by_category_top10": fatalities_by(clean, "cat", 10),
+        "after_by_year": yearly_counts_in_era(clean, "after"),
+        "before_by_year": yearly_counts_in_era(clean, "before", min_year=1946),
+        "mean_by_era": mean_incidents_by_era(clean),
+    }
+    if countries is not None:
+        out["mean_by_era_country"] = mean_incidents_by_era(clean, countries=countries)
+    return out

@@ -101,3 +101,35 @@ def test_broadcast_check_falls_back(spark):
     assert "broadcast" in a._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in b._jdf.queryExecution().logical().toString().lower()
     assert a.count() == 10 and b.count() == 1000
+
+
+def test_incident_reports_share_one_clean(spark):
+    from tavolo.operators.incidents import incident_reports
+    from tavolo.sources import fixtures as fx
+    t = Tables(spark, SF)
+    reps = incident_reports(fx.incidents_raw(t), fx.america_countries(t))
+    single = QUERIES["fatalities_by_type"](spark, SF)
+    assert sorted(map(tuple, reps["fatalities_by_type"].collect())) == sorted(map(tuple, single.collect()))
+    assert len(reps["by_country_top11"].collect()) <= 11
+    reps["clean"].unpersist()
+
+
+def test_sinks(spark, tmp_path):
+    import pytest
+    from pyspark.sql.utils import AnalysisException
+    from tavolo.operators import ledger
+    from tavolo.sources.tables import save_table_once, write_text_lines
+    from tavolo.sources import fixtures as fx
+    lines = ledger.catalog_lines(ledger.stock(ledger.decisions(fx.shop_events(Tables(spark, SF)))))
+    out = str(tmp_path / "catalog")
+    write_text_lines(lines, out)
+    text = spark.read.text(out).collect()
+    expected = [r["line"] for r in lines.orderBy("line_no").collect()]
+    got = sorted(r[0] for r in text)
+    assert got == sorted(expected) and expected[0].startswith("Product")
+    name = f"tavolo_once_{tmp_path.name.replace('-', '_')}"
+    df = spark.range(3)
+    save_table_once(df, name)
+    with pytest.raises(AnalysisException):
+        save_table_once(df, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
