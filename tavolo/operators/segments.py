@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -138,7 +139,12 @@ def segments(scaled: DataFrame, features: Sequence[str] = FEATURES, k: int = 7,
              id_col: str = "CUST_ID") -> DataFrame:
     """K-means on the principal scores (I3, I5): (id, pc1.., Cluster).
     Cluster ids are renumbered by centre order (arbitrary in any engine)."""
-    scores = pca_scores(scaled, features, n_components, id_col).cache()
+    # the feature table is read by the PCA fit and by its transform: persist it
+    # for those two passes (memory, spilling to disk), then keep only the scores
+    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
+    scores = pca_scores(scaled, features, n_components, id_col).persist(StorageLevel.MEMORY_AND_DISK)
+    scores.count()
+    scaled.unpersist()
     pcs = [f"pc{j + 1}" for j in range(n_components)]
     model = kmeans_fit(scores, pcs, k, seed, max_iter)
     centres = [tuple(float(x) for x in c) for c in model.clusterCenters()]
