@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tavolo.operators.evaluate import classification_report
+from tavolo.operators.evaluate import balanced_accuracy
 from tavolo.operators.ranking import global_rank
 
 
@@ -104,11 +104,6 @@ def importance_table(model, features: Sequence[str], spark) -> DataFrame:
         .orderBy("importance", "feature")
 
 
-def _balanced_accuracy(pred: DataFrame) -> float:
-    rep = classification_report(pred, "label", "prediction", places=12)
-    return float(rep.filter(F.col("label") == "balanced accuracy").first()["recall"])
-
-
 def rfecv(train: DataFrame, features: Sequence[str], label: str = "Cluster", id_col: str = "CUST_ID",
           folds: int = 5, num_trees: int = 100, max_depth: int = 30, seed: int = 0) -> DataFrame:
     """Recursive feature elimination with stratified k-fold cross-validation,
@@ -124,7 +119,7 @@ def rfecv(train: DataFrame, features: Sequence[str], label: str = "Cluster", id_
         cur, out = list(features), {}
         while cur:
             model = fit_forest(tr, cur, label, num_trees, max_depth, seed)
-            out[len(cur)] = _balanced_accuracy(forest_predict(model, te, cur, label))
+            out[len(cur)] = balanced_accuracy(forest_predict(model, te, cur, label))
             if len(cur) == 1:
                 break
             cur.remove(min(importances(model, cur), key=lambda t: (t[1], t[0]))[0])

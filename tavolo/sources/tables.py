@@ -91,6 +91,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     mapped to null by one projection right after the scan.
     """
     tokens = PANDAS_NULL_TOKENS if null_tokens is None else null_tokens
+    # the header gives the column order; each column takes its declared type by
+    # name (a CSV schema is otherwise applied by position), unknown columns stay text
+    header = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+              .csv(path).columns)
+    declared = {f.name: f for f in schema.fields}
+    schema = T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in header])
     df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
           .option("escape", '"').option("nullValue", "").csv(path))
     string_cols = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
@@ -113,7 +119,9 @@ def read_emails_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_cards_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, CARD_SCHEMA)
+    df = read_csv(spark, path, CARD_SCHEMA)
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in CARD_SCHEMA.fields])
 
 
 def read_word_vectors_text(spark: SparkSession, path: str) -> DataFrame:

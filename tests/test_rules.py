@@ -236,3 +236,19 @@ def test_k7_epochs_by_rank_equal_bucketizer(spark):
     a = sorted(tuple(r) for r in ledger.with_epoch(ev).select("seq", "epoch").collect())
     b = sorted(tuple(r) for r in ledger.with_epoch(ev, max_resets=1).select("seq", "epoch").collect())
     assert a == b == [(1, 0), (2, 1), (3, 1), (4, 2), (5, 3), (6, 3), (7, 3)]
+
+
+def test_readers(spark, tmp_path):
+    from tavolo.sources.tables import (default_stopwords, read_cards_csv, read_emails_csv,
+                                       read_word_vectors_text)
+    (tmp_path / "e.csv").write_text('text,label\n"Hello, ""world""\nline two",ham\nbuy now,spam\n')
+    e = read_emails_csv(spark, str(tmp_path / "e.csv")).orderBy("label").collect()
+    assert [r["label"] for r in e] == ["ham", "spam"] and e[0]["text"] == 'Hello, "world"\nline two'
+    (tmp_path / "c.csv").write_text("CUST_ID,BALANCE,TENURE\nC1,10.5,12\nC2,NA,\n")
+    c = read_cards_csv(spark, str(tmp_path / "c.csv")).orderBy("CUST_ID").collect()
+    assert c[0]["BALANCE"] == 10.5 and c[0]["TENURE"] == 12.0
+    assert c[1]["BALANCE"] is None and c[1]["TENURE"] is None and c[0]["PURCHASES"] is None
+    (tmp_path / "g.txt").write_text("the 0.5 -1.0\ncat 1 2\n")
+    g = {r["word"]: r["vector"] for r in read_word_vectors_text(spark, str(tmp_path / "g.txt")).collect()}
+    assert g == {"the": [0.5, -1.0], "cat": [1.0, 2.0]}
+    assert default_stopwords(spark).filter(F.col("word") == "the").count() == 1
