@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from tavolo.functions.parse import parse_decimal
 from tavolo.functions.text import left_pad, normalize_name
-from tavolo.operators.ranking import global_rank
+from tavolo.operators.ranking import global_cumsum, global_rank
 
 # fixed values: decision reasons
 UNKNOWN_PRODUCT = "unknown product"
@@ -274,11 +274,17 @@ def fold_frame(pdf: pd.DataFrame, key=None, state=None):
     pp = pdf["pp_c"].fillna(0).to_numpy(dtype=np.int64)
     sp = pdf["sp_c"].fillna(0).to_numpy(dtype=np.int64)
     seq = pdf["seq"].to_numpy(dtype=np.int64)
+    init = None
+    if "init_stock" in pdf.columns:
+        init = [pdf[c].to_numpy() for c in ("init_stock", "init_pp", "init_sp", "init_first")]
     parts = []
     for a, b in zip(starts[:-1], starts[1:]):
         k = (epoch[a], product[a])
         if k != key:
             key, state = k, None
+            if init is not None and not pd.isna(init[0][a]):
+                state = {"stock": int(init[0][a]), "pp": int(init[1][a]), "sp": int(init[2][a]),
+                         "first_seq": int(init[3][a])}
         state, o = fold_run(state, is_add[a:b], qty[a:b], pp[a:b], sp[a:b], seq[a:b],
                             pp_null[a:b], sp_null[a:b])
         parts.append(o)
@@ -315,16 +321,77 @@ def _from_cents(c: str) -> Column:
     return (F.col(c).cast(AMOUNT) / F.lit(100)).cast(AMOUNT)
 
 
-def decisions(events: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Every valid add/sale with its outcome, in amounts (K2, K3)."""
+KEYS = ["epoch", "product"]
+# a key with more events than this takes the split path (``_fold_hot``)
+HOT_EVENTS = 5_000_000
+MAX_HOT_KEYS = 100_000
+
+
+def _fold(moves: DataFrame, parts: int) -> DataFrame:
+    """Sequential fold: hash-partition on the key, sort by seq, walk."""
+    keyed = moves.repartition(parts, *KEYS).sortWithinPartitions(*KEYS, "seq")
+    return keyed.mapInPandas(_fold_partition, DECISION_SCHEMA)
+
+
+def _fold_hot(moves: DataFrame, parts: int) -> DataFrame:
+    """Exact decisions for hot keys, split over many tasks up to each key's
+    first refused sale.
+
+    * Before the key's first valid add nothing can be accepted.
+    * From it on, the stock assuming every sale is accepted is a running
+      sum, computed by ``global_cumsum`` (range-partitioned, so the key spans
+      many tasks). Every event before the first sale that this stock does
+      not cover is decided right there, with no sequential step.
+    * Only the tail from that sale on is folded in order, starting from the
+      exact stock.
+    """
+    first = (moves.filter((F.col("op") == "add") & F.col("pp_c").isNotNull() & F.col("sp_c").isNotNull())
+             .groupBy(*KEYS).agg(F.min_by(F.struct("seq", "pp_c", "sp_c"), F.col("seq")).alias("_f")))
+    m = moves.join(first, KEYS, "left")
+    none_l = F.lit(None).cast("bigint")
+    pre = m.filter(F.col("_f").isNull() | (F.col("seq") < F.col("_f.seq"))).select(
+        "seq", "epoch", "op", "basket_id", "product", "qty_c", F.lit(False).alias("accepted"),
+        F.when(F.col("op") == "add", F.lit(INVALID_PRICE)).otherwise(F.lit(UNKNOWN_PRODUCT)).alias("reason"),
+        none_l.alias("pp_c"), none_l.alias("sp_c"), F.lit(0).cast("bigint").alias("stock_c"),
+        none_l.alias("spp_c"), none_l.alias("ssp_c"), none_l.alias("first_seq"))
+    known = (m.filter(F.col("seq") >= F.col("_f.seq"))
+             .withColumn("_d", F.when(F.col("op") == "add", F.col("qty_c")).otherwise(-F.col("qty_c"))))
+    run = global_cumsum(known, KEYS, "seq", "_d", "_after", parts) \
+        .withColumn("_before", F.col("_after") - F.col("_d"))
+    stop = (run.filter((F.col("op") == "sale") & (F.col("_before") < F.col("qty_c")))
+            .groupBy(*KEYS).agg(F.min_by(F.struct("seq", "_before"), F.col("seq")).alias("_t")))
+    r = run.join(stop, KEYS, "left")
+    head = r.filter(F.col("_t").isNull() | (F.col("seq") < F.col("_t.seq"))).select(
+        "seq", "epoch", "op", "basket_id", "product", "qty_c", F.lit(True).alias("accepted"),
+        F.lit(None).cast("string").alias("reason"), F.col("_f.pp_c").alias("pp_c"), F.col("_f.sp_c").alias("sp_c"),
+        F.col("_after").alias("stock_c"), F.col("_f.pp_c").alias("spp_c"), F.col("_f.sp_c").alias("ssp_c"),
+        F.col("_f.seq").alias("first_seq"))
+    tail = r.filter(F.col("seq") >= F.col("_t.seq")).select(
+        "seq", "epoch", "op", "basket_id", "product", "qty_c", "pp_c", "sp_c",
+        F.col("_t._before").alias("init_stock"), F.col("_f.pp_c").alias("init_pp"),
+        F.col("_f.sp_c").alias("init_sp"), F.col("_f.seq").alias("init_first"))
+    return pre.unionByName(head).unionByName(_fold(tail, parts))
+
+
+def decisions(events: DataFrame, num_partitions: int | None = None,
+              hot_events: int = HOT_EVENTS) -> DataFrame:
+    """Every valid add/sale with its outcome, in amounts (K2, K3). Keys with
+    more than ``hot_events`` events take the split path (``_fold_hot``)."""
     n = normalize(events)
     live = with_epoch(n.filter(F.col("problem").isNull()))
     moves = live.filter(F.col("op").isin("add", "sale")).select(
         "seq", "epoch", "op", "basket_id", "product", _cents(F.col("quantity")).alias("qty_c"),
         _cents(F.col("purchase_price")).alias("pp_c"), _cents(F.col("selling_price")).alias("sp_c"))
     parts = num_partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = moves.repartition(parts, "epoch", "product").sortWithinPartitions("epoch", "product", "seq")
-    folded = keyed.mapInPandas(_fold_partition, DECISION_SCHEMA)
+    hot = (moves.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_events)
+           .select(*KEYS).limit(MAX_HOT_KEYS).collect())
+    if not hot:
+        folded = _fold(moves, parts)
+    else:
+        hot_df = F.broadcast(events.sparkSession.createDataFrame(
+            [tuple(h) for h in hot], moves.select(*KEYS).schema))
+        folded = (_fold(moves.join(hot_df, KEYS, "left_anti"), parts)
+                  .unionByName(_fold_hot(moves.join(hot_df, KEYS, "left_semi"), parts)))
     return folded.select(
         "seq", "epoch", "op", "basket_id", "product", _from_cents("qty_c").alias("quantity"),
         "accepted", "reason", _from_cents("pp_c").alias("purchase_price"),

@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tavolo.session import ensure_checkpoint_dir
 
@@ -72,3 +73,49 @@ def group_quantiles(df: DataFrame, groups: Sequence[str], value: str,
         F.max("_v").alias("_xhi"))
     return agg.select(*groups, "p",
                       (F.col("_xlo") + (F.col("_h") - F.col("_lo")) * (F.col("_xhi") - F.col("_xlo"))).alias("q"))
+
+
+def global_cumsum(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str = "cumsum",
+                  num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``name`` = running sum of ``value`` per key in ``order``
+    (inclusive), without putting a key into one task.
+
+    Rows are range-partitioned on (keys, order), so a hot key spans many
+    partitions. Inside a partition a ``mapInPandas`` step keeps the running
+    sum per key (batch to batch); each (partition, key) total then yields the
+    carry from the key's earlier partitions (a window over one row per
+    partition and key). The sorted data is checkpointed first, so both passes
+    see the same partitions.
+    """
+    import pandas as pd
+
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [*keys, order]
+    placed = (df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+              .withColumn("_part", F.spark_partition_id().cast("bigint"))
+              .checkpoint(eager=True))
+    schema = T.StructType(list(placed.schema.fields) + [T.StructField("_local", T.LongType())])
+
+    def local(batches):
+        last_key, carry = None, 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            kdf = pdf[list(keys)]
+            grp = (kdf != kdf.shift()).any(axis=1).cumsum()
+            run = pdf[value].astype("int64").groupby(grp).cumsum()
+            first = tuple(kdf.iloc[0])
+            if last_key == first:
+                run = run + (grp == grp.iloc[0]) * carry
+            last_key, carry = tuple(kdf.iloc[-1]), int(run.iloc[-1])
+            yield pdf.assign(_local=run.to_numpy())
+
+    with_local = placed.mapInPandas(local, schema)
+    totals = placed.groupBy("_part", *keys).agg(F.sum(value).alias("_tot"))
+    w = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carries = totals.select("_part", *keys, F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_carry"))
+    return (with_local.join(carries, ["_part", *keys])
+            .withColumn(name, F.col("_carry") + F.col("_local"))
+            .drop("_part", "_local", "_carry"))

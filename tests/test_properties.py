@@ -133,3 +133,14 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(AnalysisException):
         save_table_once(df, name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_global_cumsum_matches_window(spark):
+    rnd = random.Random(5)
+    rows = [("hot", i, rnd.randint(-5, 9)) for i in range(4000)] + \
+           [(f"k{i % 40}", i, rnd.randint(-5, 9)) for i in range(800)]
+    df = spark.createDataFrame(rows, "k string, s long, v long")
+    got = ranking.global_cumsum(df, ["k"], "s", "v", "c").select("k", "s", "c").collect()
+    w = Window.partitionBy("k").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("k", "s", F.sum("v").over(w).alias("c")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, exp))

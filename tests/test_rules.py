@@ -252,3 +252,18 @@ def test_readers(spark, tmp_path):
     g = {r["word"]: r["vector"] for r in read_word_vectors_text(spark, str(tmp_path / "g.txt")).collect()}
     assert g == {"the": [0.5, -1.0], "cat": [1.0, 2.0]}
     assert default_stopwords(spark).filter(F.col("word") == "the").count() == 1
+
+
+def test_ledger_hot_path_equals_sequential(spark):
+    from tavolo.sources.fixtures import shop_events
+    from tavolo.sources.tables import Tables
+    ev = shop_events(Tables(spark, "/root/testdata/sf0.001"))
+    extra = spark.createDataFrame([
+        (100000 + i, "sale" if i % 3 else "add", 9000 + i // 4, "hot", str(1 + i % 7), "2", "4")
+        for i in range(300)] + [(99999, "add", None, "hot", "5", None, "4")], SHOP)
+    allev = ev.unionByName(extra)
+    cols = ["seq", "accepted", "reason", "stock", "purchase_price", "selling_price",
+            "state_purchase_price", "first_seq"]
+    seq = sorted(tuple(r) for r in ledger.decisions(allev).select(*cols).collect())
+    hot = sorted(tuple(r) for r in ledger.decisions(allev, hot_events=0).select(*cols).collect())
+    assert seq == hot and len(seq) > 300
