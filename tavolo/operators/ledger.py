@@ -333,48 +333,62 @@ def _fold(moves: DataFrame, parts: int) -> DataFrame:
     return keyed.mapInPandas(_fold_partition, DECISION_SCHEMA)
 
 
-def _fold_hot(moves: DataFrame, parts: int) -> DataFrame:
+def _fold_hot(moves: DataFrame, parts: int, max_rounds: int = 3) -> DataFrame:
     """Exact decisions for hot keys, split over many tasks up to each key's
-    first refused sale.
+    refused sales.
 
     * Before the key's first valid add nothing can be accepted.
-    * From it on, the stock assuming every sale is accepted is a running
-      sum, computed by ``global_cumsum`` (range-partitioned, so the key spans
-      many tasks). Every event before the first sale that this stock does
-      not cover is decided right there, with no sequential step.
-    * Only the tail from that sale on is folded in order, starting from the
-      exact stock.
+    * From it on, each round takes the stock assuming every remaining sale is
+      accepted as a running sum (``global_cumsum``: range-partitioned, so the
+      key spans many tasks). Every event before the first sale that this stock
+      does not cover is accepted, that sale is refused with the stock
+      unchanged, and the next round starts after it from the exact stock.
+    * After ``max_rounds`` rounds, what is left of a key is folded in order.
     """
     first = (moves.filter((F.col("op") == "add") & F.col("pp_c").isNotNull() & F.col("sp_c").isNotNull())
              .groupBy(*KEYS).agg(F.min_by(F.struct("seq", "pp_c", "sp_c"), F.col("seq")).alias("_f")))
     m = moves.join(first, KEYS, "left")
     none_l = F.lit(None).cast("bigint")
-    pre = m.filter(F.col("_f").isNull() | (F.col("seq") < F.col("_f.seq"))).select(
+    decided = [m.filter(F.col("_f").isNull() | (F.col("seq") < F.col("_f.seq"))).select(
         "seq", "epoch", "op", "basket_id", "product", "qty_c", F.lit(False).alias("accepted"),
         F.when(F.col("op") == "add", F.lit(INVALID_PRICE)).otherwise(F.lit(UNKNOWN_PRODUCT)).alias("reason"),
         none_l.alias("pp_c"), none_l.alias("sp_c"), F.lit(0).cast("bigint").alias("stock_c"),
-        none_l.alias("spp_c"), none_l.alias("ssp_c"), none_l.alias("first_seq"))
-    known = (m.filter(F.col("seq") >= F.col("_f.seq"))
-             .withColumn("_d", F.when(F.col("op") == "add", F.col("qty_c")).otherwise(-F.col("qty_c"))))
-    run = global_cumsum(known, KEYS, "seq", "_d", "_after", parts) \
-        .withColumn("_before", F.col("_after") - F.col("_d"))
-    stop = (run.filter((F.col("op") == "sale") & (F.col("_before") < F.col("qty_c")))
-            .groupBy(*KEYS).agg(F.min_by(F.struct("seq", "_before"), F.col("seq")).alias("_t")))
-    r = run.join(stop, KEYS, "left")
-    head = r.filter(F.col("_t").isNull() | (F.col("seq") < F.col("_t.seq"))).select(
-        "seq", "epoch", "op", "basket_id", "product", "qty_c", F.lit(True).alias("accepted"),
-        F.lit(None).cast("string").alias("reason"), F.col("_f.pp_c").alias("pp_c"), F.col("_f.sp_c").alias("sp_c"),
-        F.col("_after").alias("stock_c"), F.col("_f.pp_c").alias("spp_c"), F.col("_f.sp_c").alias("ssp_c"),
-        F.col("_f.seq").alias("first_seq"))
-    tail = r.filter(F.col("seq") >= F.col("_t.seq")).select(
+        none_l.alias("spp_c"), none_l.alias("ssp_c"), none_l.alias("first_seq"))]
+    rest = (m.filter(F.col("seq") >= F.col("_f.seq"))
+            .withColumn("_d", F.when(F.col("op") == "add", F.col("qty_c")).otherwise(-F.col("qty_c")))
+            .withColumn("_s0", F.lit(0).cast("bigint")))
+    state_cols = [F.col("_f.pp_c").alias("spp_c"), F.col("_f.sp_c").alias("ssp_c"),
+                  F.col("_f.seq").alias("first_seq")]
+    for _ in range(max_rounds):
+        run = (global_cumsum(rest, KEYS, "seq", "_d", "_cum", parts)
+               .withColumn("_after", F.col("_s0") + F.col("_cum"))
+               .withColumn("_before", F.col("_after") - F.col("_d")))
+        stop = (run.filter((F.col("op") == "sale") & (F.col("_before") < F.col("qty_c")))
+                .groupBy(*KEYS).agg(F.min_by(F.struct("seq", "_before"), F.col("seq")).alias("_t")))
+        r = run.join(stop, KEYS, "left")
+        decided.append(r.filter(F.col("_t").isNull() | (F.col("seq") < F.col("_t.seq"))).select(
+            "seq", "epoch", "op", "basket_id", "product", "qty_c", F.lit(True).alias("accepted"),
+            F.lit(None).cast("string").alias("reason"), F.col("_f.pp_c").alias("pp_c"),
+            F.col("_f.sp_c").alias("sp_c"), F.col("_after").alias("stock_c"), *state_cols))
+        decided.append(r.filter(F.col("seq") == F.col("_t.seq")).select(
+            "seq", "epoch", "op", "basket_id", "product", "qty_c", F.lit(False).alias("accepted"),
+            F.lit(INSUFFICIENT_STOCK).alias("reason"), none_l.alias("pp_c"), none_l.alias("sp_c"),
+            F.col("_before").alias("stock_c"), *state_cols))
+        rest = (r.filter(F.col("seq") > F.col("_t.seq"))
+                .withColumn("_s0", F.col("_t._before"))
+                .drop("_cum", "_after", "_before", "_t"))
+    tail = rest.select(
         "seq", "epoch", "op", "basket_id", "product", "qty_c", "pp_c", "sp_c",
-        F.col("_t._before").alias("init_stock"), F.col("_f.pp_c").alias("init_pp"),
+        F.col("_s0").alias("init_stock"), F.col("_f.pp_c").alias("init_pp"),
         F.col("_f.sp_c").alias("init_sp"), F.col("_f.seq").alias("init_first"))
-    return pre.unionByName(head).unionByName(_fold(tail, parts))
+    out = decided[0]
+    for d in decided[1:]:
+        out = out.unionByName(d)
+    return out.unionByName(_fold(tail, parts))
 
 
 def decisions(events: DataFrame, num_partitions: int | None = None,
-              hot_events: int = HOT_EVENTS) -> DataFrame:
+              hot_events: int = HOT_EVENTS, hot_rounds: int = 3) -> DataFrame:
     """Every valid add/sale with its outcome, in amounts (K2, K3). Keys with
     more than ``hot_events`` events take the split path (``_fold_hot``)."""
     n = normalize(events)
@@ -391,7 +405,7 @@ def decisions(events: DataFrame, num_partitions: int | None = None,
         hot_df = F.broadcast(events.sparkSession.createDataFrame(
             [tuple(h) for h in hot], moves.select(*KEYS).schema))
         folded = (_fold(moves.join(hot_df, KEYS, "left_anti"), parts)
-                  .unionByName(_fold_hot(moves.join(hot_df, KEYS, "left_semi"), parts)))
+                  .unionByName(_fold_hot(moves.join(hot_df, KEYS, "left_semi"), parts, hot_rounds)))
     return folded.select(
         "seq", "epoch", "op", "basket_id", "product", _from_cents("qty_c").alias("quantity"),
         "accepted", "reason", _from_cents("pp_c").alias("purchase_price"),

@@ -265,5 +265,7 @@ def test_ledger_hot_path_equals_sequential(spark):
     cols = ["seq", "accepted", "reason", "stock", "purchase_price", "selling_price",
             "state_purchase_price", "first_seq"]
     seq = sorted(tuple(r) for r in ledger.decisions(allev).select(*cols).collect())
-    hot = sorted(tuple(r) for r in ledger.decisions(allev, hot_events=0).select(*cols).collect())
-    assert seq == hot and len(seq) > 300
+    for rounds in (0, 1, 6):
+        hot = sorted(tuple(r) for r in ledger.decisions(allev, hot_events=0, hot_rounds=rounds)
+                     .select(*cols).collect())
+        assert seq == hot and len(seq) > 300
