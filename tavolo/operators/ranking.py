@@ -87,8 +87,6 @@ def global_cumsum(df: DataFrame, keys: Sequence[str], order: str, value: str, na
     partition and key). The sorted data is checkpointed first, so both passes
     see the same partitions.
     """
-    import pandas as pd
-
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
