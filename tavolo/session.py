@@ -34,7 +34,14 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, configuring one only if none is set."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the folder is the session setting
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            current = tempfile.mkdtemp(prefix="tavolo-ckpt-", dir="/tmp")
+            spark.conf.set("spark.checkpoint.dir", current)
+        return current
     current = sc.getCheckpointDir()
     if current:
         return current

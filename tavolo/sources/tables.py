@@ -47,8 +47,12 @@ class Tables:
 def spread_scan(scan: DataFrame) -> DataFrame:
     """Round-robin a bare scan that has fewer splits than the default
     parallelism; any other scan is returned unchanged (no shuffle)."""
-    target = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= target:
+    try:
+        target = scan.sparkSession.sparkContext.defaultParallelism
+        current = scan.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (Spark Connect): read as is
+        return scan
+    if current >= target:
         return scan
     return scan.repartition(target)
 
