@@ -455,3 +455,26 @@ def _q_spam_scores_stream(spark, d):
     run_scoring_stream(spark, f"{base}/in", f"{base}/out", f"{base}/state", fx.lemmas(spark),
                        fx.stopwords(spark), fx.word_vectors(t), indexer, model)
     return spark.read.parquet(f"{base}/out")
+
+
+# ---------------------------------------------------------------- Q13 on the k-means segments
+
+def _customers_with_segments(spark, d):
+    from tavolo.operators.segments import drop_incomplete, segments, standardize
+    customers = drop_incomplete(fx.card_customers(Tables(spark, d)))
+    labels = segments(standardize(_card_clean(spark, d))).select("CUST_ID", "Cluster")
+    return customers.join(labels, "CUST_ID")
+
+
+@query("segment_profile_clusters")
+def _q_segment_profile_clusters(spark, d):
+    """The profile of the actual k-means segments (ids are arbitrary)."""
+    from tavolo.operators.segments import segment_profile
+    return segment_profile(_customers_with_segments(spark, d))
+
+
+@query("segment_box_stats_clusters")
+def _q_segment_box_stats_clusters(spark, d):
+    """Box statistics of BALANCE per k-means segment."""
+    from tavolo.operators.segments import box_stats
+    return box_stats(_customers_with_segments(spark, d), "Cluster", "BALANCE")
