@@ -214,3 +214,20 @@ def organizations_by_model(clean: DataFrame, extract, col: str = "clean_text") -
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "organizations": extract(pdf[col])})
 
     return clean.select("doc_id", col).mapInPandas(run, "doc_id long, organizations array<string>")
+
+
+def email_reports(emails: DataFrame, lemmas: DataFrame, stopwords: DataFrame, word_vectors: DataFrame,
+                  gazetteer: DataFrame, min_df: int = 5, max_features: int = 1000) -> dict[str, DataFrame]:
+    """The text jobs of one email corpus from one cleaning pass: each email is
+    cleaned once, persisted (memory, spilling to disk) and every branch reads
+    it. ``emails`` has doc_id, text, label. Call ``unpersist`` on
+    ``reports["clean"]`` when done."""
+    from pyspark import StorageLevel
+
+    clean = clean_text(emails, lemmas, stopwords).persist(StorageLevel.MEMORY_AND_DISK)
+    return {
+        "clean": clean,
+        "mean_vectors": mean_vectors(clean, word_vectors),
+        "spam_vocabulary": vocabulary(clean.filter(F.col("label") == "spam"), min_df, max_features),
+        "ham_organizations": organizations_in(clean.filter(F.col("label") == "ham"), gazetteer),
+    }

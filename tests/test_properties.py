@@ -144,3 +144,17 @@ def test_global_cumsum_matches_window(spark):
     w = Window.partitionBy("k").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.select("k", "s", F.sum("v").over(w).alias("c")).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, exp))
+
+
+def test_email_reports_share_one_clean(spark):
+    from tavolo.operators.text import email_reports
+    from tavolo.sources import fixtures as fx
+    t = Tables(spark, SF)
+    reps = email_reports(fx.emails(t), fx.lemmas(spark), fx.stopwords(spark), fx.word_vectors(t),
+                         fx.organizations(t))
+    for key, name in [("mean_vectors", "email_mean_vector"), ("spam_vocabulary", "email_vocabulary"),
+                      ("ham_organizations", "ham_organizations")]:
+        got = sorted(map(str, reps[key].collect()))
+        exp = sorted(map(str, QUERIES[name](spark, SF).collect()))
+        assert got == exp, key
+    reps["clean"].unpersist()
