@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tavolo.operators.joins import broadcast_if_small
 from tavolo.operators.pivot import assert_unique, count_when, fill_zero, left_star, sum_when
 
 # fixed values: account type descriptions and their column suffix
@@ -52,8 +53,9 @@ def client_age(cliente: DataFrame, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame
 
 
 def _accounts(conto: DataFrame, tipo_conto: DataFrame) -> DataFrame:
-    """Account -> type description (C1); the type table is a fixed-size lookup."""
-    return conto.join(F.broadcast(tipo_conto), "id_tipo_conto", "left").select(
+    """Account -> type description (C1); the type lookup is broadcast after a
+    size check, else AQE plans the join."""
+    return conto.join(broadcast_if_small(tipo_conto), "id_tipo_conto", "left").select(
         "id_conto", "id_cliente", "desc_tipo_conto")
 
 
@@ -98,7 +100,7 @@ def _transactions_joined(transazioni: DataFrame, conto: DataFrame, tipo_transazi
     tt = tipo_transazione.withColumnRenamed("id_tipo_transazione", "id_tipo_trans")
     return (_transactions_per_account(transazioni)
             .join(acc, "id_conto", "left")
-            .join(F.broadcast(tt), "id_tipo_trans", "left"))
+            .join(broadcast_if_small(tt), "id_tipo_trans", "left"))
 
 
 def _total_measures(collation: str | None) -> list[Column]:

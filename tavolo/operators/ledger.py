@@ -327,13 +327,16 @@ HOT_EVENTS = 5_000_000
 MAX_HOT_KEYS = 100_000
 
 
-def _fold(moves: DataFrame, parts: int) -> DataFrame:
-    """Sequential fold: hash-partition on the key, sort by seq, walk."""
-    keyed = moves.repartition(parts, *KEYS).sortWithinPartitions(*KEYS, "seq")
+def _fold(moves: DataFrame, parts: int | None) -> DataFrame:
+    """Sequential fold: hash-partition on the key, sort by seq, walk. Without
+    an explicit count AQE sizes (coalesces) the partitions; a key is never
+    split by that."""
+    shuffled = moves.repartition(parts, *KEYS) if parts else moves.repartition(*KEYS)
+    keyed = shuffled.sortWithinPartitions(*KEYS, "seq")
     return keyed.mapInPandas(_fold_partition, DECISION_SCHEMA)
 
 
-def _fold_hot(moves: DataFrame, parts: int, max_rounds: int = 3) -> DataFrame:
+def _fold_hot(moves: DataFrame, parts: int | None, max_rounds: int = 3) -> DataFrame:
     """Exact decisions for hot keys, split over many tasks up to each key's
     refused sales.
 
@@ -396,7 +399,7 @@ def decisions(events: DataFrame, num_partitions: int | None = None,
     moves = live.filter(F.col("op").isin("add", "sale")).select(
         "seq", "epoch", "op", "basket_id", "product", _cents(F.col("quantity")).alias("qty_c"),
         _cents(F.col("purchase_price")).alias("pp_c"), _cents(F.col("selling_price")).alias("sp_c"))
-    parts = num_partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = num_partitions
     hot = (moves.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_events)
            .select(*KEYS).limit(MAX_HOT_KEYS).collect())
     if not hot:

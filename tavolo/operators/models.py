@@ -42,7 +42,7 @@ def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 5, seed: i
     h = F.xxhash64(F.col(id_col), F.lit(seed))
     ranked = global_rank(df.withColumn("_h", h), [F.col(label).asc(), F.col("_h").asc(), F.col(id_col).asc()], "_r")
     starts = ranked.groupBy(label).agg(F.min("_r").alias("_r0"))
-    return (ranked.join(F.broadcast(starts), label)
+    return (ranked.join(starts, label)
             .withColumn("fold", ((F.col("_r") - F.col("_r0")) % k).cast("int"))
             .drop("_h", "_r", "_r0"))
 

@@ -35,8 +35,9 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without an explicit count, AQE sizes the range partitions to the data
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    placed = (ranged.sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
     part = F.shiftright(F.col("_mid"), 33)
@@ -89,9 +90,9 @@ def global_cumsum(df: DataFrame, keys: Sequence[str], order: str, value: str, na
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = [*keys, order]
-    placed = (df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    ranged = df.repartitionByRange(num_partitions, *by) if num_partitions else df.repartitionByRange(*by)
+    placed = (ranged.sortWithinPartitions(*by)
               .withColumn("_part", F.spark_partition_id().cast("bigint"))
               .checkpoint(eager=True))
     schema = T.StructType(list(placed.schema.fields) + [T.StructField("_local", T.LongType())])
