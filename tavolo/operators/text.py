@@ -83,11 +83,6 @@ def words(clean: DataFrame, col: str = "clean_text") -> DataFrame:
 
 # ---------------------------------------------------------------- mean vectors
 
-def vector_dim(word_vectors: DataFrame) -> int:
-    """Vector length of the dictionary (one small aggregate)."""
-    return int(word_vectors.agg(F.max(F.size("vector"))).first()[0] or 0)
-
-
 def mean_vectors(clean: DataFrame, word_vectors: DataFrame, id_col: str = "doc_id",
                  col: str = "clean_text", places: int | None = 6) -> DataFrame:
     """Mean vector over in-vocabulary words, repeats counted; zero vector when
