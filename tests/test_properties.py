@@ -158,3 +158,25 @@ def test_email_reports_share_one_clean(spark):
         exp = sorted(map(str, QUERIES[name](spark, SF).collect()))
         assert got == exp, key
     reps["clean"].unpersist()
+
+
+def test_streaming_scoring_equals_batch(spark):
+    from tavolo.operators.models import score_spam
+    from tavolo.operators.text import clean_text, mean_vectors
+    from tavolo.plans.registry import _spam_model
+    from tavolo.session import scratch_path
+    from tavolo.sources import fixtures as fx
+    from tavolo.streaming.scoring_stream import run_scoring_stream
+    t = Tables(spark, SF)
+    data, indexer, model = _spam_model(spark, SF)
+    test_ids = data.filter(F.col("split") == "test").select("doc_id")
+    emails = fx.emails(t).join(test_ids, "doc_id").select("doc_id", "text")
+    wv = fx.word_vectors(t)
+    batch = score_spam(indexer, model, mean_vectors(clean_text(emails, fx.lemmas(spark), fx.stopwords(spark)), wv))
+    base = scratch_path(spark, "scoring-test")
+    emails.repartition(3).write.parquet(f"{base}/in")
+    run_scoring_stream(spark, f"{base}/in", f"{base}/out", f"{base}/state", fx.lemmas(spark),
+                       fx.stopwords(spark), wv, indexer, model)
+    got = sorted(map(tuple, spark.read.parquet(f"{base}/out").select("doc_id", "verdict").collect()))
+    exp = sorted(map(tuple, batch.select("doc_id", "verdict").collect()))
+    assert got == exp and len(got) > 0
