@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tavolo.operators.ranking import group_quantiles
+from tavolo.session import ensure_checkpoint_dir
 
 # fixed values: the eight card features used for segmentation
 FEATURES = ("BALANCE", "PURCHASES", "ONEOFF_PURCHASES", "INSTALLMENTS_PURCHASES",
@@ -60,8 +61,17 @@ def fit_scaler(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float,
 def standardize(df: DataFrame, features: Sequence[str] = FEATURES, id_col: str = "CUST_ID",
                 scaler: dict[str, tuple[float, float]] | None = None,
                 places: int | None = None) -> DataFrame:
-    """``(x - mean) / std``; a constant column divides by 1."""
-    scaler = scaler or fit_scaler(df, features)
+    """``(x - mean) / std``; a constant column divides by 1.
+
+    Without a given ``scaler`` the input is read twice (fit, then transform),
+    so it is checkpointed first: the feature table (one row per customer) is
+    written once instead of being rebuilt from the line items for each pass,
+    and the lineage is cut for every model job downstream.
+    """
+    if scaler is None:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+        scaler = fit_scaler(df, features)
     cols = []
     for c in features:
         m, s = scaler[c]
