@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tavolo.llm import mixing, urlrules
+from tavolo.llm import mixing, simhash, urlrules
 
 QUERIES = {
+    "op4_simhash_golay": simhash.op4_simhash_golay,
     "op10_source_mixing": mixing.op10_source_mixing,
     "op9_url_filters": urlrules.op9_url_filters,
 }
