@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tavolo.llm import mixing, simhash, urlrules
+from tavolo.llm import linededup, mixing, simhash, urlrules
 
 QUERIES = {
+    "op2_line_dedup": linededup.op2_line_dedup,
     "op4_simhash_golay": simhash.op4_simhash_golay,
     "op10_source_mixing": mixing.op10_source_mixing,
     "op9_url_filters": urlrules.op9_url_filters,
 }
 
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force.
-ORACLE = {**urlrules.ORACLE}
+ORACLE = {**linededup.ORACLE, **urlrules.ORACLE}
