@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tavolo.llm import linededup, mixing, simhash, urlrules
+from tavolo.llm import linededup, mixing, packing, simhash, urlrules
 
 QUERIES = {
+    "op1_harmonic_packing": packing.op1_harmonic_packing,
     "op2_line_dedup": linededup.op2_line_dedup,
     "op4_simhash_golay": simhash.op4_simhash_golay,
     "op10_source_mixing": mixing.op10_source_mixing,
