@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tavolo.llm import linededup, mixing, packing, simhash, urlrules
+from tavolo.llm import linededup, mixing, packing, quality, simhash, urlrules
 
 QUERIES = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
     "op2_line_dedup": linededup.op2_line_dedup,
     "op4_simhash_golay": simhash.op4_simhash_golay,
+    "op5_quality_gam": quality.op5_quality_gam,
     "op10_source_mixing": mixing.op10_source_mixing,
     "op9_url_filters": urlrules.op9_url_filters,
 }
