@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tavolo.llm.shared import sample_order, table, text_fold, without
+from tavolo.llm.shared import hash_sample, table, text_fold, without
 
 FIT_ROWS = 20_000
 FOLDS, HELD_OUT_FOLD, THRESHOLD = 5, 0, 0.3
@@ -190,8 +190,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Co
     The labels are cut down first, in hash order, so the side of the join that is broadcast has ``rows`` rows at most.
     """
     marks = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & training)
-             .groupBy(F.col("doc_id").alias("__id")).agg(F.round(F.avg(label)).cast("int").alias("__y"))
-             .orderBy(sample_order(F.col("__id")), "__id").limit(rows))
+             .groupBy(F.col("doc_id").alias("__id")).agg(F.round(F.avg(label)).cast("int").alias("__y")))
+    marks = hash_sample(marks, F.col("__id"), rows, marks.count())
     return (docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
             .join(F.broadcast(marks), "__id").select("__text", "__y"))
 

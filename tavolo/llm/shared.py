@@ -45,6 +45,14 @@ def text_fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
 
 
-def sample_order(doc_id: Column) -> Column:
-    """A fixed pseudo-random order of documents for bounded fitting samples."""
-    return F.xxhash64(F.lit("fit"), doc_id)
+def hash_sample(df: DataFrame, key: Column, rows: int, n: int) -> DataFrame:
+    """``rows`` rows of ``df`` (or all, if fewer), those with the smallest hashes of ``key``; ``df`` has ``n`` rows.
+
+    Rows far from the smallest hashes are filtered out where they are read, so
+    the sort sees about 1.5 times ``rows`` at any size of ``df``.
+    """
+    order = F.xxhash64(F.lit("fit"), key)
+    share = 1.5 * rows / max(n, 1)
+    if share < 1:
+        df = df.where(F.shiftrightunsigned(order, 11) < int(share * (1 << 53)))
+    return df.orderBy(order, key).limit(rows)

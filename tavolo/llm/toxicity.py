@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavolo.llm.shared import sample_order, table, text_fold, without
+from tavolo.llm.shared import hash_sample, table, text_fold, without
 
 FIT_ROWS = 7200
 FOLDS, HELD_OUT_FOLD, THRESHOLD = 3, 1, 0.7
@@ -171,9 +171,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_i
     """Labels are cut down first, by class and hash order; ``fit_rows`` texts at most reach the driver."""
     marks = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (text_fold(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD))
              .groupBy(F.col("doc_id").alias("__id")).agg(F.round(F.avg(label)).cast("int").alias("__y")))
-    order = [sample_order(F.col("__id")), F.col("__id")]
-    toxic = marks.where("__y = 1").orderBy(*order).limit(fit_rows // 3)
-    clean = marks.where("__y = 0").orderBy(*order).limit(fit_rows - fit_rows // 3)
+    n = {r["__y"]: r["n"] for r in marks.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic = hash_sample(marks.where("__y = 1"), F.col("__id"), fit_rows // 3, n.get(1, 0))
+    clean = hash_sample(marks.where("__y = 0"), F.col("__id"), fit_rows - fit_rows // 3, n.get(0, 0))
     rows = (docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
             .join(F.broadcast(toxic.unionByName(clean)), "__id").toPandas())
     rows = rows.assign(__text=rows["__text"].fillna("")).sort_values(["__id", "__text"])
