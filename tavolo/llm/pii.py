@@ -42,7 +42,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tavolo.llm.shared import table, without, written
@@ -163,19 +163,24 @@ def disclosing_terms(docs: DataFrame, text: str, near: DataFrame, n_docs: int, g
     """(entity, term, kind) of the pairs that disclose too much; ``near`` has a row per term near a mention."""
     pairs = (near.groupBy("entity", "term", "context").agg(F.min("__row").alias("a"), F.max("__row").alias("b"))
              .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= least_contexts))
-    pairs = written(pairs, "pii-pairs")
-    both = near.join(pairs, ["entity", "term"], "left_semi").groupBy("entity", "term").agg(F.count_distinct("__row").alias("n_et"))
     of_entity = near.select("entity", "__row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    around = near.select("term", "__row").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    both = near.join(pairs, ["entity", "term"], "left_semi").groupBy("entity", "term").agg(F.count_distinct("__row").alias("n_et"))
+    n = F.lit(float(max(n_docs, 1)))
+
+    def disclosure(holding: str) -> Column:
+        information = F.log2(n / F.col("n_e"))
+        return F.when(information > 0, F.log2(n * F.col("n_et") / (F.col("n_e") * F.col(holding))) / information).otherwise(F.lit(0.0))
+
+    # At least the documents that hold the term near an entity hold it: pairs that cannot reach the threshold go before the count.
+    pairs = written(both.join(of_entity, "entity").join(around, "term").where(disclosure("n_near") >= generalise_at), "pii-pairs")
     terms = written(pairs.select("term").distinct(), "pii-terms")
     words = docs.select(F.explode(F.array_distinct(F.transform(
         F.split(F.lower(F.col(text)), r"[\x20\x09-\x0D]+"), lambda w: F.btrim(w, F.lit(_TRIM))))).alias("term"))
     side = F.broadcast(terms) if terms.count() <= SMALL_TERMS else terms
-    of_term = words.join(side, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    information = F.log2(F.lit(float(max(n_docs, 1))) / F.col("n_e"))
-    given = F.log2(F.lit(float(max(n_docs, 1))) * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    return (both.join(of_entity, "entity").join(of_term, "term")
-            .withColumn("disclosure", F.when(information > 0, given / information).otherwise(F.lit(0.0)))
-            .where(F.col("disclosure") >= generalise_at)
+    of_term = words.join(side, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_all"))
+    return (pairs.join(of_term, "term").withColumn("n_t", F.greatest("n_all", "n_near"))
+            .withColumn("disclosure", disclosure("n_t")).where(F.col("disclosure") >= generalise_at)
             .select("entity", "term", F.when(F.col("disclosure") >= remove_at, KINDS.index("removed")).otherwise(KINDS.index("generalised")).alias("kind")))
 
 
