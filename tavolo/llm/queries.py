@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tavolo.llm import linededup, mixing, packing, pii, quality, rules, simhash, toxicity, urlrules
+from tavolo.llm import linededup, mixing, neighbours, packing, pii, quality, rules, simhash, toxicity, urlrules
 
 QUERIES = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
     "op2_line_dedup": linededup.op2_line_dedup,
+    "op3_adaptive_scan": neighbours.op3_adaptive_scan,
     "op4_simhash_golay": simhash.op4_simhash_golay,
     "op5_quality_gam": quality.op5_quality_gam,
     "op10_source_mixing": mixing.op10_source_mixing,
