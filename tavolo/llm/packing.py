@@ -66,7 +66,7 @@ def cut(n: int, capacity: int = CAPACITY, slack: int = SLACK) -> list[tuple[int,
             pieces.append((start, rest, k))
             break
         length = capacity // (k + 1)
-        pieces.append((start, length, k + 1))
+        pieces.append((start, length, capacity // length))
         start += length
     return pieces
 
@@ -258,10 +258,10 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     schema = (f"doc_id {id_type}, " + ", ".join(f"{f} long" for f in FIELDS) + (", ids array<int>" if with_ids else "")
               + ", sequence_id long, offset long")
     packed = written(texts.mapInArrow(_pack_texts(path or vocabulary_path(), end_id, capacity, slack, with_ids), schema), "pack-0")
-    rounds, round_no, last = [packed.where("sequence_id is not null")], 0, False
+    rounds, round_no, last, workers = [packed.where("sequence_id is not null")], 0, False, 1 << 62
     while not last:
         rest = packed.where("sequence_id is null")
-        workers = -(-rest.count() // round_pieces)
+        workers = min(-(-rest.count() // round_pieces), workers // 2)  # fewer each round, so the rounds end
         last, round_no = workers <= 1, round_no + 1
         dealt = rest.repartition(max(1, workers), "doc_id", "start", "ids_crc32").sortWithinPartitions("__class", "doc_id", "start")
         packed = written(dealt.mapInArrow(_pack_pieces(capacity, round_no, last), schema), f"pack-{round_no}")
