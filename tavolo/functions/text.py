@@ -49,8 +49,8 @@ def normalize_name(c: Column) -> Column:
 
 def pre_tokens(text: Column) -> Column:
     """Lower-case, punctuation to spaces, whitespace split: the tokens the
-    lemmatizer sees (first half of J1)."""
-    return split_whitespace(punctuation_to_space(F.lower(text)))
+    lemmatizer sees (first half of J1). A null text has no tokens."""
+    return F.coalesce(split_whitespace(punctuation_to_space(F.lower(text))), F.array().cast("array<string>"))
 
 
 def left_pad(c: Column, width: int) -> Column:

@@ -13,11 +13,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tavolo.functions.parse import (not_equal_keep_null, parse_date_free, parse_date_strict,
                                     parse_number, weekday_name)
+from tavolo.operators.ranking import global_rank
 
 # fixed values: the sentinels of the accident data
 UNKNOWN_COUNTRY = "Unknown country"
@@ -120,6 +121,27 @@ def yearly_counts_in_era(clean: DataFrame, which: str, cutoff: _dt.date = CUTOFF
     return out.orderBy(F.col("year").desc())
 
 
+def years_by_count(clean: DataFrame, which: str, cutoff: _dt.date = CUTOFF, min_year: int | None = None) -> DataFrame:
+    """Yearly counts of one era by count, highest first, ties by year, with their rank.
+
+    The window runs over one row per year.
+    """
+    order = [F.col("count_of_incident").desc(), F.col("year").asc()]
+    return (yearly_counts_in_era(clean, which, cutoff, min_year)
+            .withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+            .orderBy("rank"))
+
+
+def rows_by_date(clean: DataFrame, which: str, cutoff: _dt.date = CUTOFF) -> DataFrame:
+    """Incidents of one era, latest first, with their rank (F6); equal dates by the other columns, nulls last.
+
+    A distributed rank: no single-task sort.
+    """
+    others = sorted(c for c in clean.columns if c != "date")
+    order = [F.col("date").desc(), *(F.col(c).asc_nulls_last() for c in others)]
+    return global_rank(clean.where(era(F.col("date"), cutoff) == which), order, "rank").withColumn("rank", F.col("rank") + 1).orderBy("rank")
+
+
 def mean_incidents_by_era(clean: DataFrame, cutoff: _dt.date = CUTOFF,
                           exclude_years: Sequence[int] = (2001, 2023),
                           countries: DataFrame | None = None) -> DataFrame:

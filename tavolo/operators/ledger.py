@@ -7,8 +7,8 @@ selling_price)`` with ``op`` in ``add | sale | reset``.
 * K1: names are ``lower(trim())``ed, numbers parsed exactly; events that
   can never be valid go to a quarantine with a reason.
 * K7: ``epoch`` = number of resets up to the event. A short reset list
-  becomes ``Bucketizer`` split points: binary search inside each row, no
-  join, no global window. Past ``max_resets`` the epochs come from three
+  is searched in exact 64-bit integers, batch by batch: no join, no global
+  window. Past ``max_resets`` the epochs come from three
   distributed ranks instead (exact, no bound).
 * K2/K3: acceptance depends on earlier *accepted* sales (N35), so the fold is
   sequential per (epoch, product). Events are hash-partitioned on that key
@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,7 +117,7 @@ def _epoch_by_rank(events: DataFrame) -> DataFrame:
 def with_epoch(events: DataFrame, resets: list[int] | None = None,
                max_resets: int = MAX_RESETS) -> DataFrame:
     """``epoch`` = number of resets with seq <= the event's seq. A short reset
-    list (the normal case) becomes Bucketizer split points, which works on
+    list (the normal case) is searched in exact integers, which works on
     batch and streaming DataFrames alike; a batch with more resets than
     ``max_resets`` uses the exact rank-based form."""
     if resets is None:
@@ -130,10 +129,13 @@ def with_epoch(events: DataFrame, resets: list[int] | None = None,
     resets = sorted(set(resets))
     if not resets:
         return events.withColumn("epoch", F.lit(0).cast("bigint"))
-    splits = [float("-inf")] + [float(s) for s in resets] + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="_seqd", outputCol="_ep")
-    staged = events.withColumn("_seqd", F.col("seq").cast("double"))
-    return b.transform(staged).withColumn("epoch", F.col("_ep").cast("bigint")).drop("_seqd", "_ep")
+    points = events.sparkSession.sparkContext.broadcast(np.array(resets, dtype=np.int64))
+
+    @F.pandas_udf("long")
+    def epoch_of(seq: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(points.value, seq.to_numpy(np.int64), side="right").astype(np.int64))
+
+    return events.withColumn("epoch", epoch_of(F.coalesce("seq", F.lit(-(1 << 63)))))
 
 
 # ---------------------------------------------------------------- K2/K3 the fold

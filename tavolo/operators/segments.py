@@ -205,6 +205,7 @@ def segment_profile(df: DataFrame, group: str = "Cluster",
 def transpose_profile(profile: DataFrame, group: str = "Cluster") -> DataFrame:
     """Statistics as rows, groups as columns (the heatmap input): unpivot then
     pivot on the group values, which are few (clusters)."""
+    profile = profile.checkpoint(eager=True)  # one row per group; read twice below
     stats = [c for c in profile.columns if c != group]
     long = profile.unpivot([group], stats, "stat", "value")
     values = sorted(r[0] for r in profile.select(group).distinct().collect())

@@ -4,20 +4,21 @@
 Cleaning (J1) = lower-case, punctuation to spaces, lemma lookup, stopword
 removal, digit removal, in that order (N24-N26). The language model's
 lemmatizer is re-aimed as a lookup table ``lemmas(word, lemma)`` (unknown
-word -> itself). Two physical forms give the same result:
-
-* small lemma table (checked count): the lookup is a map literal applied by
-  ``transform`` inside the document row and stopwords are removed by
-  ``StopWordsRemover`` (a JVM hash set). Narrow, no shuffle at all;
-* large lemma table: tokens are exploded with their position, joined to the
-  table (broadcast when its size allows, else shuffled), stopwords removed
-  by an anti join, and the tokens regrouped per document. A document's
-  tokens are bounded by the document, never by the corpus.
+word -> itself; a word listed twice takes its smallest lemma). A null text is
+an empty one. Two physical forms give the same result:
+
+* lists up to ``DICTIONARY_ROWS`` entries and ``DICTIONARY_CHARS`` characters
+  (checked): both are broadcast as one dictionary and looked up in Arrow
+  batches of token arrays. Narrow, no shuffle of text;
+* larger lists: tokens are exploded with their position, joined to the tables
+  (AQE splits a hot word's side), and the tokens regrouped per document. A
+  document's tokens are bounded by the document, never by the corpus. This form
+  needs unique ids.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StopWordsRemover
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -27,47 +28,51 @@ from tavolo.functions.text import pre_tokens, remove_digits, split_whitespace
 from tavolo.functions.vectors import round_array, zeros
 from tavolo.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
-INLINE_LEMMAS = 64          # lemma entries applied as a map literal
-INLINE_STOPWORDS = 100_000  # stopwords held in the remover's hash set
+#: Bounds of lemma and stopword lists that are broadcast as one dictionary.
+DICTIONARY_ROWS, DICTIONARY_CHARS = 500_000, 16_000_000
 
 
-def _small_list(df: DataFrame, cols: list[str], bound: int) -> list[tuple] | None:
-    rows = df.select(*cols).limit(bound + 1).collect()
-    return None if len(rows) > bound else [tuple(r) for r in rows]
+def _one_lemma_each(lemmas: DataFrame) -> DataFrame:
+    return (lemmas.where(F.col("word").isNotNull() & F.col("lemma").isNotNull())
+            .groupBy("word").agg(F.min("lemma").alias("lemma")))
 
 
 def clean_text(docs: DataFrame, lemmas: DataFrame, stopwords: DataFrame,
                text_col: str = "text", out_col: str = "clean_text",
-               inline_lemmas: int = INLINE_LEMMAS) -> DataFrame:
+               dictionary_rows: int = DICTIONARY_ROWS) -> DataFrame:
     """``docs`` (with ``doc_id``) minus ``text_col`` plus ``out_col``."""
-    lemma_pairs = _small_list(lemmas, ["word", "lemma"], inline_lemmas)
-    stop_words = _small_list(stopwords, ["word"], INLINE_STOPWORDS)
-    if lemma_pairs is not None and stop_words is not None:
-        return _clean_inline(docs, lemma_pairs, [w for (w,) in stop_words], text_col, out_col)
+    lemmas = _one_lemma_each(lemmas)
+    stopwords = stopwords.select("word").where("word is not null").distinct()
+    listed = (lemmas.select("word", "lemma")
+              .unionByName(stopwords.select("word", F.lit(None).cast("string").alias("lemma"))))
+    size = listed.agg(F.count(F.lit(1)).alias("n"),
+                      F.sum(F.length("word") + F.coalesce(F.length("lemma"), F.lit(0))).alias("chars")).first()
+    if size["n"] <= dictionary_rows and (size["chars"] or 0) <= DICTIONARY_CHARS:
+        return _clean_by_dictionary(docs, listed, text_col, out_col)
     return _clean_by_join(docs, lemmas, stopwords, text_col, out_col)
 
 
-def _clean_inline(docs, lemma_pairs, stop_words, text_col, out_col):
-    toks = pre_tokens(F.col(text_col))
-    if lemma_pairs:
-        m = F.create_map(*[F.lit(x) for pair in lemma_pairs for x in pair])
-        toks = F.transform(toks, lambda t: F.coalesce(F.try_element_at(m, t), t))
+def _clean_by_dictionary(docs, listed, text_col, out_col):
+    rows = listed.collect()
+    lemma_of = {r["word"]: r["lemma"] for r in rows if r["lemma"] is not None}
+    stop = frozenset(r["word"] for r in rows if r["lemma"] is None)
+    sent = docs.sparkSession.sparkContext.broadcast((lemma_of, stop))
+
+    @F.pandas_udf("array<string>")
+    def look_up(tokens: pd.Series) -> pd.Series:
+        lemmas, stopwords = sent.value
+        return tokens.map(lambda ts: [w for w in (lemmas.get(t, t) for t in ts) if w not in stopwords])
+
     keep = [c for c in docs.columns if c != text_col]
-    staged = docs.select(*keep, toks.alias("_lem"))
-    remover = StopWordsRemover(inputCol="_lem", outputCol="_kept", stopWords=stop_words,
-                               caseSensitive=True)
-    return (remover.transform(staged)
-            .select(*keep, remove_digits(F.array_join("_kept", " ")).alias(out_col)))
+    return docs.select(*keep, remove_digits(F.array_join(look_up(pre_tokens(F.col(text_col))), " ")).alias(out_col))
 
 
 def _clean_by_join(docs, lemmas, stopwords, text_col, out_col):
     keep = [c for c in docs.columns if c != text_col]
     toks = docs.select("doc_id", F.posexplode(pre_tokens(F.col(text_col))).alias("pos", "tok"))
-    lem = broadcast_if_small(lemmas.select(F.col("word").alias("tok"), "lemma"))
-    stop = broadcast_if_small(stopwords.select(F.col("word").alias("w")))
-    words = (toks.join(lem, "tok", "left")
+    words = (toks.join(lemmas.withColumnRenamed("word", "tok"), "tok", "left")
              .select("doc_id", "pos", F.coalesce("lemma", "tok").alias("w"))
-             .join(stop, "w", "left_anti"))
+             .join(stopwords.select(F.col("word").alias("w")), "w", "left_anti"))
     per_doc = words.groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", "w"))).alias("_s"))
     cleaned = per_doc.select("doc_id", remove_digits(

@@ -119,6 +119,15 @@ ORACLE["fatalities_by_category_top10"] = with_views(CLEAN, """
 ORACLE["incidents_after_by_year"] = with_views(CLEAN, """
     SELECT CAST(year(date) AS INTEGER) AS year, count(date) AS count_of_incident
     FROM incidents_clean WHERE date > DATE '2001-09-11' GROUP BY 1""")
+ORACLE["incidents_before_by_count"] = with_views(CLEAN, """
+    SELECT *, row_number() OVER (ORDER BY count_of_incident DESC, year) AS rank
+    FROM (SELECT CAST(year(date) AS INTEGER) AS year, count(date) AS count_of_incident
+          FROM incidents_clean WHERE date < DATE '2001-09-11' AND year(date) > 1946 GROUP BY 1)""")
+ORACLE["incidents_after_by_date"] = with_views(CLEAN, """
+    SELECT *, row_number() OVER (ORDER BY date DESC, cat NULLS LAST, country NULLS LAST, day_of_week NULLS LAST,
+        fatalities NULLS LAST, location NULLS LAST, operator NULLS LAST, registration NULLS LAST, type NULLS LAST,
+        year NULLS LAST) AS rank
+    FROM incidents_clean WHERE date > DATE '2001-09-11'""")
 ORACLE["incidents_before_by_year"] = with_views(CLEAN, """
     SELECT * FROM (SELECT CAST(year(date) AS INTEGER) AS year, count(date) AS count_of_incident
                    FROM incidents_clean WHERE date < DATE '2001-09-11' GROUP BY 1)
@@ -210,9 +219,11 @@ _PROFILE_SQL = (", profile AS (SELECT NATION AS Cluster, "
                 + " GROUP BY NATION)")
 _PROFILE_NAMES = [f"{c}_{s}" for c, ss in _PROFILE for s in ss]
 ORACLE["segment_profile"] = with_views(["card_customers"], _PROFILE_SQL + " SELECT * FROM profile")
-ORACLE["segment_profile_transposed"] = with_views(["card_customers"], _PROFILE_SQL + f""",
-    long AS (UNPIVOT profile ON {", ".join(_PROFILE_NAMES)} INTO NAME stat VALUE value)
-    SELECT * FROM (PIVOT long ON Cluster USING first(value) GROUP BY stat)""")
+# The groups are the 25 nation keys; a PIVOT without a value list cannot stand in a view.
+ORACLE["segment_profile_transposed"] = with_views(["card_customers"], _PROFILE_SQL + ", long AS ("
+    + " UNION ALL ".join(f"SELECT '{n}' AS stat, Cluster, CAST({n} AS DOUBLE) AS value FROM profile" for n in _PROFILE_NAMES)
+    + ") SELECT stat, " + ", ".join(f'max(CASE WHEN Cluster = {i} THEN value END) AS "{i}"' for i in range(25))
+    + " FROM long GROUP BY stat")
 ORACLE["segment_box_stats"] = """
     WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
                       quantile_cont(value, 0.75) AS q3

@@ -18,7 +18,7 @@ VIEWS: dict[str, str] = {
         FROM customer""",
     "conto": """
         SELECT o_orderkey AS id_conto, o_custkey AS id_cliente, o_orderpriority AS id_tipo_conto
-        FROM orders WHERE o_orderdate < TIMESTAMP '1995-09-01 00:00:00'""",
+        FROM orders WHERE o_orderkey % 10 <> 7""",
     "tipo_conto": """
         SELECT * FROM (VALUES ('1-URGENT', 'Conto Base'), ('2-HIGH', 'Conto Business'),
                               ('3-MEDIUM', 'Conto Privati'), ('4-NOT SPECIFIED', 'Conto Famiglie'))
@@ -34,7 +34,7 @@ VIEWS: dict[str, str] = {
         SELECT
           CASE WHEN l_orderkey % 50 = 0 THEN 'date unk.'
                WHEN l_orderkey % 50 = 1 THEN '??-JUN-1997'
-               ELSE upper(strftime(l_shipdate, '%d-%b-%Y')) END AS date,
+               ELSE upper(strftime(day, '%d-%b-%Y')) END AS date,
           p_type AS type,
           CASE WHEN l_linenumber = 7 THEN NULL ELSE 'REG-' || CAST(l_suppkey AS VARCHAR) END AS registration,
           s_name AS operator,
@@ -45,8 +45,9 @@ VIEWS: dict[str, str] = {
                ELSE n_name END AS country,
           p_brand AS cat,
           CASE WHEN l_orderkey % 50 = 0 THEN 'unknown'
-               ELSE CAST(year(l_shipdate) AS VARCHAR) END AS year
-        FROM lineitem JOIN part ON l_partkey = p_partkey
+               ELSE CAST(year(day) AS VARCHAR) END AS year
+        FROM (SELECT *, CAST(CASE WHEN l_orderkey % 3 = 0 THEN CAST(l_shipdate AS DATE) + INTERVAL 96 MONTH
+                                  ELSE l_shipdate END AS DATE) AS day FROM lineitem) JOIN part ON l_partkey = p_partkey
              JOIN supplier ON l_suppkey = s_suppkey
              JOIN nation ON s_nationkey = n_nationkey""",
     "incidents_clean": """
@@ -166,17 +167,19 @@ VIEWS: dict[str, str] = {
         FROM card_customers WHERE MINIMUM_PAYMENTS IS NOT NULL AND CREDIT_LIMIT IS NOT NULL""",
     # ---------------------------------------------------------------- shop events
     "shop_events": """
-        SELECT * FROM (
-          SELECT event_id AS seq,
-                 CASE WHEN event_id % 3000 = 2999 THEN 'reset'
-                      WHEN event_type = 'signup' THEN 'add'
-                      WHEN event_type = 'purchase' THEN 'sale' END AS op,
-                 CAST(floor(event_id / 5) AS BIGINT) AS basket_id,
-                 CAST(user_id AS VARCHAR) AS product,
-                 CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS quantity,
-                 CAST(event_id % 50 + 1 AS VARCHAR) AS purchase_price,
-                 CAST((event_id % 50 + 1) * 2 AS VARCHAR) AS selling_price
-          FROM events) WHERE op IS NOT NULL""",
+        SELECT event_id AS seq,
+               CASE WHEN event_id % 3000 = 2999 THEN 'reset'
+                    WHEN event_type = 'signup' THEN 'add'
+                    WHEN event_type = 'purchase' THEN 'sale'
+                    WHEN bad = 0 THEN event_type WHEN bad = 1 THEN 'add' WHEN bad = 2 THEN 'sale' END AS op,
+               CAST(floor(event_id / 5) AS BIGINT) AS basket_id,
+               CASE WHEN bad = 1 THEN '  ' ELSE CAST(user_id AS VARCHAR) END AS product,
+               CASE WHEN bad = 2 AND event_id % 8 = 2 THEN '-3' WHEN bad = 2 THEN 'many'
+                    ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END AS quantity,
+               CAST(event_id % 50 + 1 AS VARCHAR) AS purchase_price,
+               CAST((event_id % 50 + 1) * 2 AS VARCHAR) AS selling_price
+        FROM (SELECT *, CASE WHEN event_id % 3000 <> 2999 AND event_type NOT IN ('signup', 'purchase')
+                             THEN event_id % 4 END AS bad FROM events)""",
 }
 
 DEPENDS: dict[str, list[str]] = {

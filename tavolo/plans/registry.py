@@ -141,6 +141,18 @@ def _before_by_year(spark, d):
     return yearly_counts_in_era(_clean_incidents(spark, d), "before", min_year=1946)
 
 
+@query("incidents_before_by_count")
+def _before_by_count(spark, d):
+    from tavolo.operators.incidents import years_by_count
+    return years_by_count(_clean_incidents(spark, d), "before", min_year=1946)
+
+
+@query("incidents_after_by_date")
+def _after_by_date(spark, d):
+    from tavolo.operators.incidents import rows_by_date
+    return rows_by_date(_clean_incidents(spark, d), "after")
+
+
 @query("mean_incidents_by_era")
 def _mean_by_era(spark, d):
     from tavolo.operators.incidents import mean_incidents_by_era

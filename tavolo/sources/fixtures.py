@@ -27,7 +27,6 @@ ACCOUNT_TYPES = [
 # fixed values: transaction type code -> sign; N has no row on purpose
 TRANSACTION_TYPES = [("A", "+"), ("R", "-")]
 
-ACCOUNTS_BEFORE = _dt.date(1995, 9, 1)
 BIRTH_ORIGIN = _dt.date(1950, 1, 1)
 
 
@@ -43,8 +42,7 @@ def cliente(t: Tables) -> DataFrame:
 
 def conto(t: Tables) -> DataFrame:
     o = t.orders
-    cutoff = F.lit(ACCOUNTS_BEFORE.isoformat()).cast("timestamp_ntz")
-    return o.filter(o.o_orderdate < cutoff).select(
+    return o.filter(o.o_orderkey % 10 != 7).select(
         o.o_orderkey.alias("id_conto"),
         o.o_custkey.alias("id_cliente"),
         o.o_orderpriority.alias("id_tipo_conto"),
@@ -87,10 +85,13 @@ def incidents_raw(t: Tables) -> DataFrame:
          .join(s, li.l_suppkey == s.s_suppkey)
          .join(F.broadcast(n), s.s_nationkey == n.n_nationkey))
     k50 = F.col("l_orderkey") % 50
+    # a third of the ship dates lies eight years later, so both eras have full years
+    day = F.col("l_shipdate").cast("date")
+    day = F.when(F.col("l_orderkey") % 3 == 0, F.add_months(day, 96)).otherwise(day)
     return j.select(
         F.when(k50 == 0, F.lit("date unk."))
          .when(k50 == 1, F.lit("??-JUN-1997"))
-         .otherwise(F.upper(F.date_format("l_shipdate", "dd-MMM-yyyy"))).alias("date"),
+         .otherwise(F.upper(F.date_format(day, "dd-MMM-yyyy"))).alias("date"),
         F.col("p_type").alias("type"),
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("REG-"), F.col("l_suppkey").cast("string"))).alias("registration"),
@@ -104,7 +105,7 @@ def incidents_raw(t: Tables) -> DataFrame:
          .otherwise(F.col("n_name")).alias("country"),
         F.col("p_brand").alias("cat"),
         F.when(k50 == 0, F.lit("unknown"))
-         .otherwise(F.year("l_shipdate").cast("string")).alias("year"),
+         .otherwise(F.year(day).cast("string")).alias("year"),
     )
 
 
@@ -233,19 +234,24 @@ SHOP_EVENT_SCHEMA = T.StructType([
 
 def shop_events(t: Tables) -> DataFrame:
     """Register commands as an event table: signup = add, purchase = sale,
-    every 3000th event a reset; quantities and prices arrive as text."""
+    every 3000th event a reset; quantities and prices arrive as text. The other
+    event types are bad commands: an unknown or missing op, a blank product, a
+    quantity that is no positive number."""
     e = t.events
     is_reset = e.event_id % 3000 == 2999
+    bad = F.when(~is_reset & ~e.event_type.isin("signup", "purchase"), e.event_id % 4)
     op = (F.when(is_reset, F.lit("reset"))
           .when(e.event_type == "signup", F.lit("add"))
-          .when(e.event_type == "purchase", F.lit("sale")))
+          .when(e.event_type == "purchase", F.lit("sale"))
+          .when(bad == 0, e.event_type).when(bad == 1, F.lit("add")).when(bad == 2, F.lit("sale")))
     pp = e.event_id % 50 + 1
     return (e.select(
         e.event_id.alias("seq"),
         op.alias("op"),
         F.floor(e.event_id / 5).cast("bigint").alias("basket_id"),
-        e.user_id.cast("string").alias("product"),
-        F.round(e.value * 100).cast("bigint").cast("string").alias("quantity"),
+        F.when(bad == 1, F.lit("  ")).otherwise(e.user_id.cast("string")).alias("product"),
+        F.when((bad == 2) & (e.event_id % 8 == 2), F.lit("-3")).when(bad == 2, F.lit("many"))
+         .otherwise(F.round(e.value * 100).cast("bigint").cast("string")).alias("quantity"),
         pp.cast("string").alias("purchase_price"),
         (pp * 2).cast("string").alias("selling_price"),
-    ).filter(F.col("op").isNotNull()))
+    ))

@@ -88,29 +88,29 @@ CARD_SCHEMA = T.StructType(
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             null_tokens: list[str] | None = None) -> DataFrame:
+             null_tokens: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """Headed CSV with a declared schema; each null token becomes null.
 
     Spark's reader takes one ``nullValue``; the rest of the token list is
-    mapped to null by one projection right after the scan.
+    mapped to null by one projection right after the scan. Declared numeric
+    columns are read as text and parsed there, so that a token (``NaN`` too) is
+    null in them as well. ``multi_line`` is for files with line breaks inside
+    quotes: such a file is read by one task, others are split.
     """
     tokens = PANDAS_NULL_TOKENS if null_tokens is None else null_tokens
     # the header gives the column order; each column takes its declared type by
     # name (a CSV schema is otherwise applied by position), unknown columns stay text
-    header = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-              .csv(path).columns)
-    declared = {f.name: f for f in schema.fields}
-    schema = T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in header])
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("escape", '"').option("nullValue", "").csv(path))
-    string_cols = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
-    if not tokens:
-        return df
-    return df.select(*[
-        F.when(F.col(c).isin(tokens), F.lit(None)).otherwise(F.col(c)).alias(c)
-        if c in string_cols else F.col(c)
-        for c in df.columns
-    ])
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    header = reader.csv(path).columns
+    declared = {f.name: f.dataType for f in schema.fields}
+    df = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).option("nullValue", "").csv(path)
+
+    def value(c: str):
+        text = F.when(F.col(c).isin(tokens), F.lit(None)).otherwise(F.col(c)) if tokens else F.col(c)
+        kind = declared.get(c, T.StringType())
+        return (text if isinstance(kind, T.StringType) else text.try_cast(kind)).alias(c)
+
+    return df.select(*[value(c) for c in header])
 
 
 def read_incidents_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -118,8 +118,10 @@ def read_incidents_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_emails_csv(spark: SparkSession, path: str) -> DataFrame:
-    df = read_csv(spark, path, EMAIL_SCHEMA)
-    return df.withColumn("doc_id", F.xxhash64("text", "label"))
+    """(text, label, doc_id). Every row has an id of its own, equal rows too: its
+    place in the input, written once so that the ids stay what they are."""
+    df = read_csv(spark, path, EMAIL_SCHEMA, multi_line=True)
+    return df.withColumn("doc_id", F.monotonically_increasing_id()).checkpoint(eager=True)
 
 
 def read_cards_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Events arrive as files (``maxFilesPerTrigger`` bounds a micro-batch). Each
 event gets its epoch from the reset list (small control data, registered
-before the events of a new epoch arrive; a Bucketizer as in the batch job),
+before the events of a new epoch arrive; searched as in the batch job),
 then
 ``groupBy(epoch, product).applyInPandasWithState`` applies the batch job's
 fold (``fold_frame``), with (known, stock, prices, first_seq) as state. A

@@ -144,13 +144,66 @@ def test_n24_to_n26_cleaning_order(spark):
 
 
 def test_cleaning_paths_agree(spark):
-    docs = spark.createDataFrame([(1, "This was the test, 42 times!"), (2, ""), (3, "the the")],
+    docs = spark.createDataFrame([(1, "This was the test, 42 times!"), (2, ""), (3, "the the"), (4, None), (5, "w7x W4000 w12")],
                                  "doc_id long, text string")
-    lem = spark.createDataFrame([("was", "be"), ("this", "these")], "word string, lemma string")
-    stop = spark.createDataFrame([("the",)], "word string")
-    inline = sorted(tuple(r) for r in text.clean_text(docs, lem, stop).collect())
-    joined = sorted(tuple(r) for r in text.clean_text(docs, lem, stop, inline_lemmas=0).collect())
-    assert inline == joined == [(1, "these be test  times"), (2, ""), (3, "")]
+    lem = spark.createDataFrame([("was", "is"), ("was", "be"), ("this", "these"), (None, "x"), ("y", None)]
+                                + [(f"w{i}", f"v{i}") for i in range(5000)], "word string, lemma string")
+    stop = spark.createDataFrame([("the",), ("the",), (None,), ("v12",)], "word string")
+    listed = sorted(tuple(r) for r in text.clean_text(docs, lem, stop).collect())
+    joined = sorted(tuple(r) for r in text.clean_text(docs, lem, stop, dictionary_rows=0).collect())
+    assert listed == joined == [(1, "these be test  times"), (2, ""), (3, ""), (4, ""), (5, "wx v")]
+
+
+def test_epochs_above_the_exact_range_of_doubles(spark):
+    from tavolo.operators.ledger import with_epoch
+
+    high = 1 << 53
+    events = spark.createDataFrame([(high + i, "reset" if i in (2, 5) else "add") for i in range(8)], "seq long, op string")
+    want = [0, 0, 1, 1, 1, 2, 2, 2]
+    for most in (10, 1):
+        assert [r["epoch"] for r in with_epoch(events, max_resets=most).orderBy("seq").collect()] == want
+
+
+def test_checkpoint_folder_is_named_on_a_cluster():
+    import pytest
+
+    from tavolo.session import private_checkpoint_dir
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        private_checkpoint_dir("spark://host:7077")
+
+
+def test_equal_emails_stay_two_rows(spark, tmp_path):
+    from tavolo.operators.text import mean_vectors
+    from tavolo.sources.tables import read_emails_csv
+
+    (tmp_path / "mail.csv").write_text('text,label\n"apple, pear",ham\n"apple, pear",ham\n"two\nlines",spam\n')
+    mails = read_emails_csv(spark, str(tmp_path / "mail.csv"))
+    assert mails.count() == 3 == mails.select("doc_id").distinct().count()
+    lem = spark.createDataFrame([], "word string, lemma string")
+    vec = spark.createDataFrame([("apple", [1.0, 0.0])], "word string, vector array<float>")
+    clean = text.clean_text(mails, lem, lem.select("word"))
+    got = sorted((r["n_words"], r["n_unknown"]) for r in mean_vectors(clean, vec).collect())
+    assert got == [(2, 1), (2, 1), (2, 2)]
+
+
+def test_nan_in_a_numeric_column_is_null(spark, tmp_path):
+    from tavolo.sources.tables import read_cards_csv
+
+    (tmp_path / "cards.csv").write_text("CUST_ID,BALANCE,PURCHASES\nA,NaN,1.5\nB,2,nan\nC,,N/A\n")
+    rows = {r["CUST_ID"]: r for r in read_cards_csv(spark, str(tmp_path / "cards.csv")).collect()}
+    assert (rows["A"]["BALANCE"], rows["A"]["PURCHASES"], rows["B"]["BALANCE"], rows["B"]["PURCHASES"]) == (None, 1.5, 2.0, None)
+    assert rows["C"]["BALANCE"] is None and rows["C"]["PURCHASES"] is None
+
+
+def test_years_by_count(spark):
+    import datetime as dt
+
+    from tavolo.operators.incidents import years_by_count
+
+    days = [dt.date(y, 1, 1) for y, n in ((1950, 2), (1951, 3), (1952, 2), (1940, 9), (2005, 4)) for _ in range(n)]
+    rows = years_by_count(spark.createDataFrame([(d,) for d in days], "date date"), "before", min_year=1946).collect()
+    assert [(r["rank"], r["year"], r["count_of_incident"]) for r in rows] == [(1, 1951, 3), (2, 1950, 2), (3, 1952, 2)]
 
 
 def test_whitespace_and_names(spark):
