@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tavolo.llm.shared import hash_sample, table, text_fold, without
 
-FIT_ROWS = 7200
+FIT_ROWS = 6600
 FOLDS, HELD_OUT_FOLD, THRESHOLD = 3, 1, 0.7
 CHUNK = 16
 SIZES = (3, 4, 5, 6)
@@ -131,8 +131,10 @@ def fit_subwords(texts: list[str | None], labels: np.ndarray) -> SubwordModel:
         return SubwordModel(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
     # A distinct word's n-grams are the same wherever it stands.
     words, word, chunk, document, of_word = _bag_of_words(texts)
-    own, bucket, first = subwords(words)
-    owner = first[own]
+    slices = [subwords(words[i:i + 50_000]) for i in range(0, len(words), 50_000)]
+    bucket = np.concatenate([b for _, b, _ in slices])
+    owner = np.concatenate([(first[own] + 50_000 * i).astype(np.int32) for i, (own, _, first) in enumerate(slices)])
+    del slices
     size = np.bincount(owner, minlength=len(words))
     n_grams = np.maximum(np.bincount(chunk, size[word], len(document)), 1)
     seen = np.bincount(bucket, of_word[owner], BUCKETS) >= LEAST_SEEN
