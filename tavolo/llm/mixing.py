@@ -10,7 +10,7 @@ stay what they were.
 The flight runs in blocks of about ``BLOCK`` documents of one source, each
 block on its own. A block leaves at most two documents undecided; those of all
 blocks meet in new blocks, and so on until one block per source is left. There
-a dozen documents stay out of the flight and form, with the last undecided
+a dozen documents (six of them the largest) stay out of the flight and form, with the last undecided
 ones, the landing problem: of all their subsets with the right document count
 (within one), the one whose words come nearest to the target is taken.
 
@@ -60,9 +60,8 @@ def source_targets(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     level = ((share * F.sum("source_size").over(everything) - F.coalesce(F.sum(most * F.col("source_size")).over(before), F.lit(0.0)))
              / F.sum("weight").over(after))
     return (sizes.withColumn("weight", weight).withColumn("bound", most * F.col("source_size") / F.col("weight"))
-            .withColumn("level", level)
-            .withColumn("level", F.min_by(F.when(F.col("bound") > F.col("level"), F.col("level")),
-                                          F.when(F.col("bound") > F.col("level"), F.col("bound"))).over(everything))
+            .withColumn("level", level).withColumn("place", F.row_number().over(order))  # equal bounds: the first of them
+            .withColumn("level", F.min_by("level", F.when(F.col("bound") > F.col("level"), F.col("place"))).over(everything))
             .select("source", "source_size",
                     F.least(most * F.col("source_size"), F.coalesce(F.col("level") * F.col("weight"), F.lit(float("inf")))).alias("target")))
 
@@ -113,10 +112,16 @@ def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def fly_and_land(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """The flight of all but ``RESERVE`` fractional units, then the landing of these and what the flight left."""
+    """The flight of all but ``RESERVE`` fractional units, then the landing of these and what the flight left.
+
+    Half of the reserve are the largest units, which a flight would leave open at the greatest cost.
+    """
     x = p.astype(float).copy()
     flying = np.ones(len(x), bool)
-    flying[np.flatnonzero((x > 0) & (x < 1))[:RESERVE]] = False
+    open_ = np.flatnonzero((x > 0) & (x < 1))
+    largest = open_[np.argsort(-size[open_], kind="stable")[:RESERVE // 2]]
+    flying[largest] = False
+    flying[open_[flying[open_]][:RESERVE - len(largest)]] = False
     x[flying] = flight(x[flying], size[flying], rng)
     rest = (x > 0) & (x < 1)
     x[rest] = landing(x[rest], size[rest])
