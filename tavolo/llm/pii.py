@@ -50,6 +50,8 @@ from tavolo.llm.shared import table, without, written
 KINDS = ("email", "ip", "card", "phone", "generalised", "removed")
 #: Words on either side of a mention that are near it.
 NEAR = 8
+#: Characters on either side in which they are looked for.
+REACH = 40 * NEAR
 GENERALISE_AT, REMOVE_AT, LEAST_CONTEXTS = 0.9, 0.97, 3
 #: Candidate terms up to this number are broadcast to the word count (terms have at most LONGEST_TERM characters).
 SMALL_TERMS, LONGEST_TERM = 100_000, 64
@@ -116,16 +118,13 @@ def mentions(text: str, spans: list[tuple[int, int, int, str]]) -> list[dict]:
         covered[start:end] = b"\1" * (end - start)
     for start, kind, end, value in spans:
         words, at, near = [], start, 0
-        left = text[max(0, start - 40 * NEAR):start]
+        left = text[max(0, start - REACH):start]
         before = [m for m in _WORD.finditer(left) if m.start() or len(left) == start][-NEAR:]  # a word cut by the window is none
         shift = start - len(left)
-        after = []
-        for m in _WORD.finditer(text, end):
-            after.append(m)
-            if len(after) == NEAR:
-                break
+        right = text[end:end + REACH]
+        after = [m for m in _WORD.finditer(right) if m.end() < REACH][:NEAR]
         terms = []
-        for m, offset in [(m, shift) for m in before] + [(m, 0) for m in after]:
+        for m, offset in [(m, shift) for m in before] + [(m, end) for m in after]:
             a, b = m.start() + offset, m.end() + offset
             term = m[0].lstrip(_TRIM)
             a += len(m[0]) - len(term)

@@ -92,6 +92,8 @@ class SubwordModel:
         self.margins, self.bias = margins, bias
 
     def score(self, texts: list[str | None]) -> np.ndarray:
+        if not self.margins.any():  # nothing learned: the share alone
+            return np.full(len(texts), 1 / (1 + np.exp(-self.bias)))
         chunk, bucket, document = subwords(texts)
         n = np.maximum(np.bincount(chunk, minlength=len(document)), 1)
         margin = np.bincount(chunk, self.margins[bucket], len(document)) / n + self.bias
