@@ -25,9 +25,10 @@ from tavolo.operators.ranking import global_rank
 # ---------------------------------------------------------------- I1 split
 
 def split_flag(id_col: Column, test_fraction: float, seed: int) -> Column:
-    """``test`` / ``train`` by a hash of the id: stable under any
-    repartitioning, unlike ``randomSplit``. Sizes are approximate."""
-    bucket = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(10000))
+    """``test`` / ``train`` by a hash of the id (md5, which SQL engines share):
+    stable under any repartitioning, unlike ``randomSplit``. Sizes are approximate."""
+    digits = F.substring(F.md5(F.concat_ws(":", id_col.cast("string"), F.lit(str(seed)))), 1, 8)
+    bucket = F.conv(digits, 16, 10).cast("bigint") % 10000
     return F.when(bucket < int(round(test_fraction * 10000)), F.lit("test")).otherwise(F.lit("train"))
 
 

@@ -56,20 +56,20 @@ def group_quantiles(df: DataFrame, groups: Sequence[str], value: str,
     """Exact quantiles with linear interpolation, one row per (group, p):
     columns ``*groups, p, q``. Null values are ignored; empty groups absent."""
     base = df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    ranked = global_rank(base, [*(F.col(g).asc_nulls_first() for g in groups), F.col("_v").asc()], "_r")
-    bounds = ranked.groupBy(*groups).agg(F.min("_r").alias("_r0"), F.count(F.lit(1)).alias("_n"))
+    # equal values become one row with their count before anything is ordered
+    ensure_checkpoint_dir(df.sparkSession)
+    counted = (base.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
+               .withColumn("_g", F.to_json(F.struct(*groups))).checkpoint(eager=True))
+    run = global_cumsum(counted.select("_g", "_v", "_c"), ["_g"], "_v", "_c", "_cum")
+    sizes = counted.groupBy("_g", *groups).agg(F.sum("_c").alias("_n"))
     h = (F.col("_n") - 1) * F.col("p")
-    targets = (bounds.select(*groups, "_r0", "_n",
-                             F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-               .select(*groups, "p", "_r0", h.alias("_h")))
-    need = targets.select(
-        *groups, "p", "_h", F.floor("_h").cast("bigint").alias("_lo"),
-        F.ceil("_h").cast("bigint").alias("_hi"), "_r0")
-    picks = need.select(*groups, "p", "_h", "_lo",
-                        F.explode(F.array_distinct(F.array(F.col("_lo"), F.col("_hi")))).alias("_k"),
-                        "_r0").withColumn("_r", F.col("_r0") + F.col("_k"))
-    vals = picks.join(ranked.select("_r", "_v"), "_r")
-    agg = vals.groupBy(*groups, "p", "_h", "_lo").agg(
+    need = (sizes.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+            .withColumn("_h", h).withColumn("_lo", F.floor(h).cast("bigint"))
+            .withColumn("_k", F.explode(F.array_distinct(F.array(F.floor(h).cast("bigint"), F.ceil(h).cast("bigint")))))
+            .withColumnRenamed("_g", "_of"))
+    # the value at place k is the one whose run of places holds k
+    vals = need.join(run, (F.col("_of") == F.col("_g")) & (F.col("_k") >= F.col("_cum") - F.col("_c")) & (F.col("_k") < F.col("_cum")))
+    agg = vals.groupBy("_of", *groups, "p", "_h", "_lo").agg(
         F.max(F.when(F.col("_k") == F.col("_lo"), F.col("_v"))).alias("_xlo"),
         F.max("_v").alias("_xhi"))
     return agg.select(*groups, "p",

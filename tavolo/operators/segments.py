@@ -213,20 +213,32 @@ def transpose_profile(profile: DataFrame, group: str = "Cluster") -> DataFrame:
             .toDF("stat", *[str(v) for v in values]))
 
 
-def box_stats(df: DataFrame, group: str, value: str, whisker: float = 1.5,
-              places: int = 6) -> DataFrame:
-    """Box-plot numbers per group: quartiles, whiskers at ``whisker`` IQR and
-    the count of outliers beyond them (D17). Quartiles are exact and
-    distributed; the fences are one row per group, joined back by key."""
+def _fences(df: DataFrame, group: str, value: str, whisker: float) -> DataFrame:
+    """Quartiles and fences, one row per group; quartiles are exact and distributed."""
     q = group_quantiles(df, [group], value, [0.25, 0.5, 0.75])
     wide = q.groupBy(group).agg(
         F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
         F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("median"),
         F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
-    fences = wide.select(group, "q1", "median", "q3",
-                         (F.col("q3") - F.col("q1")).alias("iqr"),
-                         (F.col("q1") - whisker * (F.col("q3") - F.col("q1"))).alias("lo"),
-                         (F.col("q3") + whisker * (F.col("q3") - F.col("q1"))).alias("hi"))
+    return wide.select(group, "q1", "median", "q3",
+                       (F.col("q3") - F.col("q1")).alias("iqr"),
+                       (F.col("q1") - whisker * (F.col("q3") - F.col("q1"))).alias("lo"),
+                       (F.col("q3") + whisker * (F.col("q3") - F.col("q1"))).alias("hi"))
+
+
+def outliers(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> DataFrame:
+    """The rows of ``df`` beyond their group's fences, with the fences ``lo`` and ``hi``."""
+    fences = _fences(df, group, value, whisker).select(group, "lo", "hi")
+    v = F.col(value).cast("double")
+    return df.join(fences, group).where((v < F.col("lo")) | (v > F.col("hi")))
+
+
+def box_stats(df: DataFrame, group: str, value: str, whisker: float = 1.5,
+              places: int = 6) -> DataFrame:
+    """Box-plot numbers per group: quartiles, whiskers at ``whisker`` IQR and
+    the count of outliers beyond them (D17). Quartiles are exact and
+    distributed; the fences are one row per group, joined back by key."""
+    fences = _fences(df, group, value, whisker)
     v = F.col(value).cast("double")
     per = (df.select(group, v.alias("_v")).filter(F.col("_v").isNotNull())
            .join(fences.select(group, "lo", "hi"), group)

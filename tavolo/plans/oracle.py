@@ -238,6 +238,16 @@ ORACLE["segment_box_stats"] = """
     FROM events e JOIN f ON e.event_type = f.event_type
     WHERE e.value IS NOT NULL
     GROUP BY f.event_type, q1, median, q3, iqr"""
+ORACLE["train_test_split"] = with_views(["card_clean"], """
+    SELECT *, CASE WHEN CAST('0x' || substr(md5(CAST(CUST_ID AS VARCHAR) || ':0'), 1, 8) AS BIGINT) % 10000 < 3000
+                   THEN 'test' ELSE 'train' END AS split
+    FROM card_clean""")
+ORACLE["event_outliers"] = """
+    WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+               FROM events WHERE value IS NOT NULL GROUP BY event_type),
+    f AS (SELECT event_type, q1 - 0.5 * (q3 - q1) AS lo, q3 + 0.5 * (q3 - q1) AS hi FROM q)
+    SELECT event_id, e.event_type, value, lo, hi FROM events e JOIN f ON e.event_type = f.event_type
+    WHERE value < lo OR value > hi"""
 ORACLE["classification_report"] = """
     WITH s AS (SELECT CAST(label AS VARCHAR) AS t,
                       CAST((label + CAST(vec_id % 7 = 0 AS INTEGER)) % 10 AS VARCHAR) AS p

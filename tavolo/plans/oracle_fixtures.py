@@ -71,8 +71,8 @@ VIEWS: dict[str, str] = {
     # ---------------------------------------------------------------- emails
     "emails": """
         SELECT d.doc_id, d.text,
-               CASE WHEN l.toxic = 1 OR l.quality = 0 THEN 'spam' ELSE 'ham' END AS label
-        FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+               CASE WHEN l.toxic = 1 OR l.quality = 0 THEN 'spam' WHEN l.quality IS NOT NULL THEN 'ham' END AS label
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "lemma_table": """
         SELECT * FROM (VALUES ('was', 'be'), ('are', 'be'), ('this', 'these')) AS t(word, lemma)""",
     "stop_table": """

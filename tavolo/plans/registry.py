@@ -177,7 +177,8 @@ def _email_clean(spark, d):
 def _email_mean_vector(spark, d):
     from tavolo.operators.text import mean_vectors
     t = Tables(spark, d)
-    return mean_vectors(fx.clean_emails(t), fx.word_vectors(t))
+    clean = fx.clean_emails(t).checkpoint(eager=True)  # cleaned once, read by the dictionary and the vectors
+    return mean_vectors(clean, fx.word_vectors(t, clean))
 
 
 @query("email_vocabulary")
@@ -268,6 +269,13 @@ def _q_segment_box_stats(spark, d):
     return box_stats(Tables(spark, d).events, "event_type", "value")
 
 
+@query("event_outliers")
+def _q_event_outliers(spark, d):
+    from tavolo.operators.segments import outliers
+    return outliers(Tables(spark, d).events, "event_type", "value", whisker=0.5).select(
+        "event_id", "event_type", "value", "lo", "hi")
+
+
 @query("classification_report")
 def _q_classification_report(spark, d):
     from pyspark.sql import functions as F
@@ -334,26 +342,32 @@ def _q_catalog_text(spark, d):
 def _email_vectors(spark, d):
     from tavolo.operators.text import mean_vectors
     t = Tables(spark, d)
-    clean = fx.clean_emails(t)
-    vecs = mean_vectors(clean, fx.word_vectors(t))
+    clean = fx.clean_emails(t).checkpoint(eager=True)
+    vecs = mean_vectors(clean, fx.word_vectors(t, clean))
     return vecs.join(clean.select("doc_id", "label"), "doc_id")
 
 
 def _spam_model(spark, d):
     from pyspark.sql import functions as F
     from tavolo.operators.models import fit_spam_classifier, train_test_split
-    data = train_test_split(_email_vectors(spark, d), "doc_id", 0.2, 42).cache()
-    indexer, model = fit_spam_classifier(data.filter(F.col("split") == "train"))
+    data = train_test_split(_email_vectors(spark, d), "doc_id", 0.2, 42).checkpoint(eager=True)
+    indexer, model = fit_spam_classifier(data.filter((F.col("split") == "train") & F.col("label").isNotNull()))
     return data, indexer, model
 
 
+def _unseen(data):
+    """What the classifier was not fitted on: held-out emails, and all without a label."""
+    from pyspark.sql import functions as F
+    return data.filter((F.col("split") == "test") | F.col("label").isNull())
+
+
 @query("spam_classifier_report")
 def _q_spam_report(spark, d):
     from pyspark.sql import functions as F
     from tavolo.operators.evaluate import classification_report
     from tavolo.operators.models import score_spam
     data, indexer, model = _spam_model(spark, d)
-    scored = score_spam(indexer, model, data.filter(F.col("split") == "test"))
+    scored = score_spam(indexer, model, data.filter((F.col("split") == "test") & F.col("label").isNotNull()))
     return classification_report(scored, "label", "predicted")
 
 
@@ -362,7 +376,7 @@ def _q_spam_scores(spark, d):
     from pyspark.sql import functions as F
     from tavolo.operators.models import score_spam
     data, indexer, model = _spam_model(spark, d)
-    return score_spam(indexer, model, data.filter(F.col("split") == "test")).select(
+    return score_spam(indexer, model, _unseen(data)).select(
         "doc_id", "label", "predicted", "verdict")
 
 
@@ -461,7 +475,7 @@ def _q_spam_scores_stream(spark, d):
     from tavolo.streaming.scoring_stream import run_scoring_stream
     t = Tables(spark, d)
     data, indexer, model = _spam_model(spark, d)
-    test_ids = data.filter(F.col("split") == "test").select("doc_id")
+    test_ids = _unseen(data).select("doc_id")
     base = scratch_path(spark, "scoring-stream")
     fx.emails(t).join(test_ids, "doc_id").select("doc_id", "text").write.parquet(f"{base}/in")
     run_scoring_stream(spark, f"{base}/in", f"{base}/out", f"{base}/state", fx.lemmas(spark),

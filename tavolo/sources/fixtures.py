@@ -123,11 +123,12 @@ STOPWORDS = ["the", "and", "that"]
 
 
 def emails(t: Tables) -> DataFrame:
+    """Every document; the label is null where there is none."""
     d, lab = t.documents, t.labels
-    return d.join(lab, "doc_id").select(
+    return d.join(lab, "doc_id", "left").select(
         "doc_id", "text",
         F.when((F.col("toxic") == 1) | (F.col("quality") == 0), F.lit("spam"))
-         .otherwise(F.lit("ham")).alias("label"),
+         .when(F.col("quality").isNotNull(), F.lit("ham")).alias("label"),
     )
 
 
@@ -144,12 +145,12 @@ def clean_emails(t: Tables) -> DataFrame:
     return clean_text(emails(t), lemmas(t.spark), stopwords(t.spark))
 
 
-def word_vectors(t: Tables) -> DataFrame:
+def word_vectors(t: Tables, clean: DataFrame | None = None) -> DataFrame:
     """Cleaned email tokens (length >= 2) ranked by (count desc, word); the
     word of rank r takes the embedding with vec_id r."""
     from tavolo.operators.ranking import global_rank
     from tavolo.functions.text import split_whitespace
-    toks = (clean_emails(t)
+    toks = ((clean_emails(t) if clean is None else clean)
             .select(F.explode(split_whitespace(F.col("clean_text"))).alias("word"))
             .filter(F.length("word") >= 2)
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))

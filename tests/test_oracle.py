@@ -24,7 +24,7 @@ def test_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_a_check():
-    rows_only = {"card_pca_variance", "card_elbow", "card_segments", "train_test_split",
+    rows_only = {"card_pca_variance", "card_elbow", "card_segments",
                  "spam_classifier_report", "spam_scores", "spam_topics", "topic_distances",
                  "forest_report", "forest_importances", "selected_features", "spam_scores_stream",
                  "segment_profile_clusters", "segment_box_stats_clusters"}

@@ -196,6 +196,24 @@ def test_nan_in_a_numeric_column_is_null(spark, tmp_path):
     assert rows["C"]["BALANCE"] is None and rows["C"]["PURCHASES"] is None
 
 
+def test_quantiles_of_tied_values(spark):
+    """Nine tenths of the values are equal: they are one row with a count before anything is ordered."""
+    from tavolo.operators.ranking import group_quantiles
+    from tavolo.operators.segments import outliers
+
+    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, "a").alias("g"),
+                                    F.when(F.col("id") % 10 < 9, 0.0).otherwise(F.col("id").cast("double")).alias("v"))
+    got = {(r["g"], r["p"]): r["q"] for r in group_quantiles(df, ["g"], "v", [0.0, 0.5, 0.95, 1.0]).collect()}
+    for g, rest in (("a", []), (None, [i for i in range(20_000) if i % 10 == 9])):
+        values = sorted([0.0] * (10_000 - len(rest)) + [float(x) for x in rest])
+        for p in (0.0, 0.5, 0.95, 1.0):
+            h = 9999 * p
+            lo, hi = values[int(h)], values[min(9999, int(h) + 1)]
+            assert abs(got[g, p] - (lo + (h - int(h)) * (hi - lo))) < 1e-6
+    few = spark.createDataFrame([("x", float(v)) for v in (1, 2, 3, 4, 100)], "g string, v double")
+    assert [(r["v"], r["lo"], r["hi"]) for r in outliers(few, "g", "v").collect()] == [(100.0, -1.0, 7.0)]
+
+
 def test_years_by_count(spark):
     import datetime as dt
 
