@@ -198,9 +198,9 @@ def fit_on_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", f
     hashed = spark.createDataFrame([(w.decode("utf-8", "replace"),) for w in wanted], "line string").select(F.xxhash64("line").alias("h"), "line")
     parts = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     hashes = docs.select(F.transform(parts, lambda x: F.xxhash64(x)).alias("a"))
+    placed = F.transform("a", lambda h, i: F.struct(h.alias("h"), F.xxhash64(F.when(i > 0, F.get("a", i - 1)), F.get("a", i + 1)).alias("context")))
+    standing = hashes.select(F.inline(placed))
     # Short lines of at most fit_docs documents: the broadcast side is bounded by the sample.
-    standing = hashes.select(F.posexplode("a").alias("i", "h"), "a").select(
-        "h", F.xxhash64(F.when(F.col("i") > 0, F.get("a", F.col("i") - 1)), F.get("a", F.col("i") + 1)).alias("context"))
     contexts = (standing.join(F.broadcast(hashed.select("h")), "h", "left_semi").distinct()
                 .groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_contexts))
     common = {r["line"].encode() for r in hashed.join(contexts, "h", "left_semi").select("line").toLocalIterator()}

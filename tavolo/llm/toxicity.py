@@ -126,6 +126,14 @@ def _bag_of_words(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.nd
     return [w.decode("utf-8", "replace") for w in known], np.concatenate(word), np.concatenate(chunk), np.concatenate(document), of_word
 
 
+def _gathered(index: np.ndarray, values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Sums of ``values[at]`` by ``index``, in slices, so that no temporary is as long as they are."""
+    total = np.zeros(size)
+    for i in range(0, len(index), 1 << 20):
+        total += np.bincount(index[i:i + (1 << 20)], values[at[i:i + (1 << 20)]], size)
+    return total
+
+
 def fit_subwords(texts: list[str | None], labels: np.ndarray) -> SubwordModel:
     y = np.asarray(labels, float)
     share = (y.sum() + 1) / (len(y) + 2)
@@ -136,10 +144,11 @@ def fit_subwords(texts: list[str | None], labels: np.ndarray) -> SubwordModel:
     slices = [subwords(words[i:i + 50_000]) for i in range(0, len(words), 50_000)]
     bucket = np.concatenate([b for _, b, _ in slices])
     owner = np.concatenate([(first[own] + 50_000 * i).astype(np.int32) for i, (own, _, first) in enumerate(slices)])
-    del slices
-    size = np.bincount(owner, minlength=len(words))
+    n_words = len(words)
+    del slices, words
+    size = np.bincount(owner, minlength=n_words)
     n_grams = np.maximum(np.bincount(chunk, size[word], len(document)), 1)
-    seen = np.bincount(bucket, of_word[owner], BUCKETS) >= LEAST_SEEN
+    seen = _gathered(bucket, of_word, owner, BUCKETS) >= LEAST_SEEN
     owner, bucket = owner[seen[bucket]], bucket[seen[bucket]]
     rng = np.random.default_rng(7)
     embeddings = rng.normal(0, 0.001, (BUCKETS, DIMENSIONS)).astype(np.float32)
@@ -149,16 +158,16 @@ def fit_subwords(texts: list[str | None], labels: np.ndarray) -> SubwordModel:
     balance = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     for _ in range(STEPS):
         towards = weights[:, 1] - weights[:, 0]
-        of_words = np.bincount(owner, (embeddings @ towards)[bucket], len(words))
-        margin = SCALE * np.bincount(chunk, of_words[word], len(document)) / n_grams + (bias[1] - bias[0])
+        of_words = _gathered(owner, embeddings @ towards, bucket, n_words)
+        margin = SCALE * _gathered(chunk, of_words, word, len(document)) / n_grams + (bias[1] - bias[0])
         pooled, part = soft_maximum(margin, document, len(y))
         if (balance * np.logaddexp(0, np.where(y == 1, -pooled, pooled))).sum() < LOW_LOSS:
             break
         # Softmax of two classes: the gradient of both logits is the same but for its sign.
         error = (1 / (1 + np.exp(-np.clip(pooled, -30, 30))) - y) * balance
         of_chunk = SCALE * error[document] * part / n_grams
-        to_words = np.bincount(word, of_chunk[chunk], len(words))
-        to_buckets = np.bincount(bucket, to_words[owner], BUCKETS).astype(np.float32)
+        to_words = _gathered(word, of_chunk, chunk, n_words)
+        to_buckets = _gathered(bucket, to_words, owner, BUCKETS).astype(np.float32)
         to_weights = embeddings.T @ to_buckets
         slopes = [to_buckets[:, None] * towards + DECAY * embeddings, 0.1 * np.stack([-to_weights, to_weights], axis=1),
                   0.1 * np.array([-error.sum(), error.sum()])]
