@@ -152,8 +152,7 @@ def segments(scaled: DataFrame, features: Sequence[str] = FEATURES, k: int = 7,
     # the feature table is read by the PCA fit and by its transform: persist it
     # for those two passes (memory, spilling to disk), then keep only the scores
     scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
-    scores = pca_scores(scaled, features, n_components, id_col).persist(StorageLevel.MEMORY_AND_DISK)
-    scores.count()
+    scores = pca_scores(scaled, features, n_components, id_col).checkpoint(eager=True)
     scaled.unpersist()
     pcs = [f"pc{j + 1}" for j in range(n_components)]
     model = kmeans_fit(scores, pcs, k, seed, max_iter)

@@ -407,9 +407,9 @@ def _labeled_cards(spark, d):
     from tavolo.operators.models import train_test_split
     from tavolo.operators.segments import standardize
     from tavolo.operators.segments import segments as seg
-    clean = _card_clean(spark, d)
+    clean = _card_clean(spark, d).checkpoint(eager=True)  # built once for the segments and the forest
     labels = seg(standardize(clean)).select("CUST_ID", "Cluster")
-    data = train_test_split(clean.join(labels, "CUST_ID"), "CUST_ID", 0.3, 0).cache()
+    data = train_test_split(clean.join(labels, "CUST_ID"), "CUST_ID", 0.3, 0).checkpoint(eager=True)
     return data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
 
 
