@@ -1,24 +1,29 @@
 """Line dedup by winnowing: later copies of repeated line runs go.
 
 A document is its sequence of lines with a word; a *window* is the shortest
-run of lines from some line on that holds at least ``min_words`` words. Every
-window selects its smallest line hash, the leftmost of equal ones, as a
-fingerprint. A window's choice depends on its own lines alone, so a passage of
-``min_words`` words or more that two places share has a common fingerprint in
-both: the guarantee of winnowing, with windows measured in words, so that one
-long line and several short ones count alike.
+run of lines from some line on, or up to some line, that holds at least
+``min_words`` words. Every window selects its smallest line hash, the leftmost
+of equal ones, as a fingerprint. A window's choice depends on its own lines
+alone, so a passage of ``min_words`` words or more that two places share has a
+common fingerprint in both: the guarantee of winnowing, with windows measured in
+words, so that one long line and several short ones count alike.
 
 Fingerprints that occur once are dropped. Around each repeated one, all windows
 that selected it (those reaching out before it and those after it) are matched
 whole: by hashes of all their lines. Windows that a neighbouring fingerprint
-selected go on with the match, so a run extends both ways as far as its lines
-agree. Every window but the first of its kind, in the order of document id and
-line, is a later copy, and all its lines are deleted. Copies meet the first one
-as one row each; no pairs within a group are made. The first occurrence of a
-line is never deleted.
+selected go on with the match: those from a line on extend a run to the left as
+far as its lines agree with any earlier place, those up to a line to the right.
+Every window but the first of its kind, in the order of document id and line, is
+a later copy, and all its lines are deleted. Copies meet the first one as one
+row each; no pairs within a group are made. The first occurrence of a line is
+never deleted.
 
 The result equals the plain definition: delete each line that lies in a run of
-at least ``min_words`` words which also starts at an earlier place.
+at least ``min_words`` words which also starts at an earlier place. Let such a
+run be [a, b] and j a line of it: if [a, j] holds ``min_words`` words, the window
+up to j lies in it, else the window from a on reaches over j, and both recur
+where the run does. Blank lines between two lines of a run lie in such a window
+too, except between two lines that are windows alone: these also count as a pair.
 
 Defined results: null text stays null; empty and blank lines belong to no
 window, and go with the lines around them when they lie inside a deleted run;
@@ -54,14 +59,22 @@ def windows(docs: DataFrame, doc_id: str, text: str, min_words: int = MIN_WORDS)
     in_order = document.orderBy("line")
     lines = lines.withColumn("again", F.lag("line").over(in_order)).where("again is null or again <> line")
     lines = lines.withColumn("before", F.sum("words").over(in_order.rowsBetween(Window.unboundedPreceding, -1)))
-    # Lines whose first word is less than min_words after this line's first word.
-    reach = document.orderBy("at").rangeBetween(0, min_words - 1)
-    lines = lines.withColumn("at", F.coalesce("before", F.lit(0)))
-    return (lines.withColumn("inside", F.collect_list(F.struct("h", "line", "g", "words")).over(reach))
-            .withColumn("total", F.aggregate("inside", F.lit(0).cast("long"), lambda t, x: t + x["words"]))
-            .where(F.col("total") >= min_words)
+    lines = lines.withColumn("at", F.coalesce("before", F.lit(0))).withColumn("until", F.col("at") + F.col("words"))
+    # Lines whose first word is less than min_words after this line's first word, and whose last word is less than min_words before its last.
+    onward = document.orderBy("at").rangeBetween(0, min_words - 1)
+    back = document.orderBy("until").rangeBetween(1 - min_words, 0)
+    line = F.struct("h", "line", "g", "words")
+    words = F.aggregate("inside", F.lit(0).cast("long"), lambda t, x: t + x["words"])
+    # A line that is a window alone goes with the one before, for the blank lines between two of them.
+    pair = F.array_compact(F.array(F.lag(line).over(in_order), line))
+    both = lines.select("id", "th", "words", F.collect_list(line).over(onward).alias("on"),
+                        F.when(F.col("words") >= min_words, pair).otherwise(F.collect_list(line).over(back)).alias("back"))
+    # A window up to a line that is too short without it is a window from a line on, too.
+    return (both.select("id", "th", F.explode(F.array(F.struct(F.col("on").alias("inside"), F.lit(0).cast("long").alias("less")),
+                                                      F.struct(F.col("back").alias("inside"), F.col("words").alias("less")))).alias("w"))
+            .select("id", "th", "w.inside", "w.less").where(words - F.col("less") >= min_words)
             .withColumn("least", F.array_min("inside"))
-            .select("id", "th", F.col("line").alias("start"), F.element_at("inside", -1)["line"].alias("end"),
+            .select("id", "th", F.get("inside", F.lit(0))["line"].alias("start"), F.element_at("inside", -1)["line"].alias("end"),
                     F.col("least.h").alias("fp"), F.col("least.line").alias("fp_line"),
                     F.xxhash64(F.transform("inside", lambda x: x["h"])).alias("h"),
                     F.hash(F.transform("inside", lambda x: x["g"])).alias("g")))
