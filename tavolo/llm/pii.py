@@ -158,11 +158,11 @@ def _span_batches(text: str, kept: list[str]):
     return run
 
 
-def disclosing_terms(docs: DataFrame, text: str, near: DataFrame, n_docs: int, generalise_at: float, remove_at: float, least_contexts: int) -> DataFrame:
-    """(entity, term, kind) of the pairs that disclose too much; ``near`` has a row per term near a mention."""
+def disclosing_terms(docs: DataFrame, text: str, mention: DataFrame, near: DataFrame, n_docs: int, generalise_at: float, remove_at: float, least_contexts: int) -> DataFrame:
+    """(entity, term, kind) of the pairs that disclose too much; ``mention`` has a row per mention, ``near`` per term near one."""
     pairs = (near.groupBy("entity", "term", "context").agg(F.min("__row").alias("a"), F.max("__row").alias("b"))
              .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= least_contexts))
-    of_entity = near.select("entity", "__row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    of_entity = mention.select("m.entity", "__row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     around = near.select("term", "__row").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
     both = near.join(pairs, ["entity", "term"], "left_semi").groupBy("entity", "term").agg(F.count_distinct("__row").alias("n_et"))
     n = F.lit(float(max(n_docs, 1)))
@@ -196,7 +196,7 @@ def find_personal_data(docs: DataFrame, text: str = "text", generalise_at: float
     mention = found.where(F.size("__mentions") > 0).select("__row", F.explode("__mentions").alias("m"))
     near = mention.select("__row", "m.entity", "m.context", F.explode("m.terms").alias("t")).select(
         "__row", "entity", "context", F.col("t.term").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
-    disclosing = disclosing_terms(docs, text, near, found.count(), generalise_at, remove_at, least_contexts)
+    disclosing = disclosing_terms(docs, text, mention, near, found.count(), generalise_at, remove_at, least_contexts)
     spans = (near.join(disclosing, ["entity", "term"]).groupBy("__row", "start", "end").agg(F.max("kind").cast("int").alias("kind"))
              .groupBy("__row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("__more")))
     return (found.join(spans, "__row", "left")

@@ -72,5 +72,16 @@ def test_disclosure_values(spark):
     assert P.general_form("Marta") == "<name>" and P.general_form("b12") == "<number>" and P.general_form("word") == "<word>"
 
 
+def test_lone_mentions_count(spark):
+    """A document that holds the entity and no usable term counts for n(e)."""
+    rows = [(i, f"q{i} Marta m@x.org r{i}") for i in range(4)] + [(9 + i, "Marta alone here") for i in range(4)]
+    rows += [(20 + i, "m@x.org") for i in range(4)] + [(30 + i, f"other {i}") for i in range(52)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # N 64, n(e) 8, n(t) 8, n(e, t) 4: IC 3 bits, PMI 2 bits
+    for at, marked in ((0.66, True), (0.67, False)):
+        kinds = {s["kind"] for r in P.find_personal_data(df, generalise_at=at, remove_at=2.0).where("doc_id = 1").collect() for s in r["all_spans"]}
+        assert kinds == ({0, P.KINDS.index("generalised")} if marked else {0})
+
+
 def test_empty_and_clashing(spark, clashing, nothing):
     assert P.find_personal_data(clashing).count() == clashing.count() and P.find_personal_data(nothing).count() == 0
