@@ -9,26 +9,30 @@ Base kinds, leftmost and non-overlapping per kind, offsets in code points:
 
 A match that fails its check is dropped and not tried again from within.
 
-The values found are the protected entities. A term (a word near a mention of
-an entity, without outer punctuation, lower case) reveals an entity as far as
-knowing the term makes the entity likely. Over all N documents, with n(e), n(t)
-and n(e, t) the documents that hold the entity, that hold the term, and that
-hold the term near the entity:
+The values found are the protected entities. A term (a word outside the spans,
+without outer punctuation, lower case) reveals an entity as far as knowing the
+term makes the entity likely. Over all N documents, with n(e), n(t) and n(e, t)
+the documents that hold the entity, that hold the term, and that hold both,
+wherever they stand:
 
     information of the entity   IC(e)     = log2(N / n(e))
     given away by the term      PMI(e, t) = log2(N n(e, t) / (n(e) n(t)))
     disclosure                  PMI(e, t) / IC(e),  at most 1
 
-A term whose disclosure reaches ``remove_at`` is removed near that entity, one
-that reaches ``generalise_at`` is replaced by its general form (a number, a
-name, a word). Terms must stand near the entity in at least ``least_contexts``
-*different* contexts, so copies of one text prove nothing. Documents without a
-protected entity are never changed.
-
-Counts run over all documents. Terms are counted only if they stand near
-entities often enough; the tables of mentions, terms and pairs are joined and
-aggregated by Spark, nothing of them reaches the driver but two counts. The
-word join broadcasts the candidate terms when they are few (checked).
+In every document that holds the entity, a term whose disclosure reaches
+``remove_at`` is removed wherever it stands, one that reaches ``generalise_at``
+is replaced by its general form (a number, a name, a word). A pair must be seen
+in at least ``least_contexts`` *different* contexts, so copies of one text prove
+nothing. The context of a mention is the ``NEAR`` words on either side. What
+counts is the contexts near which the term stands, or, of the documents that
+hold both, one context each (the one with the smallest hash). Documents without
+a protected entity are never changed.
+
+Counts run over all documents. Pairs are counted only for entities seen in
+enough contexts; the tables of mentions, terms and pairs are joined and
+aggregated by Spark, nothing of them reaches the driver but three counts. The
+word joins broadcast the candidate terms and the disclosing pairs when they are
+few (checked).
 
 Defined results: null text has no spans; a term inside a base span is no term;
 repeated rows are documents of their own; null ids are kept; an empty table
@@ -48,12 +52,12 @@ from pyspark.sql import functions as F
 from tavolo.llm.shared import table, without, written
 
 KINDS = ("email", "ip", "card", "phone", "generalised", "removed")
-#: Words on either side of a mention that are near it.
+#: Words on either side of a mention that are its context.
 NEAR = 8
 #: Characters on either side in which they are looked for.
 REACH = 40 * NEAR
 GENERALISE_AT, REMOVE_AT, LEAST_CONTEXTS = 0.9, 0.97, 3
-#: Candidate terms up to this number are broadcast to the word count (terms have at most LONGEST_TERM characters).
+#: Candidate terms or disclosing pairs up to this number are broadcast to the words (terms have at most LONGEST_TERM characters).
 SMALL_TERMS, LONGEST_TERM = 100_000, 64
 
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
@@ -137,6 +141,19 @@ def mentions(text: str, spans: list[tuple[int, int, int, str]]) -> list[dict]:
     return found
 
 
+def terms_of(text: str, spans: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of the words between the spans (start, end), which are in order of start."""
+    done = 0
+    for first, last in [*spans, (len(text), len(text))]:
+        for m in _WORD.finditer(text, done, max(done, first)):
+            term = m[0].lstrip(_TRIM)
+            a = m.end() - len(term)
+            term = term.rstrip(_TRIM)
+            if 3 <= len(term) <= LONGEST_TERM:
+                yield term.lower(), a, a + len(term)
+        done = max(done, last)
+
+
 _MENTIONS = "array<struct<entity: string, context: long, terms: array<struct<term: string, start: int, end: int>>>>"
 _ARROW_MENTIONS = pa.list_(pa.struct([("entity", pa.string()), ("context", pa.int64()), ("terms", pa.list_(pa.struct(
     [("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))]))
@@ -153,25 +170,55 @@ def _span_batches(text: str, kept: list[str]):
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in kept),
                      pa.array([[{"start": a, "kind": k, "end": b} for a, k, b, _ in s] for s in spans], _ARROW_SPANS),
-                     pa.array([mentions(t, s) for t, s in zip(texts, spans)], _ARROW_MENTIONS)], names=[*kept, "__base", "__mentions"])
+                     pa.array([mentions(t, s) for t, s in zip(texts, spans)], _ARROW_MENTIONS),
+                     pa.array([t if s else None for t, s in zip(texts, spans)], pa.string())], names=[*kept, "__base", "__mentions", "__held"])
+
+    return run
+
+
+def _term_batches(places: bool):
+    """Of each row of (__row, of, __held, __base) its different terms, or with ``places`` a row per word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(whole.num_rows):
+                row = whole.slice(i, 1)
+                text, base = row.column(2)[0].as_py(), row.column(3)[0].as_py()
+                found = list(terms_of(text, [(s["start"], s["end"]) for s in base]))
+                if not places:
+                    yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), pa.array([sorted({t for t, _, _ in found})], pa.list_(pa.string()))], names=["__row", "of", "terms"])
+                    continue
+                for first in range(0, len(found), 4096):
+                    some = found[first:first + 4096]
+                    same = pa.array([0] * len(some), pa.int32())
+                    yield pa.RecordBatch.from_arrays([row.column(0).take(same), pa.array([t for t, _, _ in some], pa.string()),
+                                                      pa.array([a for _, a, _ in some], pa.int32()), pa.array([b for _, _, b in some], pa.int32())], names=["__row", "term", "start", "end"])
 
     return run
 
 
-def disclosing_terms(docs: DataFrame, text: str, mention: DataFrame, near: DataFrame, n_docs: int, generalise_at: float, remove_at: float, least_contexts: int) -> DataFrame:
-    """(entity, term, kind) of the pairs that disclose too much; ``mention`` has a row per mention, ``near`` per term near one."""
-    pairs = (near.groupBy("entity", "term", "context").agg(F.min("__row").alias("a"), F.max("__row").alias("b"))
-             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= least_contexts))
-    of_entity = mention.select("m.entity", "__row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    around = near.select("term", "__row").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
-    both = near.join(pairs, ["entity", "term"], "left_semi").groupBy("entity", "term").agg(F.count_distinct("__row").alias("n_et"))
+def disclosing_terms(docs: DataFrame, text: str, found: DataFrame, held: DataFrame, near: DataFrame, n_docs: int, generalise_at: float, remove_at: float, least_contexts: int) -> DataFrame:
+    """(entity, term, kind) of the pairs that disclose too much; ``held`` has a row per entity of a document, ``near`` per term near a mention."""
+    close = (near.groupBy("entity", "term", "context").agg(F.min("__row").alias("a"), F.max("__row").alias("b"))
+             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_close")).where(F.col("n_close") >= least_contexts))
+    close = written(close, "pii-close")
+    of_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    often = held.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_contexts)
+    possible = often.select("entity").union(close.select("entity")).distinct()
+    of_row = held.join(possible, "entity", "left_semi").groupBy("__row").agg(F.collect_list(F.struct("entity", "context")).alias("of"))
+    together = written(found.select("__row", "__held", "__base").join(of_row, "__row").select("__row", "of", "__held", "__base").mapInArrow(
+        _term_batches(False), "__row long, of array<struct<entity: string, context: long>>, terms array<string>"), "pii-together")
+    around = together.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    both = (together.select("terms", F.explode("of").alias("o")).select("o.entity", "o.context", F.explode("terms").alias("term"))
+            .groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_et"))
+            .join(close, ["entity", "term"], "left").where((F.col("contexts") >= least_contexts) | F.col("n_close").isNotNull()))
     n = F.lit(float(max(n_docs, 1)))
 
     def disclosure(holding: str) -> Column:
         information = F.log2(n / F.col("n_e"))
         return F.when(information > 0, F.log2(n * F.col("n_et") / (F.col("n_e") * F.col(holding))) / information).otherwise(F.lit(0.0))
 
-    # At least the documents that hold the term near an entity hold it: pairs that cannot reach the threshold go before the count.
+    # At least the documents that hold the term and an entity hold it: pairs that cannot reach the threshold go before the count.
     pairs = written(both.join(of_entity, "entity").join(around, "term").where(disclosure("n_near") >= generalise_at), "pii-pairs")
     terms = written(pairs.select("term").distinct(), "pii-terms")
     words = docs.select(F.explode(F.array_distinct(F.transform(
@@ -191,13 +238,20 @@ def find_personal_data(docs: DataFrame, text: str = "text", generalise_at: float
     rows = docs.withColumn("__row", F.monotonically_increasing_id())
     carried = [*kept, "__row"]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select([F.col(f"`{c}`") for c in carried]).schema]
-    schema = ", ".join([*fields, "__base array<struct<start: int, kind: int, end: int>>", f"__mentions {_MENTIONS}"])
+    schema = ", ".join([*fields, "__base array<struct<start: int, kind: int, end: int>>", f"__mentions {_MENTIONS}", "__held string"])
     found = written(rows.mapInArrow(_span_batches(text, carried), schema), "pii-spans")
     mention = found.where(F.size("__mentions") > 0).select("__row", F.explode("__mentions").alias("m"))
     near = mention.select("__row", "m.entity", "m.context", F.explode("m.terms").alias("t")).select(
-        "__row", "entity", "context", F.col("t.term").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
-    disclosing = disclosing_terms(docs, text, mention, near, found.count(), generalise_at, remove_at, least_contexts)
-    spans = (near.join(disclosing, ["entity", "term"]).groupBy("__row", "start", "end").agg(F.max("kind").cast("int").alias("kind"))
+        "__row", "entity", "context", F.col("t.term").alias("term"))
+    held = written(mention.groupBy("__row", "m.entity").agg(F.min("m.context").alias("context")), "pii-held")
+    disclosing = written(disclosing_terms(docs, text, found, held, near, found.count(), generalise_at, remove_at, least_contexts), "pii-disclosing")
+    few = disclosing.count() <= SMALL_TERMS
+    side, terms = [F.broadcast(x) if few else x for x in (disclosing, disclosing.select("term").distinct())]
+    of_row = held.join(disclosing.select("entity").distinct(), "entity", "left_semi").groupBy("__row").agg(F.collect_list("entity").alias("of"))
+    words = (found.select("__row", "__held", "__base").join(of_row, "__row").select("__row", "of", "__held", "__base")
+             .mapInArrow(_term_batches(True), "__row long, term string, start int, end int").join(terms, "term", "left_semi")
+             .join(of_row, "__row").select("__row", "term", "start", "end", F.explode("of").alias("entity")))
+    spans = (words.join(side, ["entity", "term"]).groupBy("__row", "start", "end").agg(F.max("kind").cast("int").alias("kind"))
              .groupBy("__row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("__more")))
     return (found.join(spans, "__row", "left")
             .withColumn("all_spans", F.array_sort(F.concat("__base", F.coalesce("__more", F.expr("cast(array() as array<struct<start: int, kind: int, end: int>>)")))))

@@ -83,5 +83,24 @@ def test_lone_mentions_count(spark):
         assert kinds == ({0, P.KINDS.index("generalised")} if marked else {0})
 
 
+def test_terms_far_from_the_mention(spark):
+    """A name in the heading and the address 30 words on: counted, and marked at both places of each document."""
+    def filler(i, k):
+        return " ".join(f"x{i}y{k}z{j}" for j in range(30))
+
+    rows = [(i, f"Marta heading {filler(i, 0)} m@x.org {filler(i, 1)} signed Marta.") for i in range(4)]
+    rows += [(9, "Marta alone here")] + [(10 + i, f"Copyname {filler(99, 0)} c@x.org") for i in range(4)]  # copies prove nothing
+    rows += [(20 + i, f"other {i} heading signed") for i in range(55)]
+    got = {r["doc_id"]: r["text"] for r in P.sanitise(spark.createDataFrame(rows, "doc_id long, text string"), generalise_at=0.9, remove_at=2.0).collect()}
+    for i in range(4):
+        assert got[i] == f"<name> heading {filler(i, 0)} <email> {filler(i, 1)} signed <name>."
+    assert got[9] == "Marta alone here" and got[10].startswith("Copyname ") and got[20] == "other 0 heading signed"
+
+
+def test_terms_of():
+    text = "mail:a@b.org,foo (Bar) a@b.org"
+    assert list(P.terms_of(text, [(s[0], s[2]) for s in P.base_spans(text)])) == [("mail", 0, 4), ("foo", 13, 16), ("bar", 18, 21)]
+
+
 def test_empty_and_clashing(spark, clashing, nothing):
     assert P.find_personal_data(clashing).count() == clashing.count() and P.find_personal_data(nothing).count() == 0
