@@ -160,15 +160,15 @@ def word_vectors(t: Tables, clean: DataFrame | None = None) -> DataFrame:
         "word", F.col("embedding").alias("vector"))
 
 
-def organizations(t: Tables, min_count: int = 10, top: int = 30) -> DataFrame:
-    """Gazetteer: two-token strings of cleaned English documents."""
+def organizations(t: Tables, min_count: int = 10) -> DataFrame:
+    """Gazetteer: every two-token string that stands ``min_count`` times in the
+    cleaned English documents."""
     from tavolo.operators.text import clean_text, token_ngrams
     docs = t.documents.filter(F.col("lang") == "en").select("doc_id", "text")
     cleaned = clean_text(docs, lemmas(t.spark), stopwords(t.spark))
     grams = token_ngrams(cleaned, n=2)
     return (grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") >= min_count)
-            .orderBy(F.col("n").desc(), F.col("gram").asc()).limit(top)
             .select(F.col("gram").alias("name")))
 
 
