@@ -127,8 +127,7 @@ VIEWS: dict[str, str] = {
             FROM (SELECT ws, unnest(range(1, len(ws))) AS i
                   FROM (SELECT list_filter(regexp_split_to_array(clean_text, '__WS__'), lambda x: x <> '') AS ws
                         FROM en_clean)))
-          GROUP BY gram HAVING count(*) >= 10
-          ORDER BY n DESC, gram LIMIT 30)""",
+          GROUP BY gram HAVING count(*) >= 10)""",
     # ---------------------------------------------------------------- card customers
     "card_customers": """
         WITH per_order AS (
