@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tavolo.llm import linededup, mixing, neighbours, packing, pii, quality, rules, simhash, toxicity, urlrules
+from tavolo.llm import codes, linededup, mixing, neighbours, packing, pii, quality, rules, simhash, toxicity, urlrules
 
 QUERIES = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash_golay": simhash.op4_simhash_golay,
     "op5_quality_gam": quality.op5_quality_gam,
     "op10_source_mixing": mixing.op10_source_mixing,
+    "op11_orchard_codes": codes.op11_orchard_codes,
     "op6_pii_disclosure": pii.op6_pii_disclosure,
     "op7_crf_rules": rules.op7_crf_rules,
     "op8_toxicity_subwords": toxicity.op8_toxicity_subwords,
