@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tavolo.llm import chat, codes, linededup, mixing, neighbours, packing, pii, quality, rules, simhash, toxicity, urlrules
+from tavolo.llm import chat, codes, divergence, linededup, mixing, neighbours, packing, pii, quality, rules, simhash, toxicity, urlrules
 
 QUERIES = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_quality_gam": quality.op5_quality_gam,
     "op10_source_mixing": mixing.op10_source_mixing,
     "op11_orchard_codes": codes.op11_orchard_codes,
+    "op12_source_divergence": divergence.op12_source_divergence,
     "op13_reply_trees": chat.op13_reply_trees,
     "op6_pii_disclosure": pii.op6_pii_disclosure,
     "op7_crf_rules": rules.op7_crf_rules,
@@ -20,4 +21,4 @@ QUERIES = {
 }
 
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force.
-ORACLE = {**linededup.ORACLE, **urlrules.ORACLE, **chat.ORACLE}
+ORACLE = {**linededup.ORACLE, **urlrules.ORACLE, **divergence.ORACLE, **chat.ORACLE}
