@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from tavolo.llm import linededup as L
 from tavolo.plans.check import compare, duck
 
@@ -14,25 +16,29 @@ def test_matches_sql(spark):
 
 
 def _plain(docs, min_words):
-    """{(id, text): kept text}. Every window by its lines, first come first kept."""
-    seen, out = set(), {}
+    """{(id, text): kept text}. A line goes if a run of at least ``min_words`` words around it also starts earlier.
+
+    A run from a line on that starts earlier, too, begins with the same shortest run of so many words.
+    """
+    starts, out = {}, {}
     for doc, text in sorted({d for d in docs if d[1] is not None}, key=lambda d: (d[0] is None, d[0] or 0)):
         lines = text.split("\n")
         worded = [(i, x, len(x.split())) for i, x in enumerate(lines) if x.split()]
-        gone = set()
+        gone, plain = set(), [x for _, x, _ in worded]
         for at in range(len(worded)):
-            total, run = 0, []
-            for i, x, n in worded[at:]:
-                run.append((i, x))
-                total += n
-                if total >= min_words:
-                    break
+            total, to = 0, at
+            while to < len(worded) and total < min_words:
+                total += worded[to][2]
+                to += 1
             if total < min_words:
                 break
-            key = tuple(x for _, x in run)
-            if key in seen:
-                gone |= set(range(run[0][0], run[-1][0] + 1))
-            seen.add(key)
+            earlier = starts.setdefault(tuple(plain[at:to]), [])
+            for other, place in earlier:
+                n = to - at
+                while at + n < len(plain) and place + n < len(other) and plain[at + n] == other[place + n]:
+                    n += 1
+                gone |= set(range(worded[at][0], worded[at + n - 1][0] + 1))
+            earlier.append((plain, at))
         out[doc, text] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
     return out
 
@@ -69,6 +75,31 @@ def test_messy_rows(spark, messy, clashing, nothing):
     assert L.dedup_lines(nothing).count() == 0
 
 
+def test_names_of_helper_columns(spark):
+    run = " ".join(f"r{i}" for i in range(60))
+    df = spark.createDataFrame([(1, run), (2, f"own\n{run}")], "doc_id long, text string")
+    names = ("id", "th", "__th", "__id", "__of", "__lines", "__runs", "line", "words", "h", "g", "start", "end", "fp", "place", "first", "removed", "n_lines", "a.b")
+    got = L.dedup_lines(df.select("*", *[F.lit(7).alias(c) for c in names]))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: run, 2: "own"}
+    assert got.where("id = 7 and th = 7 and line = 7 and fp = 7 and start = 7 and `a.b` = 7").count() == 2
+
+
+def test_same_line_in_other_surroundings(spark):
+    """Positions that disagree with the first one, but agree with each other."""
+    line = lambda name, n=20: " ".join(f"{name}{i}" for i in range(n))
+    mid = [line(f"m{i}") for i in range(6)]
+    docs = [(i, "\n".join([line(f"a{i % 3}"), mid[i % 2], line(f"b{i % 4}"), f"own{i}", mid[i % 5], line("tail", 40)])) for i in range(40)]
+    want = _plain(docs, 50)
+    got = L.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == {i: want[i, t] for i, t in docs}
+
+
+def test_a_third_of_rows_equal(spark):
+    docs = [(5, "\n".join(" ".join(f"k{i}{j}" for j in range(9)) for i in range(40)))] * 300 + [(i, f"one {i}\n" + " ".join(f"u{i}_{j}" for j in range(70))) for i in range(10, 40)]
+    got = L.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert got.count() == 330 and got.where("n_removed > 0").count() == 0
+
+
 def test_plan_has_no_python(spark, capsys):
     L.op2_line_dedup(spark, SF).explain()
     assert not any(w in capsys.readouterr().out for w in ("Python", "Pandas", "Arrow"))
