@@ -16,10 +16,12 @@ ones, the landing problem: of all their subsets with the right document count
 
 Defined results: null text has size 0; documents of size 0 are drawn like the
 others and take 0 words; a null source is a source of its own, the last one;
-equal rows are drawn separately; a table without words has targets 0; an empty
-table gives an empty result. The draw depends on the rows alone (document id
-and text), not on their order or partitions; rows with a null id are spread by
-their place in the input.
+equal rows are drawn separately, and numbered so that they spread over the
+blocks like different ones; ties of size and probability fall by that number; a
+table without words has targets 0; an empty table gives an empty result. The draw
+depends on the rows alone (document id and text), not on their order or
+partitions. Texts are only counted here, however long. Input columns may have any
+names.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tavolo.llm.shared import table, without, word_count, written
+from tavolo.llm.shared import table, word_count, written
 
 #: Weights of the sources in order, repeating. Fixed by the query's contract.
 WEIGHTS = (3, 1, 2)
@@ -188,9 +190,30 @@ def cube_copies(units: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def unit_key(doc_id: str, text: str):
-    """Spreads the rows evenly; rows without an id by their place."""
-    place = F.when(F.col(doc_id).isNull(), F.monotonically_increasing_id())
-    return F.xxhash64(F.lit("mix"), F.col(doc_id), F.col(text), place)
+    """Spreads the rows evenly; equal rows have the same one until they are numbered."""
+    return F.xxhash64(F.lit("mix"), F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
+
+
+def numbered(units: DataFrame) -> DataFrame:
+    """``units`` with a ``__key`` of its own for each of several equal rows.
+
+    Rows with equal keys are interchangeable, so any numbering of them gives the same
+    draw: each part of the written table numbers its own after the
+    number of those in the parts before.
+    """
+    placed = written(units.withColumn("__part", F.spark_partition_id()).withColumn("__place", F.monotonically_increasing_id()), "mix-placed")
+    held = placed.groupBy("__key", "__part").agg(F.count(F.lit(1)).alias("__held"))
+    repeated = (held.groupBy("__key").agg(F.sum("__held").alias("__all")).where("__all > 1").select(F.col("__key").alias("__again")))
+    repeated = written(repeated, "mix-repeated")
+    alone = placed.join(repeated, F.col("__key") == F.col("__again"), "left_anti").drop("__part", "__place")
+    several = placed.join(repeated, F.col("__key") == F.col("__again"), "left_semi")
+    before = F.sum("__held").over(Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (held.join(repeated, F.col("__key") == F.col("__again"), "left_semi").withColumn("__before", F.coalesce(before, F.lit(0)))
+               .select(F.col("__key").alias("__of"), F.col("__part").alias("__in"), "__before"))
+    nth = F.row_number().over(Window.partitionBy("__key", "__part").orderBy("__place")) + F.col("__before")
+    several = (several.join(offsets, (F.col("__key") == F.col("__of")) & (F.col("__part") == F.col("__in")))
+               .withColumn("__key", F.xxhash64("__key", nth)).drop("__of", "__in", "__before", "__part", "__place"))
+    return alone.unionByName(several)
 
 
 def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -199,15 +222,16 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     The input is written once with a row number, so the decisions meet their
     rows by that number and repeated ids stay apart.
     """
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
-    units = rows.select("__row", F.col(source).alias("source"), word_count(F.col(text)).alias("size"), unit_key(doc_id, text).alias("__key"))
-    copies = cube_copies(units).where("copies > 0").select("__row", "copies")
-    return (rows.join(copies, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select([F.col(f"`{c}`") for c in docs.columns]))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), whole.alias("doc")), "mix-docs")
+    body, of = F.col(f"doc.`{text}`"), F.col(f"doc.`{source}`")
+    units = rows.select("row", of.alias("source"), word_count(body).alias("size"), F.xxhash64(F.lit("mix"), F.col(f"doc.`{doc_id}`"), body).alias("__key"))
+    taken = cube_copies(numbered(units)).where("copies > 0").select("row", "copies")
+    return rows.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
 
 
 def op10_source_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     units = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), unit_key("doc_id", "text").alias("__key"))
-    return without(cube_copies(units), "source").select(
+    return cube_copies(numbered(units)).select(
         "doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "copies")

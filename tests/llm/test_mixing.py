@@ -94,3 +94,24 @@ def test_messy_rows(spark, messy, clashing, nothing):
     assert M.mix_documents(nothing).count() == 0
     wordless = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert M.mix_documents(wordless).count() == 0
+
+
+def test_equal_rows_spread_over_the_blocks(spark):
+    units = (spark.range(20_000).select(F.lit("a").alias("source"), F.lit(7).cast("long").alias("size"), F.lit(5).cast("long").alias("__key"), F.col("id"))
+             .unionByName(spark.range(300).select(F.lit("b").alias("source"), F.col("id").alias("size"), F.xxhash64("id").alias("__key"), F.col("id")))).repartition(5)
+    got = M.numbered(units)
+    assert got.count() == 20_300 and got.select("__key").distinct().count() == 20_300
+    blocks = got.where("source = 'a'").groupBy(F.pmod(F.xxhash64("__key", F.lit(0)), F.lit(20))).count()
+    assert blocks.agg(F.max("count")).first()[0] < 1300
+    # The same keys whatever the partitions.
+    keys = lambda df: sorted(r[0] for r in M.numbered(df).select("__key").collect())
+    assert keys(units) == keys(units.repartition(3))
+
+
+def test_names_of_helper_columns(spark):
+    names = ("copies", "row", "doc", "copy", "size", "target", "taken", "__row", "__copy", "__key", "source_size", "a.b")
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), "id").alias("text"), F.lit("s").alias("source"),
+                                  *[F.lit(3).alias(c) for c in names])
+    got = M.mix_documents(docs)
+    assert got.columns == docs.columns and 70 <= got.count() <= 80
+    assert got.where("copies = 3 and row = 3 and doc = 3 and `a.b` = 3").count() == got.count()
