@@ -181,11 +181,11 @@ def fit_additive(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [text_features(t.as_py()) for t in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], names=["x", "y"])
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["x", "y", "id"])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Column, rows: int, doc_id: str, text: str) -> DataFrame:
-    """(text, y) of at most about ``rows`` labelled documents that ``training`` (of doc_id) admits.
+    """(text, y, id) of the rows of at most ``rows`` labelled ids that ``training`` (of doc_id) admits.
 
     The labels are cut down first, in hash order, so the side of the join that is broadcast has ``rows`` rows at most.
     """
@@ -193,14 +193,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Co
              .groupBy(F.col("doc_id").alias("__id")).agg(F.round(F.avg(label)).cast("int").alias("__y")))
     marks = hash_sample(marks, F.col("__id"), rows, marks.count())
     return (docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
-            .join(F.broadcast(marks), "__id").select("__text", "__y"))
+            .join(F.broadcast(marks), "__id").select("__text", "__y", "__id"))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
                 fit_rows: int = FIT_ROWS) -> AdditiveModel:
     training = text_fold(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD
-    sample = labelled_sample(docs, labels, label, training, fit_rows, doc_id, text).mapInArrow(_feature_rows, "x array<double>, y int")
-    rows = sample.toPandas()
+    sample = labelled_sample(docs, labels, label, training, fit_rows, doc_id, text)
+    of_id = f"id {sample.schema['__id'].dataType.simpleString()}"
+    # Of a repeated id one row stays, so ``fit_rows`` rows of features at most reach the driver.
+    sample = sample.mapInArrow(_feature_rows, f"x array<double>, y int, {of_id}").groupBy("id").agg(F.min(F.struct("x", "y")).alias("row"))
+    rows = sample.select("row.x", "row.y").toPandas()
     rows = rows.assign(order=rows["x"].map(tuple)).sort_values(["order", "y"])  # the fit does not depend on partitions
     x = np.array(rows["x"].tolist(), float).reshape(-1, len(FEATURES))
     return fit_additive(x, rows["y"].to_numpy(float))

@@ -181,14 +181,14 @@ def fit_subwords(texts: list[str | None], labels: np.ndarray) -> SubwordModel:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
                  fit_rows: int = FIT_ROWS) -> SubwordModel:
-    """Labels are cut down first, by class and hash order; ``fit_rows`` texts at most reach the driver."""
+    """Labels are cut down first, by class and hash order, and of a repeated id the smallest text stays: ``fit_rows`` texts at most reach the driver."""
     marks = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (text_fold(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD))
              .groupBy(F.col("doc_id").alias("__id")).agg(F.round(F.avg(label)).cast("int").alias("__y")))
     n = {r["__y"]: r["n"] for r in marks.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic = hash_sample(marks.where("__y = 1"), F.col("__id"), fit_rows // 3, n.get(1, 0))
     clean = hash_sample(marks.where("__y = 0"), F.col("__id"), fit_rows - fit_rows // 3, n.get(0, 0))
     rows = (docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
-            .join(F.broadcast(toxic.unionByName(clean)), "__id").toPandas())
+            .join(F.broadcast(toxic.unionByName(clean)), "__id").groupBy("__id", "__y").agg(F.min("__text").alias("__text")).toPandas())
     rows = rows.assign(__text=rows["__text"].fillna("")).sort_values(["__id", "__text"])
     return fit_subwords(rows["__text"].tolist(), rows["__y"].to_numpy())
 

@@ -40,3 +40,14 @@ def test_messy_rows(spark, clashing, nothing):
     assert {r["score"] for r in Q.score_quality(clashing, unlabelled).select("score").distinct().collect()} == {0.5}
     one = Q.fit_quality(clashing, labels.where("quality = 1"))
     assert min(r["score"] for r in Q.score_quality(clashing, one).select("score").collect()) > 0.5
+
+
+def test_a_repeated_id_is_one_row_of_the_fit(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"text {i % 9}") for i in range(900)] + [(i, f"other words {i}") for i in range(2, 60)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 60)], "doc_id long, quality int, toxic int")
+    seen = []
+    fit = Q.fit_additive
+    monkeypatch.setattr(Q, "fit_additive", lambda x, y: seen.append(len(x)) or fit(x, y))
+    Q.fit_quality(docs, labels)
+    Q.fit_quality(docs, labels, fit_rows=10)
+    assert seen[0] < 60 and seen[1] <= 10

@@ -50,3 +50,14 @@ def test_messy_rows(spark, clashing, nothing):
     assert got.count() == clashing.count() and got.where("score is null or held_out is null").count() == 0
     assert X.score_toxicity(nothing, model).count() == 0
     assert {r["score"] for r in X.score_toxicity(clashing, X.fit_toxicity(clashing, labels.limit(0))).select("score").distinct().collect()} == {0.5}
+
+
+def test_a_repeated_id_is_one_text_of_the_fit(spark, monkeypatch):
+    docs = spark.createDataFrame([(3, f"text {i % 9}") for i in range(900)] + [(i, f"other words {i}") for i in range(4, 60)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(3, 60)], "doc_id long, quality int, toxic int")
+    seen = []
+    fit = X.fit_subwords
+    monkeypatch.setattr(X, "fit_subwords", lambda texts, y: seen.append(len(texts)) or fit(texts, y))
+    X.fit_toxicity(docs, labels)
+    X.fit_toxicity(docs, labels, fit_rows=10)
+    assert 0 < seen[0] < 60 and 0 < seen[1] <= 10
