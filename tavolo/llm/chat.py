@@ -88,10 +88,10 @@ def linked(skeleton: DataFrame) -> DataFrame:
 
 
 def _doubled(links: DataFrame) -> DataFrame:
-    """One round: (node, up, steps, total) with ``up`` twice as far, null beyond the root; steps and total up to there."""
+    """One round: (node, up, size, steps, total) with ``up`` twice as far, null beyond the root; steps and total up to there."""
     further = _named(links, met="node", up_="up", steps_="steps", total_="total")
     return (links.join(further, F.col("up") == F.col("met"), "left")
-            .select("node", F.col("up_").alias("up"), (F.col("steps") + F.coalesce("steps_", F.lit(0))).alias("steps"),
+            .select("node", F.col("up_").alias("up"), "size", (F.col("steps") + F.coalesce("steps_", F.lit(0))).alias("steps"),
                     (F.col("total") + F.coalesce("total_", F.lit(0.0))).alias("total")))
 
 
@@ -112,28 +112,34 @@ def _without_cycles(nodes: DataFrame, endless: DataFrame, rounds: int) -> DataFr
 def reply_paths(nodes: DataFrame, best: int | None = 1) -> DataFrame:
     """(leaf, rank, place, node): the ``best`` branches of each conversation (None: all), places from 0 at the root.
 
-    ``nodes`` as from ``linked``.
+    ``nodes`` as from ``linked``. A conversation takes part in as many rounds as its size has bits.
     """
-    nodes = written(nodes, "chat-nodes")
-    largest = nodes.groupBy("node.conv").count().agg(F.max("count")).first()[0] or 0
-    ups = [written(nodes.select("node", "up", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "chat-up0")]
-    while ups[-1].where("up is not null").count():
-        if 1 << (len(ups) - 1) > largest:  # farther than any root of a conversation of that size
-            endless = nodes.join(_named(ups[-1].where("up is not null"), stuck="node"), F.col("node") == F.col("stuck"), "left_semi")
-            return reply_paths(_without_cycles(nodes, endless.select("node", "up"), len(ups)), best)
-        ups.append(written(_doubled(ups[-1]), f"chat-up{len(ups)}"))
+    nodes = written(nodes.select("node", "up", "score"), "chat-nodes")
+    sizes = written(nodes.groupBy(F.col("node.conv").alias("conv")).agg(F.count(F.lit(1)).alias("size")), "chat-sizes")
+    largest = sizes.agg(F.max("size")).first()[0] or 0
+    sized = nodes.join(sizes, F.col("node.conv").eqNullSafe(F.col("conv"))).drop("conv")
+    ups = [written(sized.select("node", "up", "size", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "chat-up0")]
+    while 1 << (len(ups) - 1) < largest:
+        ups.append(written(_doubled(ups[-1].where(F.col("size") > 1 << (len(ups) - 1))), f"chat-up{len(ups)}"))
+    done = ups[0].where("size <= 1")
+    for i, level in enumerate(ups[1:], 1):
+        done = done.unionByName(level.where(F.col("size") <= 1 << i))
+    endless = done.where("up is not null").select(F.col("node").alias("stuck"))  # as many steps as there are messages, and no root
+    if endless.take(1):
+        stuck = nodes.join(endless, F.col("node") == F.col("stuck"), "left_semi").select("node", "up")
+        return reply_paths(_without_cycles(nodes, stuck, len(ups)), best)
     answered = nodes.where("up is not null").select(F.col("up").alias("asked"))
-    leaves = ups[-1].join(answered, F.col("node") == F.col("asked"), "left_anti")
+    leaves = done.join(answered, F.col("node") == F.col("asked"), "left_anti")
     chosen = leaves.withColumn("rank", F.row_number().over(Window.partitionBy("node.conv").orderBy(F.desc("total"), "node")))
     if best is not None:
         chosen = chosen.where(F.col("rank") <= best)
-    paths = written(chosen.select(F.col("node").alias("leaf"), "rank", (F.col("steps") - 1).alias("place"), "node"), "chat-branches")
+    paths = written(chosen.select(F.col("node").alias("leaf"), "rank", "size", (F.col("steps") - 1).alias("place"), "node"), "chat-path")
     for i in range(len(ups) - 1):
         jump = _named(ups[i].where("up is not null"), met="node", up="up")
-        above = (paths.join(jump, F.col("node") == F.col("met"))
-                 .select("leaf", "rank", (F.col("place") - (1 << i)).alias("place"), F.col("up").alias("node")))
-        paths = written(paths.unionByName(above), f"chat-path{i}")
-    return paths
+        above = (paths.where(F.col("size") > 1 << i).join(jump, F.col("node") == F.col("met"))
+                 .select("leaf", "rank", "size", (F.col("place") - (1 << i)).alias("place"), F.col("up").alias("node")))
+        paths = paths.unionByName(written(above, f"chat-path{i}"))
+    return paths.drop("size")
 
 
 # ---------------------------------------------------------------- formatting
