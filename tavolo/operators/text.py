@@ -5,15 +5,14 @@ Cleaning (J1) = lower-case, punctuation to spaces, lemma lookup, stopword
 removal, digit removal, in that order (N24-N26). The language model's
 lemmatizer is re-aimed as a lookup table ``lemmas(word, lemma)`` (unknown
 word -> itself; a word listed twice takes its smallest lemma). A null text is
-an empty one. Two physical forms give the same result:
-
-* lists up to ``DICTIONARY_ROWS`` entries and ``DICTIONARY_CHARS`` characters
-  (checked): both are broadcast as one dictionary and looked up in Arrow
-  batches of token arrays. Narrow, no shuffle of text;
-* larger lists: tokens are exploded with their position, joined to the tables
-  (AQE splits a hot word's side), and the tokens regrouped per document. A
-  document's tokens are bounded by the document, never by the corpus. This form
-  needs unique ids.
+an empty one. The lists are broadcast as dictionaries and looked up in Arrow
+batches of token arrays, a narrow step that shuffles no text and leaves every row
+where it is. Lists beyond ``DICTIONARY_ROWS`` entries or ``DICTIONARY_CHARS``
+characters are cut into shards by a hash of the word; the tokens then take one
+narrow pass a shard, written in between, so that one shard is held at a time.
+
+Rows are told apart by a key made once (``with_row_key``), not by ``doc_id``:
+emails with equal ids keep their own words, means, counts and names.
 """
 
 from __future__ import annotations
@@ -26,59 +25,101 @@ from pyspark.sql import functions as F
 
 from tavolo.functions.text import pre_tokens, remove_digits, split_whitespace
 from tavolo.functions.vectors import round_array, zeros
-from tavolo.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from tavolo.operators.ngrams import find_ngrams
+from tavolo.session import ensure_checkpoint_dir
 
-#: Bounds of lemma and stopword lists that are broadcast as one dictionary.
+#: Bounds of the part of a list that is broadcast as one dictionary.
 DICTIONARY_ROWS, DICTIONARY_CHARS = 500_000, 16_000_000
 
+#: Column of the row key.
+ROW = "_row"
+
+
+def with_row_key(df: DataFrame) -> DataFrame:
+    """``df`` with a number of its own for each row, fixed by writing the rows once; kept where it is there."""
+    if ROW in df.columns:
+        return df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.withColumn(ROW, F.monotonically_increasing_id()).checkpoint(eager=True)
+
+
+# ---------------------------------------------------------------- cleaning
 
 def _one_lemma_each(lemmas: DataFrame) -> DataFrame:
     return (lemmas.where(F.col("word").isNotNull() & F.col("lemma").isNotNull())
             .groupBy("word").agg(F.min("lemma").alias("lemma")))
 
 
+def _shards(listed: DataFrame, most_rows: int, most_chars: int) -> list[DataFrame]:
+    """``listed`` (with ``word``) in parts that are about within the bounds."""
+    ensure_checkpoint_dir(listed.sparkSession)
+    listed = listed.checkpoint(eager=True)
+    chars = sum((F.coalesce(F.length(c), F.lit(0)) for c in listed.columns), F.lit(0))
+    size = listed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")).first()
+    n = max(1, -(-size["n"] // max(most_rows, 1)), -(-size["chars"] // max(most_chars, 1)))
+    return [listed.where(F.pmod(F.xxhash64("word"), F.lit(n)) == i) if n > 1 else listed for i in range(n)]
+
+
 def clean_text(docs: DataFrame, lemmas: DataFrame, stopwords: DataFrame,
                text_col: str = "text", out_col: str = "clean_text",
-               dictionary_rows: int = DICTIONARY_ROWS) -> DataFrame:
-    """``docs`` (with ``doc_id``) minus ``text_col`` plus ``out_col``."""
-    lemmas = _one_lemma_each(lemmas)
-    stopwords = stopwords.select("word").where("word is not null").distinct()
-    listed = (lemmas.select("word", "lemma")
-              .unionByName(stopwords.select("word", F.lit(None).cast("string").alias("lemma"))))
-    size = listed.agg(F.count(F.lit(1)).alias("n"),
-                      F.sum(F.length("word") + F.coalesce(F.length("lemma"), F.lit(0))).alias("chars")).first()
-    if size["n"] <= dictionary_rows and (size["chars"] or 0) <= DICTIONARY_CHARS:
-        return _clean_by_dictionary(docs, listed, text_col, out_col)
-    return _clean_by_join(docs, lemmas, stopwords, text_col, out_col)
-
-
-def _clean_by_dictionary(docs, listed, text_col, out_col):
-    rows = listed.collect()
-    lemma_of = {r["word"]: r["lemma"] for r in rows if r["lemma"] is not None}
-    stop = frozenset(r["word"] for r in rows if r["lemma"] is None)
-    sent = docs.sparkSession.sparkContext.broadcast((lemma_of, stop))
+               dictionary_rows: int = DICTIONARY_ROWS, dictionary_chars: int = DICTIONARY_CHARS) -> DataFrame:
+    """``docs`` minus ``text_col`` plus ``out_col``."""
+    keep = [c for c in docs.columns if c != text_col]
+    lemma_shards = _shards(_one_lemma_each(lemmas), dictionary_rows, dictionary_chars)
+    stop_shards = _shards(stopwords.select("word").where("word is not null").distinct(), dictionary_rows, dictionary_chars)
+    tokens = docs.select(*keep, pre_tokens(F.col(text_col)).alias("_tokens"))
+    if len(lemma_shards) == len(stop_shards) == 1:
+        cleaned = tokens.withColumn("_words", _look_up(lemma_shards[0], stop_shards[0])("_tokens"))
+    else:
+        # A place keeps the lemma that its token's shard gives it; the other shards leave it alone.
+        staged = tokens.withColumn("_lemmas", F.transform("_tokens", lambda t: F.lit(None).cast("string")))
+        for shard in lemma_shards:
+            staged = staged.withColumn("_lemmas", _lemmas_of(shard)("_tokens", "_lemmas")).checkpoint(eager=True)
+        cleaned = staged.select(*keep, F.zip_with("_lemmas", "_tokens", lambda x, t: F.coalesce(x, t)).alias("_words"))
+        for shard in stop_shards:
+            cleaned = cleaned.withColumn("_words", _without(shard)("_words")).checkpoint(eager=True)
+    return cleaned.select(*keep, remove_digits(F.array_join("_words", " ")).alias(out_col))
+
+
+def _dictionary(lemmas: DataFrame):
+    return lemmas.sparkSession.sparkContext.broadcast({r["word"]: r["lemma"] for r in lemmas.collect()})  # a shard
+
+
+def _word_set(words: DataFrame):
+    return words.sparkSession.sparkContext.broadcast(frozenset(r["word"] for r in words.collect()))  # a shard
+
+
+def _look_up(lemmas: DataFrame, stopwords: DataFrame):
+    lemma_of, stop = _dictionary(lemmas), _word_set(stopwords)
 
     @F.pandas_udf("array<string>")
     def look_up(tokens: pd.Series) -> pd.Series:
-        lemmas, stopwords = sent.value
+        lemmas, stopwords = lemma_of.value, stop.value
         return tokens.map(lambda ts: [w for w in (lemmas.get(t, t) for t in ts) if w not in stopwords])
 
-    keep = [c for c in docs.columns if c != text_col]
-    return docs.select(*keep, remove_digits(F.array_join(look_up(pre_tokens(F.col(text_col))), " ")).alias(out_col))
+    return look_up
 
 
-def _clean_by_join(docs, lemmas, stopwords, text_col, out_col):
-    keep = [c for c in docs.columns if c != text_col]
-    toks = docs.select("doc_id", F.posexplode(pre_tokens(F.col(text_col))).alias("pos", "tok"))
-    words = (toks.join(lemmas.withColumnRenamed("word", "tok"), "tok", "left")
-             .select("doc_id", "pos", F.coalesce("lemma", "tok").alias("w"))
-             .join(stopwords.select(F.col("word").alias("w")), "w", "left_anti"))
-    per_doc = words.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "w"))).alias("_s"))
-    cleaned = per_doc.select("doc_id", remove_digits(
-        F.array_join(F.transform("_s", lambda s: s["w"]), " ")).alias(out_col))
-    return (docs.select(*keep).join(cleaned, "doc_id", "left")
-            .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(""))))
+def _lemmas_of(lemmas: DataFrame):
+    lemma_of = _dictionary(lemmas)
+
+    @F.pandas_udf("array<string>")
+    def look_up(tokens: pd.Series, known: pd.Series) -> pd.Series:
+        lemmas = lemma_of.value
+        return pd.Series([[lemmas.get(t) if k is None else k for t, k in zip(ts, ks)] for ts, ks in zip(tokens, known)], dtype=object)
+
+    return look_up
+
+
+def _without(stopwords: DataFrame):
+    stop = _word_set(stopwords)
+
+    @F.pandas_udf("array<string>")
+    def drop(words: pd.Series) -> pd.Series:
+        stopwords = stop.value
+        return words.map(lambda ws: [w for w in ws if w not in stopwords])
+
+    return drop
 
 
 def words(clean: DataFrame, col: str = "clean_text") -> DataFrame:
@@ -89,33 +130,34 @@ def words(clean: DataFrame, col: str = "clean_text") -> DataFrame:
 # ---------------------------------------------------------------- mean vectors
 
 def mean_vectors(clean: DataFrame, word_vectors: DataFrame, id_col: str = "doc_id",
-                 col: str = "clean_text", places: int | None = 6) -> DataFrame:
+                 col: str = "clean_text", places: int | None = 6, keep: tuple[str, ...] = ()) -> DataFrame:
     """Mean vector over in-vocabulary words, repeats counted; zero vector when
-    no word is known (C5, D9, D10, N23). Columns: id, n_words, n_unknown,
-    vector. Words are counted per document first, so each distinct (doc, word)
+    no word is known (C5, D9, D10, N23). Columns: id, ``keep``, n_words, n_unknown,
+    vector. Words are counted per row first, so each distinct (row, word)
     meets the dictionary once; vectors are summed by ``Summarizer`` without
     exploding their dimensions."""
+    clean = with_row_key(clean)
     # one small aggregate gives the vector length and the dictionary size
     stats = word_vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
     dim, n_words = int(stats["d"] or 0), int(stats["n"])
-    counted = (clean.select(id_col, F.explode(words(clean, col)).alias("word"))
-               .groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("cnt")))
+    counted = (clean.select(ROW, F.explode(words(clean, col)).alias("word"))
+               .groupBy(ROW, "word").agg(F.count(F.lit(1)).alias("cnt")))
     # broadcast only while the dictionary stays within about 20M numbers
     wv = word_vectors.select("word", "vector")
     if n_words * max(dim, 1) <= 20_000_000:
         wv = F.broadcast(wv)
     known = counted.join(wv, "word").select(
-        id_col, "cnt",
+        ROW, "cnt",
         array_to_vector(F.transform("vector", lambda x: x.cast("double") * F.col("cnt"))).alias("_v"))
-    sums = known.groupBy(id_col).agg(
+    sums = known.groupBy(ROW).agg(
         F.sum("cnt").alias("n_known"), Summarizer.sum(F.col("_v")).alias("_sum"))
-    spine = clean.select(id_col, F.size(words(clean, col)).cast("bigint").alias("n_words"))
+    spine = clean.select(ROW, id_col, *keep, F.size(words(clean, col)).cast("bigint").alias("n_words"))
     mean = F.transform(vector_to_array("_sum", "float64"), lambda x: x / F.col("n_known"))
     vec = F.when(F.col("n_known") > 0, mean).otherwise(zeros(dim))
     if places is not None:
         vec = round_array(vec, places)
-    return (spine.join(sums, id_col, "left")
-            .select(id_col, "n_words",
+    return (spine.join(sums, ROW, "left")
+            .select(id_col, *keep, "n_words",
                     (F.col("n_words") - F.coalesce(F.col("n_known"), F.lit(0))).alias("n_unknown"),
                     vec.alias("vector")))
 
@@ -134,11 +176,11 @@ def vocabulary(clean: DataFrame, min_df: int = 5, max_features: int = 1000,
     """Corpus terms of >= ``min_len`` characters: term count and document
     frequency, df >= ``min_df``, the ``max_features`` most frequent (ties by
     word), with a 1-based rank (N39)."""
-    per_doc = (clean.select("doc_id", F.explode(words(clean, col)).alias("word"))
-               .filter(F.length("word") >= min_len)
-               .groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf")))
-    terms = (per_doc.groupBy("word")
-             .agg(F.sum("tf").alias("term_count"), F.count(F.lit(1)).alias("doc_freq"))
+    # sorted, a row's words show where each begins: one row of its document frequency
+    tokens = F.array_sort(F.filter(words(clean, col), lambda w: F.length(w) >= min_len))
+    marked = F.transform("_ws", lambda w, i: F.struct(w.alias("word"), F.when(i == 0, 1).when(F.get("_ws", i - 1) != w, 1).otherwise(0).alias("first")))
+    terms = (clean.select(tokens.alias("_ws")).select(F.inline(marked)).groupBy("word")
+             .agg(F.count(F.lit(1)).alias("term_count"), F.sum("first").alias("doc_freq"))
              .filter(F.col("doc_freq") >= min_df))
     top = terms.orderBy(F.col("term_count").desc(), F.col("word").asc()).limit(max_features)
     return top.withColumn("rank", F.row_number().over(
@@ -153,53 +195,23 @@ def _top_order():
 
 # ---------------------------------------------------------------- organizations
 
-def token_ngrams(clean: DataFrame, n: int, col: str = "clean_text") -> DataFrame:
-    """(doc_id, pos, gram): every run of ``n`` consecutive words, 0-based pos."""
-    # the word array is materialized once; a lambda that referred to the split
-    # expression would split the whole text again for every position
-    staged = clean.select("doc_id", words(clean, col).alias("_ws"))
-    ws = F.col("_ws")
-    starts = F.when(F.size(ws) >= n, F.sequence(F.lit(0), F.size(ws) - n)).otherwise(
-        F.array().cast("array<int>"))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(ws, i + 1, n), " "))
-    return staged.select("doc_id", F.posexplode(grams).alias("pos", "gram"))
-
-
-def suffix_names(clean: DataFrame, suffixes: DataFrame, col: str = "clean_text") -> DataFrame:
-    """(doc_id, pos, n, gram): a word followed by a company suffix word
-    (``acme inc``), found at its position, as an extra source of names (J3)."""
-    suf = broadcast_if_small(suffixes.select(F.col("word").alias("_last")))
-    grams = token_ngrams(clean, 2, col).withColumn("_last", F.element_at(F.split("gram", " "), -1))
-    return grams.join(suf, "_last", "left_semi").select("doc_id", "pos", F.lit(2).alias("n"), "gram")
-
-
 def organizations_in(clean: DataFrame, gazetteer: DataFrame, col: str = "clean_text",
                      suffixes: DataFrame | None = None) -> DataFrame:
     """Gazetteer names found in each document, in order of appearance,
     repeats kept; documents without one get an empty list (J3). With
     ``suffixes`` (one column ``word``), two-word names ending in a company
-    suffix are found as well. Columns: doc_id, organizations."""
-    names = gazetteer.select(F.col("name").alias("gram"),
-                             F.size(split_whitespace(F.col("name"))).alias("n")).checkpoint(eager=True)
-    sizes = names.groupBy("n").count().collect()
-    lengths = sorted(r["n"] for r in sizes if r["n"])
-    total = sum(r["count"] for r in sizes)
-    gaz = F.broadcast(names) if total <= DEFAULT_BROADCAST_ROWS else names
-    hits = None
-    for n in lengths:
-        g = token_ngrams(clean, n, col).join(gaz.filter(F.col("n") == n), "gram")
-        hits = g if hits is None else hits.unionByName(g)
+    suffix (``acme inc``) are found as well, after a listed name of the same
+    place and length. Columns: doc_id, organizations. A narrow
+    step: the names are looked up in each row's words, nothing is regrouped."""
+    found = find_ngrams(clean.select("doc_id", words(clean, col).alias("_ws")), "_ws",
+                        gazetteer.select(split_whitespace(F.col("name")).alias("words")), "_hits")
+    hits = F.col("_hits")
     if suffixes is not None:
-        extra = suffix_names(clean, suffixes, col)
-        hits = extra if hits is None else hits.unionByName(extra)
-    spine = clean.select("doc_id")
-    if hits is None:
-        return spine.withColumn("organizations", F.array().cast("array<string>"))
-    per_doc = hits.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "n", "gram"))).alias("_h"))
-    return (spine.join(per_doc, "doc_id", "left")
-            .select("doc_id", F.coalesce(F.transform("_h", lambda h: h["gram"]),
-                                         F.array().cast("array<string>")).alias("organizations")))
+        found = find_ngrams(found, "_ws", suffixes.where("word is not null").select(F.array("word").alias("words")), "_ends")
+        before = F.transform(F.filter("_ends", lambda h: h["pos"] > 0), lambda h: F.struct((h["pos"] - 1).alias("pos"), F.lit(2).alias("n")))
+        hits = F.array_sort(F.concat(hits, before))
+    names = F.transform(hits, lambda h: F.array_join(F.slice("_ws", h["pos"] + 1, h["n"]), " "))
+    return found.select("doc_id", F.coalesce(names, F.array().cast("array<string>")).alias("organizations"))
 
 
 def organizations_by_model(clean: DataFrame, extract, col: str = "clean_text") -> DataFrame:
@@ -224,7 +236,7 @@ def email_reports(emails: DataFrame, lemmas: DataFrame, stopwords: DataFrame, wo
     ``reports["clean"]`` when done."""
     from pyspark import StorageLevel
 
-    clean = clean_text(emails, lemmas, stopwords).persist(StorageLevel.MEMORY_AND_DISK)
+    clean = with_row_key(clean_text(emails, lemmas, stopwords)).persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "clean": clean,
         "mean_vectors": mean_vectors(clean, word_vectors),

@@ -106,27 +106,13 @@ VIEWS: dict[str, str] = {
         FROM (SELECT word, row_number() OVER (ORDER BY n DESC, word) - 1 AS rnk
               FROM (SELECT word, count(*) AS n FROM email_words WHERE length(word) >= 2 GROUP BY word)) r
         JOIN embeddings e ON e.vec_id = r.rnk""",
-    "en_tokens": """
-        SELECT doc_id, pos, tok FROM (
-          SELECT doc_id, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS pos
-          FROM (SELECT doc_id,
-                       list_filter(regexp_split_to_array(
-                         regexp_replace(lower(text), '__PUNCT__', ' ', 'g'), '__WS__'), lambda x: x <> '') AS toks
-                FROM documents WHERE lang = 'en'))""",
-    "en_clean": """
-        SELECT doc_id,
-               regexp_replace(string_agg(lem, ' ' ORDER BY pos), '\\p{Nd}', '', 'g') AS clean_text
-        FROM (SELECT t.doc_id, t.pos, coalesce(l.lemma, t.tok) AS lem
-              FROM en_tokens t LEFT JOIN lemma_table l ON t.tok = l.word)
-        WHERE lem NOT IN (SELECT word FROM stop_table)
-        GROUP BY doc_id""",
     "organizations": """
         SELECT gram AS name FROM (
           SELECT gram, count(*) AS n FROM (
             SELECT ws[i] || ' ' || ws[i + 1] AS gram
             FROM (SELECT ws, unnest(range(1, len(ws))) AS i
                   FROM (SELECT list_filter(regexp_split_to_array(clean_text, '__WS__'), lambda x: x <> '') AS ws
-                        FROM en_clean)))
+                        FROM email_clean)))
           GROUP BY gram HAVING count(*) >= 10)""",
     # ---------------------------------------------------------------- card customers
     "card_customers": """
@@ -187,9 +173,7 @@ DEPENDS: dict[str, list[str]] = {
     "email_clean": ["email_tokens", "lemma_table", "stop_table", "emails"],
     "email_words": ["email_clean"],
     "word_vectors": ["email_words"],
-    "en_tokens": [],
-    "en_clean": ["en_tokens", "lemma_table", "stop_table"],
-    "organizations": ["en_clean"],
+    "organizations": ["email_clean"],
     "card_clean": ["card_customers"],
 }
 

@@ -175,9 +175,9 @@ def _email_clean(spark, d):
 
 @query("email_mean_vector")
 def _email_mean_vector(spark, d):
-    from tavolo.operators.text import mean_vectors
+    from tavolo.operators.text import mean_vectors, with_row_key
     t = Tables(spark, d)
-    clean = fx.clean_emails(t).checkpoint(eager=True)  # cleaned once, read by the dictionary and the vectors
+    clean = with_row_key(fx.clean_emails(t))  # cleaned once, read by the dictionary and the vectors
     return mean_vectors(clean, fx.word_vectors(t, clean))
 
 
@@ -194,8 +194,8 @@ def _ham_organizations(spark, d):
     from pyspark.sql import functions as F
     from tavolo.operators.text import organizations_in
     t = Tables(spark, d)
-    ham = fx.clean_emails(t).filter(F.col("label") == "ham")
-    return organizations_in(ham, fx.organizations(t))
+    clean = fx.clean_emails(t).checkpoint(eager=True)  # cleaned once, read by the gazetteer and the search
+    return organizations_in(clean.filter(F.col("label") == "ham"), fx.organizations(t, clean))
 
 
 # ---------------------------------------------------------------- Q12-Q14 segments
@@ -340,11 +340,10 @@ def _q_catalog_text(spark, d):
 # ---------------------------------------------------------------- Q7, Q8, Q10, Q11 models on emails
 
 def _email_vectors(spark, d):
-    from tavolo.operators.text import mean_vectors
+    from tavolo.operators.text import mean_vectors, with_row_key
     t = Tables(spark, d)
-    clean = fx.clean_emails(t).checkpoint(eager=True)
-    vecs = mean_vectors(clean, fx.word_vectors(t, clean))
-    return vecs.join(clean.select("doc_id", "label"), "doc_id")
+    clean = with_row_key(fx.clean_emails(t))
+    return mean_vectors(clean, fx.word_vectors(t, clean), keep=("label",))
 
 
 def _spam_model(spark, d):
@@ -380,24 +379,25 @@ def _q_spam_scores(spark, d):
         "doc_id", "label", "predicted", "verdict")
 
 
-def _topics(spark, d):
+def _topics(clean):
     from pyspark.sql import functions as F
     from tavolo.operators.topics import fit_topics, topic_words
-    spam = fx.clean_emails(Tables(spark, d)).filter(F.col("label") == "spam")
-    cv_model, lda_model = fit_topics(spam)
+    cv_model, lda_model = fit_topics(clean.filter(F.col("label") == "spam"))
     return topic_words(cv_model, lda_model, 10)
 
 
 @query("spam_topics")
 def _q_spam_topics(spark, d):
     from pyspark.sql import functions as F
-    return _topics(spark, d).withColumn("weight", F.round("weight", 6))
+    return _topics(fx.clean_emails(Tables(spark, d))).withColumn("weight", F.round("weight", 6))
 
 
 @query("topic_distances")
 def _q_topic_distances(spark, d):
     from tavolo.operators.topics import topic_distances
-    return topic_distances(_topics(spark, d), fx.word_vectors(Tables(spark, d)))
+    t = Tables(spark, d)
+    clean = fx.clean_emails(t).checkpoint(eager=True)  # cleaned once, read by the topics and the dictionary
+    return topic_distances(_topics(clean), fx.word_vectors(t, clean))
 
 
 # ---------------------------------------------------------------- Q14 forest on segments

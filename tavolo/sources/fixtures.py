@@ -160,16 +160,13 @@ def word_vectors(t: Tables, clean: DataFrame | None = None) -> DataFrame:
         "word", F.col("embedding").alias("vector"))
 
 
-def organizations(t: Tables, min_count: int = 10) -> DataFrame:
-    """Gazetteer: every two-token string that stands ``min_count`` times in the
-    cleaned English documents."""
-    from tavolo.operators.text import clean_text, token_ngrams
-    docs = t.documents.filter(F.col("lang") == "en").select("doc_id", "text")
-    cleaned = clean_text(docs, lemmas(t.spark), stopwords(t.spark))
-    grams = token_ngrams(cleaned, n=2)
-    return (grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") >= min_count)
-            .select(F.col("gram").alias("name")))
+def organizations(t: Tables, clean: DataFrame | None = None, min_count: int = 10) -> DataFrame:
+    """Gazetteer: every two-word string that stands ``min_count`` times in the
+    cleaned documents of all languages."""
+    from tavolo.operators.ngrams import frequent_ngrams
+    from tavolo.operators.text import words
+    clean = clean_emails(t) if clean is None else clean
+    return frequent_ngrams(clean, words(clean), 2, min_count).select("name")
 
 
 # ---------------------------------------------------------------- card customers (CARD)
