@@ -6,16 +6,21 @@ selling_price)`` with ``op`` in ``add | sale | reset``.
 
 * K1: names are ``lower(trim())``ed, numbers parsed exactly; events that
   can never be valid go to a quarantine with a reason.
-* K7: ``epoch`` = number of resets up to the event. A short reset list
-  is searched in exact 64-bit integers, batch by batch: no join, no global
-  window. Past ``max_resets`` the epochs come from three
-  distributed ranks instead (exact, no bound).
+* K7: ``epoch`` = number of resets up to the event, by an as-of step: all events
+  are range-partitioned and sorted by seq once and written; an event's place among
+  all events less its place among those that are no resets, plus the resets of
+  earlier partitions (one number a partition), is its epoch. No reset list, no
+  join on seq, nothing per event in Python.
 * K2/K3: acceptance depends on earlier *accepted* sales (N35), so the fold is
-  sequential per (epoch, product). Events are hash-partitioned on that key
-  and sorted by seq inside each partition; a ``mapInPandas`` step walks the
-  partition batch by batch, carrying only the current key's state across
-  batch boundaries. Memory is one Arrow batch, however hot a product is.
-  Amounts are exact integer cents inside the fold.
+  sequential per (epoch, product). Moves are range-partitioned on (key, seq) and
+  walked partition by partition, batch by batch, carrying only the current
+  key's state. A hot product spans several partitions; what it needs is its
+  state where each of them begins. Its events are summed up in blocks: the net
+  change, and the least stock at entry that covers every sale in it. Blocks
+  compose, so one pass over these sums finds the blocks that are covered for certain
+  (stock never falls below zero, and never below what accepting every sale
+  leaves); such a block is one step. Only the others, which a refusal may lie in,
+  are walked event by event. Amounts are exact integer cents inside the fold.
 * K4/K5/K6: receipts, profits and stock are aggregates over the decisions.
 """
 
@@ -25,13 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tavolo.functions.parse import parse_decimal
 from tavolo.functions.text import left_pad, normalize_name
-from tavolo.operators.ranking import global_cumsum, global_rank
+from tavolo.operators.ranking import global_rank
+from tavolo.session import ensure_checkpoint_dir
 
 # fixed values: decision reasons
 UNKNOWN_PRODUCT = "unknown product"
@@ -42,7 +49,6 @@ INVALID_QUANTITY = "invalid quantity"
 MISSING_PRODUCT = "missing product"
 UNKNOWN_OP = "unknown op"
 
-MAX_RESETS = 1_000_000
 AMOUNT = "decimal(38,2)"
 MONEY = "decimal(38,4)"
 
@@ -91,51 +97,43 @@ def quarantine(events: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- K7 epochs
 
-def reset_points(events: DataFrame, max_resets: int = MAX_RESETS) -> list[int]:
-    """Sorted seq of every reset: the epoch split points (checked to be few)."""
-    resets = [r[0] for r in events.filter(F.col("op") == "reset").select("seq").distinct()
-              .orderBy("seq").limit(max_resets + 1).collect()]
-    if len(resets) > max_resets:
-        raise ValueError(f"more than {max_resets} resets: the epoch split points are meant to be few")
-    return resets
-
-
-def _epoch_by_rank(events: DataFrame) -> DataFrame:
-    """Exact epochs for any number of resets, from distributed ranks (seq is
-    unique): an add/sale has (its place among all events) - (its place among
-    the non-reset events) resets before it; the k-th reset (0-based) starts
-    epoch k + 1."""
-    is_reset = F.col("op") == "reset"
-    allr = global_rank(events, [F.col("seq").asc()], "_pa")
-    moves = global_rank(allr.filter(~is_reset), [F.col("seq").asc()], "_pe") \
-        .withColumn("epoch", F.col("_pa") - F.col("_pe")).drop("_pa", "_pe")
-    resets = global_rank(allr.filter(is_reset), [F.col("seq").asc()], "_pr") \
-        .withColumn("epoch", F.col("_pr") + 1).drop("_pa", "_pr")
-    return moves.unionByName(resets)
-
-
-def with_epoch(events: DataFrame, resets: list[int] | None = None,
-               max_resets: int = MAX_RESETS) -> DataFrame:
-    """``epoch`` = number of resets with seq <= the event's seq. A short reset
-    list (the normal case) is searched in exact integers, which works on
-    batch and streaming DataFrames alike; a batch with more resets than
-    ``max_resets`` uses the exact rank-based form."""
-    if resets is None:
-        found = [r[0] for r in events.filter(F.col("op") == "reset").select("seq").distinct()
-                 .orderBy("seq").limit(max_resets + 1).collect()]
-        if len(found) > max_resets:
-            return _epoch_by_rank(events)
-        resets = found
-    resets = sorted(set(resets))
-    if not resets:
-        return events.withColumn("epoch", F.lit(0).cast("bigint"))
-    points = events.sparkSession.sparkContext.broadcast(np.array(resets, dtype=np.int64))
-
-    @F.pandas_udf("long")
-    def epoch_of(seq: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(points.value, seq.to_numpy(np.int64), side="right").astype(np.int64))
-
-    return events.withColumn("epoch", epoch_of(F.coalesce("seq", F.lit(-(1 << 63)))))
+# monotonically_increasing_id: the partition above, the place in it below
+PART_SHIFT = 33
+PLACE_BITS = (1 << PART_SHIFT) - 1
+
+
+def with_epoch(events: DataFrame) -> DataFrame:
+    """``events`` plus ``epoch``: the number of different resets with seq <= the
+    event's seq. Resets of equal seq are one, and stay as one row; events without a seq
+    have epoch 0, and a reset without one changes nothing. The result is written, so
+    it can be read several times."""
+    ensure_checkpoint_dir(events.sparkSession)
+    is_reset = F.coalesce((F.col("op") == "reset") & F.col("seq").isNotNull(), F.lit(False))
+    once = events.filter(~is_reset).unionByName(events.filter(is_reset).dropDuplicates(["seq"]))
+    placed = (once.repartitionByRange("seq").sortWithinPartitions(F.col("seq").asc_nulls_first(), is_reset.desc())
+              .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    part = F.shiftright(F.col("_mid"), PART_SHIFT)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count_if(is_reset).alias("_resets"))
+    before = F.sum("_resets").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = F.broadcast(counts.select("_part", F.coalesce(before, F.lit(0)).alias("_before")))  # one row a partition
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        """The rows with their place among themselves in their partition, which the filter leaves in order."""
+        return (rows.withColumn("_among", F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_BITS)))
+                .join(offsets, part == F.col("_part")))
+
+    moves = numbered(placed.filter(~is_reset)).withColumn("epoch", F.col("_before") + F.col("_mid").bitwiseAND(F.lit(PLACE_BITS)) - F.col("_among"))
+    resets = numbered(placed.filter(is_reset)).withColumn("epoch", F.col("_before") + F.col("_among") + 1)
+    return moves.unionByName(resets).select(*events.columns, "epoch").checkpoint(eager=True)
+
+
+def live_events(events: DataFrame) -> DataFrame:
+    """The usable events, normalized, with their epochs; written once for all reports."""
+    return with_epoch(normalize(events).filter(F.col("problem").isNull()))
+
+
+def _live(events: DataFrame) -> DataFrame:
+    return events if "epoch" in events.columns else live_events(events)
 
 
 # ---------------------------------------------------------------- K2/K3 the fold
@@ -276,17 +274,11 @@ def fold_frame(pdf: pd.DataFrame, key=None, state=None):
     pp = pdf["pp_c"].fillna(0).to_numpy(dtype=np.int64)
     sp = pdf["sp_c"].fillna(0).to_numpy(dtype=np.int64)
     seq = pdf["seq"].to_numpy(dtype=np.int64)
-    init = None
-    if "init_stock" in pdf.columns:
-        init = [pdf[c].to_numpy() for c in ("init_stock", "init_pp", "init_sp", "init_first")]
     parts = []
     for a, b in zip(starts[:-1], starts[1:]):
         k = (epoch[a], product[a])
         if k != key:
             key, state = k, None
-            if init is not None and not pd.isna(init[0][a]):
-                state = {"stock": int(init[0][a]), "pp": int(init[1][a]), "sp": int(init[2][a]),
-                         "first_seq": int(init[3][a])}
         state, o = fold_run(state, is_add[a:b], qty[a:b], pp[a:b], sp[a:b], seq[a:b],
                             pp_null[a:b], sp_null[a:b])
         parts.append(o)
@@ -303,16 +295,23 @@ def fold_frame(pdf: pd.DataFrame, key=None, state=None):
     return key, state, frame
 
 
-def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _fold_partition(entries):
     """One sorted partition, batch by batch; only the current key's state
-    crosses a batch boundary."""
-    key = None
-    state = None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        key, state, frame = fold_frame(pdf, key, state)
-        yield frame
+    crosses a batch boundary. ``entries`` (broadcast) holds the state of a
+    partition's first key where that key began in an earlier partition."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = state = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if key is None:
+                entry = entries.value.get(int(pdf["_mid"].iloc[0]) >> PART_SHIFT)
+                if entry is not None:
+                    key, state = (pdf["epoch"].iloc[0], pdf["product"].iloc[0]), dict(entry)
+            key, state, frame = fold_frame(pdf, key, state)
+            yield frame
+
+    return run
 
 
 def _cents(c: Column) -> Column:
@@ -324,93 +323,142 @@ def _from_cents(c: str) -> Column:
 
 
 KEYS = ["epoch", "product"]
-# a key with more events than this takes the split path (``_fold_hot``)
-HOT_EVENTS = 5_000_000
-MAX_HOT_KEYS = 100_000
-
-
-def _fold(moves: DataFrame, parts: int | None) -> DataFrame:
-    """Sequential fold: hash-partition on the key, sort by seq, walk. Without
-    an explicit count AQE sizes (coalesces) the partitions; a key is never
-    split by that."""
-    shuffled = moves.repartition(parts, *KEYS) if parts else moves.repartition(*KEYS)
-    keyed = shuffled.sortWithinPartitions(*KEYS, "seq")
-    return keyed.mapInPandas(_fold_partition, DECISION_SCHEMA)
-
-
-def _fold_hot(moves: DataFrame, parts: int | None, max_rounds: int = 3) -> DataFrame:
-    """Exact decisions for hot keys, split over many tasks up to each key's
-    refused sales.
-
-    * Before the key's first valid add nothing can be accepted.
-    * From it on, each round takes the stock assuming every remaining sale is
-      accepted as a running sum (``global_cumsum``: range-partitioned, so the
-      key spans many tasks). Every event before the first sale that this stock
-      does not cover is accepted, that sale is refused with the stock
-      unchanged, and the next round starts after it from the exact stock.
-    * After ``max_rounds`` rounds, what is left of a key is folded in order.
+# rows of a sorted partition whose moves are summed up together, as a power of two
+BLOCK_SHIFT = 13
+KEY_FIELDS = "epoch long, product string"
+
+
+def _key_runs(batch: pa.RecordBatch, *more: str) -> Iterator[tuple]:
+    """(key, first row, end) of the runs of equal keys (and ``more``) in a batch."""
+    if not batch.num_rows:
+        return
+    epoch, product = batch.column("epoch").to_numpy(), np.array(batch.column("product").to_pylist(), dtype=object)
+    change = np.ones(batch.num_rows, bool)
+    change[1:] = (epoch[1:] != epoch[:-1]) | (product[1:] != product[:-1])
+    for c in more:
+        v = batch.column(c).to_numpy(zero_copy_only=False)
+        change[1:] |= v[1:] != v[:-1]
+    starts = np.flatnonzero(change)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
+        yield (int(epoch[a]), product[a]), a, b
+
+
+def _rows(rows: list[tuple], **kinds) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[] for _ in kinds]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values())], names=list(kinds))
+
+
+_LONG, _TEXT, _FLAG = pa.int64(), pa.string(), pa.bool_()
+
+
+def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per key and block, in order: net change, and ``low``: the deepest point below the
+    entry after a sale, if all sales are accepted (0 if none)."""
+    current, net, low = None, 0, 0
+    for batch in batches:
+        done = []
+        for key, a, b in _key_runs(batch, "block"):
+            at = (*key, batch.column("block")[a].as_py())
+            if at != current:
+                if current is not None:
+                    done.append((*current, net, low))
+                current, net, low = at, 0, 0
+            d = batch.column("d").to_numpy()[a:b]
+            run = net + np.cumsum(d)
+            if (d < 0).any():
+                low = min(low, int(run[d < 0].min()))
+            net = int(run[-1])
+        yield _rows(done, epoch=_LONG, product=_TEXT, block=_LONG, net=_LONG, low=_LONG)
+    yield _rows([] if current is None else [(*current, net, low)], epoch=_LONG, product=_TEXT, block=_LONG, net=_LONG, low=_LONG)
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks of each key in order: is every sale covered, whatever the blocks before left over?
+
+    ``least`` is what the stock is at the least: it grows by the net change, and never lies
+    below what is left when it was 0 at the deepest point.
     """
-    first = (moves.filter((F.col("op") == "add") & F.col("pp_c").isNotNull() & F.col("sp_c").isNotNull())
-             .groupBy(*KEYS).agg(F.min_by(F.struct("seq", "pp_c", "sp_c"), F.col("seq")).alias("_f")))
-    m = moves.join(first, KEYS, "left")
-    none_l = F.lit(None).cast("bigint")
-    decided = [m.filter(F.col("_f").isNull() | (F.col("seq") < F.col("_f.seq"))).select(
-        "seq", "epoch", "op", "basket_id", "product", "qty_c", F.lit(False).alias("accepted"),
-        F.when(F.col("op") == "add", F.lit(INVALID_PRICE)).otherwise(F.lit(UNKNOWN_PRODUCT)).alias("reason"),
-        none_l.alias("pp_c"), none_l.alias("sp_c"), F.lit(0).cast("bigint").alias("stock_c"),
-        none_l.alias("spp_c"), none_l.alias("ssp_c"), none_l.alias("first_seq"))]
-    rest = (m.filter(F.col("seq") >= F.col("_f.seq"))
-            .withColumn("_d", F.when(F.col("op") == "add", F.col("qty_c")).otherwise(-F.col("qty_c")))
-            .withColumn("_s0", F.lit(0).cast("bigint")))
-    state_cols = [F.col("_f.pp_c").alias("spp_c"), F.col("_f.sp_c").alias("ssp_c"),
-                  F.col("_f.seq").alias("first_seq")]
-    for _ in range(max_rounds):
-        run = (global_cumsum(rest, KEYS, "seq", "_d", "_cum", parts)
-               .withColumn("_after", F.col("_s0") + F.col("_cum"))
-               .withColumn("_before", F.col("_after") - F.col("_d")))
-        stop = (run.filter((F.col("op") == "sale") & (F.col("_before") < F.col("qty_c")))
-                .groupBy(*KEYS).agg(F.min_by(F.struct("seq", "_before"), F.col("seq")).alias("_t")))
-        r = run.join(stop, KEYS, "left")
-        decided.append(r.filter(F.col("_t").isNull() | (F.col("seq") < F.col("_t.seq"))).select(
-            "seq", "epoch", "op", "basket_id", "product", "qty_c", F.lit(True).alias("accepted"),
-            F.lit(None).cast("string").alias("reason"), F.col("_f.pp_c").alias("pp_c"),
-            F.col("_f.sp_c").alias("sp_c"), F.col("_after").alias("stock_c"), *state_cols))
-        decided.append(r.filter(F.col("seq") == F.col("_t.seq")).select(
-            "seq", "epoch", "op", "basket_id", "product", "qty_c", F.lit(False).alias("accepted"),
-            F.lit(INSUFFICIENT_STOCK).alias("reason"), none_l.alias("pp_c"), none_l.alias("sp_c"),
-            F.col("_before").alias("stock_c"), *state_cols))
-        rest = (r.filter(F.col("seq") > F.col("_t.seq"))
-                .withColumn("_s0", F.col("_t._before"))
-                .drop("_cum", "_after", "_before", "_t"))
-    tail = rest.select(
-        "seq", "epoch", "op", "basket_id", "product", "qty_c", "pp_c", "sp_c",
-        F.col("_s0").alias("init_stock"), F.col("_f.pp_c").alias("init_pp"),
-        F.col("_f.sp_c").alias("init_sp"), F.col("_f.seq").alias("init_first"))
-    out = decided[0]
-    for d in decided[1:]:
-        out = out.unionByName(d)
-    return out.unionByName(_fold(tail, parts))
-
-
-def decisions(events: DataFrame, num_partitions: int | None = None,
-              hot_events: int = HOT_EVENTS, hot_rounds: int = 3) -> DataFrame:
-    """Every valid add/sale with its outcome, in amounts (K2, K3). Keys with
-    more than ``hot_events`` events take the split path (``_fold_hot``)."""
-    n = normalize(events)
-    live = with_epoch(n.filter(F.col("problem").isNull()))
-    moves = live.filter(F.col("op").isin("add", "sale")).select(
+    current, least = None, 0
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            if (r["epoch"], r["product"]) != current:
+                current, least = (r["epoch"], r["product"]), 0
+            covered = least + r["low"] >= 0
+            least = r["net"] + max(least, -r["low"])
+            out.append((r["epoch"], r["product"], r["block"], r["net"], covered))
+        yield _rows(out, epoch=_LONG, product=_TEXT, block=_LONG, net=_LONG, covered=_FLAG)
+
+
+def _entry_stocks(block_shift: int):
+    """The stock of each key where each partition begins. Rows, in order: a covered block's net change, or a move (``at`` >= 0)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, part, stock = None, None, 0
+        for batch in batches:
+            out = []
+            for key, a, b in _key_runs(batch, "block", "is_move"):
+                if key != current:
+                    current, part, stock = key, None, 0
+                here = batch.column("block")[a].as_py() >> (PART_SHIFT - block_shift)
+                if here != part:
+                    if part is not None:
+                        out.append((*key, here, stock))
+                    part = here
+                d = batch.column("d").to_numpy()[a:b]
+                if not batch.column("is_move")[a].as_py():
+                    stock += int(d.sum())
+                    continue
+                for change in d.tolist():
+                    if stock + change >= 0:
+                        stock += change
+            yield _rows(out, epoch=_LONG, product=_TEXT, part=_LONG, stock=_LONG)
+
+    return run
+
+
+def _entries(placed: DataFrame, block_shift: int) -> dict[int, dict]:
+    """{partition: state of its first key at its begin}, for keys that span partitions.
+
+    On the driver: a few values a partition, never a list of events or products.
+    """
+    spark = placed.sparkSession
+    part = F.shiftright(F.col("_mid"), PART_SHIFT)
+    key = F.struct(*KEYS)
+    ends = sorted(placed.groupBy(part.alias("part")).agg(F.min(key).alias("first"), F.max(key).alias("last")).collect(), key=lambda r: r["part"])
+    spanning = {tuple(b["first"]) for a, b in zip(ends, ends[1:]) if a["last"] == b["first"]}
+    if not spanning:
+        return {}
+    keys = F.broadcast(spark.createDataFrame(sorted(spanning), placed.select(*KEYS).schema))
+    hot = placed.join(keys, KEYS, "left_semi")
+    first = (hot.filter((F.col("op") == "add") & F.col("pp_c").isNotNull() & F.col("sp_c").isNotNull()).groupBy(*KEYS)
+             .agg(F.min_by(F.struct("_mid", "seq", "pp_c", "sp_c"), "_mid").alias("_f")).checkpoint(eager=True))  # one row a spanning key
+    # from its first valid add on a product is known, with stock 0 before that add
+    signed = (hot.join(F.broadcast(first), KEYS).filter(F.col("_mid") >= F.col("_f._mid"))
+              .select(*KEYS, F.shiftright(F.col("_mid"), block_shift).alias("block"), "_mid",
+                      F.when(F.col("op") == "add", F.col("qty_c")).otherwise(-F.col("qty_c")).alias("d")))
+    sums = signed.select(*KEYS, "block", "d").mapInArrow(_block_sums, f"{KEY_FIELDS}, block long, net long, low long")
+    blocks = (sums.repartition(*KEYS).sortWithinPartitions(*KEYS, "block")
+              .mapInArrow(_settled, f"{KEY_FIELDS}, block long, net long, covered boolean").checkpoint(eager=True))
+    open_ = blocks.filter(~F.col("covered")).select(*KEYS, "block")
+    steps = (blocks.filter("covered").select(*KEYS, "block", F.lit(-1).cast("long").alias("at"), F.lit(False).alias("is_move"), F.col("net").alias("d"))
+             .unionByName(signed.join(open_, [*KEYS, "block"], "left_semi").select(*KEYS, "block", F.col("_mid").alias("at"), F.lit(True).alias("is_move"), "d")))
+    stocks = (steps.repartition(*KEYS).sortWithinPartitions(*KEYS, "block", "at")
+              .mapInArrow(_entry_stocks(block_shift), f"{KEY_FIELDS}, part long, stock long").join(F.broadcast(first), KEYS))
+    return {r["part"]: {"stock": r["stock"], "pp": r["_f"]["pp_c"], "sp": r["_f"]["sp_c"], "first_seq": r["_f"]["seq"]} for r in stocks.collect()}
+
+
+def decisions(events: DataFrame, num_partitions: int | None = None, block_shift: int = BLOCK_SHIFT) -> DataFrame:
+    """Every valid add/sale with its outcome, in amounts (K2, K3). ``events`` are raw,
+    or ``live_events``. Without an explicit count AQE sizes the partitions."""
+    moves = _live(events).filter(F.col("op").isin("add", "sale")).select(
         "seq", "epoch", "op", "basket_id", "product", _cents(F.col("quantity")).alias("qty_c"),
         _cents(F.col("purchase_price")).alias("pp_c"), _cents(F.col("selling_price")).alias("sp_c"))
-    parts = num_partitions
-    hot = (moves.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_events)
-           .select(*KEYS).limit(MAX_HOT_KEYS).collect())
-    if not hot:
-        folded = _fold(moves, parts)
-    else:
-        hot_df = F.broadcast(events.sparkSession.createDataFrame(
-            [tuple(h) for h in hot], moves.select(*KEYS).schema))
-        folded = (_fold(moves.join(hot_df, KEYS, "left_anti"), parts)
-                  .unionByName(_fold_hot(moves.join(hot_df, KEYS, "left_semi"), parts, hot_rounds)))
+    order = [*KEYS, "seq"]
+    ranged = moves.repartitionByRange(num_partitions, *order) if num_partitions else moves.repartitionByRange(*order)
+    placed = (ranged.sortWithinPartitions(*order, "op", "basket_id", "qty_c", "pp_c", "sp_c")
+              .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    entries = placed.sparkSession.sparkContext.broadcast(_entries(placed, block_shift))
+    folded = placed.mapInPandas(_fold_partition(entries), DECISION_SCHEMA)
     return folded.select(
         "seq", "epoch", "op", "basket_id", "product", _from_cents("qty_c").alias("quantity"),
         "accepted", "reason", _from_cents("pp_c").alias("purchase_price"),
@@ -445,7 +493,7 @@ def receipts(sale_lines: DataFrame) -> DataFrame:
 def profits(receipt_rows: DataFrame, events: DataFrame) -> DataFrame:
     """Gross and net per epoch; the latest epoch is the register's current
     report (K5, D13). Epochs without sales report 0."""
-    epochs = with_epoch(normalize(events).filter(F.col("problem").isNull())).select("epoch").distinct()
+    epochs = _live(events).select("epoch").distinct()
     sums = receipt_rows.groupBy("epoch").agg(F.sum("gross").alias("g"), F.sum("net").alias("n"))
     latest = epochs.agg(F.max("epoch")).first()[0]
     zero = F.lit(0).cast(MONEY)

@@ -321,8 +321,9 @@ def _q_ledger_receipts(spark, d):
 
 @query("ledger_profit")
 def _q_ledger_profit(spark, d):
-    from tavolo.operators.ledger import profits, receipts, sales
-    return profits(receipts(sales(_decisions(spark, d))), fx.shop_events(Tables(spark, d)))
+    from tavolo.operators.ledger import decisions, live_events, profits, receipts, sales
+    live = live_events(fx.shop_events(Tables(spark, d)))
+    return profits(receipts(sales(decisions(live))), live)
 
 
 @query("ledger_stock")
@@ -452,14 +453,13 @@ def _q_ledger_stream(spark, d):
     """The sale decisions of the streaming ledger, read back from its sink;
     equal to ``ledger_sales`` on the same events."""
     from pyspark.sql import functions as F
-    from tavolo.operators.ledger import normalize, reset_points, sales
+    from tavolo.operators.ledger import sales
     from tavolo.session import scratch_path
     from tavolo.streaming.ledger_stream import run_ledger_stream, stage_event_files
     events = fx.shop_events(Tables(spark, d))
     base = scratch_path(spark, "ledger-stream")
-    stage_event_files(events, f"{base}/in", 3)
-    resets = reset_points(normalize(events).filter(F.col("problem").isNull()))
-    run_ledger_stream(spark, f"{base}/in", f"{base}/out", f"{base}/state", resets)
+    stage_event_files(events, f"{base}/in", steps=3, files=8)
+    run_ledger_stream(spark, f"{base}/in", f"{base}/out", f"{base}/state", files_per_trigger=8)
     cents = lambda c: (F.col(c).cast("decimal(38,2)") / F.lit(100)).cast("decimal(38,2)")
     dec = spark.read.parquet(f"{base}/out").select(
         "seq", "epoch", "op", "basket_id", "product", cents("qty_c").alias("quantity"), "accepted", "reason",
@@ -472,7 +472,7 @@ def _q_spam_scores_stream(spark, d):
     """Held-out emails scored by the streaming job (files -> foreachBatch)."""
     from pyspark.sql import functions as F
     from tavolo.session import scratch_path
-    from tavolo.streaming.scoring_stream import run_scoring_stream
+    from tavolo.streaming.scoring_stream import read_scores, run_scoring_stream
     t = Tables(spark, d)
     data, indexer, model = _spam_model(spark, d)
     test_ids = _unseen(data).select("doc_id")
@@ -480,7 +480,7 @@ def _q_spam_scores_stream(spark, d):
     fx.emails(t).join(test_ids, "doc_id").select("doc_id", "text").write.parquet(f"{base}/in")
     run_scoring_stream(spark, f"{base}/in", f"{base}/out", f"{base}/state", fx.lemmas(spark),
                        fx.stopwords(spark), fx.word_vectors(t), indexer, model)
-    return spark.read.parquet(f"{base}/out")
+    return read_scores(spark, f"{base}/out").drop("batch_id")
 
 
 # ---------------------------------------------------------------- Q13 on the k-means segments

@@ -1,14 +1,17 @@
 """Streaming spam scoring (L2): new emails are cleaned, turned into mean
 vectors and scored by a fitted classifier, micro-batch by micro-batch.
 
-Mean vectors group by document, so the work runs in ``foreachBatch`` on each
-micro-batch as a batch DataFrame; the batch sink appends and the checkpoint
-records progress, so a restarted query neither loses nor repeats a batch.
+Mean vectors group by row, so the work runs in ``foreachBatch`` on each
+micro-batch as a batch DataFrame. The sink is idempotent: every micro-batch writes
+a folder of its own, named by its number, and overwrites it. A micro-batch that runs again
+after a failure between its write and the commit leaves one copy, and
+``read_scores`` reads the folders as one table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tavolo.operators.models import score_spam
@@ -33,10 +36,19 @@ def run_scoring_stream(spark: SparkSession, emails_dir: str, out_dir: str, check
     src = (spark.readStream.schema(EMAIL_STREAM_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
            .parquet(emails_dir))
 
+    q = (src.writeStream.foreachBatch(batch_writer(out_dir, lemmas, stopwords, word_vectors, indexer, model))
+         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def batch_writer(out_dir: str, lemmas: DataFrame, stopwords: DataFrame, word_vectors: DataFrame, indexer, model):
     def each(batch: DataFrame, batch_id: int) -> None:
-        score_batch(batch, lemmas, stopwords, word_vectors, indexer, model) \
-            .write.mode("append").parquet(out_dir)
+        (score_batch(batch, lemmas, stopwords, word_vectors, indexer, model)
+         .write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}"))
 
-    q = (src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    return each
+
+
+def read_scores(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(doc_id, predicted, verdict, batch_id) of all micro-batches."""
+    return spark.read.parquet(out_dir).withColumn("batch_id", F.col("batch_id").cast("long"))

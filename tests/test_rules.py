@@ -160,8 +160,7 @@ def test_epochs_above_the_exact_range_of_doubles(spark):
     high = 1 << 53
     events = spark.createDataFrame([(high + i, "reset" if i in (2, 5) else "add") for i in range(8)], "seq long, op string")
     want = [0, 0, 1, 1, 1, 2, 2, 2]
-    for most in (10, 1):
-        assert [r["epoch"] for r in with_epoch(events, max_resets=most).orderBy("seq").collect()] == want
+    assert [r["epoch"] for r in with_epoch(events).orderBy("seq").collect()] == want
 
 
 def test_checkpoint_folder_is_named_on_a_cluster():
@@ -301,12 +300,11 @@ def test_j3_gazetteer_suffix_and_hook(spark):
     assert {r["doc_id"]: r["organizations"] for r in hook.collect()}[1] == ["acme"]
 
 
-def test_k7_epochs_by_rank_equal_bucketizer(spark):
+def test_k7_epochs(spark):
     ev = spark.createDataFrame([(1, "add"), (2, "reset"), (3, "sale"), (4, "reset"), (5, "reset"),
                                 (6, "add"), (7, "sale")], "seq long, op string")
-    a = sorted(tuple(r) for r in ledger.with_epoch(ev).select("seq", "epoch").collect())
-    b = sorted(tuple(r) for r in ledger.with_epoch(ev, max_resets=1).select("seq", "epoch").collect())
-    assert a == b == [(1, 0), (2, 1), (3, 1), (4, 2), (5, 3), (6, 3), (7, 3)]
+    got = sorted(tuple(r) for r in ledger.with_epoch(ev).select("seq", "epoch").collect())
+    assert got == [(1, 0), (2, 1), (3, 1), (4, 2), (5, 3), (6, 3), (7, 3)]
 
 
 def test_readers(spark, tmp_path):
@@ -323,20 +321,3 @@ def test_readers(spark, tmp_path):
     g = {r["word"]: r["vector"] for r in read_word_vectors_text(spark, str(tmp_path / "g.txt")).collect()}
     assert g == {"the": [0.5, -1.0], "cat": [1.0, 2.0]}
     assert default_stopwords(spark).filter(F.col("word") == "the").count() == 1
-
-
-def test_ledger_hot_path_equals_sequential(spark):
-    from tavolo.sources.fixtures import shop_events
-    from tavolo.sources.tables import Tables
-    ev = shop_events(Tables(spark, "/root/testdata/sf0.001"))
-    extra = spark.createDataFrame([
-        (100000 + i, "sale" if i % 3 else "add", 9000 + i // 4, "hot", str(1 + i % 7), "2", "4")
-        for i in range(300)] + [(99999, "add", None, "hot", "5", None, "4")], SHOP)
-    allev = ev.unionByName(extra)
-    cols = ["seq", "accepted", "reason", "stock", "purchase_price", "selling_price",
-            "state_purchase_price", "first_seq"]
-    seq = sorted(tuple(r) for r in ledger.decisions(allev).select(*cols).collect())
-    for rounds in (0, 1, 6):
-        hot = sorted(tuple(r) for r in ledger.decisions(allev, hot_events=0, hot_rounds=rounds)
-                     .select(*cols).collect())
-        assert seq == hot and len(seq) > 300
