@@ -9,15 +9,13 @@ as Spark ML does. The data itself never leaves the executors.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from fractions import Fraction
 
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tavolo.operators.kmeans import GRID, assign, kmeans, on_grid
 from tavolo.operators.ranking import group_quantiles
 from tavolo.session import ensure_checkpoint_dir
 
@@ -91,78 +89,80 @@ def total_sse(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
 
 # ---------------------------------------------------------------- PCA and k-means
 
-def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
+# squarings of a matrix until only its largest axis is left: powers up to 2 ** 40
+SQUARINGS = 40
+
+
+def covariance(scaled: DataFrame, features: Sequence[str] = FEATURES) -> np.ndarray:
+    """Population covariances of the columns, in one aggregate of exact decimal
+    sums over the grid of k-means, so no order of rows changes a digit."""
+    grid = scaled.select(*[F.round(F.col(c) * GRID).cast("long").alias(f"x{i}") for i, c in enumerate(features)])
+    exact = lambda e: F.sum(e.cast("decimal(38,0)"))
+    d = len(features)
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    row = grid.agg(F.count(F.lit(1)).alias("n"), *[exact(F.col(f"x{i}")).alias(f"s{i}") for i in range(d)],
+                   *[F.sum(F.col(f"x{i}").cast("decimal(19,0)") * F.col(f"x{j}")).alias(f"p{i}_{j}") for i, j in pairs]).first()
+    cov, n = np.zeros((d, d)), row["n"]
+    for i, j in pairs if n else []:
+        cov[i, j] = cov[j, i] = float(Fraction(n * int(row[f"p{i}_{j}"]) - int(row[f"s{i}"]) * int(row[f"s{j}"]), n * n))
+    return cov
+
+
+def principal_axes(cov: np.ndarray, k: int) -> tuple[list[float], list[np.ndarray]]:
+    """The ``k`` largest variances and their axes, by power iteration with deflation: a
+    matrix squared again and again, with its trace brought back to 1, becomes the projection
+    on its largest axis; that one is taken out and the rest goes on. The largest loading of an axis is
+    positive (the first of equal ones)."""
+    variances, axes, rest = [], [], cov.copy()
+    for _ in range(k):
+        power = rest / np.trace(rest) if np.trace(rest) > 0 else rest
+        for _ in range(SQUARINGS):
+            power = power @ power
+            power = power / np.trace(power) if np.trace(power) > 0 else power
+        i = int(np.argmax(np.diag(power)))
+        axis = power[:, i] / np.sqrt(power[i, i]) if power[i, i] > 0 else np.zeros(len(cov))
+        variance = float((rest * power).sum())
+        rest = rest - variance * power
+        big = int(np.argmax(np.abs(np.round(axis, 9))))
+        variances.append(variance)
+        axes.append(-axis if axis[big] < 0 else axis)
+    return variances, axes
 
 
 def pca_variance(scaled: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """Explained variance ratio of every component (I4); input standardized,
-    so the missing centring of Spark's PCA does not matter (N30)."""
-    model = PCA(k=len(features), inputCol="features", outputCol="pca").fit(_assembled(scaled, features))
-    ratios = [float(x) for x in model.explainedVariance]
-    return scaled.sparkSession.createDataFrame(
-        list(enumerate(ratios, start=1)), "component int, explained_variance_ratio double")
+    """Explained variance ratio of every component, largest first (I4)."""
+    cov = covariance(scaled, features)
+    variances, _ = principal_axes(cov, len(features))
+    total = float(np.trace(cov)) or 1.0
+    rows = [(i, v / total) for i, v in enumerate(variances, start=1)]
+    return scaled.sparkSession.createDataFrame(rows, "component int, explained_variance_ratio double")
 
 
 def pca_scores(scaled: DataFrame, features: Sequence[str] = FEATURES, k: int = 2,
                id_col: str = "CUST_ID") -> DataFrame:
-    """First ``k`` principal scores ``pc1..pck``; each component's sign is
-    fixed so that its largest loading is positive (I5)."""
-    model = PCA(k=k, inputCol="features", outputCol="pca").fit(_assembled(scaled, features))
-    pcs = model.pc.toArray()
-    signs = []
-    for j in range(k):
-        col = pcs[:, j]
-        i = max(range(len(col)), key=lambda r: abs(col[r]))
-        signs.append(1.0 if col[i] >= 0 else -1.0)
-    arr = vector_to_array(F.col("pca"))
-    return model.transform(_assembled(scaled, features)).select(
-        id_col, *[(arr[j] * F.lit(signs[j])).alias(f"pc{j + 1}") for j in range(k)])
-
-
-def kmeans_fit(df: DataFrame, features: Sequence[str], k: int, seed: int = 42,
-               max_iter: int = 1000):
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(
-        _assembled(df, features))
+    """First ``k`` principal scores ``pc1..pck`` of standardized columns."""
+    _, axes = principal_axes(covariance(scaled, features), k)
+    return scaled.select(id_col, *[sum((F.col(c) * F.lit(float(a)) for c, a in zip(features, axis)), F.lit(0.0)).alias(f"pc{j + 1}")
+                                   for j, axis in enumerate(axes)])
 
 
 def elbow(scaled: DataFrame, features: Sequence[str] = FEATURES, ks: Sequence[int] = range(1, 10),
-          seed: int = 42, max_iter: int = 1000) -> DataFrame:
-    """(k, sse) for each k; k = 1 by the SQL aggregate, the rest by k-means
-    fits on the cached scaled input (I6, D16)."""
-    scaled = scaled.select(*features).cache()
-
-    def sse(k: int) -> tuple[int, float]:
-        if k == 1:
-            return 1, float(total_sse(scaled, features).first()["sse"])
-        return k, float(kmeans_fit(scaled, features, k, seed, max_iter).summary.trainingCost)
-
-    # independent fits, submitted as concurrent Spark jobs
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        rows = list(pool.map(sse, ks))
-    scaled.unpersist()
+          max_iter: int = 1000, id_col: str = "CUST_ID") -> DataFrame:
+    """(k, sse) for each k, to 4 places; all k step together over the same points."""
+    _, sse = kmeans(on_grid(scaled, features, id_col), list(ks), max_iter)
+    rows = [(k, round(float(Fraction(sse[k], GRID * GRID)), 4)) for k in ks if k in sse]
     return scaled.sparkSession.createDataFrame(rows, "k int, sse double")
 
 
 def segments(scaled: DataFrame, features: Sequence[str] = FEATURES, k: int = 7,
-             n_components: int = 2, seed: int = 42, max_iter: int = 1000,
-             id_col: str = "CUST_ID") -> DataFrame:
-    """K-means on the principal scores (I3, I5): (id, pc1.., Cluster).
-    Cluster ids are renumbered by centre order (arbitrary in any engine)."""
-    # the feature table is read by the PCA fit and by its transform: persist it
-    # for those two passes (memory, spilling to disk), then keep only the scores
-    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
-    scores = pca_scores(scaled, features, n_components, id_col).checkpoint(eager=True)
-    scaled.unpersist()
-    pcs = [f"pc{j + 1}" for j in range(n_components)]
-    model = kmeans_fit(scores, pcs, k, seed, max_iter)
-    centres = [tuple(float(x) for x in c) for c in model.clusterCenters()]
-    order = sorted(range(len(centres)), key=lambda i: centres[i])
-    renum = F.create_map(*[F.lit(x) for old, new in ((o, n) for n, o in enumerate(order))
-                           for x in (old, new)])
-    out = model.transform(_assembled(scores, pcs)).select(
-        id_col, *pcs, F.element_at(renum, F.col("prediction")).cast("int").alias("Cluster"))
-    return out
+             n_components: int = 2, max_iter: int = 1000, id_col: str = "CUST_ID") -> DataFrame:
+    """K-means on the principal scores (I3, I5): (id, pc1.., Cluster), scores to 6 places.
+    Clusters are numbered by the order of their centres (arbitrary in any engine)."""
+    points = on_grid(pca_scores(scaled, features, n_components, id_col), [f"pc{j + 1}" for j in range(n_components)], id_col)
+    centres, _ = kmeans(points, [k], max_iter)
+    ordered = sorted(centres.get(k, [])) or [(0,) * n_components]
+    return assign(points, ordered).select(
+        F.col("id").alias(id_col), *[(F.get("x", F.lit(j)) / GRID).alias(f"pc{j + 1}") for j in range(n_components)], "Cluster")
 
 
 # ---------------------------------------------------------------- profiles

@@ -201,6 +201,95 @@ ORACLE["card_total_sse"] = with_views(["card_clean"], f""",
     SELECT 1 AS k, round({" + ".join(f"var_pop({c}) * count({c})" for c in FEATS)}, 4) AS sse
     FROM scaled""")
 
+# Integers on a grid; means rounded down; the starting centres, the farthest of a sample by md5.
+_GRID = 1_000_000
+_STEPS = 200
+
+
+def _far(a: str, b: str, n: int) -> str:
+    return " + ".join(f"({a}[{i}] - {b}[{i}]) * ({a}[{i}] - {b}[{i}])" for i in range(1, n + 1))
+
+
+def _kmeans(ks: list[int], n: int) -> str:
+    """CTEs from ``points(id, x)``: the last step's ``centres(k, j, c)`` and ``assigned(id, x, k, j, d)``."""
+    chosen = "chosen1 AS (SELECT 1 AS j, x FROM sample ORDER BY m, id, x LIMIT 1)"
+    for j in range(2, max(ks) + 1):
+        chosen += f""", chosen{j} AS (
+          SELECT * FROM chosen{j - 1} UNION ALL
+          SELECT {j}, x FROM (SELECT s.m, s.id, s.x, min({_far("s.x", "c.x", n)}) AS far FROM sample s, chosen{j - 1} c GROUP BY s.m, s.id, s.x
+                              ORDER BY far DESC, m, id LIMIT 1) WHERE far > 0)"""
+    down = ", ".join(f"CAST((s{i} - ((s{i} % n) + n) % n) // n AS BIGINT)" for i in range(1, n + 1))
+    sums = ", ".join(f"sum(CAST(x[{i}] AS HUGEINT)) AS s{i}" for i in range(1, n + 1))
+    nearest = f"""SELECT p.id, any_value(p.x) AS x, c.it, c.k, min(struct_pack(d := {_far("p.x", "c.c", n)}, j := c.j)) AS b
+                  FROM points p, {{0}} c WHERE c.it < {{1}} GROUP BY p.id, c.it, c.k"""
+    return f"""
+    sample AS (SELECT md5(CAST(id AS VARCHAR)) AS m, id, x FROM points ORDER BY m, id LIMIT 100), {chosen},
+    moved AS (
+      WITH RECURSIVE c(it, k, j, c) AS (
+        SELECT 0, k, j, x FROM chosen{max(ks)}, (SELECT unnest({list(ks)}) AS k) WHERE j <= k
+        UNION ALL
+        SELECT o.it + 1, o.k, o.j, CASE WHEN m.c IS NULL THEN o.c ELSE m.c END
+        FROM c o LEFT JOIN (SELECT k, j, [{down}] AS c
+                            FROM (SELECT k, b.j AS j, count(*) AS n, {sums} FROM ({nearest.format("c", _STEPS)}) GROUP BY k, b.j)) m
+          ON o.k = m.k AND o.j = m.j
+        WHERE o.it < {_STEPS})
+      SELECT * FROM c),
+    centres AS (SELECT * FROM moved WHERE it = {_STEPS}),
+    assigned AS (SELECT id, x, k, b.j AS j, b.d AS d FROM ({nearest.format("centres", _STEPS + 1)}))"""
+
+
+_ON_GRID = "[" + ", ".join(f"CAST(round({c} * {_GRID}) AS BIGINT)" for c in FEATS) + "]"
+_SCALED_CTE = f""",
+    stats AS (SELECT {_STATS} FROM card_clean),
+    scaled AS (SELECT c.CUST_ID, {_SCALED} FROM card_clean c, stats s)"""
+
+
+def _axes(k: int) -> str:
+    """CTEs from ``scaled``: total variance, and ``axis1`` .. ``axisk`` (variance, v: loadings), by squaring and deflation."""
+    d = len(FEATS)
+    cov = ", ".join(f"CAST(n * p{min(i, j)}_{max(i, j)} - s{i} * s{j} AS DOUBLE) / (n * n)" for i in range(d) for j in range(d))
+    trace = lambda m: " + ".join(f"{m}[{i * d + i + 1}]" for i in range(d))
+    out = f""",
+    grid AS (SELECT {_ON_GRID} AS x FROM scaled),
+    sums AS (SELECT CAST(count(*) AS HUGEINT) AS n, {", ".join(f"sum(CAST(x[{i + 1}] AS HUGEINT)) AS s{i}" for i in range(d))},
+                    {", ".join(f"sum(CAST(x[{i + 1}] AS HUGEINT) * x[{j + 1}]) AS p{i}_{j}" for i in range(d) for j in range(i, d))} FROM grid),
+    rest1 AS (SELECT [{cov}] AS a FROM sums),
+    total AS (SELECT {trace("a")} AS variance FROM rest1)"""
+    for c in range(1, k + 1):
+        product = f"list_transform(range({d * d}), lambda e: list_sum(list_transform(range({d}), lambda t: m[(e // {d}) * {d} + t + 1] * m[t * {d} + e % {d} + 1])))"
+        out += f""",
+    power{c} AS (
+      WITH RECURSIVE p(step, m) AS (
+        SELECT 0, list_transform(a, lambda e: e / ({trace("a")})) FROM rest{c}
+        UNION ALL
+        SELECT step + 1, list_transform(w, lambda e: e / ({trace("w")})) FROM (SELECT step, {product} AS w FROM p WHERE step < 40))
+      SELECT m FROM p WHERE step = 40),
+    axis{c} AS (
+      SELECT m, variance, CASE WHEN list_extract(v, big) < 0 THEN list_transform(v, lambda e: -e) ELSE v END AS v FROM (
+        SELECT *, list_position(list_transform(v, lambda e: abs(round(e, 9))), list_max(list_transform(v, lambda e: abs(round(e, 9))))) AS big FROM (
+          SELECT m, variance, list_transform(range({d}), lambda r: m[r * {d} + top] / sqrt(m[(top - 1) * {d} + top])) AS v FROM (
+            SELECT m, list_sum(list_transform(range({d * d}), lambda e: m[e + 1] * a[e + 1])) AS variance,
+                   list_position(list_transform(range({d}), lambda r: m[r * {d} + r + 1]), list_max(list_transform(range({d}), lambda r: m[r * {d} + r + 1]))) AS top
+            FROM power{c}, rest{c})))),
+    rest{c + 1} AS (SELECT list_transform(range({d * d}), lambda e: a[e + 1] - variance * m[e + 1]) AS a FROM rest{c}, axis{c})"""
+    return out
+
+
+ORACLE["card_pca_variance"] = with_views(["card_clean"], _SCALED_CTE + _axes(8) + " " + " UNION ALL ".join(
+    f"SELECT CAST({c} AS INTEGER) AS component, round(axis{c}.variance / total.variance, 6) + 0.0 AS explained_variance_ratio FROM axis{c}, total"
+    for c in range(1, 9)))
+ORACLE["card_elbow"] = with_views(["card_clean"], _SCALED_CTE + f""",
+    points AS (SELECT CUST_ID AS id, {_ON_GRID} AS x FROM scaled),""" + _kmeans(list(range(1, 10)), 8) + f"""
+    SELECT CAST(k AS INTEGER) AS k, round(CAST(sum(CAST(d AS HUGEINT)) AS DOUBLE) / {_GRID * _GRID}, 4) AS sse FROM assigned GROUP BY k""")
+_SEGMENTS = _SCALED_CTE + _axes(2) + f""",
+    scores AS (SELECT CUST_ID, {", ".join(" + ".join(f"{c} * axis{j}.v[{i}]" for i, c in enumerate(FEATS, start=1)) + f" AS pc{j}" for j in (1, 2))}
+               FROM scaled, axis1, axis2),
+    points AS (SELECT CUST_ID AS id, [{", ".join(f"CAST(round(pc{j} * {_GRID}) AS BIGINT)" for j in (1, 2))}] AS x FROM scores),""" + _kmeans([7], 2) + f""",
+    numbered AS (SELECT j, CAST(row_number() OVER (ORDER BY c[1], c[2]) - 1 AS INTEGER) AS cluster FROM centres),
+    card_segments AS (SELECT id AS CUST_ID, CAST(x[1] AS DOUBLE) / {_GRID} AS pc1, CAST(x[2] AS DOUBLE) / {_GRID} AS pc2, cluster AS "Cluster"
+                      FROM assigned a JOIN numbered n ON a.j = n.j)"""
+ORACLE["card_segments"] = with_views(["card_clean"], _SEGMENTS + " SELECT * FROM card_segments")
+
 _PROFILE = [("BALANCE", ["mean", "median", "std", "min", "max"]), ("PURCHASES", ["mean", "median", "std"]),
             ("CREDIT_LIMIT", ["mean", "std"]), ("CASH_ADVANCE", ["mean", "sum"]), ("TENURE", ["mean", "std"])]
 _FN = {"mean": "avg", "median": "quantile_cont({c}, 0.5)", "std": "stddev_samp", "min": "min",
@@ -219,6 +308,21 @@ _PROFILE_SQL = (", profile AS (SELECT NATION AS Cluster, "
                 + " GROUP BY NATION)")
 _PROFILE_NAMES = [f"{c}_{s}" for c, ss in _PROFILE for s in ss]
 ORACLE["segment_profile"] = with_views(["card_customers"], _PROFILE_SQL + " SELECT * FROM profile")
+ORACLE["segment_profile_clusters"] = with_views(["card_customers", "card_clean"], _SEGMENTS + """
+    SELECT s."Cluster", """ + ", ".join(_stat(c, s) for c, ss in _PROFILE for s in ss) + """
+    FROM card_customers c JOIN card_segments s ON c.CUST_ID = s.CUST_ID
+    WHERE c.MINIMUM_PAYMENTS IS NOT NULL AND c.CREDIT_LIMIT IS NOT NULL GROUP BY s."Cluster\"""")
+ORACLE["segment_box_stats_clusters"] = with_views(["card_customers", "card_clean"], _SEGMENTS + """,
+    labelled AS (SELECT s."Cluster", c.BALANCE AS value FROM card_customers c JOIN card_segments s ON c.CUST_ID = s.CUST_ID
+                 WHERE c.MINIMUM_PAYMENTS IS NOT NULL AND c.CREDIT_LIMIT IS NOT NULL AND c.BALANCE IS NOT NULL),
+    q AS (SELECT "Cluster", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3
+          FROM labelled GROUP BY "Cluster"),
+    f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+    SELECT f."Cluster", round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(iqr, 6) AS iqr,
+           round(min(CASE WHEN e.value >= lo THEN e.value END), 6) AS lower_whisker,
+           round(max(CASE WHEN e.value <= hi THEN e.value END), 6) AS upper_whisker,
+           count(*) FILTER (WHERE e.value < lo OR e.value > hi) AS n_outliers, count(*) AS n
+    FROM labelled e JOIN f ON e."Cluster" = f."Cluster" GROUP BY f."Cluster", q1, median, q3, iqr""")
 # The groups are the 25 nation keys; a PIVOT without a value list cannot stand in a view.
 ORACLE["segment_profile_transposed"] = with_views(["card_customers"], _PROFILE_SQL + ", long AS ("
     + " UNION ALL ".join(f"SELECT '{n}' AS stat, Cluster, CAST({n} AS DOUBLE) AS value FROM profile" for n in _PROFILE_NAMES)

@@ -230,8 +230,10 @@ def _q_card_total_sse(spark, d):
 
 @query("card_pca_variance")
 def _q_card_pca_variance(spark, d):
+    from pyspark.sql import functions as F
     from tavolo.operators.segments import pca_variance
-    return pca_variance(_card_scaled(spark, d))
+    return pca_variance(_card_scaled(spark, d)).select(
+        "component", (F.round("explained_variance_ratio", 6) + F.lit(0.0)).alias("explained_variance_ratio"))
 
 
 @query("card_elbow")

@@ -62,7 +62,7 @@ def test_scaler_and_sse(spark):
 
 def test_model_queries_run(spark):
     var = QUERIES["card_pca_variance"](spark, SF).collect()
-    assert abs(sum(r[1] for r in var) - 1.0) < 1e-9
+    assert abs(sum(r[1] for r in var) - 1.0) < 1e-5  # eight ratios to 6 places
     imp = QUERIES["forest_importances"](spark, SF).collect()
     assert abs(sum(r["importance"] for r in imp) - 1.0) < 1e-9
     seg = QUERIES["card_segments"](spark, SF)
