@@ -77,10 +77,15 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[tuple, tuple[Counter, Counter]] = {}
 
     def sent() -> pa.RecordBatch:
-        keys = [(k, t, n, docs[t]) for k, (count, docs) in held.items() for t, n in count.items()]
+        terms, n, having = [], [], []
+        for count, docs in held.values():
+            terms += count
+            n += count.values()
+            having += map(docs.__getitem__, count)
+        of = pa.array(np.repeat(np.arange(len(held)), [len(count) for count, _ in held.values()]))
+        groups = [pa.array([k[i] for k in held], pa.string()).take(of) for i in range(2)]
         held.clear()
-        columns = [[k[0] for k, *_ in keys], [k[1] for k, *_ in keys], [t for _, t, *_ in keys], [n for *_, n, _ in keys], [d for *_, d in keys]]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()))],
+        return pa.RecordBatch.from_arrays([*groups, pa.array(terms, pa.binary()), pa.array(n, pa.int64()), pa.array(having, pa.int64())],
                                           names=["lang", "source", "term", "n", "docs"])
 
     n_held = 0
