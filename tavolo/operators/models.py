@@ -1,8 +1,12 @@
 """Supervised models: split, spam classifier, random forest, importances,
 recursive feature elimination, scoring (I1, I7, I11-I14, B12, B15).
 
-Fits are Spark ML estimators over cached, id-ordered inputs; the driver only
-loops over fits (folds, feature counts) and keeps the small fitted metadata.
+Fits are Spark ML estimators; the driver only loops over fits (folds, feature
+counts) and keeps the small fitted metadata. Forests are fitted on one table in
+canonical form: features cut into bins at exact quantiles once, rows dealt to
+partitions by their rank in the order of id. Bagging draws by partition and
+place, so the same rows give the same forest however they came, and all
+folds and feature counts of a selection read the same table.
 Numbers are never promised equal to another library's: solvers and
 initialisations differ (SURVEY hard point 4).
 """
@@ -13,13 +17,14 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tavolo.operators.evaluate import balanced_accuracy
-from tavolo.operators.ranking import global_rank
+from tavolo.operators.ranking import global_rank, group_quantiles
+from tavolo.session import ensure_checkpoint_dir
 
 
 # ---------------------------------------------------------------- I1 split
@@ -78,10 +83,44 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="_x").transform(df)
 
 
+#: Bins of a feature, and rows of a partition of the canonical table, about.
+FOREST_BINS, PART_ROWS = 64, 100_000
+
+Bins = dict[str, list[float]]
+
+
+def fit_bins(df: DataFrame, features: Sequence[str], bins: int = FOREST_BINS) -> Bins:
+    """Inner borders of each feature's bins: exact quantiles, all features in one pass."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in features])).alias("f")).select("f.*")
+    found: Bins = {c: [] for c in features}
+    for r in group_quantiles(long, ["feature"], "value", [i / bins for i in range(1, bins)]).collect():  # bins a feature
+        found[r["feature"]].append(float(r["q"]))
+    return {c: sorted(set(qs)) for c, qs in found.items()}
+
+
+def binned(df: DataFrame, features: Sequence[str], bins: Bins) -> DataFrame:
+    """``df`` with each feature as the number of its bin; nulls fall into the first."""
+    cut = [c for c in features if bins[c]]
+    out = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(float("-inf"))).alias(c) if c in features else F.col(c) for c in df.columns])
+    if cut:
+        splits = [[float("-inf"), *bins[c], float("inf")] for c in cut]
+        out = Bucketizer(splitsArray=splits, inputCols=cut, outputCols=[f"_bin_{c}" for c in cut], handleInvalid="keep").transform(out)
+    return out.select(*[(F.col(f"_bin_{c}") if c in cut else F.lit(0.0) if c in features else F.col(c)).alias(c) for c in df.columns])
+
+
+def canonical(df: DataFrame, id_col: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """``df`` written in partitions that depend on the rows alone: by rank in the order of id (then of the other columns)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    ranked = global_rank(df, [F.col(id_col).asc(), *[F.col(c).asc() for c in df.columns if c != id_col]], "_r")
+    parts = max(1, -(-ranked.count() // part_rows))
+    return (ranked.withColumn("_p", F.floor(F.col("_r") / part_rows)).repartition(parts, "_p").sortWithinPartitions("_r")
+            .drop("_r", "_p").checkpoint(eager=True))
+
+
 def fit_forest(train: DataFrame, features: Sequence[str], label: str = "Cluster", num_trees: int = 100,
-               max_depth: int = 30, seed: int = 0, max_bins: int = 64):
+               max_depth: int = 30, seed: int = 0, max_bins: int = FOREST_BINS):
     """Random forest as the reference's defaults allow in Spark: 100 trees,
-    sqrt features per split, depth capped at Spark's 30 (I11)."""
+    sqrt features per split, depth capped at Spark's 30 (I11). ``train`` is canonical and binned."""
     rf = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, featureSubsetStrategy="sqrt",
                                 seed=seed, maxBins=max_bins, featuresCol="_x", labelCol="_y",
                                 predictionCol="_p", cacheNodeIds=True, maxMemoryInMB=1024)
@@ -109,9 +148,13 @@ def rfecv(train: DataFrame, features: Sequence[str], label: str = "Cluster", id_
           folds: int = 5, num_trees: int = 100, max_depth: int = 30, seed: int = 0) -> DataFrame:
     """Recursive feature elimination with stratified k-fold cross-validation,
     balanced accuracy, one feature dropped per step (I13). Returns (feature,
-    rank, selected): rank 1 = kept; higher = eliminated earlier."""
+    rank, selected): rank 1 = kept; higher = eliminated earlier. One binned
+    table in canonical order serves every fit."""
     spark = train.sparkSession
-    data = stratified_folds(train, label, id_col, folds, seed).cache()
+    ensure_checkpoint_dir(spark)
+    train = train.select(id_col, label, *features).checkpoint(eager=True)
+    dealt = stratified_folds(binned(train, features, fit_bins(train, features)), label, id_col, folds, seed)
+    data = canonical(dealt, id_col)
     n = len(features)
 
     def one_fold(f: int) -> dict[int, float]:
@@ -143,7 +186,6 @@ def rfecv(train: DataFrame, features: Sequence[str], label: str = "Cluster", id_
         final = pool.submit(elimination_order)
         per_fold = list(pool.map(one_fold, range(folds)))
         order = final.result()
-    data.unpersist()
     scores = {m: [r[m] for r in per_fold if m in r] for m in range(1, n + 1)}
     mean = {m: sum(v) / len(v) for m, v in scores.items() if v}
     best = max(mean.values())

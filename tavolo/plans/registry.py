@@ -416,6 +416,15 @@ def _labeled_cards(spark, d):
     return data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
 
 
+def _forest_tables(spark, d):
+    """Training rows, binned and in canonical order, and test rows in the same bins."""
+    from tavolo.operators.models import binned, canonical, fit_bins
+    from tavolo.operators.segments import FEATURES
+    train, test = _labeled_cards(spark, d)
+    bins = fit_bins(train, FEATURES)
+    return canonical(binned(train, FEATURES, bins), "CUST_ID"), binned(test, FEATURES, bins)
+
+
 @query("train_test_split")
 def _q_train_test_split(spark, d):
     from tavolo.operators.models import train_test_split
@@ -427,7 +436,7 @@ def _q_forest_report(spark, d):
     from tavolo.operators.evaluate import classification_report
     from tavolo.operators.models import fit_forest, forest_predict
     from tavolo.operators.segments import FEATURES
-    train, test = _labeled_cards(spark, d)
+    train, test = _forest_tables(spark, d)
     model = fit_forest(train, FEATURES)
     return classification_report(forest_predict(model, test, FEATURES))
 
@@ -436,7 +445,7 @@ def _q_forest_report(spark, d):
 def _q_forest_importances(spark, d):
     from tavolo.operators.models import fit_forest, importance_table
     from tavolo.operators.segments import FEATURES
-    train, _ = _labeled_cards(spark, d)
+    train, _ = _forest_tables(spark, d)
     return importance_table(fit_forest(train, FEATURES), FEATURES, spark)
 
 
