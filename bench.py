@@ -43,6 +43,9 @@ HEADLINE = [
     "catalog_text",
     "ledger_stream",
     "spam_classifier_report",
+    "card_pca_variance",
+    "card_elbow",
+    "selected_features",
 ]
 
 

@@ -182,6 +182,36 @@ ORACLE["ham_organizations"] = with_views(["email_clean", "organizations"], """,
     FROM ham_lists h LEFT JOIN hits ON h.doc_id = hits.doc_id""")
 
 
+# ---------------------------------------------------------------- CSV sources
+# fixed values: the tokens that a pandas CSV reader turns into null
+_NULLS = ("'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', "
+          "'n/a', 'nan', 'null'")
+
+
+def _token(c: str, as_: str | None = None) -> str:
+    return f"CASE WHEN {c} NOT IN ({_NULLS}) THEN {c} END AS {as_ or c}"
+
+
+def _rejected(columns: list[str], kinds: dict[str, str], problem: str, rejected: str, table: str) -> str:
+    nulls = ", ".join(f"CAST(NULL AS {kinds.get(c, 'VARCHAR')}) AS {c}" for c in columns)
+    return f" UNION ALL SELECT {nulls}, '{problem}' AS problem, {rejected} AS rejected FROM {table}"
+
+
+_INCIDENT_COLUMNS = ["date", "type", "registration", "operator", "fatalities", "location", "country", "cat", "year"]
+ORACLE["incidents_csv"] = with_views(["incidents"], f"""
+    SELECT {", ".join(map(_token, _INCIDENT_COLUMNS))}, CAST(NULL AS VARCHAR) AS problem, CAST(NULL AS VARCHAR) AS rejected FROM incidents
+    """ + _rejected(_INCIDENT_COLUMNS, {}, "malformed line", "'cut off ' || s_suppkey", "supplier")
+    + _rejected(_INCIDENT_COLUMNS, {}, "malformed line", "n_name || ',a,b,c,d,e,f,g,h,i,j'", "nation"))
+ORACLE["emails_csv"] = with_views(["emails"], f"""
+    SELECT {_token("text")}, label, CAST(NULL AS VARCHAR) AS problem, CAST(NULL AS VARCHAR) AS rejected FROM emails
+    """ + _rejected(["text", "label"], {}, "malformed line", "'no label ' || n_name", "nation"))
+_CARD_CSV = ["BALANCE", "PURCHASES", "ONEOFF_PURCHASES", "INSTALLMENTS_PURCHASES", "CASH_ADVANCE", "CREDIT_LIMIT", "PAYMENTS", "MINIMUM_PAYMENTS", "TENURE"]
+_CARD_KINDS = {c: "DOUBLE" for c in _CARD_CSV}
+ORACLE["cards_csv"] = with_views(["card_customers"], f"""
+    SELECT CAST(CUST_ID AS VARCHAR) AS CUST_ID, {", ".join(_CARD_CSV)}, CAST(NULL AS VARCHAR) AS problem, CAST(NULL AS VARCHAR) AS rejected FROM card_customers
+    """ + _rejected(["CUST_ID", *_CARD_CSV], _CARD_KINDS, "bad value in BALANCE", "'12x4'", "supplier")
+    + _rejected(["CUST_ID", *_CARD_CSV], _CARD_KINDS, "malformed line", "'cut off ' || n_name", "nation"))
+
 # ---------------------------------------------------------------- segments
 FEATS = ["BALANCE", "PURCHASES", "ONEOFF_PURCHASES", "INSTALLMENTS_PURCHASES",
          "CASH_ADVANCE", "CREDIT_LIMIT", "PAYMENTS", "MINIMUM_PAYMENTS"]

@@ -166,6 +166,34 @@ def _mean_by_era_country(spark, d):
     return mean_incidents_by_era(_clean_incidents(spark, d), countries=fx.america_countries(t))
 
 
+# ---------------------------------------------------------------- A1 CSV sources, with a quarantine
+
+def _checked_csv(spark, d, write, schema, multi_line=False):
+    from tavolo.session import scratch_path
+    from tavolo.sources.tables import read_csv
+    path = write(Tables(spark, d), scratch_path(spark, "csv"))
+    return read_csv(spark, path, schema, multi_line=multi_line, header=False, checked=True)
+
+
+@query("incidents_csv")
+def _q_incidents_csv(spark, d):
+    from tavolo.sources.tables import INCIDENT_SCHEMA
+    return _checked_csv(spark, d, fx.write_incidents_csv, INCIDENT_SCHEMA)
+
+
+@query("emails_csv")
+def _q_emails_csv(spark, d):
+    from tavolo.sources.tables import EMAIL_SCHEMA
+    return _checked_csv(spark, d, fx.write_emails_csv, EMAIL_SCHEMA, multi_line=True)
+
+
+@query("cards_csv")
+def _q_cards_csv(spark, d):
+    from pyspark.sql import types as T
+    from tavolo.sources.tables import CARD_SCHEMA
+    return _checked_csv(spark, d, fx.write_cards_csv, T.StructType([CARD_SCHEMA[c] for c in fx.CARD_CSV_COLUMNS]))
+
+
 # ---------------------------------------------------------------- Q7-Q11 emails
 
 @query("email_clean")

@@ -217,6 +217,44 @@ def card_customers(t: Tables) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- CSV files (A1)
+
+CARD_CSV_COLUMNS = ("CUST_ID", "BALANCE", "PURCHASES", "ONEOFF_PURCHASES", "INSTALLMENTS_PURCHASES", "CASH_ADVANCE",
+                    "CREDIT_LIMIT", "PAYMENTS", "MINIMUM_PAYMENTS", "TENURE")
+_CSV_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _csv_lines(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(F.to_csv(F.struct(*columns), _CSV_OPTIONS).alias("value"))
+
+
+def _write_lines(lines: DataFrame, planted: DataFrame, folder: str) -> str:
+    lines.unionByName(planted).write.text(folder)
+    return folder
+
+
+def write_incidents_csv(t: Tables, folder: str) -> str:
+    """The accident table as CSV lines, and by it one line of a single field for every
+    supplier and one of too many fields for every nation."""
+    short = t.supplier.select(F.concat(F.lit("cut off "), F.col("s_suppkey").cast("string")).alias("value"))
+    long = t.nation.select(F.concat(F.col("n_name"), F.lit(",a,b,c,d,e,f,g,h,i,j")).alias("value"))
+    columns = ["date", "type", "registration", "operator", "fatalities", "location", "country", "cat", "year"]
+    return _write_lines(_csv_lines(incidents_raw(t), columns), short.unionByName(long), folder)
+
+
+def write_emails_csv(t: Tables, folder: str) -> str:
+    """The emails as CSV records with line breaks inside quotes, and a line of one field for every nation."""
+    return _write_lines(_csv_lines(emails(t), ["text", "label"]), t.nation.select(F.concat(F.lit("no label "), "n_name").alias("value")), folder)
+
+
+def write_cards_csv(t: Tables, folder: str) -> str:
+    """The card customers as CSV lines, a line with a text for a number for every supplier, and a
+    line of one field for every nation."""
+    text = t.supplier.select(F.concat(F.lit("bad-"), F.col("s_suppkey").cast("string"), F.lit(",12x4,1,1,1,1,1,1,1,1")).alias("value"))
+    short = t.nation.select(F.concat(F.lit("cut off "), "n_name").alias("value"))
+    return _write_lines(_csv_lines(card_customers(t), list(CARD_CSV_COLUMNS)), text.unionByName(short), folder)
+
+
 # ---------------------------------------------------------------- shop events (SHOP)
 
 SHOP_EVENT_SCHEMA = T.StructType([

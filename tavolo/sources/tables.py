@@ -87,30 +87,66 @@ CARD_SCHEMA = T.StructType(
 )
 
 
+# fixed values: why a CSV row is rejected
+MALFORMED_LINE, BAD_VALUE = "malformed line", "bad value in "
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             null_tokens: list[str] | None = None, multi_line: bool = False) -> DataFrame:
-    """Headed CSV with a declared schema; each null token becomes null.
+             null_tokens: list[str] | None = None, multi_line: bool = False,
+             header: bool = True, checked: bool = False) -> DataFrame:
+    """CSV with a declared schema; each null token becomes null.
 
     Spark's reader takes one ``nullValue``; the rest of the token list is
     mapped to null by one projection right after the scan. Declared numeric
     columns are read as text and parsed there, so that a token (``NaN`` too) is
     null in them as well. ``multi_line`` is for files with line breaks inside
-    quotes: such a file is read by one task, others are split.
+    quotes: such a file is read by one task, others are split. Without a
+    ``header`` the columns are those of the schema, by position.
+
+    With ``checked`` nothing is lost silently: ``problem`` says why a row
+    cannot be used (a line with too few or too many fields, a text where a number
+    belongs) and ``rejected`` holds the line, or that text. ``accepted`` and
+    ``quarantined`` part the two kinds.
     """
     tokens = PANDAS_NULL_TOKENS if null_tokens is None else null_tokens
     # the header gives the column order; each column takes its declared type by
     # name (a CSV schema is otherwise applied by position), unknown columns stay text
-    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-    header = reader.csv(path).columns
+    reader = spark.read.option("header", header).option("multiLine", multi_line).option("escape", '"')
+    names = reader.csv(path).columns if header else [f.name for f in schema.fields]
     declared = {f.name: f.dataType for f in schema.fields}
-    df = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).option("nullValue", "").csv(path)
+    read = [T.StructField(c, T.StringType()) for c in names]
+    if checked:  # without pruning, so that every line is held against all columns
+        reader = reader.option("columnNameOfCorruptRecord", "_line").option("columnPruning", False)
+        read.append(T.StructField("_line", T.StringType()))
+    df = reader.schema(T.StructType(read)).option("nullValue", "").csv(path)
+
+    def known(c: str):
+        return F.when(F.col(c).isin(tokens), F.lit(None)).otherwise(F.col(c)) if tokens else F.col(c)
 
     def value(c: str):
-        text = F.when(F.col(c).isin(tokens), F.lit(None)).otherwise(F.col(c)) if tokens else F.col(c)
         kind = declared.get(c, T.StringType())
-        return (text if isinstance(kind, T.StringType) else text.try_cast(kind)).alias(c)
+        return known(c) if isinstance(kind, T.StringType) else known(c).try_cast(kind)
+
+    if not checked:
+        return df.select(*[value(c).alias(c) for c in names])
+    problem, rejected = F.when(F.col("_line").isNotNull(), F.lit(MALFORMED_LINE)), F.when(F.col("_line").isNotNull(), F.col("_line"))
+    for c in names:
+        if not isinstance(declared.get(c, T.StringType()), T.StringType):
+            bad = known(c).isNotNull() & value(c).isNull()
+            problem, rejected = problem.when(bad, F.lit(BAD_VALUE + c)), rejected.when(bad, F.col(c))
+    staged = df.withColumn("_problem", problem).withColumn("_rejected", rejected)
+    return staged.select(*[F.when(F.col("_problem").isNull(), value(c)).alias(c) for c in names],
+                         F.col("_problem").alias("problem"), F.col("_rejected").alias("rejected"))
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """The usable rows of a checked read."""
+    return rows.filter(F.col("problem").isNull()).drop("problem", "rejected")
+
 
-    return df.select(*[value(c) for c in header])
+def quarantined(rows: DataFrame) -> DataFrame:
+    """(problem, rejected) of the others."""
+    return rows.filter(F.col("problem").isNotNull()).select("problem", "rejected")
 
 
 def read_incidents_csv(spark: SparkSession, path: str) -> DataFrame:
