@@ -1,12 +1,13 @@
 """Runs of words: mining the frequent ones, and finding listed ones in texts.
 
 ``frequent_ngrams`` mines level by level (Apriori): a run of n words can only be
-frequent where the two runs of n - 1 words in it are. Each level counts its
+frequent where the two runs of n - 1 words in it are. Each level, from pairs on, counts its
 candidates in hashed buckets, one bounded table of small counters a task; the
 tables are merged block by block. Only runs whose bucket reaches the least count go
 on, and only the last level's survivors are counted exactly, as text. A bucket
 counts every run that falls into it, so no frequent run is lost, whatever the
 table's size; a fuller table only lets more rare runs through to the exact count.
+Words are hashed once a pass, in Spark; their runs are hashed by whole batches.
 
 ``find_ngrams`` finds listed runs in token arrays without a shuffle: the list
 becomes sorted arrays of hashes, shard by shard, each shard bounded and
@@ -53,14 +54,43 @@ def _lists(row: np.ndarray, values: np.ndarray, rows: int, kind: pa.DataType) ->
 
 # ---------------------------------------------------------------- mining
 
-def _tables(bits: int):
+def _places(words: pa.ListArray, levels: list[tuple[int, np.ndarray]], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, the row of each, and the places where a run may begin that all ``levels`` (length, frequent buckets) let through."""
+    values, row, _ = _flat(words)
+    values = values.astype(np.int64)
+    at = np.arange(len(values))
+    for k, frequent in levels:
+        at = at[at + k <= len(values)]
+        at = at[row[at] == row[at + k - 1]]
+        at = at[frequent[_buckets(values, at, k, bits)]]
+        # a longer run begins where the next place begins one of this level, too
+        at = at[:-1][at[1:] == at[:-1] + 1] if len(at) else at
+    return values, row, at
+
+
+def _buckets(words: np.ndarray, starts: np.ndarray, n: int, bits: int) -> np.ndarray:
+    return (_hashes(words, starts, n)[0] >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _runs(row: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The places from which a run of ``n`` words fits in its row."""
+    at = at[at + n <= len(row)]
+    return at[row[at] == row[at + n - 1]]
+
+
+def _opened(sent, bits: int) -> list[tuple[int, np.ndarray]]:
+    return [(k, np.unpackbits(found, count=1 << bits).astype(bool)) for k, found in sent.value]
+
+
+def _tables(sent, n: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = _opened(sent, bits)
         table = np.zeros(1 << bits, np.uint8)
         for batch in batches:
-            bucket = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            for i in range(0, len(bucket), 1 << 20):
-                at, n = np.unique(bucket[i:i + (1 << 20)], return_counts=True)
-                table[at] = np.minimum(table[at] + n, FULL)
+            for i in range(0, batch.num_rows, 512):
+                words, row, at = _places(batch.column(0).slice(i, 512), levels, bits)
+                bucket, count = np.unique(_buckets(words, _runs(row, at, n), n, bits), return_counts=True)
+                table[bucket] = np.minimum(table[bucket] + count, FULL)
         width = min(1 << BLOCK_BITS, len(table))
         used = [b for b in range(len(table) // width) if table[b * width:(b + 1) * width].any()]
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([zlib.compress(table[b * width:(b + 1) * width].tobytes(), 1) for b in used], pa.binary())],
@@ -92,9 +122,10 @@ def _merged(least: int):
     return run
 
 
-def frequent_buckets(buckets: DataFrame, least: int, bits: int) -> np.ndarray:
-    """Which of ``2 ** bits`` buckets occur ``least`` times (or ``FULL`` times) in the one column of ``buckets``, an array<int>."""
-    blocks = buckets.mapInArrow(_tables(bits), "block int, counts binary")
+def frequent_buckets(hashes: DataFrame, levels: list, n: int, least: int, bits: int) -> np.ndarray:
+    """Which of ``2 ** bits`` buckets the runs of ``n`` words reach ``least`` times (or ``FULL`` times); packed bits."""
+    sent = hashes.sparkSession.sparkContext.broadcast(levels)
+    blocks = hashes.mapInArrow(_tables(sent, n, bits), "block int, counts binary")
     merged = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_merged(min(least, FULL)), "block int, bits binary")
     found = np.zeros(1 << bits, bool)
     width = min(1 << BLOCK_BITS, len(found))
@@ -105,30 +136,27 @@ def frequent_buckets(buckets: DataFrame, least: int, bits: int) -> np.ndarray:
 
 def frequent_ngrams(texts: DataFrame, words: Column, n: int, least: int, bits: int = BUCKET_BITS) -> DataFrame:
     """(name, n): every run of ``n`` words, joined by blanks, that stands ``least`` times in the arrays ``words`` of ``texts``."""
-    sc = texts.sparkSession.sparkContext
-    every = F.when(F.size("_ws") > 0, F.sequence(F.lit(0), F.size("_ws") - 1)).otherwise(F.expr("cast(array() as array<int>)"))
-    level = texts.select(words.alias("_ws")).withColumn("_at", every)
-    for k in range(1, n + 1):
-        level = level.withColumn("_bucket", F.transform("_at", lambda i: F.pmod(F.xxhash64(F.slice("_ws", i + 1, k)), F.lit(1 << bits)).cast("int")))
-        sent = sc.broadcast(frequent_buckets(level.select("_bucket"), least, bits))
-        level = level.withColumn("_at", _surviving(sent, bits, more=k < n)("_at", "_bucket")).drop("_bucket")
-    names = F.transform("_at", lambda i: F.array_join(F.slice("_ws", i + 1, n), " "))
-    return (level.select(F.explode(names).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    split = texts.select(words.alias("_ws"))
+    hashed = F.transform("_ws", lambda w: F.xxhash64(w))
+    levels: list[tuple[int, np.ndarray]] = []
+    for k in range(min(2, n), n + 1):
+        levels.append((k, frequent_buckets(split.select(hashed.alias("h")), list(levels), k, least, bits)))
+    survivors = _surviving(texts.sparkSession.sparkContext.broadcast(levels), n, bits)(hashed)
+    names = F.transform(survivors, lambda i: F.array_join(F.slice("_ws", i + 1, n), " "))
+    return (split.select(F.explode(names).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") >= least))
 
 
-def _surviving(sent, bits: int, more: bool):
-    """Places whose bucket is frequent; with ``more``, those whose next place has one, too (a longer run may begin there)."""
+def _surviving(sent, n: int, bits: int):
+    """Places where a run of ``n`` words begins whose bucket is frequent on every level."""
     @F.arrow_udf("array<int>")
-    def keep(at: pa.Array, bucket: pa.Array) -> pa.Array:
-        place, row, _ = _flat(at)
-        values, _, _ = _flat(bucket)
-        frequent = np.unpackbits(sent.value, count=1 << bits)[values].astype(bool) if len(values) else np.zeros(0, bool)
-        if more:
-            follows = np.zeros(len(place), bool)
-            follows[:-1] = frequent[1:] & (row[1:] == row[:-1]) & (place[1:] == place[:-1] + 1)
-            frequent &= follows
-        return _lists(row[frequent], place[frequent], len(at), pa.int32())
+    def keep(words: pa.Array) -> pa.Array:
+        *below, (_, last) = _opened(sent, bits)
+        values, row, at = _places(words, below, bits)
+        at = _runs(row, at, n)
+        at = at[last[_buckets(values, at, n, bits)]]
+        _, _, place = _flat(words)
+        return _lists(row[at], place[at], len(words), pa.int32())
 
     return keep
 

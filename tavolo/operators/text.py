@@ -17,7 +17,9 @@ emails with equal ids keep their own words, means, counts and names.
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -89,13 +91,32 @@ def _word_set(words: DataFrame):
     return words.sparkSession.sparkContext.broadcast(frozenset(r["word"] for r in words.collect()))  # a shard
 
 
+def _kept(words: pa.ListArray, values: pa.Array) -> pa.ListArray:
+    """Lists like ``words`` with other ``values``; null values go."""
+    rows = np.repeat(np.arange(len(words)), np.asarray(words.value_lengths().fill_null(0)))
+    kept = np.asarray(values.is_valid())
+    offsets = np.searchsorted(rows[kept], np.arange(len(words) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values.drop_null())
+
+
+def _each(words: pa.ListArray, of) -> pa.Array:
+    """``of`` each word (None: gone); a batch's different words are looked up once."""
+    coded = words.flatten().dictionary_encode()
+    return pa.array([of(w) for w in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
+
+
 def _look_up(lemmas: DataFrame, stopwords: DataFrame):
     lemma_of, stop = _dictionary(lemmas), _word_set(stopwords)
 
-    @F.pandas_udf("array<string>")
-    def look_up(tokens: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def look_up(tokens: pa.Array) -> pa.Array:
         lemmas, stopwords = lemma_of.value, stop.value
-        return tokens.map(lambda ts: [w for w in (lemmas.get(t, t) for t in ts) if w not in stopwords])
+
+        def word(t: str) -> str | None:
+            w = lemmas.get(t, t)
+            return None if w in stopwords else w
+
+        return _kept(tokens, _each(tokens, word))
 
     return look_up
 
@@ -103,10 +124,11 @@ def _look_up(lemmas: DataFrame, stopwords: DataFrame):
 def _lemmas_of(lemmas: DataFrame):
     lemma_of = _dictionary(lemmas)
 
-    @F.pandas_udf("array<string>")
-    def look_up(tokens: pd.Series, known: pd.Series) -> pd.Series:
-        lemmas = lemma_of.value
-        return pd.Series([[lemmas.get(t) if k is None else k for t, k in zip(ts, ks)] for ts, ks in zip(tokens, known)], dtype=object)
+    @F.arrow_udf("array<string>")
+    def look_up(tokens: pa.Array, known: pa.Array) -> pa.Array:
+        found = pc.coalesce(known.flatten(), _each(tokens, lemma_of.value.get))
+        lengths = np.asarray(tokens.value_lengths().fill_null(0))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), found)
 
     return look_up
 
@@ -114,10 +136,10 @@ def _lemmas_of(lemmas: DataFrame):
 def _without(stopwords: DataFrame):
     stop = _word_set(stopwords)
 
-    @F.pandas_udf("array<string>")
-    def drop(words: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def drop(words: pa.Array) -> pa.Array:
         stopwords = stop.value
-        return words.map(lambda ws: [w for w in ws if w not in stopwords])
+        return _kept(words, _each(words, lambda w: None if w in stopwords else w))
 
     return drop
 
