@@ -382,6 +382,23 @@ ORACLE["event_outliers"] = """
     f AS (SELECT event_type, q1 - 0.5 * (q3 - q1) AS lo, q3 + 0.5 * (q3 - q1) AS hi FROM q)
     SELECT event_id, e.event_type, value, lo, hi FROM events e JOIN f ON e.event_type = f.event_type
     WHERE value < lo OR value > hi"""
+ORACLE["customer_outliers"] = with_views(["card_customers"], """,
+    q AS (SELECT SEGMENT, quantile_cont(CASH_ADVANCE, 0.25) AS q1, quantile_cont(CASH_ADVANCE, 0.75) AS q3 FROM card_customers GROUP BY SEGMENT),
+    f AS (SELECT SEGMENT, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+    SELECT c.CUST_ID, c.SEGMENT, c.CASH_ADVANCE, round(lo, 6) AS lo, round(hi, 6) AS hi FROM card_customers c JOIN f ON c.SEGMENT = f.SEGMENT
+    WHERE CASH_ADVANCE < lo OR CASH_ADVANCE > hi""")
+ORACLE["stored_client_features"] = ORACLE["client_features"]
+ORACLE["word_vectors_text"] = "SELECT 'word' || vec_id AS word, embedding AS vector FROM embeddings"
+ORACLE["email_clean_long_lists"] = with_views(["email_tokens"], """,
+    counts AS (SELECT tok AS word, count(*) AS n FROM email_tokens GROUP BY tok),
+    lemma_list AS (SELECT p.word, k.word AS lemma FROM counts p JOIN counts k ON k.word = substr(p.word, 1, length(p.word) - 1)
+                   WHERE p.word LIKE '%s' AND length(p.word) >= 4),
+    stop_list AS (SELECT word FROM counts ORDER BY n DESC, word LIMIT 100)
+    SELECT e.doc_id, e.label, coalesce(c.clean_text, '') AS clean_text
+    FROM emails e LEFT JOIN (
+      SELECT doc_id, regexp_replace(string_agg(lem, ' ' ORDER BY pos), '\\p{Nd}', '', 'g') AS clean_text
+      FROM (SELECT t.doc_id, t.pos, coalesce(l.lemma, t.tok) AS lem FROM email_tokens t LEFT JOIN lemma_list l ON t.tok = l.word)
+      WHERE lem NOT IN (SELECT word FROM stop_list) GROUP BY doc_id) c ON e.doc_id = c.doc_id""")
 ORACLE["classification_report"] = """
     WITH s AS (SELECT CAST(label AS VARCHAR) AS t,
                       CAST((label + CAST(vec_id % 7 = 0 AS INTEGER)) % 10 AS VARCHAR) AS p

@@ -18,13 +18,13 @@ VIEWS: dict[str, str] = {
         FROM customer""",
     "conto": """
         SELECT o_orderkey AS id_conto, o_custkey AS id_cliente, o_orderpriority AS id_tipo_conto
-        FROM orders WHERE o_orderkey % 10 <> 7""",
+        FROM orders""",
     "tipo_conto": """
         SELECT * FROM (VALUES ('1-URGENT', 'Conto Base'), ('2-HIGH', 'Conto Business'),
                               ('3-MEDIUM', 'Conto Privati'), ('4-NOT SPECIFIED', 'Conto Famiglie'))
                AS t(id_tipo_conto, desc_tipo_conto)""",
     "transazioni": """
-        SELECT l_orderkey AS id_conto, l_returnflag AS id_tipo_trans,
+        SELECT CASE WHEN l_orderkey % 10 = 7 THEN -l_orderkey ELSE l_orderkey END AS id_conto, l_returnflag AS id_tipo_trans,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS importo
         FROM lineitem""",
     "tipo_transazione": """

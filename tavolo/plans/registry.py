@@ -63,6 +63,18 @@ def _client_features(spark, d):
     return client_features(**fx.bank(Tables(spark, d)))
 
 
+@query("stored_client_features")
+def _stored_client_features(spark, d):
+    """The feature table registered as a view, persisted once as a catalog table and read from there."""
+    import uuid
+    from tavolo.operators.clients import client_features
+    from tavolo.sources.tables import register_view, save_table_once
+    name = f"client_features_{uuid.uuid4().hex}"
+    view = register_view(client_features(**fx.bank(Tables(spark, d))), f"{name}_view")
+    save_table_once(view, name)
+    return spark.table(name)
+
+
 # ---------------------------------------------------------------- Q2-Q6 accidents
 
 def _clean_incidents(spark, d):
@@ -201,6 +213,23 @@ def _email_clean(spark, d):
     return fx.clean_emails(Tables(spark, d))
 
 
+@query("email_clean_long_lists")
+def _email_clean_long_lists(spark, d):
+    """The cleaner with lists as long as the corpus gives: singulars for plurals, the most frequent words as stopwords."""
+    from tavolo.operators.text import clean_text
+    t = Tables(spark, d)
+    lemmas, stopwords = fx.corpus_lists(t)
+    return clean_text(fx.emails(t), lemmas, stopwords)
+
+
+@query("word_vectors_text")
+def _word_vectors_text(spark, d):
+    """The embeddings as a text file of word vectors, read back (A3)."""
+    from tavolo.session import scratch_path
+    from tavolo.sources.tables import read_word_vectors_text
+    return read_word_vectors_text(spark, fx.write_word_vectors_text(Tables(spark, d), scratch_path(spark, "vectors")))
+
+
 @query("email_mean_vector")
 def _email_mean_vector(spark, d):
     from tavolo.operators.text import mean_vectors, with_row_key
@@ -306,6 +335,15 @@ def _q_event_outliers(spark, d):
         "event_id", "event_type", "value", "lo", "hi")
 
 
+@query("customer_outliers")
+def _q_customer_outliers(spark, d):
+    """Outliers at the usual 1.5 interquartile ranges, per market segment."""
+    from pyspark.sql import functions as F
+    from tavolo.operators.segments import outliers
+    found = outliers(fx.card_customers(Tables(spark, d)), "SEGMENT", "CASH_ADVANCE")
+    return found.select("CUST_ID", "SEGMENT", "CASH_ADVANCE", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"))
+
+
 @query("classification_report")
 def _q_classification_report(spark, d):
     from pyspark.sql import functions as F

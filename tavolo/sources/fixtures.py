@@ -42,7 +42,7 @@ def cliente(t: Tables) -> DataFrame:
 
 def conto(t: Tables) -> DataFrame:
     o = t.orders
-    return o.filter(o.o_orderkey % 10 != 7).select(
+    return o.select(
         o.o_orderkey.alias("id_conto"),
         o.o_custkey.alias("id_cliente"),
         o.o_orderpriority.alias("id_tipo_conto"),
@@ -54,9 +54,10 @@ def tipo_conto(spark: SparkSession) -> DataFrame:
 
 
 def transazioni(t: Tables) -> DataFrame:
+    """Every line; a tenth of the orders' lines belong to accounts that do not exist."""
     li = t.lineitem
     return li.select(
-        li.l_orderkey.alias("id_conto"),
+        F.when(li.l_orderkey % 10 == 7, -li.l_orderkey).otherwise(li.l_orderkey).alias("id_conto"),
         li.l_returnflag.alias("id_tipo_trans"),
         li.l_extendedprice.cast("decimal(18,2)").alias("importo"),
     )
@@ -145,6 +146,25 @@ def clean_emails(t: Tables) -> DataFrame:
     return clean_text(emails(t), lemmas(t.spark), stopwords(t.spark))
 
 
+def corpus_lists(t: Tables, n_stop: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Lemmas and stopwords from the documents themselves: a word of four letters or more
+    that ends in s, if it occurs without it, too; and the ``n_stop`` most frequent words."""
+    from tavolo.functions.text import pre_tokens
+    counts = (t.documents.select(F.explode(pre_tokens(F.col("text"))).alias("word")).groupBy("word")
+              .agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+    plural = counts.where(F.col("word").endswith("s") & (F.length("word") >= 4)).select("word", F.expr("substring(word, 1, length(word) - 1)").alias("lemma"))
+    known = counts.select(F.col("word").alias("lemma"))
+    stop = counts.orderBy(F.col("n").desc(), "word").limit(n_stop).select("word")
+    return plural.join(known, "lemma", "left_semi").select("word", "lemma"), stop
+
+
+def write_word_vectors_text(t: Tables, folder: str) -> str:
+    """``word v1 v2 ...`` lines, a word for each vector."""
+    numbers = F.transform("embedding", lambda x: x.cast("string"))
+    t.embeddings.select(F.concat_ws(" ", F.concat(F.lit("word"), F.col("vec_id").cast("string")), F.array_join(numbers, " ")).alias("value")).write.text(folder)
+    return folder
+
+
 def word_vectors(t: Tables, clean: DataFrame | None = None) -> DataFrame:
     """Cleaned email tokens (length >= 2) ranked by (count desc, word); the
     word of rank r takes the embedding with vec_id r."""
