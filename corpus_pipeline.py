@@ -12,6 +12,20 @@ last stage return the columns of their input.
 3. SimHash near-dedup: one document of each group stays.
 4. mixing: each document as often as the mix takes it.
 5. packing: pieces of token sequences.
+
+Defined results, stage by stage; in all of them very long texts are read whole,
+an empty table stays empty, and input columns may have any names beside doc_id,
+text and source:
+
+1. A null text is scored as an empty one, a null id like any other; repeated rows
+   are judged each, alike; a score equal to the threshold stays.
+2. A null text stays null; rows with equal id and text are one document, treated
+   alike; rows with equal id and different texts go by the hash of the text, null ids last.
+3. Texts without a word have fingerprint zero and are one group; of a group the
+   row with the smallest id stays, of equal ids one row; null ids come last.
+4. A null text has size 0; a null source is a source of its own, the last one; equal
+   rows are drawn separately.
+5. A null text is an empty one, which has its end id alone; repeated rows are packed each.
 """
 
 from __future__ import annotations
