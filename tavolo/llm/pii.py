@@ -36,7 +36,11 @@ few (checked).
 
 Defined results: null text has no spans; a term inside a base span is no term;
 repeated rows are documents of their own; null ids are kept; an empty table
-gives an empty result. Time is linear in the text for every pattern.
+gives an empty result. Time is linear in the text for every pattern. A term has 3
+to 64 characters: shorter words are too common and longer runs (keys, encoded
+data, addresses of pages) no words; neither is ever removed. Ties need no rule:
+every pair that reaches a threshold counts. Input columns may have any names; those
+that the output uses are replaced.
 """
 
 from __future__ import annotations
@@ -180,39 +184,55 @@ def _term_batches(places: bool):
     """Of each row of (__row, of, __held, __base) its different terms, or with ``places`` a row per word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for i in range(whole.num_rows):
-                row = whole.slice(i, 1)
-                text, base = row.column(2)[0].as_py(), row.column(3)[0].as_py()
-                found = list(terms_of(text, [(s["start"], s["end"]) for s in base]))
+            for first in range(0, whole.num_rows, 256):
+                some = whole.slice(first, 256)
+                found = ([(i, *t) for t in terms_of(text, [(s["start"], s["end"]) for s in base])]
+                         for i, (text, base) in enumerate(zip(some.column(2).to_pylist(), some.column(3).to_pylist())))
                 if not places:
-                    yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), pa.array([sorted({t for t, _, _ in found})], pa.list_(pa.string()))], names=["__row", "of", "terms"])
+                    yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([sorted({t for _, t, _, _ in f}) for f in found], pa.list_(pa.string()))],
+                                                     names=["__row", "of", "terms"])
                     continue
-                for first in range(0, len(found), 4096):
-                    some = found[first:first + 4096]
-                    same = pa.array([0] * len(some), pa.int32())
-                    yield pa.RecordBatch.from_arrays([row.column(0).take(same), pa.array([t for t, _, _ in some], pa.string()),
-                                                      pa.array([a for _, a, _ in some], pa.int32()), pa.array([b for _, _, b in some], pa.int32())], names=["__row", "term", "start", "end"])
+                held: list[tuple] = []
+                for terms in found:
+                    held += terms
+                    while len(held) >= 4096:
+                        yield _places(some, held[:4096])
+                        held = held[4096:]
+                yield _places(some, held)
 
     return run
 
 
+def _places(rows: pa.RecordBatch, words: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([rows.column(0).take(pa.array([i for i, *_ in words], pa.int32())), pa.array([t for _, t, _, _ in words], pa.string()),
+                                       pa.array([a for _, _, a, _ in words], pa.int32()), pa.array([b for *_, b in words], pa.int32())],
+                                      names=["__row", "term", "start", "end"])
+
+
 def disclosing_terms(docs: DataFrame, text: str, found: DataFrame, held: DataFrame, near: DataFrame, n_docs: int, generalise_at: float, remove_at: float, least_contexts: int) -> DataFrame:
     """(entity, term, kind) of the pairs that disclose too much; ``held`` has a row per entity of a document, ``near`` per term near a mention."""
     close = (near.groupBy("entity", "term", "context").agg(F.min("__row").alias("a"), F.max("__row").alias("b"))
              .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_close")).where(F.col("n_close") >= least_contexts))
     close = written(close, "pii-close")
+    n = F.lit(float(max(n_docs, 1)))
     of_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     often = held.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_contexts)
-    possible = often.select("entity").union(close.select("entity")).distinct()
-    of_row = held.join(possible, "entity", "left_semi").groupBy("__row").agg(F.collect_list(F.struct("entity", "context")).alias("of"))
+    # A pair reaches the threshold only if the term stands in few enough documents: n(t) <= n(e, t) (N / n(e)) ^ (1 - threshold), n(e, t) <= n(e).
+    possible = written(often.select("entity").union(close.select("entity")).distinct().join(of_entity, "entity")
+                       .withColumn("limit", F.col("n_e") * F.pow(n / F.col("n_e"), F.lit(1 - generalise_at)) * (1 + 1e-9)), "pii-possible")
+    highest = possible.agg(F.max("limit")).first()[0] or 0.0
+    of_row = held.join(possible.select("entity", "limit"), "entity").groupBy("__row").agg(F.collect_list(F.struct("entity", "context", "limit")).alias("of"))
     together = written(found.select("__row", "__held", "__base").join(of_row, "__row").select("__row", "of", "__held", "__base").mapInArrow(
-        _term_batches(False), "__row long, of array<struct<entity: string, context: long>>, terms array<string>"), "pii-together")
-    around = together.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
-    both = (together.select("terms", F.explode("of").alias("o")).select("o.entity", "o.context", F.explode("terms").alias("term"))
+        _term_batches(False), "__row long, of array<struct<entity: string, context: long, limit: double>>, terms array<string>"), "pii-together")
+    # Terms go before they meet the entities of their documents: the rare ones prove nothing, the common ones give nothing away.
+    around = written(together.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+                     .where((F.col("n_near") >= least_contexts) & (F.col("n_near") <= highest)), "pii-around")
+    able = F.broadcast(around) if around.count() <= SMALL_TERMS else around
+    both = (together.select("of", F.explode("terms").alias("term")).join(able, "term").select("term", "n_near", F.explode("of").alias("o"))
+            .where(F.col("n_near") <= F.col("o.limit")).select("o.entity", "o.context", "term")
             .groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_et"))
             .join(close, ["entity", "term"], "left").where((F.col("contexts") >= least_contexts) | F.col("n_close").isNotNull()))
-    n = F.lit(float(max(n_docs, 1)))
 
     def disclosure(holding: str) -> Column:
         information = F.log2(n / F.col("n_e"))
