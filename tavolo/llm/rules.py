@@ -7,19 +7,27 @@ pair of neighbouring labels, and Viterbi decoding finds the best sequence. A
 document is kept when at least ``keep_share`` of its words stand in content
 lines.
 
-The field is trained here, on the lines of at most ``fit_docs`` documents
-(smallest hashes of id and text). Their labels come from the whole corpus and
-from plain marks: a short line that stands between at least ``least_contexts``
-different pairs of neighbours over all documents is boilerplate (copies of a
-document have the same neighbours and prove nothing), and so is a line that is
-mostly symbols, capitals or one repeated word. Features look at the text only,
-so lines that occur once are judged like those that recur.
+The field is trained here, on at most ``fit_sequences`` runs of up to ``SEQUENCE``
+lines (smallest hashes of id, text and place) of labelled documents. A line's label comes from
+what its own features do not hold: from the company it keeps. Lines of
+documents marked as low quality are boilerplate, unless documents marked as good
+have the same line; lines of good documents are content. Either way a short line that
+stands between at least ``least_contexts`` different pairs of neighbours over all
+documents is boilerplate (copies of a document have the same neighbours and
+prove nothing). The marks are of whole documents, so both kinds hold lines of the other;
+the field learns what prevails. Features look at the text only, so documents
+without a mark and lines that occur once are judged like the others; no mark is used in judging.
+Without a table of marks, plain marks of the lines (symbols, capitals, one repeated word) stand in.
+
+Tasks turn the lines into features and hashes; no text reaches the driver.
 
 Defined results: null text has no words, fails the base rules and is not kept;
-repeated rows are judged each; null ids are kept in the result; a corpus
-without two kinds of lines gives a field that calls every line content; an
-empty table gives an empty result. Texts are read whole; a very long document
-is decoded in one pass, linear in its lines.
+repeated rows are judged each; null ids are kept in the result; a document
+marked several times counts as low if any mark is; ties between label
+sequences go to content; a corpus without two kinds of lines gives a field that calls
+every line content; an empty table gives an empty result. Texts are read whole;
+a very long document is decoded in one pass, linear in its lines. Input columns may have any
+names; those that the output uses are replaced.
 """
 
 from __future__ import annotations
@@ -28,12 +36,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tavolo.llm.shared import hash_sample, table, without
+from tavolo.llm.shared import hash_sample, table, without, written
 
-FIT_DOCS = 2000
+FIT_SEQUENCES = 4000
 LEAST_WORDS, MOST_REPEATED = 10, 20
 KEEP_SHARE = 0.3
 #: Boilerplate must score this much above content: single short lines look like either.
@@ -188,25 +197,71 @@ def _worded(text: str | None) -> list[bytes]:
     return [x for x in (text or "").encode("utf-8", "replace").split(b"\n") if x.strip()]
 
 
-def fit_on_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fit_docs: int = FIT_DOCS, least_contexts: int = LEAST_CONTEXTS) -> ChainField:
-    """Labels the sampled lines by their contexts over all documents, and trains."""
-    texts = docs.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("text"))
-    sample = sorted(r["text"] for r in hash_sample(texts, F.col("key"), fit_docs, docs.count()).select("text").toLocalIterator())
-    lines = [_worded(t) for t in sample]
-    wanted = sorted({x for doc in lines for x in doc if len(x.split()) < SHORT_LINE})
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, place, mark, x, lines, short): features (0/1, row by row) and hashes of runs of lines, and which lines are short."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 64):
+            some = batch.slice(first, 64)
+            keys, places, marks, xs, hashes, short = [], [], [], [], [], []
+            for key, mark, text in zip(*(some.column(c).to_pylist() for c in ("key", "mark", "text"))):
+                lines = _worded(text)
+                x = line_features(lines).astype(np.uint8)
+                for i in range(0, len(lines), SEQUENCE):
+                    part = lines[i:i + SEQUENCE]
+                    keys.append(key), places.append(i), marks.append(mark), xs.append(x[i:i + SEQUENCE].tobytes())
+                    hashes.append([_signed(xxhash.xxh64_intdigest(line, seed=42)) for line in part])
+                    short.append([len(line.split()) < SHORT_LINE for line in part])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(places, pa.int32()), pa.array(marks, pa.int32()), pa.array(xs, pa.binary()),
+                                              pa.array(hashes, pa.list_(pa.int64())), pa.array(short, pa.list_(pa.bool_()))],
+                                             names=["key", "place", "mark", "x", "lines", "short"])
+
+
+def _signed(h: int) -> int:
+    """As Spark's xxhash64."""
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def _line_hashes(text: str) -> Column:
+    return F.transform(F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), lambda x: F.xxhash64(x))
+
+
+def fit_on_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", labels: DataFrame | None = None, label: str = "quality",
+                  fit_sequences: int = FIT_SEQUENCES, least_contexts: int = LEAST_CONTEXTS) -> ChainField:
+    """Labels sampled runs of lines by the documents' marks and by their contexts over all documents, and trains."""
+    texts = docs.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    key = F.xxhash64("id", "text").alias("key")
+    if labels is None:
+        marked = texts.select(key, F.lit(None).cast("int").alias("mark"), "text")
+    else:
+        marks = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").alias("of"))
+                 .agg((F.min(label) == 0).cast("int").alias("mark")))
+        marked = texts.join(marks, F.col("id") == F.col("of")).select(key, "mark", "text")
+    runs = written(marked.mapInArrow(_sequences, "key long, place int, mark int, x binary, lines array<long>, short array<boolean>").distinct(), "crf-runs")
+    n = {r["mark"]: r["n"] for r in runs.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).collect()}  # low, good, or neither
+    spread = F.xxhash64("key", "place")
+    parts = [hash_sample(runs.where(F.col("mark").eqNullSafe(F.lit(m).cast("int"))), spread, fit_sequences // len(n), k).collect() for m, k in sorted(n.items(), key=str)]
+    sample = sorted((r for part in parts for r in part), key=lambda r: (r["key"], r["place"], r["x"]))
+    if not sample:
+        return fit_field([], [])
     spark = docs.sparkSession
-    hashed = spark.createDataFrame([(w.decode("utf-8", "replace"),) for w in wanted], "line string").select(F.xxhash64("line").alias("h"), "line")
-    parts = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    hashes = docs.select(F.transform(parts, lambda x: F.xxhash64(x)).alias("a"))
+    hashed = lambda of: spark.createDataFrame([(h,) for h in sorted(of)], "h long")
+    # Lines of the sample: the broadcast sides are bounded by it.
+    wanted = {h for r in sample for h, s in zip(r["lines"], r["short"]) if s}
     placed = F.transform("a", lambda h, i: F.struct(h.alias("h"), F.xxhash64(F.when(i > 0, F.get("a", i - 1)), F.get("a", i + 1)).alias("context")))
-    standing = hashes.select(F.inline(placed))
-    # Short lines of at most fit_docs documents: the broadcast side is bounded by the sample.
-    contexts = (standing.join(F.broadcast(hashed.select("h")), "h", "left_semi").distinct()
+    standing = docs.select(_line_hashes(text).alias("a")).select(F.inline(placed))
+    contexts = (standing.join(F.broadcast(hashed(wanted)), "h", "left_semi").distinct()
                 .groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_contexts))
-    common = {r["line"].encode() for r in hashed.join(contexts, "h", "left_semi").select("line").toLocalIterator()}
-    features = [line_features(doc) for doc in lines]
-    labels = [(marked_as_junk(x) | np.array([line in common for line in doc], bool)).astype(int) for x, doc in zip(features, lines)]
-    return fit_field([x for x in features if len(x)], [y for y in labels if len(y)])
+    common = {r["h"] for r in contexts.select("h").toLocalIterator()}
+    low = {h for r in sample if r["mark"] == 1 for h in r["lines"]}
+    also_good = runs.where("mark = 0").select(F.explode("lines").alias("h")).join(F.broadcast(hashed(low)), "h", "left_semi").distinct()
+    good = {r["h"] for r in also_good.toLocalIterator()}
+    features = [np.frombuffer(r["x"], np.uint8).reshape(-1, len(FEATURES)).astype(float) for r in sample]
+
+    def line_labels(r, x: np.ndarray) -> np.ndarray:
+        own = marked_as_junk(x) if r["mark"] is None else np.array([r["mark"] == 1 and h not in good for h in r["lines"]], bool)
+        return (own | np.array([s and h in common for h, s in zip(r["lines"], r["short"])], bool)).astype(int)
+
+    return fit_field(features, [line_labels(r, x) for r, x in zip(sample, features)])
 
 
 def judge(docs: DataFrame, field: ChainField, text: str = "text", keep_share: float = KEEP_SHARE, keep: list[str] | None = None) -> DataFrame:
@@ -241,4 +296,5 @@ def judge(docs: DataFrame, field: ChainField, text: str = "text", keep_share: fl
 
 def op7_crf_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge(docs, fit_on_corpus(docs), keep=["doc_id"]).drop("labels")
+    field = fit_on_corpus(docs, labels=table(spark, sf_dir, "labels"))
+    return judge(docs, field, keep=["doc_id"]).drop("labels")

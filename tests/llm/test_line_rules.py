@@ -73,3 +73,27 @@ def test_messy_rows(spark, clashing, nothing):
     assert got.columns.count("kept") == 1 and got.count() == clashing.count() and got.where("kept is null").count() == 0
     assert got.where("text is null and kept").count() == 0
     assert R.judge(nothing, R.fit_on_corpus(nothing)).count() == 0
+
+
+def test_labels_come_from_marks_not_from_features(spark):
+    """Two kinds of lines that plain marks cannot tell apart; only the documents' marks can."""
+    rng = random.Random(7)
+    good = lambda: " ".join("".join(rng.choice("abcde") for _ in range(5)) for _ in range(12)) + "."
+    low = lambda: " ".join("".join(rng.choice("vwxyz") for _ in range(2)) for _ in range(12))
+    rows = [(i, "\n".join((low if i % 2 else good)() for _ in range(6))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1 - i % 2) for i in range(160)], "doc_id long, quality int")
+    field = R.fit_on_corpus(docs, labels=marks)
+    kept = {r["doc_id"]: r["kept"] for r in R.judge(docs, field).collect()}
+    assert np.mean([kept[i] for i in range(160, 200) if i % 2 == 0]) == 1 and np.mean([kept[i] for i in range(160, 200) if i % 2]) < 0.1
+    again = R.fit_on_corpus(docs.repartition(5), labels=marks)
+    assert np.allclose(field.emit, again.emit)
+
+
+def test_the_sample_is_bounded(spark, monkeypatch):
+    rows = [(1, "\n".join(f"line {i} of a very long text" for i in range(5000)))] + [(i, f"text {i}\nwith two lines") for i in range(2, 50)]
+    docs = spark.createDataFrame(rows * 3, "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(R, "fit_field", lambda xs, ys: seen.append((len(xs), max(map(len, xs)))) or R.ChainField(np.zeros((len(R.FEATURES), 2)), np.zeros((2, 2)), np.zeros(2)))
+    R.fit_on_corpus(docs, fit_sequences=20)
+    assert seen[0][0] <= 20 and seen[0][1] <= R.SEQUENCE
