@@ -2,11 +2,13 @@
 
 ``frequent_ngrams`` mines level by level (Apriori): a run of n words can only be
 frequent where the two runs of n - 1 words in it are. Each level, from pairs on, counts its
-candidates in hashed buckets, one bounded table of small counters a task; the
-tables are merged block by block. Only runs whose bucket reaches the least count go
+candidates in hashed buckets, about one for each word of the corpus: a task sends its
+buckets sorted, with small counters, about three bytes each, and the counters are added up block
+by block. Only runs whose bucket reaches the least count go
 on, and only the last level's survivors are counted exactly, as text. A bucket
 counts every run that falls into it, so no frequent run is lost, whatever the
-table's size; a fuller table only lets more rare runs through to the exact count.
+number of buckets; fewer buckets only let more rare runs through to the exact count, and beyond
+``MOST_FOUND`` frequent buckets (too many to broadcast) all runs of a level go through.
 Words are hashed once a pass, in Spark; their runs are hashed by whole batches.
 
 ``find_ngrams`` finds listed runs in token arrays without a shuffle: the list
@@ -27,10 +29,12 @@ from pyspark.sql import functions as F
 
 from tavolo.session import ensure_checkpoint_dir
 
-#: Buckets of a level's table, as a power of two; their counters stop at 255.
-BUCKET_BITS, FULL = 24, 255
-#: Counters that travel together.
-BLOCK_BITS = 16
+#: Counters of buckets stop at this.
+FULL = 255
+#: Blocks that the buckets are cut into, as a power of two; buckets that a task holds before it sends them.
+BLOCKS, HELD = 11, 1 << 23
+#: Frequent buckets of a level up to this number are broadcast.
+MOST_FOUND = 16_000_000
 #: Listed runs of a shard, about.
 SHARD_ROWS = 4_000_000
 
@@ -54,15 +58,14 @@ def _lists(row: np.ndarray, values: np.ndarray, rows: int, kind: pa.DataType) ->
 
 # ---------------------------------------------------------------- mining
 
-def _places(words: pa.ListArray, levels: list[tuple[int, np.ndarray]], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, the row of each, and the places where a run may begin that all ``levels`` (length, frequent buckets) let through."""
+def _places(words: pa.ListArray, levels: list, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, the row of each, and the places where a run may begin that all ``levels`` let through."""
     values, row, _ = _flat(words)
     values = values.astype(np.int64)
     at = np.arange(len(values))
-    for k, frequent in levels:
-        at = at[at + k <= len(values)]
-        at = at[row[at] == row[at + k - 1]]
-        at = at[frequent[_buckets(values, at, k, bits)]]
+    for level in levels:
+        at = _runs(row, at, level.n)
+        at = at[level.has(_buckets(values, at, level.n, bits))]
         # a longer run begins where the next place begins one of this level, too
         at = at[:-1][at[1:] == at[:-1] + 1] if len(at) else at
     return values, row, at
@@ -78,69 +81,119 @@ def _runs(row: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return at[row[at] == row[at + n - 1]]
 
 
-def _opened(sent, bits: int) -> list[tuple[int, np.ndarray]]:
-    return [(k, np.unpackbits(found, count=1 << bits).astype(bool)) for k, found in sent.value]
+class Found:
+    """The frequent buckets of runs of ``n`` words, sorted."""
+
+    def __init__(self, n: int, bits: int, buckets: np.ndarray):
+        self.n, self.bits, self.buckets = n, bits, np.sort(buckets)
+
+    def has(self, bucket: np.ndarray) -> np.ndarray:
+        if not len(self.buckets):
+            return np.zeros(len(bucket), bool)
+        # a first look at the upper bits spares most of the search
+        if not hasattr(self, "coarse"):
+            self.shift = max(self.bits - 24, 0)
+            self.coarse = np.zeros(1 << min(self.bits, 24), bool)
+            self.coarse[self.buckets >> self.shift] = True
+        maybe = self.coarse[bucket >> self.shift]
+        if self.shift:
+            at = np.searchsorted(self.buckets, bucket[maybe])
+            maybe[maybe] = self.buckets[np.minimum(at, len(self.buckets) - 1)] == bucket[maybe]
+        return maybe
+
+    def __getstate__(self):
+        return {"n": self.n, "bits": self.bits, "buckets": self.buckets}
+
+
+def bucket_bits(words: float) -> int:
+    """About a bucket a word, as a power of two."""
+    return int(np.clip(np.ceil(np.log2(max(words, 1))), 16, 34))
+
+
+def _block_shift(bits: int) -> int:
+    return max(bits - BLOCKS, 1)
 
 
 def _tables(sent, n: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = _opened(sent, bits)
-        table = np.zeros(1 << bits, np.uint8)
+        shift, held, size = _block_shift(bits), [], 0
+
+        def sent_on() -> pa.RecordBatch:
+            bucket, count = np.unique(np.concatenate(held), return_counts=True)
+            count = np.minimum(count, FULL).astype(np.uint8)
+            cuts = np.flatnonzero(np.diff(bucket >> shift)) + 1
+            starts = [0, *cuts.tolist()] if len(bucket) else []
+            low = np.diff(bucket & ((1 << shift) - 1), prepend=0)
+            low[starts] = bucket[starts] & ((1 << shift) - 1)  # steps from bucket to bucket, anew in each block
+            packed = [zlib.compress(low[a:b].astype(np.uint32).tobytes() + count[a:b].tobytes(), 1) for a, b in zip(starts, [*starts[1:], len(bucket)])]
+            return pa.RecordBatch.from_arrays([pa.array((bucket[starts] >> shift).astype(np.int32), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
+
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
-                words, row, at = _places(batch.column(0).slice(i, 512), levels, bits)
-                bucket, count = np.unique(_buckets(words, _runs(row, at, n), n, bits), return_counts=True)
-                table[bucket] = np.minimum(table[bucket] + count, FULL)
-        width = min(1 << BLOCK_BITS, len(table))
-        used = [b for b in range(len(table) // width) if table[b * width:(b + 1) * width].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([zlib.compress(table[b * width:(b + 1) * width].tobytes(), 1) for b in used], pa.binary())],
-                                         names=["block", "counts"])
+                words, row, at = _places(batch.column(0).slice(i, 512), sent.value, bits)
+                held.append(_buckets(words, _runs(row, at, n), n, bits))
+                size += len(held[-1])
+                if size >= HELD:
+                    yield sent_on()
+                    held, size = [], 0
+        if size:
+            yield sent_on()
 
     return run
 
 
-def _merged(least: int):
-    """Blocks in order: the bits of the counters that reach ``least``, over all tables of a block."""
+def _merged(least: int, bits: int):
+    """Blocks in order: the buckets that reach ``least``, over all parts of a block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shift = _block_shift(bits)
         block, total = None, None
 
         def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.packbits(total >= least).tobytes()], pa.binary())], names=["block", "bits"])
+            found = np.flatnonzero(total >= least) + (block << shift)
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([found], pa.list_(pa.int64()))], names=["block", "found"])
 
         for batch in batches:
             for b, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                one = np.frombuffer(zlib.decompress(counts), np.uint8)
+                raw = zlib.decompress(counts)
+                n = len(raw) // 5
                 if b != block:
                     if block is not None:
                         yield done()
-                    block, total = b, one.astype(np.uint16)
-                else:
-                    total = np.minimum(total + one, FULL).astype(np.uint16)
+                    block, total = b, np.zeros(1 << shift, np.uint16)
+                low = np.cumsum(np.frombuffer(raw, np.uint32, n).astype(np.int64))
+                total[low] = np.minimum(total[low] + np.frombuffer(raw, np.uint8, n, 4 * n), FULL)
         if block is not None:
             yield done()
 
     return run
 
 
-def frequent_buckets(hashes: DataFrame, levels: list, n: int, least: int, bits: int) -> np.ndarray:
-    """Which of ``2 ** bits`` buckets the runs of ``n`` words reach ``least`` times (or ``FULL`` times); packed bits."""
+def frequent_buckets(hashes: DataFrame, levels: list[Found], n: int, least: int, bits: int) -> Found | None:
+    """The buckets that runs of ``n`` words reach ``least`` times (or ``FULL`` times); None if there are too many."""
+    ensure_checkpoint_dir(hashes.sparkSession)
     sent = hashes.sparkSession.sparkContext.broadcast(levels)
-    blocks = hashes.mapInArrow(_tables(sent, n, bits), "block int, counts binary")
-    merged = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_merged(min(least, FULL)), "block int, bits binary")
-    found = np.zeros(1 << bits, bool)
-    width = min(1 << BLOCK_BITS, len(found))
-    for r in merged.collect():  # 2 ** (bits - 3) bytes
-        found[r["block"] * width:(r["block"] + 1) * width] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=width).astype(bool)
-    return np.packbits(found)
+    parts = hashes.mapInArrow(_tables(sent, n, bits), "block int, counts binary")
+    merged = (parts.repartition("block").sortWithinPartitions("block").mapInArrow(_merged(min(least, FULL), bits), "block int, found array<long>")
+              .checkpoint(eager=True))
+    if (merged.agg(F.sum(F.size("found"))).first()[0] or 0) > MOST_FOUND:
+        return None
+    return Found(n, bits, np.concatenate([np.zeros(0, np.int64), *(np.array(r["found"], np.int64) for r in merged.select("found").toLocalIterator())]))
 
 
-def frequent_ngrams(texts: DataFrame, words: Column, n: int, least: int, bits: int = BUCKET_BITS) -> DataFrame:
-    """(name, n): every run of ``n`` words, joined by blanks, that stands ``least`` times in the arrays ``words`` of ``texts``."""
+def frequent_ngrams(texts: DataFrame, words: Column, n: int, least: int, bits: int | None = None) -> DataFrame:
+    """(name, n): every run of ``n`` words, joined by blanks, that stands ``least`` times in the arrays ``words`` of ``texts``.
+
+    ``bits``: buckets as a power of two; by default from the number of words, which costs a pass to count.
+    """
     split = texts.select(words.alias("_ws"))
+    if bits is None:
+        bits = bucket_bits(split.agg(F.sum(F.greatest(F.size("_ws"), F.lit(0)))).first()[0] or 0)
     hashed = F.transform("_ws", lambda w: F.xxhash64(w))
-    levels: list[tuple[int, np.ndarray]] = []
+    levels: list[Found] = []
     for k in range(min(2, n), n + 1):
-        levels.append((k, frequent_buckets(split.select(hashed.alias("h")), list(levels), k, least, bits)))
+        found = frequent_buckets(split.select(hashed.alias("h")), levels, k, least, bits)
+        if found is not None:
+            levels = [*levels, found]
     survivors = _surviving(texts.sparkSession.sparkContext.broadcast(levels), n, bits)(hashed)
     names = F.transform(survivors, lambda i: F.array_join(F.slice("_ws", i + 1, n), " "))
     return (split.select(F.explode(names).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
@@ -151,10 +204,10 @@ def _surviving(sent, n: int, bits: int):
     """Places where a run of ``n`` words begins whose bucket is frequent on every level."""
     @F.arrow_udf("array<int>")
     def keep(words: pa.Array) -> pa.Array:
-        *below, (_, last) = _opened(sent, bits)
-        values, row, at = _places(words, below, bits)
+        values, row, at = _places(words, [f for f in sent.value if f.n < n], bits)
         at = _runs(row, at, n)
-        at = at[last[_buckets(values, at, n, bits)]]
+        for last in (f for f in sent.value if f.n == n):
+            at = at[last.has(_buckets(values, at, n, bits))]
         _, _, place = _flat(words)
         return _lists(row[at], place[at], len(words), pa.int32())
 

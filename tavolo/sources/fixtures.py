@@ -183,10 +183,11 @@ def word_vectors(t: Tables, clean: DataFrame | None = None) -> DataFrame:
 def organizations(t: Tables, clean: DataFrame | None = None, min_count: int = 10) -> DataFrame:
     """Gazetteer: every two-word string that stands ``min_count`` times in the
     cleaned documents of all languages."""
-    from tavolo.operators.ngrams import frequent_ngrams
+    from tavolo.operators.ngrams import bucket_bits, frequent_ngrams
     from tavolo.operators.text import words
     clean = clean_emails(t) if clean is None else clean
-    return frequent_ngrams(clean, words(clean), 2, min_count).select("name")
+    chars = clean.agg(F.sum(F.length("clean_text"))).first()[0] or 0
+    return frequent_ngrams(clean, words(clean), 2, min_count, bucket_bits(chars / 4)).select("name")
 
 
 # ---------------------------------------------------------------- card customers (CARD)
