@@ -24,8 +24,6 @@ def test_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_a_check():
-    rows_only = {"card_pca_variance", "card_elbow", "card_segments",
-                 "spam_classifier_report", "spam_scores", "spam_topics", "topic_distances",
-                 "forest_report", "forest_importances", "selected_features", "spam_scores_stream",
-                 "segment_profile_clusters", "segment_box_stats_clusters"}
+    rows_only = {"spam_classifier_report", "spam_scores", "spam_topics", "topic_distances",
+                 "forest_report", "forest_importances", "selected_features", "spam_scores_stream"}
     assert set(QUERIES) - set(ORACLE) == rows_only
