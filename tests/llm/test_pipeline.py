@@ -18,8 +18,8 @@ def test_registered_queries():
     entry = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(entry)
     names = [q for q in entry.queries() if q == "pipeline" or q.startswith("op")]
-    assert sorted(n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()) == sorted(f"op{i}" for i in range(1, 11)) and "pipeline" in names
-    assert {"op2_line_dedup", "op9_url_filters"} <= set(entry.oracle_sql())
+    assert sorted(n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()) == sorted(f"op{i}" for i in range(1, 14)) and "pipeline" in names
+    assert {"op2_line_dedup", "op9_url_filters", "op12_source_divergence", "op13_reply_trees"} <= set(entry.oracle_sql())
 
 
 def test_stages_on_messy_rows(spark, clashing, nothing):
