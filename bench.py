@@ -45,7 +45,6 @@ HEADLINE = [
     "spam_classifier_report",
     "card_pca_variance",
     "card_elbow",
-    "selected_features",
 ]
 
 
