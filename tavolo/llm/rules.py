@@ -8,7 +8,7 @@ document is kept when at least ``keep_share`` of its words stand in content
 lines.
 
 The field is trained here, on at most ``fit_sequences`` runs of up to ``SEQUENCE``
-lines (smallest hashes of id, text and place) of labelled documents. A line's label comes from
+lines (smallest hashes of id, text and place) of as many marked documents (smallest hashes of id). A line's label comes from
 what its own features do not hold: from the company it keeps. Lines of
 documents marked as low quality are boilerplate, unless documents marked as good
 have the same line; lines of good documents are content. Either way a short line that
@@ -230,12 +230,18 @@ def fit_on_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     """Labels sampled runs of lines by the documents' marks and by their contexts over all documents, and trains."""
     texts = docs.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     key = F.xxhash64("id", "text").alias("key")
+    marks = None
     if labels is None:
         marked = texts.select(key, F.lit(None).cast("int").alias("mark"), "text")
     else:
-        marks = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").alias("of"))
-                 .agg((F.min(label) == 0).cast("int").alias("mark")))
-        marked = texts.join(marks, F.col("id") == F.col("of")).select(key, "mark", "text")
+        marks = written(labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").alias("of"))
+                        .agg((F.min(label) == 0).cast("int").alias("mark")), "crf-marks")
+        n = {r["mark"]: r["n"] for r in marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).collect()}  # low and good
+        chosen = marks.where(F.lit(False))
+        for m, k in sorted(n.items()):
+            chosen = chosen.unionByName(hash_sample(marks.where(F.col("mark") == m), F.col("of"), fit_sequences // 2, k))
+        # fit_sequences documents at most, so the texts stay where they are
+        marked = texts.join(F.broadcast(chosen), F.col("id") == F.col("of")).select(key, "mark", "text")
     runs = written(marked.mapInArrow(_sequences, "key long, place int, mark int, x binary, lines array<long>, short array<boolean>").distinct(), "crf-runs")
     n = {r["mark"]: r["n"] for r in runs.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).collect()}  # low, good, or neither
     spread = F.xxhash64("key", "place")
@@ -253,7 +259,11 @@ def fit_on_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
                 .groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_contexts))
     common = {r["h"] for r in contexts.select("h").toLocalIterator()}
     low = {h for r in sample if r["mark"] == 1 for h in r["lines"]}
-    also_good = runs.where("mark = 0").select(F.explode("lines").alias("h")).join(F.broadcast(hashed(low)), "h", "left_semi").distinct()
+    if marks is not None:  # whole corpus, as hashes
+        same = docs.select(F.col(f"`{doc_id}`").alias("id"), F.explode(_line_hashes(text)).alias("h")).join(F.broadcast(hashed(low)), "h", "left_semi").distinct()
+        also_good = same.join(marks.where("mark = 0"), F.col("id") == F.col("of")).select("h").distinct()
+    else:
+        also_good = hashed(set())
     good = {r["h"] for r in also_good.toLocalIterator()}
     features = [np.frombuffer(r["x"], np.uint8).reshape(-1, len(FEATURES)).astype(float) for r in sample]
 
