@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, IndexToString, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,8 +83,8 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="_x").transform(df)
 
 
-#: Bins of a feature, and rows of a partition of the canonical table, about.
-FOREST_BINS, PART_ROWS = 64, 100_000
+#: Bins of a feature, rows of a partition of the canonical table, about, and trees of one fit.
+FOREST_BINS, PART_ROWS, FIT_TREES = 64, 100_000, 10
 
 Bins = dict[str, list[float]]
 
@@ -117,24 +117,48 @@ def canonical(df: DataFrame, id_col: str, part_rows: int = PART_ROWS) -> DataFra
             .drop("_r", "_p").checkpoint(eager=True))
 
 
-def fit_forest(train: DataFrame, features: Sequence[str], label: str = "Cluster", num_trees: int = 100,
-               max_depth: int = 30, seed: int = 0, max_bins: int = FOREST_BINS):
-    """Random forest as the reference's defaults allow in Spark: 100 trees,
-    sqrt features per split, depth capped at Spark's 30 (I11). ``train`` is canonical and binned."""
-    rf = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, featureSubsetStrategy="sqrt",
-                                seed=seed, maxBins=max_bins, featuresCol="_x", labelCol="_y",
-                                predictionCol="_p", cacheNodeIds=True, maxMemoryInMB=1024)
-    staged = _assembled(train, features).withColumn("_y", F.col(label).cast("double"))
-    return rf.fit(staged)
+class Forest:
+    """A forest in parts of up to ``FIT_TREES`` trees."""
 
+    def __init__(self, parts: list):
+        self.parts = parts
 
-def forest_predict(model, rows: DataFrame, features: Sequence[str], label: str = "Cluster") -> DataFrame:
-    return (model.transform(_assembled(rows, features))
-            .select(F.col(label).alias("label"), F.col("_p").cast("int").alias("prediction")))
 
+def fit_forest(train: DataFrame, features: Sequence[str], label: str = "Cluster", num_trees: int = 100,
+               max_depth: int = 30, seed: int = 0, max_bins: int = FOREST_BINS) -> Forest:
+    """Random forest as the reference's defaults allow in Spark: 100 trees,
+    sqrt features per split, depth capped at Spark's 30 (I11). ``train`` is canonical and binned.
+    One fit has no more tasks than its table has partitions, so the trees are dealt to
+    fits of their own seeds, which run at the same time."""
+    staged = _assembled(train, features).withColumn("_y", F.col(label).cast("double"))
 
-def importances(model, features: Sequence[str]) -> list[tuple[str, float]]:
-    imp = model.featureImportances.toArray()
+    def fit(first: int):
+        rf = RandomForestClassifier(numTrees=min(FIT_TREES, num_trees - first), maxDepth=max_depth, featureSubsetStrategy="sqrt",
+                                    seed=seed + first, maxBins=max_bins, featuresCol="_x", labelCol="_y",
+                                    rawPredictionCol=f"_raw{first}", probabilityCol="", predictionCol="", cacheNodeIds=True, maxMemoryInMB=256)
+        return rf.fit(staged)
+
+    starts = range(0, num_trees, FIT_TREES)
+    with ThreadPoolExecutor(max_workers=len(starts)) as pool:
+        return Forest(list(pool.map(fit, starts)))
+
+
+def forest_predict(model: Forest, rows: DataFrame, features: Sequence[str], label: str = "Cluster") -> DataFrame:
+    """The class with most votes over all parts; the smallest of equal ones."""
+    out = _assembled(rows, features)
+    for part in model.parts:
+        out = part.transform(out)
+    votes = vector_to_array(F.col(model.parts[0].getRawPredictionCol()))
+    for part in model.parts[1:]:
+        votes = F.zip_with(votes, vector_to_array(F.col(part.getRawPredictionCol())), lambda x, y: x + y)
+    out = out.withColumn("_votes", votes)
+    return out.select(F.col(label).alias("label"), (F.array_position("_votes", F.array_max("_votes")) - 1).cast("int").alias("prediction"))
+
+
+def importances(model: Forest, features: Sequence[str]) -> list[tuple[str, float]]:
+    """A part's importances are the means over its trees that split at all."""
+    total = sum(part.featureImportances.toArray() * sum(tree.numNodes > 1 for tree in part.trees) for part in model.parts)
+    imp = total / total.sum() if total.sum() > 0 else total
     return [(f, float(imp[i])) for i, f in enumerate(features)]
 
 

@@ -42,3 +42,16 @@ def test_forest_and_selection_on_one_and_eight_partitions(spark):
     rank = {f: r for f, r, *_ in out[0][1]}
     assert rank["a"] == 1 and {r[2] for r in out[0][1]} <= {True, False}
     assert M.binned(_cards(spark).where(F.lit(False)), FEATURES, {c: [] for c in FEATURES}).count() == 0
+
+
+def test_a_forest_of_many_trees_is_fitted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(M, "FIT_TREES", 5)
+    df = _cards(spark)
+    train = M.canonical(M.binned(df, FEATURES, M.fit_bins(df, FEATURES)), "CUST_ID", 60)
+    model = M.fit_forest(train, FEATURES, num_trees=12, max_depth=6)
+    assert [len(p.trees) for p in model.parts] == [5, 5, 2]
+    assert len({t.toDebugString.split("\n", 1)[1] for p in model.parts for t in p.trees}) > 5  # no part repeats another
+    imp = dict(M.importances(model, FEATURES))
+    assert abs(sum(imp.values()) - 1) < 1e-9 and max(imp, key=imp.get) == "a"
+    got = M.forest_predict(model, train, FEATURES)
+    assert got.count() == 400 and got.where("label = prediction").count() > 360
