@@ -188,6 +188,17 @@ def _record(out, i, state, ok, reason, upp, usp):
         out["_state_ok"][i] = True
 
 
+def _undecided(n, pp_null, sp_null):
+    return {
+        "accepted": np.zeros(n, dtype=bool), "reason": np.full(n, None, dtype=object),
+        "pp_c": np.zeros(n, dtype=np.int64), "sp_c": np.zeros(n, dtype=np.int64),
+        "_upp_ok": np.zeros(n, dtype=bool), "_usp_ok": np.zeros(n, dtype=bool),
+        "stock_c": np.zeros(n, dtype=np.int64), "spp_c": np.zeros(n, dtype=np.int64),
+        "ssp_c": np.zeros(n, dtype=np.int64), "first_seq": np.zeros(n, dtype=np.int64),
+        "_state_ok": np.zeros(n, dtype=bool), "_pp_null": pp_null, "_sp_null": sp_null,
+    }
+
+
 def fold_run(state, is_add, qty, pp, sp, seq, pp_null, sp_null,
              vector_min: int = VECTOR_MIN, window: int = VECTOR_WINDOW):
     """Decisions for one key's events in seq order; exact same results as
@@ -200,14 +211,7 @@ def fold_run(state, is_add, qty, pp, sp, seq, pp_null, sp_null,
     where refusals come thick and fast, use the scalar loop.
     """
     n = len(qty)
-    out = {
-        "accepted": np.zeros(n, dtype=bool), "reason": np.full(n, None, dtype=object),
-        "pp_c": np.zeros(n, dtype=np.int64), "sp_c": np.zeros(n, dtype=np.int64),
-        "_upp_ok": np.zeros(n, dtype=bool), "_usp_ok": np.zeros(n, dtype=bool),
-        "stock_c": np.zeros(n, dtype=np.int64), "spp_c": np.zeros(n, dtype=np.int64),
-        "ssp_c": np.zeros(n, dtype=np.int64), "first_seq": np.zeros(n, dtype=np.int64),
-        "_state_ok": np.zeros(n, dtype=bool), "_pp_null": pp_null, "_sp_null": sp_null,
-    }
+    out = _undecided(n, pp_null, sp_null)
     if n < vector_min:
         return _scalar_run(state, is_add, qty, pp, sp, seq, out, 0, n), out
     valid_add = is_add & ~pp_null & ~sp_null
@@ -258,9 +262,10 @@ def _nullable(values, ok):
     return pd.arrays.IntegerArray(values.astype(np.int64), ~ok)
 
 
-def fold_frame(pdf: pd.DataFrame, key=None, state=None):
+def fold_frame(pdf: pd.DataFrame, key=None, state=None, entering: dict | None = None, ended: dict | None = None):
     """Decisions for a pandas frame of events sorted by (epoch, product, seq);
-    ``key``/``state`` carry the last key's state in from an earlier frame.
+    ``key``/``state`` carry the last key's state in from an earlier frame, ``entering``
+    the states of other keys; ``ended`` is given each key's last state.
     Returns (key, state, decision frame)."""
     epoch = pdf["epoch"].to_numpy()
     product = pdf["product"].to_numpy(dtype=object)
@@ -274,15 +279,20 @@ def fold_frame(pdf: pd.DataFrame, key=None, state=None):
     pp = pdf["pp_c"].fillna(0).to_numpy(dtype=np.int64)
     sp = pdf["sp_c"].fillna(0).to_numpy(dtype=np.int64)
     seq = pdf["seq"].to_numpy(dtype=np.int64)
-    parts = []
+    cat = _undecided(len(pdf), pp_null, sp_null)  # one set of columns for all keys, most of which are short
     for a, b in zip(starts[:-1], starts[1:]):
         k = (epoch[a], product[a])
         if k != key:
-            key, state = k, None
-        state, o = fold_run(state, is_add[a:b], qty[a:b], pp[a:b], sp[a:b], seq[a:b],
-                            pp_null[a:b], sp_null[a:b])
-        parts.append(o)
-    cat = {c: np.concatenate([o[c] for o in parts]) for c in parts[0]}
+            key, state = k, (entering or {}).get(k)
+        if b - a < VECTOR_MIN:
+            state = _scalar_run(state, is_add, qty, pp, sp, seq, cat, a, b)
+        else:
+            state, o = fold_run(state, is_add[a:b], qty[a:b], pp[a:b], sp[a:b], seq[a:b],
+                                pp_null[a:b], sp_null[a:b])
+            for c in o:
+                cat[c][a:b] = o[c]
+        if ended is not None:
+            ended[k] = state
     frame = pd.DataFrame({
         "seq": seq, "epoch": epoch, "op": pdf["op"].to_numpy(dtype=object),
         "basket_id": pd.array(pdf["basket_id"], dtype="Int64"),

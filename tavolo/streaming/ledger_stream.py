@@ -75,14 +75,15 @@ class LedgerProcessor(StatefulProcessor):
             return
         frame["epoch"] = epoch + frame["_reset"].cumsum()
         latest = int(frame["epoch"].iloc[-1])
-        moves = frame[frame["op"] != "reset"]
-        for (of, product), part in moves.groupby(["epoch", "product"], sort=True):
+        moves = frame[frame["op"] != "reset"].sort_values(["epoch", "product"], kind="stable")
+        if not moves.empty:
             # only the first epoch of a micro-batch goes on from the state, and only its last one is kept
-            state = self._state(epoch, product) if of == epoch else None
-            _, state, decided = fold_frame(part[COLUMNS].reset_index(drop=True), (int(of), product), state)
-            if state is not None and of == latest:
-                self.products.updateValue((product,), (latest, state["stock"], state["pp"], state["sp"], state["first_seq"]))
-            yield decided
+            entering = {(epoch, p): self._state(epoch, p) for p in moves.loc[moves["epoch"] == epoch, "product"].unique()}
+            ended: dict[tuple, dict | None] = {}
+            yield fold_frame(moves[COLUMNS].reset_index(drop=True), entering=entering, ended=ended)[2]
+            for (of, product), state in ended.items():
+                if of == latest and state is not None:
+                    self.products.updateValue((product,), (latest, state["stock"], state["pp"], state["sp"], state["first_seq"]))
         if latest > epoch:
             for gone in [k for k, v in self.products.iterator() if v[0] < latest]:
                 self.products.removeKey(gone)

@@ -72,3 +72,37 @@ def test_a_replayed_batch_leaves_one_copy(spark, monkeypatch):
     each(first, 0)  # the write was done, the commit was not
     each(spark.createDataFrame([], C.EMAIL_STREAM_SCHEMA), 2)
     assert sorted((r["batch_id"], r["doc_id"]) for r in C.read_scores(spark, out).collect()) == [(0, 1), (0, 2), (0, 2), (1, 3)]
+
+
+class _Held(dict):
+    """State of a group, as its handle gives it."""
+
+    def __init__(self):
+        self.clock = None
+
+    def getValueState(self, *_):
+        held = self
+        return type("Clock", (), {"exists": lambda s: held.clock is not None, "get": lambda s: held.clock, "update": lambda s, v: setattr(held, "clock", v)})()
+
+    def getMapState(self, *_):
+        return type("Products", (), {"getValue": lambda s, k: self.get(k), "updateValue": lambda s, k, v: self.update({k: v}),
+                                     "iterator": lambda s: iter(list(self.items())), "removeKey": lambda s, k: self.pop(k)})()
+
+
+def test_a_group_folds_a_micro_batch_at_once(monkeypatch):
+    import pandas as pd
+
+    calls, fold = [], S.fold_frame
+    monkeypatch.setattr(S, "fold_frame", lambda *a, **k: (calls.append(len(a[0])), fold(*a, **k))[1])
+    rows = [(e[0], e[1], e[2], e[3], int(e[4]) * 100, int(e[5]) * 100 if e[5] else None, 300) for e in _events(400)]
+    frames = [pd.DataFrame(part, columns=["seq", "op", "basket_id", "product", "qty_c", "pp_c", "sp_c"]) for part in (rows, rows[:200], rows[200:])]
+
+    def decided(*batches):
+        group = S.LedgerProcessor()
+        group.init(_Held())
+        out = pd.concat([f for b in batches for f in group.handleInputRows(None, iter([b]), None)])
+        return out.sort_values("seq").reset_index(drop=True).astype(str)
+
+    pd.testing.assert_frame_equal(decided(frames[0]), decided(frames[1], frames[2]))
+    moves = [sum(r[1] != "reset" for r in part) for part in (rows, rows[:200], rows[200:])]
+    assert calls == moves
