@@ -232,9 +232,9 @@ def _word_vectors_text(spark, d):
 
 @query("email_mean_vector")
 def _email_mean_vector(spark, d):
-    from tavolo.operators.text import mean_vectors, with_row_key
+    from tavolo.operators.text import mean_vectors
     t = Tables(spark, d)
-    clean = with_row_key(fx.clean_emails(t))  # cleaned once, read by the dictionary and the vectors
+    clean = fx.clean_emails(t).checkpoint(eager=True)  # cleaned once, read by the dictionary and the vectors
     return mean_vectors(clean, fx.word_vectors(t, clean))
 
 
@@ -408,19 +408,17 @@ def _q_catalog_text(spark, d):
 
 # ---------------------------------------------------------------- Q7, Q8, Q10, Q11 models on emails
 
-def _email_vectors(spark, d):
-    from tavolo.operators.text import mean_vectors, with_row_key
-    t = Tables(spark, d)
-    clean = with_row_key(fx.clean_emails(t))
-    return mean_vectors(clean, fx.word_vectors(t, clean), keep=("label",))
-
-
 def _spam_model(spark, d):
+    """Split mean vectors, the fitted classifier, and the word vectors, made once for all texts."""
     from pyspark.sql import functions as F
     from tavolo.operators.models import fit_spam_classifier, train_test_split
-    data = train_test_split(_email_vectors(spark, d), "doc_id", 0.2, 42).checkpoint(eager=True)
+    from tavolo.operators.text import VectorShards, mean_vectors
+    t = Tables(spark, d)
+    clean = fx.clean_emails(t).checkpoint(eager=True)  # cleaned once, read by the dictionary and the vectors
+    vectors = VectorShards(fx.word_vectors(t, clean))
+    data = train_test_split(mean_vectors(clean, vectors, keep=("label",)), "doc_id", 0.2, 42).checkpoint(eager=True)
     indexer, model = fit_spam_classifier(data.filter((F.col("split") == "train") & F.col("label").isNotNull()))
-    return data, indexer, model
+    return data, indexer, model, vectors
 
 
 def _unseen(data):
@@ -434,7 +432,7 @@ def _q_spam_report(spark, d):
     from pyspark.sql import functions as F
     from tavolo.operators.evaluate import classification_report
     from tavolo.operators.models import score_spam
-    data, indexer, model = _spam_model(spark, d)
+    data, indexer, model, _ = _spam_model(spark, d)
     scored = score_spam(indexer, model, data.filter((F.col("split") == "test") & F.col("label").isNotNull()))
     return classification_report(scored, "label", "predicted")
 
@@ -443,7 +441,7 @@ def _q_spam_report(spark, d):
 def _q_spam_scores(spark, d):
     from pyspark.sql import functions as F
     from tavolo.operators.models import score_spam
-    data, indexer, model = _spam_model(spark, d)
+    data, indexer, model, _ = _spam_model(spark, d)
     return score_spam(indexer, model, _unseen(data)).select(
         "doc_id", "label", "predicted", "verdict")
 
@@ -551,12 +549,12 @@ def _q_spam_scores_stream(spark, d):
     from tavolo.session import scratch_path
     from tavolo.streaming.scoring_stream import read_scores, run_scoring_stream
     t = Tables(spark, d)
-    data, indexer, model = _spam_model(spark, d)
+    data, indexer, model, vectors = _spam_model(spark, d)
     test_ids = _unseen(data).select("doc_id")
     base = scratch_path(spark, "scoring-stream")
     fx.emails(t).join(test_ids, "doc_id").select("doc_id", "text").write.parquet(f"{base}/in")
     run_scoring_stream(spark, f"{base}/in", f"{base}/out", f"{base}/state", fx.lemmas(spark),
-                       fx.stopwords(spark), fx.word_vectors(t), indexer, model)
+                       fx.stopwords(spark), vectors, indexer, model)
     return read_scores(spark, f"{base}/out").drop("batch_id")
 
 

@@ -1,11 +1,12 @@
 """Streaming spam scoring (L2): new emails are cleaned, turned into mean
 vectors and scored by a fitted classifier, micro-batch by micro-batch.
 
-Mean vectors group by row, so the work runs in ``foreachBatch`` on each
+The word lists are collected for broadcasting, so the work runs in ``foreachBatch`` on each
 micro-batch as a batch DataFrame. The sink is idempotent: every micro-batch writes
 a folder of its own, named by its number, and overwrites it. A micro-batch that runs again
 after a failure between its write and the commit leaves one copy, and
-``read_scores`` reads the folders as one table.
+``read_scores`` reads the folders as one table. The word vectors are made ready once,
+before the first micro-batch; a micro-batch takes as many files as there are cores, so that all of them have work.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tavolo.operators.models import score_spam
-from tavolo.operators.text import clean_text, mean_vectors
+from tavolo.operators.text import VectorShards, clean_text, mean_vectors
 
 EMAIL_STREAM_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -23,7 +24,7 @@ EMAIL_STREAM_SCHEMA = T.StructType([
 ])
 
 
-def score_batch(batch: DataFrame, lemmas: DataFrame, stopwords: DataFrame, word_vectors: DataFrame,
+def score_batch(batch: DataFrame, lemmas: DataFrame, stopwords: DataFrame, word_vectors: DataFrame | VectorShards,
                 indexer, model) -> DataFrame:
     clean = clean_text(batch, lemmas, stopwords)
     vecs = mean_vectors(clean, word_vectors)
@@ -31,8 +32,12 @@ def score_batch(batch: DataFrame, lemmas: DataFrame, stopwords: DataFrame, word_
 
 
 def run_scoring_stream(spark: SparkSession, emails_dir: str, out_dir: str, checkpoint_dir: str,
-                       lemmas: DataFrame, stopwords: DataFrame, word_vectors: DataFrame,
-                       indexer, model, files_per_trigger: int = 1) -> None:
+                       lemmas: DataFrame, stopwords: DataFrame, word_vectors: DataFrame | VectorShards,
+                       indexer, model, files_per_trigger: int | None = None) -> None:
+    """Score every file now available, then stop; ``files_per_trigger``: files of a micro-batch, by default one a core."""
+    files_per_trigger = files_per_trigger or max(1, spark.sparkContext.defaultParallelism)
+    if not isinstance(word_vectors, VectorShards):
+        word_vectors = VectorShards(word_vectors)
     src = (spark.readStream.schema(EMAIL_STREAM_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
            .parquet(emails_dir))
 
@@ -41,7 +46,7 @@ def run_scoring_stream(spark: SparkSession, emails_dir: str, out_dir: str, check
     q.awaitTermination()
 
 
-def batch_writer(out_dir: str, lemmas: DataFrame, stopwords: DataFrame, word_vectors: DataFrame, indexer, model):
+def batch_writer(out_dir: str, lemmas: DataFrame, stopwords: DataFrame, word_vectors: DataFrame | VectorShards, indexer, model):
     def each(batch: DataFrame, batch_id: int) -> None:
         (score_batch(batch, lemmas, stopwords, word_vectors, indexer, model)
          .write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}"))

@@ -74,6 +74,17 @@ def test_a_replayed_batch_leaves_one_copy(spark, monkeypatch):
     assert sorted((r["batch_id"], r["doc_id"]) for r in C.read_scores(spark, out).collect()) == [(0, 1), (0, 2), (0, 2), (1, 3)]
 
 
+def test_a_micro_batch_takes_a_file_for_each_core(spark, monkeypatch):
+    monkeypatch.setattr(C, "score_batch", lambda batch, *rest: batch.select("doc_id", F.lit(0.0).alias("predicted"), F.lit("ham").alias("verdict")))
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 3)
+    base = scratch_path(spark, "files-test")
+    spark.createDataFrame([(i, "a") for i in range(60)], C.EMAIL_STREAM_SCHEMA).repartition(6).write.parquet(f"{base}/in")
+    vectors = spark.createDataFrame([("a", [1.0])], "word string, vector array<double>")
+    C.run_scoring_stream(spark, f"{base}/in", f"{base}/out", f"{base}/state", None, None, vectors, None, None)
+    got = C.read_scores(spark, f"{base}/out").groupBy("batch_id").count().collect()
+    assert len(got) == 2 and sum(r["count"] for r in got) == 60
+
+
 class _Held(dict):
     """State of a group, as its handle gives it."""
 
