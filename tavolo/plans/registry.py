@@ -408,7 +408,7 @@ def _q_catalog_text(spark, d):
 
 # ---------------------------------------------------------------- Q7, Q8, Q10, Q11 models on emails
 
-def _spam_model(spark, d):
+def _spam_model_and_vectors(spark, d):
     """Split mean vectors, the fitted classifier, and the word vectors, made once for all texts."""
     from pyspark.sql import functions as F
     from tavolo.operators.models import fit_spam_classifier, train_test_split
@@ -421,6 +421,10 @@ def _spam_model(spark, d):
     return data, indexer, model, vectors
 
 
+def _spam_model(spark, d):
+    return _spam_model_and_vectors(spark, d)[:3]
+
+
 def _unseen(data):
     """What the classifier was not fitted on: held-out emails, and all without a label."""
     from pyspark.sql import functions as F
@@ -432,7 +436,7 @@ def _q_spam_report(spark, d):
     from pyspark.sql import functions as F
     from tavolo.operators.evaluate import classification_report
     from tavolo.operators.models import score_spam
-    data, indexer, model, _ = _spam_model(spark, d)
+    data, indexer, model = _spam_model(spark, d)
     scored = score_spam(indexer, model, data.filter((F.col("split") == "test") & F.col("label").isNotNull()))
     return classification_report(scored, "label", "predicted")
 
@@ -441,7 +445,7 @@ def _q_spam_report(spark, d):
 def _q_spam_scores(spark, d):
     from pyspark.sql import functions as F
     from tavolo.operators.models import score_spam
-    data, indexer, model, _ = _spam_model(spark, d)
+    data, indexer, model = _spam_model(spark, d)
     return score_spam(indexer, model, _unseen(data)).select(
         "doc_id", "label", "predicted", "verdict")
 
@@ -549,7 +553,7 @@ def _q_spam_scores_stream(spark, d):
     from tavolo.session import scratch_path
     from tavolo.streaming.scoring_stream import read_scores, run_scoring_stream
     t = Tables(spark, d)
-    data, indexer, model, vectors = _spam_model(spark, d)
+    data, indexer, model, vectors = _spam_model_and_vectors(spark, d)
     test_ids = _unseen(data).select("doc_id")
     base = scratch_path(spark, "scoring-stream")
     fx.emails(t).join(test_ids, "doc_id").select("doc_id", "text").write.parquet(f"{base}/in")
