@@ -31,10 +31,14 @@ def punctuation_to_space(c: Column) -> Column:
     return F.regexp_replace(c, PUNCTUATION_CLASS, " ")
 
 
+def _blanks_at(c: Column, breaks: str) -> Column:
+    return F.translate(c, breaks, " " * len(breaks))
+
+
 def _split_at(c: Column, breaks: str) -> Column:
     """Split at any of some characters: mapped to blanks first, as a split at one
     character needs no regular expression."""
-    return F.array_remove(F.split(F.translate(c, breaks, " " * len(breaks)), " ", -1), "")
+    return F.array_remove(F.split(_blanks_at(c, breaks), " ", -1), "")
 
 
 def split_whitespace(c: Column) -> Column:
@@ -61,6 +65,11 @@ def pre_tokens(text: Column) -> Column:
     return F.coalesce(_split_at(F.lower(text), WHITESPACE + PUNCTUATION), F.array().cast("array<string>"))
 
 
+def spaced_tokens(text: Column) -> Column:
+    """The tokens of ``pre_tokens`` as one text with one or more blanks between them."""
+    return F.coalesce(_blanks_at(F.lower(text), WHITESPACE + PUNCTUATION), F.lit(""))
+
+
 def left_pad(c: Column, width: int) -> Column:
     """``f'{x:<width}'``: pads on the right, never truncates."""
     return F.format_string(f"%-{width}s", c)
