@@ -5,7 +5,8 @@ frequent where the two runs of n - 1 words in it are. Each level, from pairs on,
 candidates in hashed buckets, about one for each word of the corpus: a task sends its
 buckets sorted, with small counters, about three bytes each, and the counters are added up block
 by block. Only runs whose bucket reaches the least count go
-on, and only the last level's survivors are counted exactly, as text. A bucket
+on, and only the last level's survivors are counted exactly, as text, first within
+a task, so that a run is text once for many of its places. A bucket
 counts every run that falls into it, so no frequent run is lost, whatever the
 number of buckets; fewer buckets only let more rare runs through to the exact count, and beyond
 ``MOST_FOUND`` frequent buckets (too many to broadcast) all runs of a level go through.
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +34,13 @@ from tavolo.session import ensure_checkpoint_dir
 #: Counters of buckets stop at this.
 FULL = 255
 #: Blocks that the buckets are cut into, as a power of two; buckets that a task holds before it sends them.
-BLOCKS, HELD = 11, 1 << 23
+BLOCKS, HELD = 11, 1 << 22
 #: Frequent buckets of a level up to this number are broadcast.
 MOST_FOUND = 16_000_000
+#: Rows of a batch that are worked on at a time.
+SLICE_ROWS = 512
+#: Different runs that a task holds to add up their numbers.
+KEPT = 1_000_000
 #: Listed runs of a shard, about.
 SHARD_ROWS = 4_000_000
 
@@ -119,8 +125,12 @@ def _tables(sent, n: int, bits: int):
         shift, held, size = _block_shift(bits), [], 0
 
         def sent_on() -> pa.RecordBatch:
-            bucket, count = np.unique(np.concatenate(held), return_counts=True)
-            count = np.minimum(count, FULL).astype(np.uint8)
+            bucket = np.concatenate(held)
+            held.clear()
+            bucket.sort()
+            first = np.flatnonzero(np.diff(bucket, prepend=-1))
+            count = np.minimum(np.diff(first, append=len(bucket)), FULL).astype(np.uint8)
+            bucket = bucket[first]
             cuts = np.flatnonzero(np.diff(bucket >> shift)) + 1
             starts = [0, *cuts.tolist()] if len(bucket) else []
             low = np.diff(bucket & ((1 << shift) - 1), prepend=0)
@@ -129,13 +139,13 @@ def _tables(sent, n: int, bits: int):
             return pa.RecordBatch.from_arrays([pa.array((bucket[starts] >> shift).astype(np.int32), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                words, row, at = _places(batch.column(0).slice(i, 512), sent.value, bits)
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                words, row, at = _places(batch.column(0).slice(i, SLICE_ROWS), sent.value, bits)
                 held.append(_buckets(words, _runs(row, at, n), n, bits))
                 size += len(held[-1])
                 if size >= HELD:
                     yield sent_on()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield sent_on()
 
@@ -194,24 +204,44 @@ def frequent_ngrams(texts: DataFrame, words: Column, n: int, least: int, bits: i
         found = frequent_buckets(split.select(hashed.alias("h")), levels, k, least, bits)
         if found is not None:
             levels = [*levels, found]
-    survivors = _surviving(texts.sparkSession.sparkContext.broadcast(levels), n, bits)(hashed)
-    names = F.transform(survivors, lambda i: F.array_join(F.slice("_ws", i + 1, n), " "))
-    return (split.select(F.explode(names).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") >= least))
+    counted = _counted(texts.sparkSession.sparkContext.broadcast(levels), n, bits)
+    parts = split.select("_ws", hashed.alias("h")).mapInArrow(counted, "name string, n long")
+    return parts.groupBy("name").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _surviving(sent, n: int, bits: int):
-    """Places where a run of ``n`` words begins whose bucket is frequent on every level."""
-    @F.arrow_udf("array<int>")
-    def keep(words: pa.Array) -> pa.Array:
-        values, row, at = _places(words, [f for f in sent.value if f.n < n], bits)
-        at = _runs(row, at, n)
-        for last in (f for f in sent.value if f.n == n):
-            at = at[last.has(_buckets(values, at, n, bits))]
-        _, _, place = _flat(words)
-        return _lists(row[at], place[at], len(words), pa.int32())
+def _counted(sent, n: int, bits: int):
+    """Runs of ``n`` words, joined by blanks, whose bucket is frequent on every level; equal ones of a task are added up, ``KEPT`` at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shorter, last = [f for f in sent.value if f.n < n], [f for f in sent.value if f.n == n]
+
+        def names_in(part: pa.RecordBatch) -> pa.RecordBatch:
+            values, row, at = _places(part.column("h"), shorter, bits)
+            at = _runs(row, at, n)
+            for level in last:
+                at = at[level.has(_buckets(values, at, n, bits))]
+            words = part.column("_ws").flatten()
+            names = pc.binary_join_element_wise(*(words.take(pa.array(at + j)) for j in range(n)), " ", null_handling="skip").dictionary_encode()
+            return pa.RecordBatch.from_arrays([names.dictionary, pa.array(np.bincount(names.indices, minlength=len(names.dictionary)).astype(np.int64))], names=["name", "n"])
+
+        def added_up(parts: list[pa.RecordBatch]) -> pa.Table:
+            total = pa.Table.from_batches(parts).group_by("name", use_threads=False).aggregate([("n", "sum")])
+            return total.rename_columns({"n_sum": "n"}).select(["name", "n"])
+
+        held, size = [], 0
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                held.append(names_in(batch.slice(i, SLICE_ROWS)))
+                size += held[-1].num_rows
+                if size >= KEPT:
+                    total = added_up(held)
+                    held, size = total.to_batches(), total.num_rows
+                    if size >= KEPT // 2:
+                        yield from held
+                        held, size = [], 0
+        if size:
+            yield from added_up(held).to_batches()
 
-    return keep
+    return run
 
 
 # ---------------------------------------------------------------- finding
@@ -231,31 +261,35 @@ def _hashes(words: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray,
 
 
 class Listed:
-    """Runs of one length: sorted hashes, and those of their first words."""
+    """Runs of one length: hashes in order, and where those with the same upper bits begin."""
 
     def __init__(self, n: int, words: np.ndarray):
         a, b = _hashes(words.ravel(), np.arange(len(words)) * n, n)
         order = np.argsort(a, kind="stable")
-        self.n, self.a, self.b, self.first = n, a[order], b[order], np.unique(words[:, 0])
+        self.n, self.a, self.b = n, a[order], b[order]
+        self.shift = np.uint64(64 - int(np.clip(np.ceil(np.log2(max(len(a), 1))), 1, 24)))
+        upper = self.a >> self.shift
+        self.first = np.searchsorted(upper, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)).astype(np.int32)
 
     def places(self, words: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Indexes where a listed run begins that lies in one row."""
         if len(words) < self.n or not len(self.a):
             return np.zeros(0, np.int64)
         begins = np.flatnonzero(row[:len(row) - self.n + 1] == row[self.n - 1:])
-        known = np.searchsorted(self.first, words[begins])
-        begins = begins[self.first[np.minimum(known, len(self.first) - 1)] == words[begins]]
         a, b = _hashes(words, begins, self.n)
-        lo, hi = np.searchsorted(self.a, a), np.searchsorted(self.a, a, side="right")
-        found = (lo < hi) & (self.b[np.minimum(lo, len(self.b) - 1)] == b)
-        for i in np.flatnonzero(hi - lo > 1):  # equal first hashes
-            found[i] = (self.b[lo[i]:hi[i]] == b[i]).any()
+        upper = (a >> self.shift).astype(np.int64)
+        at, end = self.first[upper], self.first[upper + 1]
+        left, found = np.flatnonzero(at < end), np.zeros(len(begins), bool)
+        while len(left):  # on to the next listed hash with these upper bits, of which there are few
+            hit = (self.a[at[left]] == a[left]) & (self.b[at[left]] == b[left])
+            found[left[hit]] = True
+            at[left] += 1
+            left = left[~hit & (at[left] < end[left])]
         return begins[found]
 
 
 def _look_up(sent):
-    @F.arrow_udf("array<struct<pos: int, n: int>>")
-    def find(words: pa.Array) -> pa.Array:
+    def found_in(words: pa.Array) -> pa.Array:
         values, row, place = _flat(words)
         values = values.astype(np.int64)
         where = [(listed.places(values, row), listed.n) for listed in sent.value]
@@ -266,6 +300,12 @@ def _look_up(sent):
         pairs = pa.StructArray.from_arrays([pa.array(place[at], pa.int32()), pa.array(n, pa.int32())], names=["pos", "n"])
         return pa.ListArray.from_arrays(pa.array(np.searchsorted(row[at], np.arange(len(words) + 1)).astype(np.int32)), pairs)
 
+    @F.arrow_udf("array<struct<pos: int, n: int>>")
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for words in batches:
+            for i in range(0, len(words), SLICE_ROWS):
+                yield found_in(words.slice(i, SLICE_ROWS))
+
     return find
 
 
@@ -280,10 +320,10 @@ def find_ngrams(texts: DataFrame, words: str, names: DataFrame, out: str, shard_
     shards = max(1, -(-hashed.count() // shard_rows))
     texts = texts.withColumn(out, F.expr("cast(array() as array<struct<pos: int, n: int>>)"))
     for s in range(shards):
-        held: dict[int, list] = {}
-        for r in hashed.where(F.pmod(F.xxhash64("h"), F.lit(shards)) == s).toLocalIterator():  # shard_rows, about
-            held.setdefault(len(r["h"]), []).append(r["h"])
-        sent = spark.sparkContext.broadcast([Listed(n, np.array(rows, np.int64)) for n, rows in sorted(held.items())])
+        listed = hashed.where(F.pmod(F.xxhash64("h"), F.lit(shards)) == s).toArrow()["h"].combine_chunks()  # shard_rows, about
+        values, row, _ = _flat(listed)
+        length = np.bincount(row, minlength=len(listed))
+        sent = spark.sparkContext.broadcast([Listed(int(n), values[length[row] == n].astype(np.int64).reshape(-1, n)) for n in np.unique(length)])
         found = _look_up(sent)(F.transform(words, lambda w: F.xxhash64(w)))
         texts = texts.withColumn(out, found if shards == 1 else F.concat(F.col(out), found))
         if shards > 1:  # one shard in memory at a time
