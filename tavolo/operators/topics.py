@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tavolo.functions.vectors import cosine_distance
 from tavolo.operators.ranking import global_rank
-from tavolo.operators.text import mean_vector_of_words, words
+from tavolo.operators.text import VectorShards, mean_vector_of_words, words
 
 BLOCK = 512  # vectors packed per row when building the pair table
 
@@ -108,6 +108,7 @@ def topic_distances(topic_words_df: DataFrame, word_vectors: DataFrame, places:
     """Mean vector of each topic's words, then the pairwise distances."""
     lists = topic_words_df.groupBy("topic").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda s: s["word"]).alias("words"))
-    vecs = mean_vector_of_words(lists, word_vectors, "topic", "words", places=None)
+    vectors = VectorShards(word_vectors, only=topic_words_df)  # of the topics' words, not of the whole corpus
+    vecs = mean_vector_of_words(lists, vectors, "topic", "words", places=None)
     return pairwise_distances(vecs.select(F.col("topic").alias("id"), "vector"), "id", "vector", places) \
         .withColumnRenamed("id_i", "topic_i").withColumnRenamed("id_j", "topic_j")
