@@ -2,11 +2,13 @@
 recursive feature elimination, scoring (I1, I7, I11-I14, B12, B15).
 
 Fits are Spark ML estimators; the driver only loops over fits (folds, feature
-counts) and keeps the small fitted metadata. Forests are fitted on one table in
-canonical form: features cut into bins at exact quantiles once, rows dealt to
-partitions by their rank in the order of id. Bagging draws by partition and
-place, so the same rows give the same forest however they came, and all
-folds and feature counts of a selection read the same table.
+counts) and keeps the small fitted metadata. Forests of more than a few thousand
+rows are grown by ``tavolo.operators.forest``, whose trees stay in the cluster.
+Forests are fitted on one table in canonical form: features cut into bins at
+exact quantiles once, rows dealt to partitions by their rank in the order of id.
+Bagging draws by partition and place, so the same rows give the same forest
+however they came, and all folds and feature counts of a selection read the
+same table.
 Numbers are never promised equal to another library's: solvers and
 initialisations differ (SURVEY hard point 4).
 """
@@ -22,6 +24,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tavolo.operators import forest
 from tavolo.operators.evaluate import balanced_accuracy
 from tavolo.operators.ranking import global_rank, group_quantiles
 from tavolo.session import ensure_checkpoint_dir
@@ -85,8 +88,8 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 #: Bins of a feature, and rows of a partition of the canonical table, about.
 FOREST_BINS, PART_ROWS = 64, 100_000
-#: Trees of one fit, where a table has more rows than one fit of all trees is quick for.
-FIT_TREES, ONE_FIT_ROWS = 10, 20_000
+#: Trees of one part of a grown forest; rows up to which Spark's own forest is quick and its trees small enough for the driver.
+FIT_TREES, ONE_FIT_ROWS = 10, 5_000
 
 Bins = dict[str, list[float]]
 
@@ -111,61 +114,51 @@ def binned(df: DataFrame, features: Sequence[str], bins: Bins) -> DataFrame:
 
 
 def canonical(df: DataFrame, id_col: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """``df`` written in partitions that depend on the rows alone: by rank in the order of id (then of the other columns)."""
+    """``df`` and each row's ``forest.PLACE``, written in partitions that depend on the rows alone: by rank in the order of id (then of the other columns)."""
     ensure_checkpoint_dir(df.sparkSession)
     ranked = global_rank(df, [F.col(id_col).asc(), *[F.col(c).asc() for c in df.columns if c != id_col]], "_r")
     parts = max(1, -(-ranked.count() // part_rows))
     return (ranked.withColumn("_p", F.floor(F.col("_r") / part_rows)).repartition(parts, "_p").sortWithinPartitions("_r")
-            .drop("_r", "_p").checkpoint(eager=True))
+            .drop("_p").withColumnRenamed("_r", forest.PLACE).checkpoint(eager=True))
 
 
 class Forest:
-    """A forest in parts that were fitted at the same time."""
+    """A forest of Spark ML, as the only part."""
 
     def __init__(self, parts: list):
         self.parts = parts
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str = "Cluster", num_trees: int = 100,
-               max_depth: int = 30, seed: int = 0, max_bins: int = FOREST_BINS) -> Forest:
+               max_depth: int = 30, seed: int = 0, max_bins: int = FOREST_BINS) -> Forest | forest.GrownForest:
     """Random forest as the reference's defaults allow in Spark: 100 trees,
     sqrt features per split, depth capped at Spark's 30 (I11). ``train`` is canonical and binned.
-    One fit has no more tasks than its table has partitions, so beyond ``ONE_FIT_ROWS`` rows the trees
-    are dealt to fits of their own seeds, which run at the same time."""
-    staged = _assembled(train, features).withColumn("_y", F.col(label).cast("double"))
-    of_fit = FIT_TREES if train.count() > ONE_FIT_ROWS else num_trees
-
-    def fit(first: int):
-        rf = RandomForestClassifier(numTrees=min(of_fit, num_trees - first), maxDepth=max_depth, featureSubsetStrategy="sqrt",
-                                    seed=seed + first, maxBins=max_bins, featuresCol="_x", labelCol="_y",
-                                    rawPredictionCol=f"_raw{first}", probabilityCol="", predictionCol="", cacheNodeIds=True,
-                                    maxMemoryInMB=1024 if of_fit == num_trees else 256)
-        return rf.fit(staged)
-
-    starts = range(0, num_trees, of_fit)
-    with ThreadPoolExecutor(max_workers=len(starts)) as pool:
-        return Forest(list(pool.map(fit, starts)))
-
-
-def forest_predict(model: Forest, rows: DataFrame, features: Sequence[str], label: str = "Cluster") -> DataFrame:
-    """The class with most votes over all parts; the smallest of equal ones."""
-    out = _assembled(rows, features)
-    for part in model.parts:
-        out = part.transform(out)
+    Spark ML's forest holds all its trees on the driver and sums all bins of every node, so beyond
+    ``ONE_FIT_ROWS`` rows the same algorithm runs where the rows are (``forest.grow_forest``)."""
+    y = F.col(label).cast("double")
+    r = train.agg(F.count(F.lit(1)).alias("n"), F.max(y).alias("top"), F.count_if(y.isNull() | (y < 0) | (y > 255) | (y != F.floor(y))).alias("odd")).first()
+    if r["n"] <= ONE_FIT_ROWS:
+        rf = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed, maxBins=max_bins,
+                                    featuresCol="_x", labelCol="_y", rawPredictionCol="_raw0", probabilityCol="", predictionCol="",
+                                    cacheNodeIds=True, maxMemoryInMB=1024)
+        return Forest([rf.fit(_assembled(train, features).withColumn("_y", y))])
+    if r["odd"]:
+        raise ValueError(f"{label} must hold whole numbers from 0 to 255")
+    return forest.grow_forest(train, features, label, r["n"], int(r["top"]) + 1, num_trees, max_depth, seed, max_bins, FIT_TREES)
+
+
+def forest_predict(model: Forest | forest.GrownForest, rows: DataFrame, features: Sequence[str], label: str = "Cluster") -> DataFrame:
+    """The class with most votes; the smallest of equal ones."""
+    if isinstance(model, forest.GrownForest):
+        return forest.predict(model, rows, features, label)
     votes = vector_to_array(F.col(model.parts[0].getRawPredictionCol()))
-    for part in model.parts[1:]:
-        votes = F.zip_with(votes, vector_to_array(F.col(part.getRawPredictionCol())), lambda x, y: x + y)
-    out = out.withColumn("_votes", votes)
+    out = model.parts[0].transform(_assembled(rows, features)).withColumn("_votes", votes)
     return out.select(F.col(label).alias("label"), (F.array_position("_votes", F.array_max("_votes")) - 1).cast("int").alias("prediction"))
 
 
-def importances(model: Forest, features: Sequence[str]) -> list[tuple[str, float]]:
-    """A part's importances are the means over its trees that split at all."""
-    if len(model.parts) == 1:
-        return [(f, float(model.parts[0].featureImportances[i])) for i, f in enumerate(features)]
-    total = sum(part.featureImportances.toArray() * sum(tree.numNodes > 1 for tree in part.trees) for part in model.parts)
-    imp = total / total.sum() if total.sum() > 0 else total
-    return [(f, float(imp[i])) for i, f in enumerate(features)]
+def importances(model: Forest | forest.GrownForest, features: Sequence[str]) -> list[tuple[str, float]]:
+    found = model.importances if isinstance(model, forest.GrownForest) else model.parts[0].featureImportances
+    return [(f, float(found[i])) for i, f in enumerate(features)]
 
 
 def importance_table(model, features: Sequence[str], spark) -> DataFrame:
