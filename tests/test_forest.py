@@ -127,3 +127,12 @@ def test_leaves_hold_the_rows_that_come_to_them():
         total = np.bincount(y, weights=w)
         rest = sum(v.sum() - (v * v).sum() / v.sum() for v in piece["votes"].astype(float))
         assert abs(gains.sum() / G.GAIN_GRID - (total.sum() - (total * total).sum() / total.sum() - rest)) < 0.01
+
+
+def test_balanced_accuracy_is_that_of_the_report(spark):
+    from tavolo.operators.evaluate import balanced_accuracy, classification_report
+    rows = [(i % 4, (i * i) % 5) for i in range(97)] + [(7, 1), (None, 2), (3, None)]
+    df = spark.createDataFrame(rows, "label int, prediction int")
+    report = classification_report(df, places=12).where("label = 'balanced accuracy'").first()["recall"]
+    assert abs(balanced_accuracy(df) - report) < 1e-12
+    assert classification_report(df).where("label = '7'").count() == 1
